@@ -31,7 +31,7 @@ from ledgerflow.llm.common import fold, map_texts, text_bytes
 
 #: Sampled rows for each language, about.
 PER_LANG = 800
-DIM, CLUSTERS, ROUNDS, MARGIN = 4096, 4, 8, 0.5
+DIM, CLUSTERS, ROUNDS, MARGIN = 4096, 4, 8, 0.25
 
 _LETTERS = np.array([b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256)], np.uint8)
 

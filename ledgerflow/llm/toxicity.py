@@ -1,7 +1,8 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are the distinct hashed words, word pairs and pairs with one word skipped,
-of the whole text lowered A-Z. The model is fitted on a bounded sample of labelled rows
+of the whole text lowered A-Z, and word beginnings of a few bytes, so that inflected forms of
+a learned word count where a language has many. The model is fitted on a bounded sample of labelled rows
 (``max_train`` rows, the first by a hash of the id) with one learning rate for each coordinate
 and L1 regularisation, which leaves few weights: they are broadcast as two short arrays and
 every text is scored in Arrow batches.
@@ -19,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import Words, fold, map_texts, mix
+from ledgerflow.llm.common import Words, fold, map_texts, mix, span_hashes
 
 #: Labelled rows that a model is fitted on, at most.
 MAX_TRAIN = 6000
 HASH_BITS = 20
-ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 2.0, 0.1, 4
+#: Bytes of the word beginnings that stand for inflected forms.
+STEMS = (4, 5, 6)
+ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 2.5, 0.01, 4
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
@@ -35,10 +38,15 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
         pair, skip = h * np.uint64(0x9E3779B97F4A7C15), h * np.uint64(0xC2B2AE3D27D4EB4F)
         two = mix(pair[:-1] + h[1:])
         over = mix(skip[:-2] + h[2:])
-    top = np.uint64(64 - HASH_BITS)
     same2, same3 = doc[:-1] == doc[1:], doc[:-2] == doc[2:]
-    ids = np.concatenate([h, two[same2], over[same3]]) >> top
-    return np.concatenate([doc, doc[:-1][same2], doc[:-2][same3]]), ids.astype(np.int64), w.n_texts
+    docs, found = [doc, doc[:-1][same2], doc[:-2][same3]], [h, two[same2], over[same3]]
+    for size in STEMS:
+        longer = w.ends - w.starts > size
+        start = w.starts[longer]
+        docs.append(doc[longer])
+        found.append(~span_hashes(w.low, start, start + size))
+    ids = np.concatenate(found) >> np.uint64(64 - HASH_BITS)
+    return np.concatenate(docs), ids.astype(np.int64), w.n_texts
 
 
 class Ftrl:
