@@ -216,13 +216,13 @@ def _search(df: DataFrame, text_col: str, new: list, held, kept: list[str], firs
                 order = np.lexsort((first, text))
                 text, first, which = text[order], first[order], which[order]
                 cuts = np.flatnonzero(np.diff(text, prepend=-1))
-                for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True):
+                for a, b in zip(cuts, np.append(cuts[1:], len(text)), strict=False):
                     t = int(text[a])
                     base = int(w.bounds[t])
                     spans[t] = merge([(int(f) - base, int(f) - base + int(n) - 1) for f, n in zip(first[a:b], searcher.words[which[a:b]], strict=True)])
                     hits[t] = sum(s["last"] - s["first"] + 1 for s in spans[t])
                     found[t] = sorted({i for p in np.unique(which[a:b]) for i in searcher.items[p]})
-            types = [f for _, f in zip(range(5), (pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.list_(pa.string()), pa.bool_()))]
+            types = (pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.list_(pa.string()), pa.bool_())
             return [pa.array(v, t) for v, t in zip((w.counts, hits, spans, found, hits > 0), types, strict=True)]
 
         return work
