@@ -1,0 +1,248 @@
+"""Priced usage, daily and monthly facts, dimensions, operational facts and KPIs."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ledgerflow.functions.exprs import money, money_if, ratio, rounded
+from ledgerflow.functions.pricing import priced_columns
+from ledgerflow.operators.attribution import ALIASES, UNALLOCATED, with_dimensions, with_entity
+
+DIMS = tuple(ALIASES)
+MEASURES = ("list_cost_usd", "discount_usd", "effective_cost_usd", "infra_cost_usd", "total_cost_usd")
+#: Rows of a price or configuration table up to which it is broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if a count shows that it is small."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def latest(df: DataFrame, keys: list[str], order: str, tie: str | None = None) -> DataFrame:
+    """The newest row of each key."""
+    w = Window.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last(), *([F.col(tie).desc()] if tie else []))
+    return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+
+
+def unit_price(pricing: str = "pricing") -> Column:
+    return F.coalesce(F.col(f"{pricing}.effective_list.default"), F.col(f"{pricing}.default"))
+
+
+def with_price(usage: DataFrame, prices: DataFrame) -> DataFrame:
+    """Left join to the price tranche valid at the end of use; of several the latest one."""
+    p = small(prices.select(F.col("sku_name").alias("p_sku"), F.coalesce("usage_unit", F.lit("")).alias("p_unit"), F.coalesce("cloud", F.lit("")).alias("p_cloud"), F.col("price_start_time").alias("p_start"), F.col("price_end_time").alias("p_end"), unit_price().alias("unit_price")))
+    fits = (
+        (F.col("sku_name") == F.col("p_sku"))
+        & (F.coalesce("usage_unit", F.lit("")) == F.col("p_unit"))
+        & ((F.col("p_cloud") == "") | (F.col("p_cloud") == F.coalesce("cloud", F.lit(""))))
+        & (F.col("usage_end_time") >= F.col("p_start"))
+        & (F.col("p_end").isNull() | (F.col("usage_end_time") < F.col("p_end")))
+    )
+    joined = usage.join(p, fits, "left")
+    w = Window.partitionBy("record_id").orderBy(F.col("p_start").desc_nulls_last())
+    return joined.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n", "p_sku", "p_unit", "p_cloud", "p_end").withColumnRenamed("p_start", "price_start_time")
+
+
+def priced_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priced, attributed usage records."""
+    from ledgerflow.sources import tables as T
+
+    u = T.usage(spark, sf_dir)
+    clusters = small(latest(T.cluster_history(spark, sf_dir), ["cluster_id"], "change_time", "event_id").select(F.col("cluster_id").alias("c_id"), "cluster_name", F.col("tags").alias("cluster_tags")))
+    jobs = T.jobs(spark, sf_dir).select(F.col("job_id").alias("j_id"), "job_name", F.col("tags").alias("job_tags"))
+    u = u.join(clusters, F.col("usage_metadata.cluster_id") == F.col("c_id"), "left").join(jobs, F.col("usage_metadata.job_id") == F.col("j_id"), "left").drop("c_id", "j_id")
+    u = with_entity(with_price(u, T.prices(spark)))
+    u = with_dimensions(u, T.WORKSPACE_DEFAULTS)
+    for group in priced_columns(T.DISCOUNTS, infra=True):
+        u = u.withColumns(group)
+    name = F.when(F.col("entity_type") == "JOB", F.col("job_name")).when(F.col("entity_type") == "CLUSTER", F.col("cluster_name"))
+    return u.withColumn("entity_name", F.coalesce(name, "entity_id")).drop("__discount")
+
+
+GRAIN = ("usage_date", "account_id", "workspace_id", "cloud", "sku_name", "sku_group", "compute_family", "entity_type", "entity_id", "entity_key", *DIMS)
+
+
+def cost_daily(priced: DataFrame) -> DataFrame:
+    return priced.groupBy(*GRAIN).agg(
+        *[money(F.col(m)).alias(m) for m in MEASURES],
+        F.sum("usage_quantity").alias("usage_quantity"),
+        F.max("entity_name").alias("entity_name"),
+        F.count(F.lit(1)).alias("record_count"),
+        F.count_if("price_missing").alias("records_without_price"),
+        F.max("is_untagged").alias("is_untagged"),
+        F.max("is_fully_tagged").alias("is_fully_tagged"),
+        F.max("is_photon").alias("is_photon"),
+        F.date_format(F.first("usage_date"), "yyyy-MM").alias("year_month"),
+    )
+
+
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cost_daily(priced_usage(spark, sf_dir))
+
+
+def cost_monthly(daily: DataFrame) -> DataFrame:
+    keys = ("year_month", "account_id", "workspace_id", "sku_group", "compute_family", "entity_type", *DIMS)
+    return daily.groupBy(*keys).agg(
+        *[money(F.col(m)).alias(m) for m in MEASURES],
+        F.count_distinct("entity_key").alias("distinct_entities"),
+        F.count_distinct("usage_date").alias("active_days"),
+        F.trunc(F.min("usage_date"), "MM").alias("month_start"),
+    )
+
+
+def dim_date(daily: DataFrame, as_of: str, ahead: int = 90) -> DataFrame:
+    """Every day from the first of the data to ``ahead`` days after the last, with calendar columns."""
+    span = daily.agg(F.min("usage_date").alias("a"), F.date_add(F.max("usage_date"), ahead).alias("b"))
+    d = F.col("date_key")
+    return span.select(F.explode(F.sequence("a", "b")).alias("date_key")).select(
+        d,
+        F.year(d).alias("year"),
+        F.quarter(d).alias("quarter"),
+        F.month(d).alias("month"),
+        F.dayofmonth(d).alias("day"),
+        F.weekofyear(d).alias("week_of_year"),
+        F.dayofweek(d).alias("day_of_week"),
+        F.date_format(d, "yyyy-MM").alias("year_month"),
+        F.dayofweek(d).isin(1, 7).alias("is_weekend"),
+        F.trunc(d, "MM").alias("month_start"),
+        F.last_day(d).alias("month_end"),
+        (d == F.last_day(d)).alias("is_month_end"),
+        (d > F.lit(as_of).cast("date")).alias("is_future"),
+    )
+
+
+def dim_sku(priced: DataFrame) -> DataFrame:
+    return priced.groupBy("sku_name", "cloud").agg(
+        F.max("sku_group").alias("sku_group"),
+        F.max("unit_price").alias("max_unit_price"),
+        F.max_by("unit_price", F.when(F.col("unit_price").isNotNull(), F.col("usage_end_time"))).alias("latest_unit_price"),
+        F.min("usage_date").alias("first_seen"),
+        F.max("usage_date").alias("last_seen"),
+        money(F.col("total_cost_usd")).alias("lifetime_cost_usd"),
+    )
+
+
+def dim_workspace(daily: DataFrame, names: DataFrame) -> DataFrame:
+    seen = daily.groupBy("workspace_id").agg(F.min("usage_date").alias("first_seen"), F.max("usage_date").alias("last_seen"), money(F.col("total_cost_usd")).alias("lifetime_cost_usd"))
+    return seen.join(small(names), "workspace_id", "left").withColumn("workspace_name", F.coalesce("workspace_name", F.concat(F.lit("ws-"), F.col("workspace_id"))))
+
+
+def dim_entity(daily: DataFrame, as_of: str) -> DataFrame:
+    return daily.groupBy("entity_key", "workspace_id").agg(
+        F.max("entity_type").alias("entity_type"),
+        F.max("entity_name").alias("entity_name"),
+        *[F.max(d).alias(d) for d in DIMS],
+        F.count_distinct("usage_date").alias("active_days"),
+        F.min("usage_date").alias("first_seen"),
+        F.max("usage_date").alias("last_seen"),
+        money(F.col("total_cost_usd")).alias("lifetime_cost_usd"),
+        F.date_diff(F.lit(as_of).cast("date"), F.max("usage_date")).alias("days_since_activity"),
+    )
+
+
+# States that count as failed.
+FAILED = ("FAILED", "ERROR", "TIMEDOUT", "TIMED_OUT", "INTERNAL_ERROR", "UPSTREAM_FAILED")
+
+
+def job_runs(periods: DataFrame) -> DataFrame:
+    """One row for each run from its periods."""
+    state = F.upper("result_state")
+    runs = periods.groupBy("job_id", "run_id").agg(
+        F.min("period_start_time").alias("start_time"),
+        F.max("period_end_time").alias("end_time"),
+        F.max("result_state").alias("result_state"),
+        F.min_by("compute_ids", "period_start_time").alias("compute_ids"),
+    )
+    minutes = F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time")) / 60.0
+    return runs.withColumns({"is_failed": state.isin(*FAILED), "is_success": state.isin("SUCCESS", "SUCCEEDED"), "is_cancelled": state.isin("CANCELED", "CANCELLED"), "duration_minutes": rounded(minutes, 4), "run_date": F.to_date("start_time")})
+
+
+def run_cost(priced: DataFrame) -> DataFrame:
+    ran = priced.filter(F.col("usage_metadata.job_run_id").isNotNull())
+    return ran.groupBy(F.col("usage_metadata.job_id").alias("job_id"), F.col("usage_metadata.job_run_id").alias("run_id")).agg(money(F.col("total_cost_usd")).alias("run_cost_usd"), F.sum("usage_quantity").alias("dbus"))
+
+
+def job_run_cost(runs: DataFrame, priced: DataFrame) -> DataFrame:
+    tags = priced.filter(F.col("usage_metadata.job_id").isNotNull()).groupBy(F.col("usage_metadata.job_id").alias("job_id")).agg(*[F.max(d).alias(d) for d in DIMS])
+    joined = runs.join(run_cost(priced), ["job_id", "run_id"], "left").join(tags, "job_id", "left")
+    cost = F.coalesce("run_cost_usd", F.lit(0.0))
+    return joined.withColumns({"has_cost": F.col("run_cost_usd").isNotNull(), "run_cost_usd": cost, "cost_per_minute": ratio(cost, F.col("duration_minutes"), 6), **{d: F.coalesce(d, F.lit(UNALLOCATED)) for d in DIMS}})
+
+
+def query_activity(history: DataFrame) -> DataFrame:
+    return history.groupBy("query_date", "warehouse_id", "executed_by").agg(
+        F.count(F.lit(1)).alias("query_count"),
+        F.sum("total_duration_ms").alias("total_ms"),
+        rounded(F.avg("total_duration_ms"), 4).alias("avg_ms"),
+        rounded(F.percentile("total_duration_ms", F.lit(0.95)), 4).alias("p95_ms"),
+        F.count_if(F.col("execution_status") == "FAILED").alias("failed_queries"),
+        F.count_distinct("statement_id").alias("distinct_statements"),
+        F.count_distinct(F.hour("start_time")).alias("active_hours"),
+    )
+
+
+def warehouse_cost(daily: DataFrame, activity: DataFrame) -> DataFrame:
+    """Daily warehouse cost with that day's activity; usage dates meet query dates by day of month."""
+    cost = daily.filter("entity_type = 'WAREHOUSE'").groupBy(F.dayofmonth("usage_date").alias("day"), F.col("entity_id").alias("warehouse_id")).agg(money(F.col("total_cost_usd")).alias("total_cost_usd"))
+    used = activity.groupBy(F.dayofmonth("query_date").alias("day"), "warehouse_id").agg(F.sum("query_count").alias("query_count"), F.sum("failed_queries").alias("failed_queries"), F.count_distinct("executed_by").alias("distinct_users"), F.sum("active_hours").alias("active_hours"))
+    joined = cost.join(used, ["day", "warehouse_id"], "left")
+    return joined.withColumn("cost_per_query", ratio(F.col("total_cost_usd"), F.col("query_count"), 6))
+
+
+def tag_coverage(daily: DataFrame) -> DataFrame:
+    """Attributed and unattributed cost by day, workspace and dimension, in one scan."""
+    long = daily.select("usage_date", "workspace_id", "entity_key", F.col("total_cost_usd").alias("cost"), *DIMS).unpivot(["usage_date", "workspace_id", "entity_key", "cost"], list(DIMS), "dimension", "value")
+    known = F.col("value") != UNALLOCATED
+    out = long.groupBy("usage_date", "workspace_id", "dimension").agg(
+        money(F.col("cost")).alias("total_cost_usd"),
+        money_if(known, F.col("cost")).alias("attributed_cost_usd"),
+        F.count_distinct("entity_key").alias("entities"),
+        F.count_distinct(F.when(known, F.col("entity_key"))).alias("attributed_entities"),
+    )
+    return out.withColumns({"unattributed_cost_usd": F.round(F.col("total_cost_usd") - F.col("attributed_cost_usd"), 6), "coverage_ratio": ratio(F.col("attributed_cost_usd"), F.col("total_cost_usd"), 6, 1.0)})
+
+
+def kpi_base(daily: DataFrame) -> DataFrame:
+    cost = F.col("total_cost_usd")
+    return daily.groupBy("usage_date").agg(
+        money(cost).alias("total_cost_usd"),
+        money(F.col("list_cost_usd")).alias("list_cost_usd"),
+        money(F.col("discount_usd")).alias("discount_usd"),
+        F.sum("usage_quantity").alias("dbus"),
+        F.count_distinct("entity_key").alias("entities"),
+        F.count_distinct("workspace_id").alias("workspaces"),
+        money_if(F.col("sku_group") == "ALL_PURPOSE", cost).alias("all_purpose_cost_usd"),
+        money_if(F.col("compute_family") == "SERVERLESS", cost).alias("serverless_cost_usd"),
+        money_if(F.col("is_photon"), cost).alias("photon_cost_usd"),
+        money_if(F.col("cost_center") == UNALLOCATED, cost).alias("unallocated_cost_usd"),
+    )
+
+
+def kpis(daily: DataFrame) -> DataFrame:
+    """Daily KPIs with changes against the row before and seven rows before, rolling means and month to date.
+
+    The windows run over one row for each day, so that one partition is enough.
+    """
+    base = kpi_base(daily)
+    by_day = Window.orderBy("usage_date")
+    cost = F.col("total_cost_usd")
+    exact = cost.cast("decimal(20,6)")
+    change = lambda n: F.when(F.lag(cost, n).over(by_day) > 0, rounded((cost - F.lag(cost, n).over(by_day)) / F.lag(cost, n).over(by_day), 4))
+    rolling = lambda n: rounded(F.sum(exact).over(by_day.rowsBetween(1 - n, 0)).cast("double") / F.count(cost).over(by_day.rowsBetween(1 - n, 0)), 4)
+    month = Window.partitionBy(F.trunc("usage_date", "MM")).orderBy("usage_date").rowsBetween(Window.unboundedPreceding, 0)
+    return base.withColumns(
+        {
+            "dod_change": change(1),
+            "wow_change": change(7),
+            "avg_7d_usd": rolling(7),
+            "avg_28d_usd": rolling(28),
+            "mtd_cost_usd": F.sum(exact).over(month).cast("double"),
+            "serverless_ratio": ratio(F.col("serverless_cost_usd"), cost),
+            "all_purpose_ratio": ratio(F.col("all_purpose_cost_usd"), cost),
+            "photon_ratio": ratio(F.col("photon_cost_usd"), cost),
+            "allocated_ratio": ratio(cost - F.col("unallocated_cost_usd"), cost, 4, 1.0),
+            "cost_per_dbu": ratio(cost, F.col("dbus")),
+        }
+    )

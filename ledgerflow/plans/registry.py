@@ -1,6 +1,8 @@
-"""All queries over the reference data, by name, with their SQL."""
+"""All queries over the model tables, by name, with their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from ledgerflow.plans import oracle_facts, queries_facts
+
+QUERIES: dict = {**queries_facts.QUERIES}
+ORACLE_SQL: dict[str, str] = {**oracle_facts.ORACLE_SQL}
