@@ -164,4 +164,8 @@ ORACLE_SQL = {
     "w6_kpis": f"WITH {KPI} SELECT * FROM kpi",
     "d5_cost_by_sku_group": f"WITH {PRICED} SELECT sku_group, {usd('total_cost_usd')} AS total_cost_usd, sum(usage_quantity) AS dbus FROM tagged GROUP BY 1",
     "l9_fingerprints": "SELECT o_orderkey, substr(sha256('RULE|' || o_orderpriority || '|' || CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE '' END), 1, 16) AS fingerprint FROM orders",
+    "s4_usage_ingest": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, CAST(l_shipdate AS DATE) AS usage_date FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '2001-01-01' AND DATE '2001-03-31' AND l_returnflag <> 'R'",
+    "s13_upsert": "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN 'N' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0",
+    "s16_ingest_window": "SELECT CAST(max(CAST(o_orderdate AS DATE)) - 7 AS DATE) AS first_day, DATE '2001-12-31' AS last_day, 'mark' AS kind FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT CAST(DATE '2001-12-31' - 400 AS DATE), DATE '2001-12-31', 'initial'",
+    "s17_high_water_marks": "SELECT o_orderpriority AS source_key, max(CAST(o_orderdate AS DATE)) AS watermark_date FROM orders GROUP BY 1",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.exprs import blank_to_null, fingerprint, money, normalise_key, normalise_map
 from ledgerflow.operators import facts
 from ledgerflow.operators.facts import DIMS, MEASURES
+from ledgerflow.sources import readers, sinks
 from ledgerflow.sources import tables as T
 
 
@@ -118,4 +119,28 @@ def l9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.read(spark, sf_dir, "orders").select("o_orderkey", fingerprint(F.lit("RULE"), F.col("o_orderpriority"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey"))).alias("fingerprint"))
 
 
-QUERIES = {n: f for n, f in list(globals().items()) if n.split("_")[0][:1] in "pjadwl" and n.split("_")[0][1:].isdigit()}
+def s4_usage_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window of usage rows without the excluded workspaces, tolerant of missing columns."""
+    src = readers.read_source(spark, [f"{sf_dir}/absent.parquet", f"{sf_dir}/lineitem.parquet"])
+    rows = readers.ingest_days(src, "l_shipdate", "usage_date", "2001-01-01", "2001-03-31")
+    kept = readers.select_existing(rows, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "usage_date", "not_there"])
+    return readers.exclude(kept, "l_returnflag", ["R"])
+
+
+def s13_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order statuses merged by key: later ones replace earlier ones."""
+    o = T.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    return sinks.upsert(o.filter("k % 3 <> 0"), o.filter("k % 2 = 0").withColumn("v", F.lit("N")), ["k"])
+
+
+def s16_ingest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = T.read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("source_key"), F.to_date("o_orderdate").alias("watermark_date"))
+    return readers.ingest_window(marks, "1-URGENT", "2001-12-31").withColumn("kind", F.lit("mark")).unionByName(readers.ingest_window(marks, "none", "2001-12-31").withColumn("kind", F.lit("initial")))
+
+
+def s17_high_water_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = T.read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("source_key"), F.to_date("o_orderdate").alias("watermark_date"))
+    return readers.high_water_marks(marks)
+
+
+QUERIES = {n: f for n, f in list(globals().items()) if n.split("_")[0][:1] in "pjadwls" and n.split("_")[0][1:].isdigit()}
