@@ -7,7 +7,7 @@ document frequency and normalised. The rows of each learned language (a bounded
 by spherical k-means, one Spark group for each language. A text takes the language of the
 centroid with the largest cosine.
 
-Rejection is by distance: a text whose best cosine lies below ``margin`` times the lowest one
+Rejection is by distance: a text whose best cosine is 0 or does not exceed ``margin`` times the lowest one
 that sample rows of about the same length (power of two of n-grams) have is rejected; lengths
 that the sample lacks take the nearest shorter one's limit. Null texts and texts without a
 letter are rejected too, get `und` and score 0. Rejection does not alter lang_pred otherwise.
@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model, text_col: str = "text", keep: list[str] | N
             best = np.argmax(cos, axis=1)
             score = np.where(letters, cos[np.arange(len(tf)), best], 0.0).astype(np.float64)
             named = [languages[owner[b]] if ok else "und" for b, ok in zip(best, letters, strict=True)]
-            return [pa.array(named, pa.string()), pa.array(score), pa.array(~letters | (score < limit[np.minimum(size_class(tf), 64)]))]
+            return [pa.array(named, pa.string()), pa.array(score), pa.array(~letters | (score <= limit[np.minimum(size_class(tf), 64)]))]
 
         return work
 
