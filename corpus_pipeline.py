@@ -28,9 +28,9 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 #: Five words; similarity 0.8 of the word runs is an angle of 0.152 pi, so 39 of 256 bits may differ.
-#: Candidates differ in at most 12 of the first 64 bits and share two of eight bit blocks
-#: (always so up to 6 bits, in most cases up to 12).
-NEAR = {"words": 5, "radius": 12, "blocks": 8, "agree": 2, "confirm_bits": 192, "wide": 39}
+#: Candidates differ in at most 14 bits of one of the first two words of 64 bits and share two of its
+#: eight bit blocks (always so up to 6 bits, in most cases up to 12).
+NEAR = {"words": 5, "radius": 14, "blocks": 8, "agree": 2, "confirm_bits": 192, "wide": 39, "distinct": True, "probes": 2}
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

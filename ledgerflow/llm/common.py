@@ -144,7 +144,16 @@ class Words:
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+class _Cache(dict):
+    """Tables of one process; they do not travel with functions."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = _Cache()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:

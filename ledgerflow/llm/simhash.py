@@ -18,8 +18,12 @@ into trees of about that many; every member of the shard asks each of these tree
 Within a shard links are reduced to a forest over the same components, so that a group of
 copies gives about as many edges as members. Components come from ``components``.
 
+With ``probes`` over 1 further words of the fingerprint are searched in the same way, each in its
+own shards: a link found by any of them counts.
+
 ``confirm_bits`` more bits, from further hashes of the same runs, may confirm a link: of all
-64 + confirm_bits bits at most ``wide`` may differ.
+64 + confirm_bits bits at most ``wide`` may differ. With ``distinct`` each run votes once, which
+brings the share of differing bits close to the angle between sets of runs.
 
 A null text counts as one without words. Null ids never name a component that has another
 id. Repeated rows are in one component. Empty input gives no rows.
@@ -71,9 +75,9 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(votes * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 4, confirm_bits: int = 0, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with fp (the 64 bits as a long) and more (confirming bits, bytes)."""
-    new = [("fp", T.LongType()), ("more", T.BinaryType())]
+def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 4, confirm_bits: int = 0, distinct: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with fp (the 64 bits as a long) and more (confirming bits, longs)."""
+    new = [("fp", T.LongType()), ("more", T.ArrayType(T.LongType()))]
 
     def make():
         def work(texts: pa.Array) -> list[pa.Array]:
@@ -82,28 +86,30 @@ def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 4, confir
             fp, more = [], []
             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 h = run_hashes(raw[a:b], words)
+                if distinct:
+                    h = np.unique(h)
                 fp.append(majority(h))
-                extra = b""
+                extra = []
                 for _ in range(confirm_bits // 64):
                     h = mix(h)
-                    extra += majority(h).to_bytes(8, "little")
-                more.append(extra)
-            return [pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(more, pa.binary())]
+                    extra.append(majority(h))
+                more.append(np.array(extra, np.uint64).view(np.int64))
+            return [pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(more, pa.list_(pa.int64()))]
 
         return work
 
     return map_texts(docs, text_col, new, make, keep)
 
 
-def shard_keys(fp: Column, blocks: int, agree: int) -> Column:
-    """One long for each choice of ``agree`` bit blocks: its number and the bits of its blocks."""
+def shard_keys(fp: Column, blocks: int, agree: int, probe: int) -> Column:
+    """(key, probe) for each choice of ``agree`` bit blocks; the key is made of the choice and its bits."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     masks = [((1 << (b - a)) - 1) << a for a, b in zip(edges[:-1], edges[1:], strict=True)]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     keys = []
     for number, chosen in enumerate(combinations(range(blocks), agree)):
-        keys.append(F.xxhash64(F.lit(number), fp.bitwiseAND(F.lit(signed(sum(masks[c] for c in chosen))).cast("long"))))
-    return F.array(*keys)
+        keys.append(F.xxhash64(F.lit(probe), F.lit(number), fp.bitwiseAND(F.lit(signed(sum(masks[c] for c in chosen))).cast("long"))))
+    return F.transform(F.array(*keys), lambda k: F.struct(k.alias("key"), fp.alias("probe")))
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -176,76 +182,83 @@ class Union:
                 self.label = up
 
 
-def _links(fp: np.ndarray, more: np.ndarray, shard: np.ndarray, member: np.ndarray, radius: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+def _links(probe: np.ndarray, full: np.ndarray, shard: np.ndarray, member: np.ndarray, radius: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges that join the same fingerprints as all links between asking rows and tree members."""
     own = np.flatnonzero(member)
     if not len(own):
         return own, own
     tree_shards, tree = np.unique(shard[own], return_inverse=True)
-    forest = Forest(fp[own], tree)
-    place = np.searchsorted(tree_shards, shard)
-    place = np.minimum(place, len(tree_shards) - 1)
+    forest = Forest(probe[own], tree)
+    place = np.minimum(np.searchsorted(tree_shards, shard), len(tree_shards) - 1)
     asks = np.flatnonzero(tree_shards[place] == shard)
-    union = Union(len(fp))
-    for q, node in forest.near(fp[asks], place[asks], radius):
+    union = Union(len(probe))
+    for q, node in forest.near(probe[asks], place[asks], radius):
         a, b = asks[q], own[node]
         apart = union.label[a] != union.label[b]
         a, b = a[apart], b[apart]
         if wide >= 0 and len(a):
-            full = distance(fp[a], fp[b]) + np.bitwise_count(more[a] ^ more[b]).sum(axis=1, dtype=np.int64)
-            a, b = a[full <= wide], b[full <= wide]
+            near = np.bitwise_count(full[a] ^ full[b]).sum(axis=1, dtype=np.int64) <= wide
+            a, b = a[near], b[near]
         union.merge(a, b)
-    moved = np.flatnonzero(union.label != np.arange(len(fp)))
+    moved = np.flatnonzero(union.label != np.arange(len(probe)))
     return moved, union.label[moved]
 
 
-def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide: int = -1, max_tree: int = MAX_TREE) -> DataFrame:
-    """Edges (src, dst) between class numbers ``id`` of rows (id, fp, more)."""
-    keyed = classes.select("id", "fp", "more", F.explode(shard_keys(F.col("fp"), blocks, agree)).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("trees", F.ceil(F.col("n") / max_tree).cast("int"))
-    shared = keyed.join(sizes, "key")
+def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide: int = -1, probes: int = 1, max_tree: int = MAX_TREE) -> DataFrame:
+    """Edges (src, dst) between class numbers ``id`` of rows (id, fp, more).
+
+    Each of the first ``probes`` words of a fingerprint is searched in shards of its own.
+    """
+    full = F.concat(F.array("fp"), "more")
+    keys = F.concat(*[shard_keys(F.get(full, F.lit(p)), blocks, agree, p) for p in range(probes)])
+    carried = [full.alias("full")] if wide >= 0 else []
+    keyed = classes.select("id", *carried, F.explode(keys).alias("k")).select("id", *(["full"] if carried else []), "k.key", "k.probe")
+    # shards that need more than one tree; written first, so that Spark knows their number before it plans the join
+    large = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_tree).select("key", F.ceil(F.col("n") / max_tree).cast("int").alias("trees")))
+    split = keyed.join(large, "key", "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
     own = F.pmod(F.xxhash64("id"), F.col("trees")).cast("int")
-    asking = shared.withColumn("own", own).withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
-    rows = asking.select("key", "tree", (F.col("tree") == F.col("own")).alias("member"), "id", "fp", "more")
+    asking = split.withColumn("own", own).withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
+    rows = asking.select("key", "tree", (F.col("tree") == F.col("own")).alias("member"), "id", "probe", *(["full"] if carried else []))
     ordered = rows.repartition("key", "tree").sortWithinPartitions("key", "tree", F.desc("member"))
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
-        for batch in _chunks(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
             key, tree = table["key"].to_numpy(), table["tree"].to_numpy()
             last = np.flatnonzero((key == key[-1]) & (tree == tree[-1]))[0]
             done, rest = table.slice(0, last), table.slice(last)
-            if done.num_rows:
-                yield from _solve(done, radius, wide, schema)
-            while rest.num_rows > 8 * max_tree:
-                # a shard asked by many: answer part of the asking rows, keep the tree's members
-                members = int(np.count_nonzero(rest["member"].to_numpy(zero_copy_only=False)))
-                if members >= rest.num_rows:
-                    break
-                yield from _solve(rest, radius, wide, schema)
-                rest = rest.slice(0, members)
-        if rest is not None and rest.num_rows:
+            yield from _solve(done, radius, wide, schema)
+            if rest.num_rows > 8 * max_tree:
+                # a tree that many ask: answer those here, keep the tree's members, which come first
+                members = int(np.count_nonzero(rest["member"].to_numpy()))
+                if members < rest.num_rows:
+                    yield from _solve(rest, radius, wide, schema)
+                    rest = rest.slice(0, members)
+        if rest is not None:
             yield from _solve(rest, radius, wide, schema)
 
     return ordered.mapInArrow(run, "src long, dst long")
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch
-
-
 def _solve(table: pa.Table, radius: int, wide: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    table = table.combine_chunks()
+    """Edges of the complete shards of a sorted table; fingerprints alone in their shard go at once."""
+    if not table.num_rows:
+        return
     key, tree = table["key"].to_numpy(), table["tree"].to_numpy()
     shard = np.cumsum((np.diff(key, prepend=key[0]) != 0) | (np.diff(tree, prepend=tree[0]) != 0))
-    fp = table["fp"].to_numpy().view(np.uint64)
-    more = np.frombuffer(b"".join(table["more"].to_pylist()), "<u8").reshape(len(fp), -1) if wide >= 0 else np.empty((len(fp), 0), np.uint64)
-    member = table["member"].to_numpy(zero_copy_only=False).astype(bool)
-    a, b = _links(fp, more, shard, member, radius, wide)
+    some = np.bincount(shard)[shard] > 1
+    if not some.any():
+        return
+    if not some.all():
+        table, shard = table.filter(pa.array(some)), shard[some]
+    table = table.combine_chunks()
+    probe = table["probe"].to_numpy().view(np.uint64)
+    full = table["full"].chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(probe), -1) if wide >= 0 else probe[:, None]
+    a, b = _links(probe, full, shard, table["member"].to_numpy().astype(bool), radius, wide)
     if len(a):
         ids = table["id"].to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], schema=schema)
@@ -261,6 +274,8 @@ def near_duplicates(
     agree: int = 2,
     confirm_bits: int = 0,
     wide: int = -1,
+    distinct: bool = False,
+    probes: int = 1,
     max_tree: int = MAX_TREE,
     keep: list[str] | None = None,
 ) -> DataFrame:
@@ -268,11 +283,11 @@ def near_duplicates(
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("fp", "more", "group", "component_id")]
     cols = [F.col(f"`{c}`") for c in kept]
     carried = docs.select(*cols, F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__read"))
-    marked = written(fingerprints(carried, "__read", words, confirm_bits, [*kept, "__id"]))
+    marked = written(fingerprints(carried, "__read", words, confirm_bits, distinct, [*kept, "__id"]))
     number = F.xxhash64("fp", "more") if confirm_bits else F.col("fp")
     marked = marked.withColumn("__class", number)
     classes = written(marked.groupBy("__class", "fp", "more").agg(F.min("__id").alias("low")))
-    edges = link_classes(classes.withColumnRenamed("__class", "id"), radius, blocks, agree, wide, max_tree)
+    edges = link_classes(classes.withColumnRenamed("__class", "id"), radius, blocks, agree, wide, probes, max_tree)
     found = connected_components(edges)
     lowest = found.join(classes, F.col("node") == F.col("__class")).groupBy("root").agg(F.min("low").alias("root_low"))
     joined = found.join(lowest, "root").select(F.col("node").alias("__class"), "root", "root_low")
