@@ -22,6 +22,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A small fixed table made of literals."""
+    built = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows])
+    return spark.range(1).select(F.inline(built))
+
+
 def fold(id_col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts

@@ -20,6 +20,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.common import literal_rows
+
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,7 +58,7 @@ def template_table(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> Dat
                 raise ValueError(f"a template needs two words at least, a phrase four at most: {text!r}")
             name = f"{'phrase' if base else 'notice'}-{number}-{label}"
             rows += [(name, label, base, len(grams), i, k, g) for i, g in enumerate(grams)]
-    return spark.createDataFrame(rows, "template string, label string, base boolean, t_size int, t_pos int, t_k int, t_gram array<string>").withColumn("t_key", _key("t_k", "t_gram"))
+    return literal_rows(spark, ["template", "label", "base", "t_size", "t_pos", "t_k", "t_gram"], rows).withColumn("t_key", _key("t_k", "t_gram"))
 
 
 def _key(k: str, gram: str) -> Column:

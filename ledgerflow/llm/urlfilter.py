@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.common import literal_rows
+
 #: (verdict, host, path)
 RULES = (
     ("allow", "com", "/"),
@@ -32,7 +34,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "verdict string, host string, path string")
+    return literal_rows(spark, ["verdict", "host", "path"], list(rules))
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow", broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
