@@ -46,8 +46,8 @@ def _words(text: str) -> list[str]:
     return re.findall(WORD_PATTERN, text.translate(str.maketrans(_UPPER, _LOWER)))
 
 
-def template_table(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
-    """One row for each k-gram of each template: label, base, t_size (k-grams), t_pos, k, t_gram."""
+def template_rows(phrases=PHRASES, notices=NOTICES) -> list[tuple]:
+    """(template, label, base, k-grams, position, k, words) of each k-gram of each template."""
     rows = []
     for base, listed in ((True, phrases), (False, notices)):
         for number, (label, text) in enumerate(listed):
@@ -58,7 +58,12 @@ def template_table(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> Dat
                 raise ValueError(f"a template needs two words at least, a phrase four at most: {text!r}")
             name = f"{'phrase' if base else 'notice'}-{number}-{label}"
             rows += [(name, label, base, len(grams), i, k, g) for i, g in enumerate(grams)]
-    return literal_rows(spark, ["template", "label", "base", "t_size", "t_pos", "t_k", "t_gram"], rows).withColumn("t_key", _key("t_k", "t_gram"))
+    return rows
+
+
+def template_table(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
+    """The k-grams of all templates with the hashes they are joined by."""
+    return literal_rows(spark, ["template", "label", "base", "t_size", "t_pos", "t_k", "t_gram"], template_rows(phrases, notices)).withColumn("t_key", _key("t_k", "t_gram"))
 
 
 def _key(k: str, gram: str) -> Column:
