@@ -31,18 +31,18 @@ def unit_price(pricing: str = "pricing") -> Column:
 
 
 def with_price(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """Left join to the price tranche valid at the end of use; of several the latest one."""
-    p = small(prices.select(F.col("sku_name").alias("p_sku"), F.coalesce("usage_unit", F.lit("")).alias("p_unit"), F.coalesce("cloud", F.lit("")).alias("p_cloud"), F.col("price_start_time").alias("p_start"), F.col("price_end_time").alias("p_end"), unit_price().alias("unit_price")))
-    fits = (
-        (F.col("sku_name") == F.col("p_sku"))
-        & (F.coalesce("usage_unit", F.lit("")) == F.col("p_unit"))
-        & ((F.col("p_cloud") == "") | (F.col("p_cloud") == F.coalesce("cloud", F.lit(""))))
-        & (F.col("usage_end_time") >= F.col("p_start"))
-        & (F.col("p_end").isNull() | (F.col("usage_end_time") < F.col("p_end")))
-    )
-    joined = usage.join(p, fits, "left")
-    w = Window.partitionBy("record_id").orderBy(F.col("p_start").desc_nulls_last())
-    return joined.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n", "p_sku", "p_unit", "p_cloud", "p_end").withColumnRenamed("p_start", "price_start_time")
+    """Left join to the price tranche valid at the end of use; of several the latest one.
+
+    Tranches of a SKU and unit are one array, latest first, so that a record meets one row and
+    picks its tranche in place: no fan-out, and no shuffle of the usage to undo it.
+    """
+    tranche = F.struct(F.col("price_start_time").alias("a"), F.col("price_end_time").alias("b"), F.coalesce("cloud", F.lit("")).alias("cloud"), unit_price().alias("price"))
+    p = prices.groupBy(F.col("sku_name").alias("p_sku"), F.coalesce("usage_unit", F.lit("")).alias("p_unit")).agg(F.sort_array(F.collect_list(tranche), asc=False).alias("__tranches"))
+    joined = usage.join(small(p), (F.col("sku_name") == F.col("p_sku")) & (F.coalesce("usage_unit", F.lit("")) == F.col("p_unit")), "left")
+    end, cloud = F.col("usage_end_time"), F.coalesce("cloud", F.lit(""))
+    valid = F.filter("__tranches", lambda t: ((t["cloud"] == "") | (t["cloud"] == cloud)) & (end >= t["a"]) & (t["b"].isNull() | (end < t["b"])))
+    best = joined.withColumn("__t", F.get(valid, F.lit(0)))
+    return best.withColumns({"price_start_time": F.col("__t.a"), "unit_price": F.col("__t.price")}).drop("p_sku", "p_unit", "__tranches", "__t")
 
 
 def priced_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
