@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -152,23 +154,20 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-class _Cache(dict):
-    """Tables of one process; they do not travel with functions."""
 
-    def __reduce__(self):
-        return _Cache, ()
-
-
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = _Cache()
+def _kept() -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Tables that live as long as the worker process: functions that travel by value have globals of their own."""
+    return sys.modules.setdefault("ledgerflow_process_tables", types.ModuleType("ledgerflow_process_tables")).__dict__.setdefault("powers", {})
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     size = max(SLICE_BYTES * 2, 1 << (max(1, n) - 1).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
+    tables = _kept()
+    if size not in tables:
+        tables.clear()
         with np.errstate(over="ignore"):
-            _POWERS[size] = tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (_BASE, _INVERSE))
-    return _POWERS[size]
+            tables[size] = tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (_BASE, _INVERSE))
+    return tables[size]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
