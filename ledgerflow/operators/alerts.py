@@ -86,7 +86,7 @@ def admit(alerts: DataFrame, history: DataFrame, now: str, cooldown_hours: int =
     ``history`` has fingerprint and created_at of dispatched alerts. The cap ranks what is left
     after all filters: one row for each distinct fingerprint of one run.
     """
-    order = [rank(F.col("severity")).desc(), "rule", "subject"]
+    order = [rank(F.col("severity")).desc(), "rule", "subject", "fingerprint"]
     first = F.row_number().over(Window.partitionBy("fingerprint").orderBy(*order))
     stamp = F.lit(now).cast("timestamp_ntz")
     seen = history.groupBy("fingerprint").agg(F.max("created_at").alias("__last"))

@@ -199,9 +199,9 @@ _ALERTS = " UNION ALL ".join(
 ADMITTED = (
     anomalies(True, "mad", None)
     + f""", raw AS ({_ANOMALY_ALERT} UNION ALL {_ANOMALY_ALERT} AND dimension = 'event_type'),
-marked AS (SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY list_position(['low', 'medium', 'high', 'critical'], severity) DESC, rule, subject) AS f FROM raw),
+marked AS (SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY list_position(['low', 'medium', 'high', 'critical'], severity) DESC, rule, subject, fingerprint) AS f FROM raw),
 whyd AS (SELECT *, CASE WHEN f > 1 THEN 'duplicate' WHEN fingerprint < '4' THEN 'cooldown' END AS why FROM marked),
-admitted AS (SELECT *, coalesce(why, CASE WHEN row_number() OVER (PARTITION BY why IS NULL ORDER BY list_position(['low', 'medium', 'high', 'critical'], severity) DESC, rule, subject) > 3 THEN 'cap' END, 'dispatched') AS outcome FROM whyd)"""
+admitted AS (SELECT *, coalesce(why, CASE WHEN row_number() OVER (PARTITION BY why IS NULL ORDER BY list_position(['low', 'medium', 'high', 'critical'], severity) DESC, rule, subject, fingerprint) > 3 THEN 'cap' END, 'dispatched') AS outcome FROM whyd)"""
 )
 _CHANNEL = "list_filter(['pager', 'chat', 'table'], lambda c: c = 'table' OR (c = 'chat' AND severity IN ('high', 'critical')) OR (c = 'pager' AND severity = 'critical'))"
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 USAGE = """
 usage AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS record_id, 'acct-1' AS account_id,
+  SELECT row_number() OVER () AS rid, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS record_id, 'acct-1' AS account_id,
     CAST(s_nationkey AS VARCHAR) AS workspace_id, CASE s_nationkey % 3 WHEN 0 THEN 'AZURE' WHEN 1 THEN 'AWS' ELSE 'GCP' END AS cloud,
     CASE p_type WHEN 'ECONOMY' THEN 'PREMIUM_JOBS_COMPUTE_(PHOTON)' WHEN 'LARGE' THEN 'PREMIUM_SQL_PRO_COMPUTE_US_EAST'
       WHEN 'MEDIUM' THEN 'PREMIUM_SERVERLESS_SQL_COMPUTE' WHEN 'PROMO' THEN 'PREMIUM_ALL_PURPOSE_COMPUTE'
@@ -33,7 +33,7 @@ prices(sku, cloud, a, b, price) AS (VALUES
 tranche AS (
   SELECT u.*, p.price AS unit_price, p.a AS price_start_time FROM usage u LEFT JOIN prices p
     ON u.sku_name = p.sku AND (p.cloud = '' OR p.cloud = u.cloud) AND u.usage_end_time >= p.a AND (p.b IS NULL OR u.usage_end_time < p.b)
-  QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY p.a DESC NULLS LAST) = 1),
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY p.a DESC NULLS LAST) = 1),
 classed AS (
   SELECT *, CASE WHEN product IN ('JOBS', 'SQL') THEN CASE WHEN sku_name LIKE '%SERVERLESS%' THEN 'SERVERLESS_' || product ELSE product END
       WHEN sku_name = 'PREMIUM_JOBS_COMPUTE_(PHOTON)' THEN 'JOBS' WHEN sku_name LIKE 'PREMIUM_SQL%' THEN 'SQL'
