@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerflow.llm import decontaminate, language, licenses, mixing, quality, simhash, tokens, topk, toxicity, urlfilter
 from ledgerflow.llm.common import fold, read
