@@ -45,6 +45,8 @@ from ledgerflow.llm.common import map_texts, mix, text_bytes, written
 from ledgerflow.llm.components import connected_components
 
 MAX_TREE = 8192
+#: Copies of one fingerprint above which its rows are not dealt by fingerprint.
+MANY = 1000
 #: Pairs that one step of a search looks at.
 STEP_PAIRS = 1 << 20
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -286,13 +288,18 @@ def near_duplicates(
     marked = written(fingerprints(carried, "__read", words, confirm_bits, distinct, [*kept, "__id"]))
     number = F.xxhash64("fp", "more") if confirm_bits else F.col("fp")
     marked = marked.withColumn("__class", number)
-    classes = written(marked.groupBy("__class", "fp", "more").agg(F.min("__id").alias("low")))
+    classes = written(marked.groupBy("__class", "fp", "more").agg(F.min("__id").alias("low"), F.count(F.lit(1)).alias("rows")))
     edges = link_classes(classes.withColumnRenamed("__class", "id"), radius, blocks, agree, wide, probes, max_tree)
     found = connected_components(edges)
     lowest = found.join(classes, F.col("node") == F.col("__class")).groupBy("root").agg(F.min("low").alias("root_low"))
     joined = found.join(lowest, "root").select(F.col("node").alias("__class"), "root", "root_low")
-    named = classes.join(joined, "__class", "left").select("__class", F.coalesce("root", "__class").alias("group"), F.when(F.col("root").isNotNull(), F.col("root_low")).otherwise(F.col("low")).alias("component_id"))
-    return marked.join(named, "__class").select(*cols, "fp", "group", "component_id")
+    named = classes.join(joined, "__class", "left").select("__class", "rows", F.coalesce("root", "__class").alias("group"), F.when(F.col("root").isNotNull(), F.col("root_low")).otherwise(F.col("low")).alias("component_id"))
+    # classes of many copies are few: written first, Spark finds them small and joins them without dealing their rows by class
+    named = written(named)
+    many, few = written(named.filter(F.col("rows") > MANY)), named.filter(F.col("rows") <= MANY)
+    common = marked.join(many.drop("rows"), "__class")
+    rest = marked.join(many.select("__class"), "__class", "left_anti").join(few.drop("rows"), "__class")
+    return common.unionByName(rest).select(*cols, "fp", "group", "component_id")
 
 
 def contract(linked: DataFrame) -> DataFrame:

@@ -230,8 +230,9 @@ def brute_fp(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-@pytest.mark.parametrize("max_tree", [8192, 3])
-def test_simhash(spark, max_tree):
+@pytest.mark.parametrize("max_tree,many", [(8192, 1000), (3, 1)])
+def test_simhash(spark, monkeypatch, max_tree, many):
+    monkeypatch.setattr(simhash, "MANY", many)
     rng = np.random.default_rng(4)
     base = [[f"w{int(x)}" for x in rng.integers(0, 5000, size=120)] for _ in range(20)]
     texts = list(ODD)
