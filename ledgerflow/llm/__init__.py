@@ -1,8 +1 @@
 """Operators for training-data pipelines over large text corpora."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Tasks get the package's functions by value, so that executors need no copy of it.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,7 @@ import tempfile
 import types
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ _TEXT = "__text"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    # Python workers find the package where the driver has it
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
