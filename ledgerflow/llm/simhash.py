@@ -25,6 +25,11 @@ own shards: a link found by any of them counts.
 64 + confirm_bits bits at most ``wide`` may differ. With ``distinct`` each run votes once, which
 brings the share of differing bits close to the angle between sets of runs.
 
+With ``exact`` the bits only propose: every pair found is confirmed by the Jaccard similarity of the
+two texts' sets of runs, which must be at least ``exact``. Each class first asks its smallest
+neighbour; of the other pairs only those that are still apart are compared, so that a group of many
+near copies does not carry its sets once for each pair.
+
 A null text counts as one without words. Null ids never name a component that has another
 id. Repeated rows are in one component. Empty input gives no rows.
 """
@@ -184,32 +189,41 @@ class Union:
                 self.label = up
 
 
-def _links(probe: np.ndarray, full: np.ndarray, shard: np.ndarray, member: np.ndarray, radius: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join the same fingerprints as all links between asking rows and tree members."""
+def _search(probe: np.ndarray, shard: np.ndarray, member: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(asking row, tree member) of all probes within the radius."""
     own = np.flatnonzero(member)
     if not len(own):
-        return own, own
+        return
     tree_shards, tree = np.unique(shard[own], return_inverse=True)
     forest = Forest(probe[own], tree)
     place = np.minimum(np.searchsorted(tree_shards, shard), len(tree_shards) - 1)
     asks = np.flatnonzero(tree_shards[place] == shard)
-    union = Union(len(probe))
     for q, node in forest.near(probe[asks], place[asks], radius):
-        a, b = asks[q], own[node]
+        yield asks[q], own[node]
+
+
+def _near(full: np.ndarray, a: np.ndarray, b: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    if wide >= 0 and len(a):
+        near = np.bitwise_count(full[a] ^ full[b]).sum(axis=1, dtype=np.int64) <= wide
+        a, b = a[near], b[near]
+    return a, b
+
+
+def _links(probe: np.ndarray, full: np.ndarray, shard: np.ndarray, member: np.ndarray, radius: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join the same fingerprints as all links between asking rows and tree members."""
+    union = Union(len(probe))
+    for a, b in _search(probe, shard, member, radius):
         apart = union.label[a] != union.label[b]
-        a, b = a[apart], b[apart]
-        if wide >= 0 and len(a):
-            near = np.bitwise_count(full[a] ^ full[b]).sum(axis=1, dtype=np.int64) <= wide
-            a, b = a[near], b[near]
-        union.merge(a, b)
+        union.merge(*_near(full, a[apart], b[apart], wide))
     moved = np.flatnonzero(union.label != np.arange(len(probe)))
     return moved, union.label[moved]
 
 
-def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide: int = -1, probes: int = 1, max_tree: int = MAX_TREE) -> DataFrame:
+def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide: int = -1, probes: int = 1, max_tree: int = MAX_TREE, pairs: bool = False) -> DataFrame:
     """Edges (src, dst) between class numbers ``id`` of rows (id, fp, more).
 
-    Each of the first ``probes`` words of a fingerprint is searched in shards of its own.
+    Each of the first ``probes`` words of a fingerprint is searched in shards of its own. With
+    ``pairs`` every pair that is found is an edge, with the smaller number as src; a pair may come repeatedly.
     """
     full = F.concat(F.array("fp"), "more")
     keys = F.concat(*[shard_keys(F.get(full, F.lit(p)), blocks, agree, p) for p in range(probes)])
@@ -233,20 +247,20 @@ def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide:
             key, tree = table["key"].to_numpy(), table["tree"].to_numpy()
             last = np.flatnonzero((key == key[-1]) & (tree == tree[-1]))[0]
             done, rest = table.slice(0, last), table.slice(last)
-            yield from _solve(done, radius, wide, schema)
+            yield from _solve(done, radius, wide, schema, pairs)
             if rest.num_rows > 8 * max_tree:
                 # a tree that many ask: answer those here, keep the tree's members, which come first
                 members = int(np.count_nonzero(rest["member"].to_numpy()))
                 if members < rest.num_rows:
-                    yield from _solve(rest, radius, wide, schema)
+                    yield from _solve(rest, radius, wide, schema, pairs)
                     rest = rest.slice(0, members)
         if rest is not None:
-            yield from _solve(rest, radius, wide, schema)
+            yield from _solve(rest, radius, wide, schema, pairs)
 
     return ordered.mapInArrow(run, "src long, dst long")
 
 
-def _solve(table: pa.Table, radius: int, wide: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _solve(table: pa.Table, radius: int, wide: int, schema: pa.Schema, pairs: bool) -> Iterator[pa.RecordBatch]:
     """Edges of the complete shards of a sorted table; fingerprints alone in their shard go at once."""
     if not table.num_rows:
         return
@@ -260,12 +274,58 @@ def _solve(table: pa.Table, radius: int, wide: int, schema: pa.Schema) -> Iterat
     table = table.combine_chunks()
     probe = table["probe"].to_numpy().view(np.uint64)
     full = table["full"].chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(probe), -1) if wide >= 0 else probe[:, None]
-    a, b = _links(probe, full, shard, table["member"].to_numpy().astype(bool), radius, wide)
+    member, ids = table["member"].to_numpy().astype(bool), table["id"].to_numpy()
+    if pairs:
+        for a, b in _search(probe, shard, member, radius):
+            # members of one tree find each other twice
+            once = (ids[a] != ids[b]) & ((a < b) | ~member[a])
+            a, b = _near(full, a[once], b[once], wide)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], schema=schema)
+        return
+    a, b = _links(probe, full, shard, member, radius, wide)
     if len(a):
-        ids = table["id"].to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], schema=schema)
 
 
+def run_sets(docs: DataFrame, text_col: str, words: int, keep: list[str]) -> DataFrame:
+    """``keep`` with runs, the distinct hashes of the text's runs of words."""
+
+    def make():
+        def work(texts: pa.Array) -> list[pa.Array]:
+            raw, offsets = text_bytes(texts)
+            raw = raw.tobytes()
+            sets = [np.unique(run_hashes(raw[a:b], words)).view(np.int64) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            return [pa.array(sets, pa.list_(pa.int64()))]
+
+        return work
+
+    return map_texts(docs, text_col, [("runs", T.ArrayType(T.LongType()))], make, keep)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (src, dst) of classes whose sets have a Jaccard similarity of at least ``least``."""
+    a = sets.select(F.col("__class").alias("src"), F.col("runs").alias("a"))
+    b = sets.select(F.col("__class").alias("dst"), F.col("runs").alias("b"))
+    # sets whose sizes alone rule the similarity out are not intersected
+    sized = pairs.join(a, "src").join(b, "dst").filter(F.least(F.size("a"), F.size("b")) >= F.greatest(F.size("a"), F.size("b")) * F.lit(least - 1e-9))
+    both = sized.select("src", "dst", F.size(F.array_intersect("a", "b")).alias("common"), (F.size("a") + F.size("b")).alias("total"))
+    return both.filter(F.try_divide(F.col("common"), F.col("total") - F.col("common")) >= least).select("src", "dst")
+
+
+def confirmed_links(found: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """Edges of the same components as all pairs ``found`` (src, dst) that are confirmed; ``texts`` has __class and __read."""
+    pairs = written(found.distinct())
+    asked = written(pairs.select(F.col("src").alias("__class")).unionByName(pairs.select(F.col("dst").alias("__class"))).distinct())
+    one = texts.join(asked, "__class").groupBy("__class").agg(F.min_by("__read", F.xxhash64("__read")).alias("__read"))
+    sets = written(run_sets(one, "__read", words, ["__class"]))
+    first = written(confirmed(pairs.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst"), sets, least))
+    root = connected_components(first)
+    ends = pairs.join(root.select(F.col("node").alias("src"), F.col("root").alias("a")), "src", "left").join(root.select(F.col("node").alias("dst"), F.col("root").alias("b")), "dst", "left")
+    apart = ends.filter(F.coalesce("a", "src") != F.coalesce("b", "dst")).select("src", "dst")
+    return first.unionByName(written(confirmed(apart, sets, least)))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -280,8 +340,13 @@ def near_duplicates(
     probes: int = 1,
     max_tree: int = MAX_TREE,
     keep: list[str] | None = None,
+    exact: float = 0.0,
+    again: str | None = None,
 ) -> DataFrame:
-    """``docs`` with fp, group (a number of the component) and component_id (its smallest id)."""
+    """``docs`` with fp, group (a number of the component) and component_id (its smallest id).
+
+    ``exact`` needs ``again``: where the kept columns hold the text.
+    """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("fp", "more", "group", "component_id")]
     cols = [F.col(f"`{c}`") for c in kept]
     carried = docs.select(*cols, F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__read"))
@@ -289,7 +354,9 @@ def near_duplicates(
     number = F.xxhash64("fp", "more") if confirm_bits else F.col("fp")
     marked = marked.withColumn("__class", number)
     classes = written(marked.groupBy("__class", "fp", "more").agg(F.min("__id").alias("low"), F.count(F.lit(1)).alias("rows")))
-    edges = link_classes(classes.withColumnRenamed("__class", "id"), radius, blocks, agree, wide, probes, max_tree)
+    edges = link_classes(classes.withColumnRenamed("__class", "id"), radius, blocks, agree, wide, probes, max_tree, pairs=exact > 0)
+    if exact > 0:
+        edges = confirmed_links(edges, marked.select("__class", F.coalesce(F.col(again).cast("string"), F.lit("")).alias("__read")), words, exact)
     found = connected_components(edges)
     lowest = found.join(classes, F.col("node") == F.col("__class")).groupBy("root").agg(F.min("low").alias("root_low"))
     joined = found.join(lowest, "root").select(F.col("node").alias("__class"), "root", "root_low")
