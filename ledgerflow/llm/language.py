@@ -7,10 +7,13 @@ document frequency and normalised. The rows of each learned language (a bounded
 by spherical k-means, one Spark group for each language. A text takes the language of the
 centroid with the largest cosine.
 
-Rejection is by distance: a text whose best cosine is 0 or does not exceed ``margin`` times the lowest one
-that sample rows of about the same length (power of two of n-grams) have is rejected; lengths
-that the sample lacks take the nearest shorter one's limit. Null texts and texts without a
-letter are rejected too, get `und` and score 0. Rejection does not alter lang_pred otherwise.
+Rejection is by distance, against the sample rows of the language that was found: a text of at
+least ``SHORT`` n-grams is rejected if its best cosine does not exceed ``margin`` times the
+``LOW`` quantile of the cosines of rows of about the same length. These are the rows of its own
+length class (power of two of n-grams) and the two beside it, and of further classes until they
+are ``LEAST`` rows or all there are. Shorter texts are too short to judge: they are rejected only
+if they hold n-grams and none was learned. Null texts and texts without a letter are rejected too,
+get `und` and score 0. Rejection does not alter lang_pred otherwise.
 
 Rows with a null lang are not learned from. Ties go to the language first in code point order.
 Repeated rows are predicted one by one. With nothing learned every text is `und`.
@@ -31,7 +34,11 @@ from ledgerflow.llm.common import fold, map_texts, text_bytes
 
 #: Sampled rows for each language, about.
 PER_LANG = 800
-DIM, CLUSTERS, ROUNDS, MARGIN = 4096, 4, 8, 0.25
+DIM, CLUSTERS, ROUNDS, MARGIN = 4096, 4, 8, 0.6
+#: Quantile of the cosines that sets a limit, least rows it is taken over, and n-grams below which distance does not reject.
+LOW, LEAST, SHORT = 0.01, 50, 15
+#: Length classes.
+SIZES = 65
 
 _LETTERS = np.array([b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256)], np.uint8)
 
@@ -65,6 +72,16 @@ def size_class(tf: np.ndarray) -> np.ndarray:
     return np.log2(tf.sum(axis=1) + 1).astype(np.int64)
 
 
+def limits(best: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The low quantile of the cosines around each length class."""
+    out = np.zeros(SIZES)
+    for c in range(SIZES if len(best) else 0):
+        away = np.abs(sizes - c)
+        reach = max(1, int(np.sort(away)[min(LEAST, len(away)) - 1]))
+        out[c] = np.quantile(best[away <= reach], LOW)
+    return out
+
+
 def cluster(v: np.ndarray, k: int) -> np.ndarray:
     """Spherical k-means; starts from rows far apart, so that reruns agree."""
     total = v.sum(axis=0)
@@ -84,12 +101,12 @@ def cluster(v: np.ndarray, k: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", parts: int = 4, held: int = 2, per_lang: int = PER_LANG, clusters: int = CLUSTERS, margin: float = MARGIN):
-    """(languages, centroids, language of each centroid, idf, lowest cosine by size class)."""
+    """(languages, centroids, language of each centroid, idf, limit by language and size class)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     rows = rows.filter((fold("id", parts) != held) & F.col("lang").isNotNull())
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
-        return [], np.zeros((0, DIM), np.float32), np.zeros(0, np.int64), np.ones(DIM, np.float32), {}
+        return [], np.zeros((0, DIM), np.float32), np.zeros(0, np.int64), np.ones(DIM, np.float32), np.zeros((0, SIZES))
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, per_lang / n)))])
     draw = F.shiftrightunsigned(F.xxhash64("id", F.lit(1)), 11) / F.lit(float(1 << 53))
     sample = rows.filter(draw < F.element_at(share, F.col("lang"))).select("lang", "text")
@@ -123,21 +140,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         best = (v @ centre.T).max(axis=1)
         sizes_ = size_class(tf)
         real = tf.sum(axis=1) > 0
-        lows = [(int(c), float(best[real & (sizes_ == c)].min())) for c in np.unique(sizes_[real])]
-        rows_ = [{"lang": group["lang"].iloc[0], "centre": c.tobytes(), "size": -1, "low": 0.0} for c in centre]
-        return pd.DataFrame([*rows_, *({"lang": group["lang"].iloc[0], "centre": b"", "size": c, "low": x} for c, x in lows)])
+        low = limits(best[real], sizes_[real])
+        return pd.DataFrame([{"lang": group["lang"].iloc[0], "centre": c.tobytes(), "low": low.tobytes()} for c in centre])
 
-    got = counted.groupBy("lang").applyInPandas(centroids, "lang string, centre binary, size long, low double").collect()
+    got = counted.groupBy("lang").applyInPandas(centroids, "lang string, centre binary, low binary").collect()
     counted.unpersist()
-    centres = sorted((r["lang"], bytes(r["centre"])) for r in got if r["size"] < 0)
+    centres = sorted((r["lang"], bytes(r["centre"])) for r in got)
     languages = sorted({lang for lang, _ in centres}, key=lambda x: x.encode())
     centres.sort(key=lambda c: (languages.index(c[0]), c[1]))
-    floor: dict[int, float] = {}
-    for r in got:
-        if r["size"] >= 0:
-            floor[r["size"]] = min(floor.get(r["size"], 1.0), r["low"] * margin)
+    low = {r["lang"]: np.frombuffer(bytes(r["low"])) * margin for r in got}
     matrix = np.array([np.frombuffer(c, np.float32) for _, c in centres])
-    return languages, matrix, np.array([languages.index(lang) for lang, _ in centres]), idf, floor
+    return languages, matrix, np.array([languages.index(lang) for lang, _ in centres]), idf, np.array([low[lang] for lang in languages])
 
 
 def identify(docs: DataFrame, model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -145,11 +158,7 @@ def identify(docs: DataFrame, model, text_col: str = "text", keep: list[str] | N
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        languages, centres, owner, idf, floor = sent.value
-        limit = np.zeros(65)
-        for c in range(65):
-            shorter = [s for s in floor if s <= c]
-            limit[c] = floor[max(shorter)] if shorter else 0.0
+        languages, centres, owner, idf, limit = sent.value
 
         def work(texts: pa.Array) -> list[pa.Array]:
             letters = np.array([has_letter(t) for t in texts.to_pylist()], bool)
@@ -160,7 +169,11 @@ def identify(docs: DataFrame, model, text_col: str = "text", keep: list[str] | N
             best = np.argmax(cos, axis=1)
             score = np.where(letters, cos[np.arange(len(tf)), best], 0.0).astype(np.float64)
             named = [languages[owner[b]] if ok else "und" for b, ok in zip(best, letters, strict=True)]
-            return [pa.array(named, pa.string()), pa.array(score), pa.array(~letters | (score <= limit[np.minimum(size_class(tf), 64)]))]
+            grams = tf.sum(axis=1)
+            far = (score <= 0) & (grams > 0)
+            if languages:
+                far |= (grams >= SHORT) & (score <= limit[owner[best], np.minimum(size_class(tf), SIZES - 1)])
+            return [pa.array(named, pa.string()), pa.array(score), pa.array(~letters | far)]
 
         return work
 

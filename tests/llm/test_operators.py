@@ -304,6 +304,22 @@ def test_classifiers(spark, module, label, parts, held):
     assert module.score(empty(spark), module.train(d, labels)).count() == 0
 
 
+def test_language_rejects_unlearned_texts_but_no_clean_short_ones(spark):
+    rng = np.random.default_rng(23)
+    parts = {"xx": ["ka", "lo", "mi", "tu"], "yy": ["sch", "ung", "ber", "ei"]}
+    word = lambda lang: "".join(rng.choice(parts[lang], size=3))
+    rows = [(i, " ".join(word("xx" if i % 2 else "yy") for _ in range(10 + i % 80)), "xx" if i % 2 else "yy") for i in range(600)]
+    # one odd row of each length class and language must not set the limit
+    rows += [(5000 + 2 * k + e, " ".join(["qzwv"] * (10 * 2**k) + [word(lang)]), lang) for k in range(4) for e, lang in enumerate(parts)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), held=-1)
+    blob = lambda n: "".join(rng.choice(list("bcdfghjknpqrstvwxz"), size=n))
+    alien = [(i, " ".join([blob(7) for _ in range(12 + i % 60)] + [word("xx")])) for i in range(40)]
+    short = [(100 + i, word("xx" if i % 2 else "yy")) for i in range(40)] + [(200, "A."), (201, "Ka.")]
+    got = {r.doc_id: r.rejected for r in language.identify(spark.createDataFrame(alien + short, "doc_id long, text string"), model).collect()}
+    assert all(got[i] for i, _ in alien)
+    assert not any(got[i] for i, _ in short)
+
+
 def test_language(spark):
     rng = np.random.default_rng(9)
     syllables = {"xx": ["ka", "lo", "mi"], "yy": ["sch", "ung", "ber"], "zz": ["ção", "ém", "ló"]}
