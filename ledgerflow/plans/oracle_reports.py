@@ -43,6 +43,7 @@ ORACLE_SQL = {
     "d7_actual_and_forecast": f"""WITH org AS (SELECT CAST(ts AS DATE) AS usage_date, {usd("value")} AS cost FROM events GROUP BY 1), m AS (SELECT avg(cost) AS v, max(usage_date) AS last FROM (SELECT * FROM org ORDER BY usage_date DESC LIMIT 7))
       SELECT usage_date, cost AS amount, 'Real' AS series FROM org UNION ALL SELECT CAST(last + CAST(h AS INT) AS DATE), {rnd("v", 4)}, 'Pronostico' FROM (SELECT v, last, unnest(range(1, 46)) AS h FROM m)""",
     "d8_recent_anomalies": f"WITH {anomalies(True, 'mad', None)} SELECT usage_date, dimension, dim_value, score, severity FROM anomalies WHERE {since(14, '2024-01-30')} ORDER BY usage_date DESC, abs(score) DESC, dimension, dim_value LIMIT 50",
+    "d8_severe_anomalies": f"WITH {anomalies(True, 'mad', None)} SELECT usage_date, dimension, dim_value, score, severity FROM anomalies WHERE {since(14, '2024-01-30')} AND severity IN ('high', 'critical') ORDER BY usage_date DESC, abs(score) DESC, dimension, dim_value LIMIT 50",
     "d9_cost_by_entity": f"WITH {FACT} SELECT entity_key, entity_type, team, cost_center, environment, {COST} AS cost FROM fact WHERE {since(30)} GROUP BY ALL ORDER BY cost DESC, entity_key, team, cost_center, environment LIMIT 25",
     "d10_latest_chargeback": f"WITH {_LINES} SELECT year_month, unit, direct_usd, total_usd, pct_of_total FROM lines WHERE year_month = (SELECT max(year_month) FROM lines)",
     "d11_chargeback_year": f"WITH {_LINES} SELECT year_month, unit, total_usd FROM lines WHERE year_month >= '2000-09'",

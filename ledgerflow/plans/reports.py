@@ -54,9 +54,20 @@ def d7_actual_and_forecast(s: SparkSession, d: str) -> DataFrame:
     return actual.unionByName(ahead)
 
 
+def newest_anomalies(found: DataFrame) -> DataFrame:
+    return found.orderBy(F.desc("usage_date"), F.desc(F.abs("score")), "dimension", "dim_value").limit(50).select("usage_date", "dimension", "dim_value", "score", "severity")
+
+
+def severe(found: DataFrame) -> DataFrame:
+    return found.filter(F.col("severity").isin("high", "critical"))
+
+
 def d8_recent_anomalies(s: SparkSession, d: str) -> DataFrame:
-    a = A.t5_anomalies(s, d).filter(since(14, "2024-01-30"))
-    return a.orderBy(F.desc("usage_date"), F.desc(F.abs("score")), "dimension", "dim_value").limit(50).select("usage_date", "dimension", "dim_value", "score", "severity")
+    return newest_anomalies(A.t5_anomalies(s, d).filter(since(14, "2024-01-30")))
+
+
+def d8_severe_anomalies(s: SparkSession, d: str) -> DataFrame:
+    return newest_anomalies(severe(A.t5_anomalies(s, d).filter(since(14, "2024-01-30"))))
 
 
 def d9_cost_by_entity(s: SparkSession, d: str) -> DataFrame:

@@ -198,3 +198,26 @@ def test_latest_and_small(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", None)], "k string, t int")
     assert {(r.k, r.t) for r in facts.latest(df, ["k"], "t").collect()} == {("a", 2), ("b", None)}
     assert facts.small(df, 1) is df
+
+
+def test_severe_anomalies_are_not_crowded_out(spark):
+    from ledgerflow.plans import reports
+
+    rows = [(date(2024, 1, 30), "team", f"t{i}", 3.0, "low") for i in range(60)] + [(date(2024, 1, 20), "team", "late", 9.0, "critical")]
+    found = spark.createDataFrame(rows, "usage_date date, dimension string, dim_value string, score double, severity string")
+    assert [r.dim_value for r in reports.newest_anomalies(reports.severe(found)).collect()] == ["late"]
+
+
+def test_severe_anomalies_match_sql(spark):
+    import duckdb
+
+    from ledgerflow.plans import registry
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf}/events.parquet')")
+    cols = ["usage_date", "dimension", "dim_value", "score", "severity"]
+    want = con.sql(registry.ORACLE_SQL["d8_severe_anomalies"]).fetchall()
+    got = [tuple(r) for r in registry.QUERIES["d8_severe_anomalies"](spark, sf).select(*cols).collect()]
+    assert [(*r[:3], r[4]) for r in got] == [(*r[:3], r[4]) for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
