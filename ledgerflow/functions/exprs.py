@@ -26,13 +26,10 @@ def blank_to_null(c: Column) -> Column:
 def normalise_map(tags: Column) -> Column:
     """Map with normalised keys; of several spellings the first that is not blank wins; null map: empty."""
     none = F.create_map().cast("map<string,string>")
-
-    def add(acc: Column, entry: Column) -> Column:
-        key, value = normalise_key(entry["key"]), blank_to_null(entry["value"])
-        known = F.array_contains(F.map_keys(acc), key)
-        return F.when(known | value.isNull(), acc).otherwise(F.map_concat(acc, F.create_map(key, value)))
-
-    return F.aggregate(F.map_entries(F.coalesce(tags, none)), none, add)
+    entries = F.transform(F.map_entries(F.coalesce(tags, none)), lambda e: F.struct(normalise_key(e["key"]).alias("key"), blank_to_null(e["value"]).alias("value")))
+    full = F.filter(entries, lambda e: e["value"].isNotNull())
+    keys = F.array_distinct(F.transform(full, lambda e: e["key"]))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.get(F.filter(full, lambda e: e["key"] == k), F.lit(0))["value"]))
 
 
 def struct_field(df: DataFrame, path: str) -> Column:
@@ -93,9 +90,14 @@ def ratio(num: Column, den: Column, digits: int = 4, otherwise: float | None = N
     return F.when(den > 0, rounded(num / den, digits)).otherwise(F.lit(otherwise))
 
 
+def fixed(c: Column, digits: int = 6) -> Column:
+    """Nearest multiple of 10**-digits, without a detour over decimals."""
+    return F.rint(c * F.lit(float(10**digits))) / F.lit(float(10**digits))
+
+
 def money(c: Column) -> Column:
-    """Exact sum of amounts with six decimals, as double."""
-    return F.sum(F.coalesce(c, F.lit(0.0)).cast("decimal(20,6)")).cast("double")
+    """Exact sum of amounts with six decimals, as double: a sum of whole millionths, up to 9.2e12 in all."""
+    return F.sum(F.rint(F.coalesce(c, F.lit(0.0)) * 1e6).cast("long")).cast("double") / 1e6
 
 
 def money_if(cond: Column, c: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.exprs import lookup, matches_any
+from ledgerflow.functions.exprs import fixed, lookup, matches_any
 
 # SKU patterns in order of precedence, matched without regard to case.
 SKU_PATTERNS = (
@@ -92,7 +92,7 @@ def infra_factor(family: Column, enabled: bool, factors: Mapping[str, float]) ->
 
 def priced_columns(rules: Sequence[Mapping], infra: bool, factors: Mapping[str, float] = INFRA_FACTORS) -> list[dict[str, Column]]:
     """Column groups to add one after another to usage with ``unit_price`` and ``usage_quantity``."""
-    list_cost = F.round(F.coalesce(F.col("usage_quantity"), F.lit(0.0)) * F.coalesce(F.col("unit_price"), F.lit(0.0)), 6)
+    list_cost = fixed(F.coalesce(F.col("usage_quantity"), F.lit(0.0)) * F.coalesce(F.col("unit_price"), F.lit(0.0)))
     return [
         {
             "sku_group": sku_group(F.col("sku_name"), F.col("billing_origin_product")),
@@ -103,8 +103,8 @@ def priced_columns(rules: Sequence[Mapping], infra: bool, factors: Mapping[str,
             "list_cost_usd": list_cost,
         },
         {"compute_family": compute_family(F.col("sku_group")), "discount_pct": F.col("__discount.pct"), "discount_rule": F.col("__discount.name")},
-        {"discount_usd": F.round(F.col("list_cost_usd") * F.col("discount_pct"), 6)},
-        {"effective_cost_usd": F.round(F.col("list_cost_usd") - F.col("discount_usd"), 6)},
-        {"infra_cost_usd": F.round(F.col("effective_cost_usd") * infra_factor(F.col("compute_family"), infra, factors), 6)},
-        {"total_cost_usd": F.round(F.col("effective_cost_usd") + F.col("infra_cost_usd"), 6)},
+        {"discount_usd": fixed(F.col("list_cost_usd") * F.col("discount_pct"))},
+        {"effective_cost_usd": fixed(F.col("list_cost_usd") - F.col("discount_usd"))},
+        {"infra_cost_usd": fixed(F.col("effective_cost_usd") * infra_factor(F.col("compute_family"), infra, factors))},
+        {"total_cost_usd": fixed(F.col("effective_cost_usd") + F.col("infra_cost_usd"))},
     ]

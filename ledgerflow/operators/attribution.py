@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.exprs import blank_to_null, lookup, normalise_key, normalise_map, struct_field
+from ledgerflow.functions.exprs import blank_to_null, lookup, normalise_key, struct_field
 
 # Id field and entity type in order of precedence.
 ENTITIES = (
@@ -72,27 +72,52 @@ def canonical(value: Column, values: Mapping[str, str]) -> Column:
     return F.coalesce(lookup({"".join(c for c in k.lower() if c.isalnum()): v for k, v in values.items()}, normalise_key(value)), value) if values else value
 
 
+#: Places of one dimension's aliases in the codes of ``tag_hits``.
+_SPAN = 1000
+
+
+def tag_hits(tags: Column, aliases: Mapping = ALIASES) -> Column:
+    """Structs (code, place, value) of a map's entries whose key is an alias and whose value is not blank.
+
+    The code is the dimension's number times a span plus the alias's rank, so that the smallest
+    struct of a dimension is its best alias and, of several spellings of one, the first.
+    """
+    codes = {key: d * _SPAN + rank for d, keys in enumerate(alias_index(aliases).values()) for rank, key in enumerate(keys)}
+    entry = lambda e, i: F.struct(lookup(codes, normalise_key(e["key"])).alias("code"), i.alias("place"), blank_to_null(e["value"]).alias("value"))
+    return F.filter(F.transform(F.map_entries(tags), entry), lambda h: h["code"].isNotNull() & h["value"].isNotNull())
+
+
+def best_hit(hits: Column, number: int) -> Column:
+    return F.array_min(F.filter(hits, lambda h: h["code"].between(number * _SPAN, (number + 1) * _SPAN - 1)))["value"]
+
+
+def resolved(df: DataFrame, tags: str, name: str, aliases: Mapping = ALIASES) -> DataFrame:
+    """``df`` with the map column ``tags`` replaced by ``name``, a struct of the value of each dimension."""
+    hits = df.withColumn("__hits", tag_hits(F.col(tags), aliases))
+    return hits.withColumn(name, F.struct(*[best_hit(F.col("__hits"), i).alias(d) for i, d in enumerate(aliases)])).drop("__hits", *([tags] if tags != name else []))
+
+
 def with_dimensions(df: DataFrame, defaults: Mapping[str, Mapping[str, str]] | None = None, aliases: Mapping = ALIASES, value_map: Mapping = VALUE_MAP) -> DataFrame:
     """Resolve every dimension: usage tags, then cluster tags, job tags, workspace default, else unallocated.
 
-    Needs custom_tags and workspace_id; cluster_tags and job_tags are used if present.
+    Needs custom_tags and workspace_id. cluster_dims and job_dims are used if present: the tags of
+    clusters and jobs, resolved on their own small tables before they met the usage.
     """
-    sources = [(c, name) for c, name in (("custom_tags", "usage"), ("cluster_tags", "cluster"), ("job_tags", "job")) if c in df.columns]
-    ready = df.withColumns({f"__{name}": normalise_map(F.col(c)) for c, name in sources})
+    ready = df.withColumn("__hits", tag_hits(F.col("custom_tags"), aliases))
+    ready = ready.withColumns({f"__{d}": best_hit(F.col("__hits"), i) for i, d in enumerate(aliases)})
+    others = [(c, name) for c, name in (("cluster_dims", "cluster"), ("job_dims", "job")) if c in df.columns]
     columns: dict[str, Column] = {}
-    for dimension, keys in alias_index(aliases).items():
-        hits = []
-        for _, name in sources:
-            value = F.coalesce(*[F.element_at(F.col(f"__{name}"), k) for k in keys])
-            hits.append(F.when(value.isNotNull(), F.struct(value.alias("value"), F.lit(name).alias("source"))))
+    for dimension in aliases:
+        values = [(F.col(f"__{dimension}"), "usage"), *[(F.col(f"{c}.{dimension}"), name) for c, name in others]]
         fixed = {ws: d[dimension] for ws, d in (defaults or {}).items() if d.get(dimension)}
         if fixed:
-            value = lookup(fixed, F.col("workspace_id"))
-            hits.append(F.when(value.isNotNull(), F.struct(value.alias("value"), F.lit("workspace").alias("source"))))
-        hit = F.coalesce(*hits)
-        columns[dimension] = F.coalesce(canonical(hit["value"], value_map.get(dimension, {})), F.lit(UNALLOCATED))
-        columns[f"{dimension}_source"] = F.coalesce(hit["source"], F.lit("none"))
-    out = ready.withColumns(columns).drop(*[f"__{name}" for _, name in sources])
-    resolved = sum((F.col(f"{d}_source") != "none").cast("int") for d in aliases)
-    out = out.withColumns({"tags_resolved": resolved, "tags_expected": F.lit(len(aliases))})
+            values.append((lookup(fixed, F.col("workspace_id")), "workspace"))
+        source = F.lit("none")
+        for value, name in reversed(values):
+            source = F.when(value.isNotNull(), F.lit(name)).otherwise(source)
+        columns[dimension] = F.coalesce(canonical(F.coalesce(*[v for v, _ in values]), value_map.get(dimension, {})), F.lit(UNALLOCATED))
+        columns[f"{dimension}_source"] = source
+    out = ready.withColumns(columns).drop("__hits", *[f"__{d}" for d in aliases], *[c for c, _ in others])
+    count = sum((F.col(f"{d}_source") != "none").cast("int") for d in aliases)
+    out = out.withColumns({"tags_resolved": count, "tags_expected": F.lit(len(aliases))})
     return out.withColumns({"is_fully_tagged": F.col("tags_resolved") == F.col("tags_expected"), "is_untagged": F.col("tags_resolved") == 0})

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.functions.exprs import money, money_if, ratio, rounded
 from ledgerflow.functions.pricing import priced_columns
-from ledgerflow.operators.attribution import ALIASES, UNALLOCATED, with_dimensions, with_entity
+from ledgerflow.operators.attribution import ALIASES, UNALLOCATED, resolved, with_dimensions, with_entity
 
 DIMS = tuple(ALIASES)
 MEASURES = ("list_cost_usd", "discount_usd", "effective_cost_usd", "infra_cost_usd", "total_cost_usd")
@@ -20,45 +23,65 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def latest(df: DataFrame, keys: list[str], order: str, tie: str | None = None) -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], order: str, tie: str | None = None) -> DataFrame:
     """The newest row of each key."""
     w = Window.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last(), *([F.col(tie).desc()] if tie else []))
     return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
 
 
-def unit_price(pricing: str = "pricing") -> Column:
-    return F.coalesce(F.col(f"{pricing}.effective_list.default"), F.col(f"{pricing}.default"))
+def unit_price(prices: DataFrame, column: str = "pricing") -> Column:
+    """Effective, default or promotional list price, of those that the schema has; a plain number counts as it is."""
+    if column not in prices.columns:
+        return F.lit(None).cast("double")
+    kind = prices.schema[column].dataType
+    if not isinstance(kind, T.StructType):
+        return F.col(column).cast("double")
+    found = []
+    for path in ("effective_list.default", "default", "promotional.default"):
+        at: T.DataType | None = kind
+        for part in path.split("."):
+            at = at[part].dataType if isinstance(at, T.StructType) and part in at.fieldNames() else None
+        if at is not None:
+            found.append(F.col(f"{column}.{path}").cast("double"))
+    return F.coalesce(*found, F.lit(None).cast("double"))
 
 
 def with_price(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """Left join to the price tranche valid at the end of use; of several the latest one.
+    """Left join to the price tranche valid at the end of use; of several the latest one. Clouds compare without case.
 
     Tranches of a SKU and unit are one array, latest first, so that a record meets one row and
     picks its tranche in place: no fan-out, and no shuffle of the usage to undo it.
     """
-    tranche = F.struct(F.col("price_start_time").alias("a"), F.col("price_end_time").alias("b"), F.coalesce("cloud", F.lit("")).alias("cloud"), unit_price().alias("price"))
+    cloud = lambda: F.upper(F.coalesce("cloud", F.lit("")))
+    tranche = F.struct(F.col("price_start_time").alias("a"), F.col("price_end_time").alias("b"), cloud().alias("cloud"), unit_price(prices).alias("price"))
     p = prices.groupBy(F.col("sku_name").alias("p_sku"), F.coalesce("usage_unit", F.lit("")).alias("p_unit")).agg(F.sort_array(F.collect_list(tranche), asc=False).alias("__tranches"))
     joined = usage.join(small(p), (F.col("sku_name") == F.col("p_sku")) & (F.coalesce("usage_unit", F.lit("")) == F.col("p_unit")), "left")
-    end, cloud = F.col("usage_end_time"), F.coalesce("cloud", F.lit(""))
-    valid = F.filter("__tranches", lambda t: ((t["cloud"] == "") | (t["cloud"] == cloud)) & (end >= t["a"]) & (t["b"].isNull() | (end < t["b"])))
+    end = F.col("usage_end_time")
+    valid = F.filter("__tranches", lambda t: ((t["cloud"] == "") | (t["cloud"] == cloud())) & (end >= t["a"]) & (t["b"].isNull() | (end < t["b"])))
     best = joined.withColumn("__t", F.get(valid, F.lit(0)))
     return best.withColumns({"price_start_time": F.col("__t.a"), "unit_price": F.col("__t.price")}).drop("p_sku", "p_unit", "__tranches", "__t")
 
 
-def priced_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Priced, attributed usage records."""
-    from ledgerflow.sources import tables as T
+def priced_usage(usage: DataFrame, prices: DataFrame, clusters: DataFrame, jobs: DataFrame, discounts: Sequence[Mapping] = (), defaults: Mapping[str, Mapping[str, str]] | None = None, infra: bool = True) -> DataFrame:
+    """Priced, attributed usage records.
 
-    u = T.usage(spark, sf_dir)
-    clusters = small(latest(T.cluster_history(spark, sf_dir), ["cluster_id"], "change_time", "event_id").select(F.col("cluster_id").alias("c_id"), "cluster_name", F.col("tags").alias("cluster_tags")))
-    jobs = T.jobs(spark, sf_dir).select(F.col("job_id").alias("j_id"), "job_name", F.col("tags").alias("job_tags"))
-    u = u.join(clusters, F.col("usage_metadata.cluster_id") == F.col("c_id"), "left").join(jobs, F.col("usage_metadata.job_id") == F.col("j_id"), "left").drop("c_id", "j_id")
-    u = with_entity(with_price(u, T.prices(spark)))
-    u = with_dimensions(u, T.WORKSPACE_DEFAULTS)
-    for group in priced_columns(T.DISCOUNTS, infra=True):
+    ``usage`` has record_id, account_id, workspace_id, cloud, sku_name, usage_unit, usage_date,
+    usage_end_time, usage_quantity, billing_origin_product, custom_tags, usage_metadata and run_as.
+    ``clusters`` (cluster_id, cluster_name, owned_by, tags) has one row for each cluster, ``jobs``
+    (workspace_id, job_id, job_name, run_as, tags) one for each job of a workspace. Their tags are
+    resolved before the join, once for each of their rows and not once for each record.
+    """
+    c = resolved(clusters.select(F.col("cluster_id").alias("c_id"), "cluster_name", F.col("owned_by").alias("c_owner"), "tags"), "tags", "cluster_dims")
+    j = resolved(jobs.select(F.col("workspace_id").alias("j_ws"), F.col("job_id").alias("j_id"), "job_name", F.col("run_as").alias("j_owner"), "tags"), "tags", "job_dims")
+    u = usage.join(small(c), F.col("usage_metadata.cluster_id") == F.col("c_id"), "left")
+    u = u.join(j, (F.col("workspace_id") == F.col("j_ws")) & (F.col("usage_metadata.job_id") == F.col("j_id")), "left")
+    u = with_entity(with_price(u, prices))
+    u = with_dimensions(u, defaults)
+    for group in priced_columns(discounts, infra):
         u = u.withColumns(group)
     name = F.when(F.col("entity_type") == "JOB", F.col("job_name")).when(F.col("entity_type") == "CLUSTER", F.col("cluster_name"))
-    return u.withColumn("entity_name", F.coalesce(name, "entity_id")).drop("__discount")
+    out = u.withColumns({"entity_name": F.coalesce(name, "entity_id"), "owner_resolved": F.coalesce("run_as", "j_owner", "c_owner")})
+    return out.drop("__discount", "c_id", "c_owner", "j_ws", "j_id", "j_owner")
 
 
 GRAIN = ("usage_date", "account_id", "workspace_id", "cloud", "sku_name", "sku_group", "compute_family", "entity_type", "entity_id", "entity_key", *DIMS)
@@ -68,7 +91,9 @@ def cost_daily(priced: DataFrame) -> DataFrame:
     return priced.groupBy(*GRAIN).agg(
         *[money(F.col(m)).alias(m) for m in MEASURES],
         F.sum("usage_quantity").alias("usage_quantity"),
+        F.max("usage_unit").alias("usage_unit"),
         F.max("entity_name").alias("entity_name"),
+        F.max("owner_resolved").alias("owner_resolved"),
         F.count(F.lit(1)).alias("record_count"),
         F.count_if("price_missing").alias("records_without_price"),
         F.max("is_untagged").alias("is_untagged"),
@@ -78,16 +103,12 @@ def cost_daily(priced: DataFrame) -> DataFrame:
     )
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cost_daily(priced_usage(spark, sf_dir))
-
-
 def cost_monthly(daily: DataFrame) -> DataFrame:
     keys = ("year_month", "account_id", "workspace_id", "sku_group", "compute_family", "entity_type", *DIMS)
     return daily.groupBy(*keys).agg(
         *[money(F.col(m)).alias(m) for m in MEASURES],
         F.count_distinct("entity_key").alias("distinct_entities"),
-        F.count_distinct("usage_date").alias("active_days"),
+        F.size(F.collect_set("usage_date")).cast("long").alias("active_days"),  # 31 at most
         F.trunc(F.min("usage_date"), "MM").alias("month_start"),
     )
 
@@ -129,10 +150,13 @@ def dim_workspace(daily: DataFrame, names: DataFrame) -> DataFrame:
     return seen.join(small(names), "workspace_id", "left").withColumn("workspace_name", F.coalesce("workspace_name", F.concat(F.lit("ws-"), F.col("workspace_id"))))
 
 
-def dim_entity(daily: DataFrame, as_of: str) -> DataFrame:
-    return daily.groupBy("entity_key", "workspace_id").agg(
+def dim_entity(daily: DataFrame, as_of: str, clusters: DataFrame | None = None, warehouses: DataFrame | None = None) -> DataFrame:
+    """One row for each entity and workspace; with ``clusters`` (one row each) and ``warehouses`` (one row for each of a
+    workspace) also their configuration, null for entities of other types."""
+    out = daily.groupBy("entity_key", "workspace_id").agg(
         F.max("entity_type").alias("entity_type"),
         F.max("entity_name").alias("entity_name"),
+        F.max("owner_resolved").alias("owner_resolved"),
         *[F.max(d).alias(d) for d in DIMS],
         F.count_distinct("usage_date").alias("active_days"),
         F.min("usage_date").alias("first_seen"),
@@ -140,84 +164,122 @@ def dim_entity(daily: DataFrame, as_of: str) -> DataFrame:
         money(F.col("total_cost_usd")).alias("lifetime_cost_usd"),
         F.date_diff(F.lit(as_of).cast("date"), F.max("usage_date")).alias("days_since_activity"),
     )
+    if clusters is not None:
+        c = clusters.select(F.concat(F.lit("CLUSTER:"), "cluster_id").alias("entity_key"), "worker_count", "is_autoscale", "is_single_node", "auto_termination_minutes", "dbr_version")
+        out = out.join(small(c), "entity_key", "left")
+    if warehouses is not None:
+        w = warehouses.select(F.concat(F.lit("WAREHOUSE:"), "warehouse_id").alias("entity_key"), "workspace_id", *WAREHOUSE_CONFIG)
+        out = out.join(small(w), ["entity_key", "workspace_id"], "left")
+    return out
+
+
+def cluster_config(history: DataFrame, tie: str | None = None) -> DataFrame:
+    """The latest configuration of each cluster with its flags."""
+    auto = F.coalesce(F.col("max_autoscale_workers") > F.col("min_autoscale_workers"), F.lit(False))
+    single = (F.coalesce("worker_count", F.lit(0)) == 0) & ~auto
+    return latest(history, ["cluster_id"], "change_time", tie).withColumns({"is_autoscale": auto, "is_single_node": single})
+
+
+WAREHOUSE_CONFIG = ("warehouse_size", "warehouse_type", "auto_stop_minutes", "min_clusters", "max_clusters")
+
+
+def warehouse_config(history: DataFrame, tie: str | None = None) -> DataFrame:
+    """The latest configuration of each warehouse of a workspace."""
+    last = latest(history, ["workspace_id", "warehouse_id"], "change_time", tie)
+    kind = F.upper(F.coalesce("warehouse_type", F.lit("")))
+    whole = {c: F.col(c).cast("int") for c in ("min_clusters", "max_clusters", "auto_stop_minutes")}
+    return last.withColumns({**whole, "is_deleted": F.col("delete_time").isNotNull(), "is_serverless": kind.contains("SERVERLESS")})
 
 
 # States that count as failed.
 FAILED = ("FAILED", "ERROR", "TIMEDOUT", "TIMED_OUT", "INTERNAL_ERROR", "UPSTREAM_FAILED")
 
 
-def job_runs(periods: DataFrame) -> DataFrame:
-    """One row for each run from its periods."""
+def job_runs(periods: DataFrame, jobs: DataFrame | None = None) -> DataFrame:
+    """One row for each run of a workspace from its periods; with ``jobs`` (one row each) also job_name and job_run_as."""
     state = F.upper("result_state")
-    runs = periods.groupBy("job_id", "run_id").agg(
+    runs = periods.groupBy("workspace_id", "job_id", "run_id").agg(
         F.min("period_start_time").alias("start_time"),
         F.max("period_end_time").alias("end_time"),
         F.max("result_state").alias("result_state"),
         F.min_by("compute_ids", "period_start_time").alias("compute_ids"),
     )
     minutes = F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time")) / 60.0
-    return runs.withColumns({"is_failed": state.isin(*FAILED), "is_success": state.isin("SUCCESS", "SUCCEEDED"), "is_cancelled": state.isin("CANCELED", "CANCELLED"), "duration_minutes": rounded(minutes, 4), "run_date": F.to_date("start_time")})
+    runs = runs.withColumns({"is_failed": state.isin(*FAILED), "is_success": state.isin("SUCCESS", "SUCCEEDED"), "is_cancelled": state.isin("CANCELED", "CANCELLED"), "duration_minutes": rounded(minutes, 4), "run_date": F.to_date("start_time")})
+    if jobs is None:
+        return runs
+    return runs.join(jobs.select("workspace_id", "job_id", "job_name", F.col("run_as").alias("job_run_as")), ["workspace_id", "job_id"], "left")
 
 
 def run_cost(priced: DataFrame) -> DataFrame:
     ran = priced.filter(F.col("usage_metadata.job_run_id").isNotNull())
-    return ran.groupBy(F.col("usage_metadata.job_id").alias("job_id"), F.col("usage_metadata.job_run_id").alias("run_id")).agg(money(F.col("total_cost_usd")).alias("run_cost_usd"), F.sum("usage_quantity").alias("dbus"))
+    return ran.groupBy("workspace_id", F.col("usage_metadata.job_id").alias("job_id"), F.col("usage_metadata.job_run_id").alias("run_id")).agg(money(F.col("total_cost_usd")).alias("run_cost_usd"), F.sum("usage_quantity").alias("dbus"))
 
 
 def job_run_cost(runs: DataFrame, priced: DataFrame) -> DataFrame:
-    tags = priced.filter(F.col("usage_metadata.job_id").isNotNull()).groupBy(F.col("usage_metadata.job_id").alias("job_id")).agg(*[F.max(d).alias(d) for d in DIMS])
-    joined = runs.join(run_cost(priced), ["job_id", "run_id"], "left").join(tags, "job_id", "left")
+    """Runs with their cost and the dimensions of their job; costs are summed by run before they meet the runs."""
+    tags = priced.filter(F.col("usage_metadata.job_id").isNotNull()).groupBy("workspace_id", F.col("usage_metadata.job_id").alias("job_id")).agg(*[F.max(d).alias(d) for d in DIMS])
+    joined = runs.join(run_cost(priced), ["workspace_id", "job_id", "run_id"], "left").join(tags, ["workspace_id", "job_id"], "left")
     cost = F.coalesce("run_cost_usd", F.lit(0.0))
     return joined.withColumns({"has_cost": F.col("run_cost_usd").isNotNull(), "run_cost_usd": cost, "cost_per_minute": ratio(cost, F.col("duration_minutes"), 6), **{d: F.coalesce(d, F.lit(UNALLOCATED)) for d in DIMS}})
 
 
-def query_activity(history: DataFrame) -> DataFrame:
-    return history.groupBy("query_date", "warehouse_id", "executed_by").agg(
+def query_activity(history: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Activity by day, workspace, warehouse and user. With ``accuracy`` the 95 % duration is approximate, in bounded memory."""
+    p95 = F.percentile("total_duration_ms", F.lit(0.95)) if accuracy is None else F.percentile_approx("total_duration_ms", 0.95, accuracy).cast("double")
+    return history.groupBy("query_date", "workspace_id", "warehouse_id", "executed_by").agg(
         F.count(F.lit(1)).alias("query_count"),
         F.sum("total_duration_ms").alias("total_ms"),
         rounded(F.avg("total_duration_ms"), 4).alias("avg_ms"),
-        rounded(F.percentile("total_duration_ms", F.lit(0.95)), 4).alias("p95_ms"),
+        rounded(p95, 4).alias("p95_ms"),
         F.count_if(F.col("execution_status") == "FAILED").alias("failed_queries"),
         F.count_distinct("statement_id").alias("distinct_statements"),
-        F.count_distinct(F.hour("start_time")).alias("active_hours"),
+        F.size(F.collect_set(F.hour("start_time"))).cast("long").alias("active_hours"),
     )
 
 
-def warehouse_cost(daily: DataFrame, activity: DataFrame) -> DataFrame:
-    """Daily warehouse cost with that day's activity; usage dates meet query dates by day of month."""
-    cost = daily.filter("entity_type = 'WAREHOUSE'").groupBy(F.dayofmonth("usage_date").alias("day"), F.col("entity_id").alias("warehouse_id")).agg(money(F.col("total_cost_usd")).alias("total_cost_usd"))
-    used = activity.groupBy(F.dayofmonth("query_date").alias("day"), "warehouse_id").agg(F.sum("query_count").alias("query_count"), F.sum("failed_queries").alias("failed_queries"), F.count_distinct("executed_by").alias("distinct_users"), F.sum("active_hours").alias("active_hours"))
-    joined = cost.join(used, ["day", "warehouse_id"], "left")
-    return joined.withColumn("cost_per_query", ratio(F.col("total_cost_usd"), F.col("query_count"), 6))
+def warehouse_cost(daily: DataFrame, activity: DataFrame, warehouses: DataFrame | None = None) -> DataFrame:
+    """Cost of each warehouse, workspace and day with that day's activity; with ``warehouses`` also their configuration."""
+    keys = ["usage_date", "workspace_id", "warehouse_id"]
+    cost = daily.filter("entity_type = 'WAREHOUSE'").groupBy("usage_date", "workspace_id", F.col("entity_id").alias("warehouse_id")).agg(money(F.col("total_cost_usd")).alias("total_cost_usd"))
+    used = activity.groupBy(F.col("query_date").alias("usage_date"), "workspace_id", "warehouse_id").agg(F.sum("query_count").alias("query_count"), F.sum("failed_queries").alias("failed_queries"), F.count_distinct("executed_by").alias("distinct_users"), F.sum("active_hours").alias("active_hours"))
+    out = cost.join(used, keys, "left").withColumn("cost_per_query", ratio(F.col("total_cost_usd"), F.col("query_count"), 6))
+    return out if warehouses is None else out.join(small(warehouses.select("workspace_id", "warehouse_id", *WAREHOUSE_CONFIG)), keys[1:], "left")
 
 
 def tag_coverage(daily: DataFrame) -> DataFrame:
-    """Attributed and unattributed cost by day, workspace and dimension, in one scan."""
-    long = daily.select("usage_date", "workspace_id", "entity_key", F.col("total_cost_usd").alias("cost"), *DIMS).unpivot(["usage_date", "workspace_id", "entity_key", "cost"], list(DIMS), "dimension", "value")
-    known = F.col("value") != UNALLOCATED
-    out = long.groupBy("usage_date", "workspace_id", "dimension").agg(
+    """Attributed and unattributed cost by day, workspace and dimension, in one scan.
+
+    Costs are summed by entity first: what is unpivoted is a row for each entity, not for each
+    row of the fact, and entities are counted without expanding any row.
+    """
+    cost = F.col("total_cost_usd")
+    sums = [F.struct(F.lit(d).alias("dimension"), money_if(F.col(d) != UNALLOCATED, cost).alias("known"), F.max(F.col(d) != UNALLOCATED).alias("any")) for d in DIMS]
+    by_entity = daily.groupBy("usage_date", "workspace_id", "entity_key").agg(money(cost).alias("cost"), F.array(*sums).alias("__d"))
+    long = by_entity.select("usage_date", "workspace_id", "cost", F.explode("__d").alias("d"))
+    out = long.groupBy("usage_date", "workspace_id", F.col("d.dimension").alias("dimension")).agg(
         money(F.col("cost")).alias("total_cost_usd"),
-        money_if(known, F.col("cost")).alias("attributed_cost_usd"),
-        F.count_distinct("entity_key").alias("entities"),
-        F.count_distinct(F.when(known, F.col("entity_key"))).alias("attributed_entities"),
+        money(F.col("d.known")).alias("attributed_cost_usd"),
+        F.count(F.lit(1)).alias("entities"),
+        F.count_if("d.any").alias("attributed_entities"),
     )
     return out.withColumns({"unattributed_cost_usd": F.round(F.col("total_cost_usd") - F.col("attributed_cost_usd"), 6), "coverage_ratio": ratio(F.col("attributed_cost_usd"), F.col("total_cost_usd"), 6, 1.0)})
 
 
 def kpi_base(daily: DataFrame) -> DataFrame:
+    """One row for each day."""
     cost = F.col("total_cost_usd")
-    return daily.groupBy("usage_date").agg(
-        money(cost).alias("total_cost_usd"),
-        money(F.col("list_cost_usd")).alias("list_cost_usd"),
-        money(F.col("discount_usd")).alias("discount_usd"),
-        F.sum("usage_quantity").alias("dbus"),
-        F.count_distinct("entity_key").alias("entities"),
-        F.count_distinct("workspace_id").alias("workspaces"),
-        money_if(F.col("sku_group") == "ALL_PURPOSE", cost).alias("all_purpose_cost_usd"),
-        money_if(F.col("compute_family") == "SERVERLESS", cost).alias("serverless_cost_usd"),
-        money_if(F.col("is_photon"), cost).alias("photon_cost_usd"),
-        money_if(F.col("cost_center") == UNALLOCATED, cost).alias("unallocated_cost_usd"),
-    )
+    sums = {
+        "total_cost_usd": money(cost),
+        "list_cost_usd": money(F.col("list_cost_usd")),
+        "discount_usd": money(F.col("discount_usd")),
+        "all_purpose_cost_usd": money_if(F.col("sku_group") == "ALL_PURPOSE", cost),
+        "serverless_cost_usd": money_if(F.col("compute_family") == "SERVERLESS", cost),
+        "photon_cost_usd": money_if(F.col("is_photon"), cost),
+        "unallocated_cost_usd": money_if(F.col("cost_center") == UNALLOCATED, cost),
+    }
+    # one distinct count needs no expanded rows; a day's set of workspaces is small
+    return daily.groupBy("usage_date").agg(*[c.alias(n) for n, c in sums.items()], F.sum("usage_quantity").alias("dbus"), F.count_distinct("entity_key").alias("entities"), F.size(F.collect_set("workspace_id")).cast("long").alias("workspaces"))
 
 
 def kpis(daily: DataFrame) -> DataFrame:

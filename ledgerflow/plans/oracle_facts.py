@@ -5,13 +5,14 @@ from __future__ import annotations
 USAGE = """
 usage AS (
   SELECT row_number() OVER () AS rid, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS record_id, 'acct-1' AS account_id,
-    CAST(s_nationkey AS VARCHAR) AS workspace_id, CASE s_nationkey % 3 WHEN 0 THEN 'AZURE' WHEN 1 THEN 'AWS' ELSE 'GCP' END AS cloud,
+    CAST(CASE WHEN l_returnflag = 'R' THEN c_nationkey ELSE s_nationkey END AS VARCHAR) AS workspace_id, CASE s_nationkey % 3 WHEN 0 THEN 'AZURE' WHEN 1 THEN 'AWS' ELSE 'GCP' END AS cloud,
     CASE p_type WHEN 'ECONOMY' THEN 'PREMIUM_JOBS_COMPUTE_(PHOTON)' WHEN 'LARGE' THEN 'PREMIUM_SQL_PRO_COMPUTE_US_EAST'
       WHEN 'MEDIUM' THEN 'PREMIUM_SERVERLESS_SQL_COMPUTE' WHEN 'PROMO' THEN 'PREMIUM_ALL_PURPOSE_COMPUTE'
       WHEN 'SMALL' THEN 'ENTERPRISE_DLT_CORE_COMPUTE' ELSE 'UNKNOWN_ADDON' END AS sku_name,
     CASE p_size % 7 WHEN 0 THEN 'JOBS' WHEN 1 THEN 'SQL' END AS product,
     CAST(l_shipdate AS DATE) AS usage_date, l_shipdate + INTERVAL 1 HOUR AS usage_end_time, l_quantity AS usage_quantity,
-    l_returnflag, o_custkey, l_orderkey, l_suppkey, l_partkey, l_linenumber, s_nationkey, c_mktsegment, c_name
+    l_returnflag, o_custkey, l_orderkey, l_suppkey, l_partkey, l_linenumber, s_nationkey, c_mktsegment, c_name, 'DBU' AS usage_unit,
+    o_custkey % 13 = 0 AS bare, CASE WHEN l_linenumber = 1 THEN 'user-' || (o_custkey % 9) END AS run_as
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)"""
 
@@ -57,18 +58,19 @@ priced AS (
   SELECT c.* EXCLUDE (product), product AS billing_origin_product, round(effective_cost_usd + infra_cost_usd, 6) AS total_cost_usd,
     CASE WHEN l_returnflag = 'R' THEN 'JOB' WHEN l_returnflag = 'A' THEN 'WAREHOUSE' WHEN l_partkey % 10 <> 0 THEN 'CLUSTER' ELSE 'UNKNOWN' END AS entity_type,
     CASE WHEN l_returnflag = 'R' THEN CAST(o_custkey AS VARCHAR) WHEN l_returnflag = 'A' THEN CAST(l_suppkey AS VARCHAR) WHEN l_partkey % 10 <> 0 THEN CAST(l_partkey % 150 AS VARCHAR) END AS entity_id,
-    CASE WHEN o_custkey % 11 = 0 THEN 'SIN_ASIGNAR' ELSE c_mktsegment END AS cost_center,
-    CASE WHEN o_custkey % 11 = 0 THEN 'none' ELSE 'usage' END AS cost_center_source,
-    CASE WHEN s_nationkey % 6 = 0 THEN 'SIN_ASIGNAR' ELSE 'team-' || (s_nationkey % 4) END AS team,
-    CASE WHEN s_nationkey % 6 = 0 THEN 'none' ELSE 'usage' END AS team_source,
-    CASE WHEN l_returnflag = 'R' AND o_custkey % 2 = 0 THEN 'proj-' || (o_custkey % 3) WHEN s_nationkey = 3 THEN 'core' ELSE 'SIN_ASIGNAR' END AS project,
-    CASE WHEN l_returnflag = 'R' AND o_custkey % 2 = 0 THEN 'job' WHEN s_nationkey = 3 THEN 'workspace' ELSE 'none' END AS project_source,
-    CASE l_linenumber % 4 WHEN 0 THEN 'PRD' WHEN 1 THEN 'DEV' WHEN 2 THEN 'QA' ELSE 'lab' END AS environment, 'usage' AS environment_source,
-    CASE WHEN s_nationkey = 7 THEN 'billing' ELSE 'SIN_ASIGNAR' END AS application, CASE WHEN s_nationkey = 7 THEN 'workspace' ELSE 'none' END AS application_source,
+    CASE WHEN bare OR o_custkey % 11 = 0 THEN 'SIN_ASIGNAR' ELSE c_mktsegment END AS cost_center,
+    CASE WHEN bare OR o_custkey % 11 = 0 THEN 'none' ELSE 'usage' END AS cost_center_source,
+    CASE WHEN bare OR s_nationkey % 6 = 0 THEN 'SIN_ASIGNAR' ELSE 'team-' || (s_nationkey % 4) END AS team,
+    CASE WHEN bare OR s_nationkey % 6 = 0 THEN 'none' ELSE 'usage' END AS team_source,
+    CASE WHEN l_returnflag = 'R' AND o_custkey % 2 = 0 THEN 'proj-' || (o_custkey % 3) WHEN workspace_id = '3' THEN 'core' ELSE 'SIN_ASIGNAR' END AS project,
+    CASE WHEN l_returnflag = 'R' AND o_custkey % 2 = 0 THEN 'job' WHEN workspace_id = '3' THEN 'workspace' ELSE 'none' END AS project_source,
+    CASE WHEN bare THEN 'SIN_ASIGNAR' WHEN l_linenumber % 4 = 0 THEN 'PRD' WHEN l_linenumber % 4 = 1 THEN 'DEV' WHEN l_linenumber % 4 = 2 THEN 'QA' ELSE 'lab' END AS environment, CASE WHEN bare THEN 'none' ELSE 'usage' END AS environment_source,
+    CASE WHEN workspace_id = '7' THEN 'billing' ELSE 'SIN_ASIGNAR' END AS application, CASE WHEN workspace_id = '7' THEN 'workspace' ELSE 'none' END AS application_source,
     CASE WHEN l_returnflag = 'N' AND l_partkey % 10 <> 0 AND lc.k IS NOT NULL THEN 'own-' || (lc.k % 5) ELSE 'SIN_ASIGNAR' END AS owner,
     CASE WHEN l_returnflag = 'N' AND l_partkey % 10 <> 0 AND lc.k IS NOT NULL THEN 'cluster' ELSE 'none' END AS owner_source,
     CASE WHEN l_returnflag = 'R' THEN c_name WHEN l_returnflag = 'N' AND l_partkey % 10 <> 0 AND lc.k IS NOT NULL THEN 'cluster-' || lc.cluster_id
-      WHEN l_returnflag = 'N' AND l_partkey % 10 = 0 THEN NULL WHEN l_returnflag = 'A' THEN CAST(l_suppkey AS VARCHAR) ELSE CAST(l_partkey % 150 AS VARCHAR) END AS entity_name
+      WHEN l_returnflag = 'N' AND l_partkey % 10 = 0 THEN NULL WHEN l_returnflag = 'A' THEN CAST(l_suppkey AS VARCHAR) ELSE CAST(l_partkey % 150 AS VARCHAR) END AS entity_name,
+    coalesce(run_as, CASE WHEN l_returnflag = 'R' AND o_custkey % 3 <> 0 THEN 'svc-' || (o_custkey % 4) END, 'admin-' || (lc.k % 3)) AS owner_resolved
   FROM costed c LEFT JOIN latest_cluster lc ON l_returnflag = 'N' AND l_partkey % 10 <> 0 AND lc.cluster_id = CAST(l_partkey % 150 AS VARCHAR)),
 tagged AS (SELECT *, entity_type || ':' || coalesce(entity_id, 'SIN_ID') AS entity_key,
     (cost_center_source <> 'none')::INT + (team_source <> 'none')::INT + (project_source <> 'none')::INT + (environment_source <> 'none')::INT + (application_source <> 'none')::INT + (owner_source <> 'none')::INT AS tags_resolved FROM priced)"""
@@ -91,7 +93,7 @@ FACT = (
     + f""",
 fact AS (
   SELECT usage_date, account_id, workspace_id, cloud, sku_name, sku_group, compute_family, entity_type, entity_id, entity_key, {DIMS}, {_SUMS},
-    sum(usage_quantity) AS usage_quantity, max(entity_name) AS entity_name, count(*) AS record_count, count(*) FILTER (price_missing) AS records_without_price,
+    sum(usage_quantity) AS usage_quantity, max(usage_unit) AS usage_unit, max(entity_name) AS entity_name, max(owner_resolved) AS owner_resolved, count(*) AS record_count, count(*) FILTER (price_missing) AS records_without_price,
     bool_or(tags_resolved = 0) AS is_untagged, bool_or(tags_resolved = 6) AS is_fully_tagged, bool_or(is_photon) AS is_photon, strftime(usage_date, '%Y-%m') AS year_month
   FROM tagged GROUP BY ALL)"""
 )
@@ -121,16 +123,29 @@ kpi AS (SELECT * EXCLUDE (l1, l7, m7, m28), CASE WHEN l1 > 0 THEN {rnd("(total_c
   CASE WHEN dbus > 0 THEN {rnd("total_cost_usd / dbus", 4)} END AS cost_per_dbu FROM lagged)"""
 )
 RUNS = """
-periods AS (SELECT CAST(o_custkey AS VARCHAR) AS job_id, CAST(o_orderkey AS VARCHAR) AS run_id, n, o_orderdate + to_minutes(n * 60) AS a, o_orderdate + to_minutes(n * 60) + to_minutes(o_custkey % 50 + 1) AS b,
+periods AS (SELECT CAST(c_nationkey AS VARCHAR) AS workspace_id, CAST(o_custkey AS VARCHAR) AS job_id, CAST(o_orderkey AS VARCHAR) AS run_id, n, o_orderdate + to_minutes(n * 60) AS a, o_orderdate + to_minutes(n * 60) + to_minutes(o_custkey % 50 + 1) AS b,
   CASE WHEN n = o_orderkey % 3 THEN CASE WHEN o_orderstatus = 'F' THEN 'FAILED' WHEN o_orderkey % 17 = 0 THEN 'CANCELED' ELSE 'SUCCEEDED' END END AS result_state
-  FROM (SELECT *, unnest(range(0, o_orderkey % 3 + 1)) AS n FROM orders)),
-runs AS (SELECT job_id, run_id, CAST(min(a) AS DATE) AS run_date, max(result_state) AS result_state, max(result_state) = 'FAILED' AS is_failed, max(result_state) = 'SUCCEEDED' AS is_success,
-  max(result_state) = 'CANCELED' AS is_cancelled, round(date_diff('second', min(a), max(b)) / 60.0, 4) AS duration_minutes, 'c' || arg_min(n, a) AS first_compute_id FROM periods GROUP BY 1, 2)"""
+  FROM (SELECT *, unnest(range(0, o_orderkey % 3 + 1)) AS n FROM orders JOIN customer ON o_custkey = c_custkey)),
+runs AS (SELECT workspace_id, job_id, run_id, CAST(min(a) AS DATE) AS run_date, max(result_state) AS result_state, max(result_state) = 'FAILED' AS is_failed, max(result_state) = 'SUCCEEDED' AS is_success,
+  max(result_state) = 'CANCELED' AS is_cancelled, round(date_diff('second', min(a), max(b)) / 60.0, 4) AS duration_minutes, 'c' || arg_min(n, a) AS first_compute_id FROM periods GROUP BY 1, 2, 3)"""
 ACTIVITY = """
-activity AS (SELECT CAST(ts AS DATE) AS query_date, CAST(user_id % 20 AS VARCHAR) AS warehouse_id, 'user-' || (user_id % 7) AS executed_by, count(*) AS query_count,
+queries AS (SELECT CAST(event_id AS VARCHAR) AS statement_id, ts - INTERVAL 8218 DAY AS start_time, CAST(s_nationkey AS VARCHAR) AS workspace_id, CAST(user_id % 20 AS VARCHAR) AS warehouse_id, user_id, value, event_type, event_id FROM events LEFT JOIN supplier ON s_suppkey = user_id % 20),
+activity AS (SELECT CAST(start_time AS DATE) AS query_date, workspace_id, warehouse_id, 'user-' || (user_id % 7) AS executed_by, count(*) AS query_count,
   CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_ms, round(avg(CAST(round(value * 100) AS BIGINT)), 4) AS avg_ms, round(quantile_cont(CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE), 0.95), 4) AS p95_ms,
-  count(*) FILTER (event_type = 'error') AS failed_queries, count(DISTINCT event_id) AS distinct_statements, count(DISTINCT hour(ts)) AS active_hours FROM events GROUP BY 1, 2, 3)"""
-RUN_COST = f"run_cost AS (SELECT entity_id AS job_id, CAST(l_orderkey AS VARCHAR) AS run_id, {usd('total_cost_usd')} AS run_cost_usd, sum(usage_quantity) AS dbus FROM tagged WHERE entity_type = 'JOB' GROUP BY 1, 2)"
+  count(*) FILTER (event_type = 'error') AS failed_queries, count(DISTINCT event_id) AS distinct_statements, count(DISTINCT hour(start_time)) AS active_hours FROM queries GROUP BY 1, 2, 3, 4)"""
+CLUSTERS = """
+clusters AS (SELECT CAST(user_id AS VARCHAR) AS cluster_id, k, k % 10 AS worker_count, k % 3 = 0 AND k % 8 > k % 4 AS is_autoscale, k % 10 = 0 AND NOT (k % 3 = 0 AND k % 8 > k % 4) AS is_single_node, event_type = 'error' AS is_deleted,
+  CASE WHEN k % 5 <> 0 THEN (k * 3) % 200 END AS auto_termination_minutes, (k % 6 + 11) || '.3.x-scala2.12' AS dbr_version FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1))"""
+WAREHOUSES = """
+warehouses AS (SELECT CAST(s_nationkey AS VARCHAR) AS workspace_id, CAST(s_suppkey AS VARCHAR) AS warehouse_id, s_name AS warehouse_name, CASE (s_suppkey + 1) % 3 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' ELSE 'Large' END AS warehouse_size,
+  CASE (s_suppkey + 1) % 3 WHEN 0 THEN 'PRO' WHEN 1 THEN 'CLASSIC' ELSE 'pro_serverless' END AS warehouse_type, CAST((s_suppkey + 1) % 4 * 10 AS INT) AS auto_stop_minutes, CAST((s_suppkey + 1) % 2 + 1 AS INT) AS min_clusters, CAST((s_suppkey + 1) % 5 + 2 AS INT) AS max_clusters,
+  s_suppkey % 9 = 0 AS is_deleted, (s_suppkey + 1) % 3 = 2 AS is_serverless FROM supplier)"""
+CONFIG = "warehouse_size, warehouse_type, auto_stop_minutes, min_clusters, max_clusters"
+RUN_COST = f"run_cost AS (SELECT workspace_id, entity_id AS job_id, CAST(l_orderkey AS VARCHAR) AS run_id, {usd('total_cost_usd')} AS run_cost_usd, sum(usage_quantity) AS dbus FROM tagged WHERE entity_type = 'JOB' GROUP BY 1, 2, 3)"
+
+WAREHOUSE_COST = f"""{FACT}, {ACTIVITY}, c AS (SELECT usage_date, workspace_id, entity_id AS warehouse_id, {usd("total_cost_usd")} AS total_cost_usd FROM fact WHERE entity_type = 'WAREHOUSE' GROUP BY 1, 2, 3),
+q AS (SELECT query_date AS usage_date, workspace_id, warehouse_id, CAST(sum(query_count) AS BIGINT) AS query_count, CAST(sum(failed_queries) AS BIGINT) AS failed_queries, count(DISTINCT executed_by) AS distinct_users, CAST(sum(active_hours) AS BIGINT) AS active_hours FROM activity GROUP BY 1, 2, 3),
+house AS (SELECT *, CASE WHEN query_count > 0 THEN {rnd("total_cost_usd / query_count", 6)} END AS cost_per_query FROM c LEFT JOIN q USING (usage_date, workspace_id, warehouse_id))"""
 
 ORACLE_SQL = {
     "p1_normalise_keys": """SELECT p_partkey, regexp_replace(lower(p_brand || '_' || p_name), '[^a-z0-9]', '', 'g') AS key, CASE WHEN p_size % 5 IN (0, 1) THEN NULL ELSE p_type END AS value FROM part""",
@@ -148,24 +163,34 @@ ORACLE_SQL = {
       FROM (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM (SELECT min(CAST(l_shipdate AS DATE)) AS a, max(CAST(l_shipdate AS DATE)) + 90 AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey))""",
     "a4_dim_sku": f"WITH {PRICED} SELECT sku_name, cloud, max(sku_group) AS sku_group, max(unit_price) AS max_unit_price, arg_max(unit_price, usage_end_time) FILTER (unit_price IS NOT NULL) AS latest_unit_price, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {usd('total_cost_usd')} AS lifetime_cost_usd FROM tagged GROUP BY 1, 2",
     "a5_dim_workspace": f"WITH {FACT} SELECT workspace_id, CASE WHEN CAST(workspace_id AS INT) % 4 <> 0 THEN 'NATION_' || workspace_id ELSE 'ws-' || workspace_id END AS workspace_name, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {usd('total_cost_usd')} AS lifetime_cost_usd FROM fact GROUP BY 1, 2",
-    "a6_dim_entity": f"WITH {FACT} SELECT entity_key, workspace_id, max(entity_type) AS entity_type, max(entity_name) AS entity_name, {', '.join(f'max({d}) AS {d}' for d in DIMS.split(', '))}, count(DISTINCT usage_date) AS active_days, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {usd('total_cost_usd')} AS lifetime_cost_usd, CAST(date_diff('day', max(usage_date), DATE '2001-08-01') AS INT) AS days_since_activity FROM fact GROUP BY 1, 2",
+    "a6_dim_entity": f"WITH {FACT} SELECT entity_key, workspace_id, max(entity_type) AS entity_type, max(entity_name) AS entity_name, max(owner_resolved) AS owner_resolved, {', '.join(f'max({d}) AS {d}' for d in DIMS.split(', '))}, count(DISTINCT usage_date) AS active_days, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {usd('total_cost_usd')} AS lifetime_cost_usd, CAST(date_diff('day', max(usage_date), DATE '2001-08-01') AS INT) AS days_since_activity FROM fact GROUP BY 1, 2",
     "a7_job_runs": f"WITH {RUNS} SELECT * FROM runs",
+    "j5_named_runs": f"WITH {RUNS} SELECT workspace_id, job_id, run_id, c_name AS job_name, CASE WHEN c_custkey % 3 <> 0 THEN 'svc-' || (c_custkey % 4) END AS job_run_as, duration_minutes FROM runs LEFT JOIN customer ON job_id = CAST(c_custkey AS VARCHAR) AND workspace_id = CAST(c_nationkey AS VARCHAR)",
     "a8_run_cost": f"WITH {PRICED}, {RUN_COST} SELECT * FROM run_cost",
-    "a10_job_run_cost": f"""WITH {PRICED}, {RUN_COST}, {RUNS}, jt AS (SELECT entity_id AS job_id, max(project) AS project, max(cost_center) AS cost_center FROM tagged WHERE entity_type = 'JOB' GROUP BY 1)
-      SELECT job_id, run_id, c.run_cost_usd IS NOT NULL AS has_cost, coalesce(c.run_cost_usd, 0) AS run_cost_usd, CASE WHEN duration_minutes > 0 THEN {rnd("coalesce(c.run_cost_usd, 0) / duration_minutes", 6)} END AS cost_per_minute,
-      coalesce(project, 'SIN_ASIGNAR') AS project, coalesce(cost_center, 'SIN_ASIGNAR') AS cost_center FROM runs LEFT JOIN run_cost c USING (job_id, run_id) LEFT JOIN jt USING (job_id)""",
+    "a10_job_run_cost": f"""WITH {PRICED}, {RUN_COST}, {RUNS}, jt AS (SELECT workspace_id, entity_id AS job_id, max(project) AS project, max(cost_center) AS cost_center FROM tagged WHERE entity_type = 'JOB' GROUP BY 1, 2)
+      SELECT workspace_id, job_id, run_id, c.run_cost_usd IS NOT NULL AS has_cost, coalesce(c.run_cost_usd, 0) AS run_cost_usd, CASE WHEN duration_minutes > 0 THEN {rnd("coalesce(c.run_cost_usd, 0) / duration_minutes", 6)} END AS cost_per_minute,
+      coalesce(project, 'SIN_ASIGNAR') AS project, coalesce(cost_center, 'SIN_ASIGNAR') AS cost_center FROM runs LEFT JOIN run_cost c USING (workspace_id, job_id, run_id) LEFT JOIN jt USING (workspace_id, job_id)""",
     "a11_query_activity": f"WITH {ACTIVITY} SELECT * FROM activity",
-    "a12_warehouse_cost": f"""WITH {FACT}, {ACTIVITY}, c AS (SELECT CAST(day(usage_date) AS INT) AS day, entity_id AS warehouse_id, {usd("total_cost_usd")} AS total_cost_usd FROM fact WHERE entity_type = 'WAREHOUSE' GROUP BY 1, 2),
-      q AS (SELECT CAST(day(query_date) AS INT) AS day, warehouse_id, CAST(sum(query_count) AS BIGINT) AS query_count, CAST(sum(failed_queries) AS BIGINT) AS failed_queries, count(DISTINCT executed_by) AS distinct_users, CAST(sum(active_hours) AS BIGINT) AS active_hours FROM activity GROUP BY 1, 2)
-      SELECT *, CASE WHEN query_count > 0 THEN {rnd("total_cost_usd / query_count", 6)} END AS cost_per_query FROM c LEFT JOIN q USING (day, warehouse_id)""",
+    "a12_warehouse_cost": f"WITH {WAREHOUSE_COST} SELECT * FROM house",
+    "j11_warehouse_catalog": f"WITH {WAREHOUSE_COST}, {WAREHOUSES} SELECT usage_date, workspace_id, warehouse_id, total_cost_usd, query_count, {CONFIG} FROM house LEFT JOIN warehouses USING (workspace_id, warehouse_id)",
+    "j7_entity_configuration": f"""WITH {FACT}, {CLUSTERS}, {WAREHOUSES}, e AS (SELECT entity_key, workspace_id, max(entity_type) AS entity_type, {usd("total_cost_usd")} AS lifetime_cost_usd FROM fact GROUP BY 1, 2)
+      SELECT entity_key, e.workspace_id, entity_type, lifetime_cost_usd, worker_count, is_autoscale, is_single_node, auto_termination_minutes, dbr_version, {CONFIG}
+      FROM e LEFT JOIN clusters ON entity_key = 'CLUSTER:' || cluster_id LEFT JOIN warehouses w ON entity_key = 'WAREHOUSE:' || w.warehouse_id AND e.workspace_id = w.workspace_id""",
+    "p17_owners": f"WITH {PRICED} SELECT entity_type, owner_resolved, count(*) AS records FROM tagged GROUP BY 1, 2",
+    "p20_warehouses": f"WITH {WAREHOUSES} SELECT * FROM warehouses",
     "a13_tag_coverage": f"WITH {COVERAGE} SELECT * FROM coverage",
-    "w1_latest_clusters": """SELECT CAST(user_id AS VARCHAR) AS cluster_id, k % 10 AS worker_count, k % 3 = 0 AND k % 8 > k % 4 AS is_autoscale, k % 10 = 0 AND NOT (k % 3 = 0 AND k % 8 > k % 4) AS is_single_node, event_type = 'error' AS is_deleted,
-      CASE WHEN k % 5 <> 0 THEN (k * 3) % 200 END AS auto_termination_minutes, (k % 6 + 11) || '.3.x-scala2.12' AS dbr_version FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)""",
+    "w1_latest_clusters": f"WITH {CLUSTERS} SELECT * EXCLUDE (k) FROM clusters",
     "w6_kpis": f"WITH {KPI} SELECT * FROM kpi",
     "d5_cost_by_sku_group": f"WITH {PRICED} SELECT sku_group, {usd('total_cost_usd')} AS total_cost_usd, sum(usage_quantity) AS dbus FROM tagged GROUP BY 1",
+    "d5_sku_groups_30_days": f"WITH {PRICED} SELECT sku_group, {usd('total_cost_usd')} AS total_cost_usd, sum(usage_quantity) AS dbus FROM tagged WHERE usage_date BETWEEN DATE '2001-08-01' - 29 AND DATE '2001-08-01' GROUP BY 1",
     "l9_fingerprints": "SELECT o_orderkey, substr(sha256('RULE|' || o_orderpriority || '|' || CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE '' END), 1, 16) AS fingerprint FROM orders",
     "s4_usage_ingest": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, CAST(l_shipdate AS DATE) AS usage_date FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '2001-01-01' AND DATE '2001-03-31' AND l_returnflag <> 'R'",
     "s13_upsert": "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN 'N' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0",
     "s16_ingest_window": "SELECT CAST(max(CAST(o_orderdate AS DATE)) - 7 AS DATE) AS first_day, DATE '2001-12-31' AS last_day, 'mark' AS kind FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT CAST(DATE '2001-12-31' - 400 AS DATE), DATE '2001-12-31', 'initial'",
+    "s5_job_run_ingest": f"WITH {RUNS} SELECT workspace_id, job_id, run_id, CAST(a AS DATE) AS run_date, a AS period_start_time, result_state FROM periods WHERE CAST(a AS DATE) BETWEEN DATE '2001-01-01' AND DATE '2001-03-31'",
+    "s6_task_run_ingest": "SELECT CAST(l_shipdate AS DATE) AS run_date, 'task-' || l_linenumber AS task_key, CASE WHEN l_returnflag = 'R' THEN 'FAILED' ELSE 'SUCCEEDED' END AS result_state, count(*) AS tasks FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '2001-01-01' AND DATE '2001-03-31' GROUP BY 1, 2, 3",
+    "s7_query_ingest": f"WITH {ACTIVITY} SELECT statement_id, CAST(start_time AS DATE) AS query_date, workspace_id, warehouse_id, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'FINISHED' END AS execution_status FROM queries WHERE CAST(start_time AS DATE) BETWEEN DATE '2001-07-05' AND DATE '2001-07-15'",
+    "s8_snapshots": "SELECT 'clusters' AS source, count(*) AS rows FROM events UNION ALL SELECT 'warehouses', 2 * count(*) FROM supplier UNION ALL SELECT 'jobs', count(*) FROM customer UNION ALL SELECT 'node_types', count(*) FROM part UNION ALL SELECT 'workspaces', count(*) FROM nation",
+    "s17_recorded_marks": "SELECT 'orders' AS source_key, max(CAST(o_orderdate AS DATE)) AS watermark_date FROM orders UNION ALL SELECT 'lineitem', max(CAST(l_shipdate AS DATE)) FROM lineitem",
     "s17_high_water_marks": "SELECT o_orderpriority AS source_key, max(CAST(o_orderdate AS DATE)) AS watermark_date FROM orders GROUP BY 1",
 }

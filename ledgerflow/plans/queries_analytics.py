@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.exprs import money
 from ledgerflow.operators import alerts, budgets, facts, quality, recommend, series
 from ledgerflow.operators.budgets import Budget
+from ledgerflow.plans import model
 from ledgerflow.sources import tables as T
 
 ANOMALY = series.AnomalyConfig(score_threshold=2.0, min_pct_change=0.2)
@@ -55,7 +56,7 @@ def t12_moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return budgets.budget_status(facts.fact(spark, sf_dir), BUDGETS, AS_OF)
+    return budgets.budget_status(model.fact(spark, sf_dir), BUDGETS, AS_OF)
 
 
 def b6_budget_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +64,7 @@ def b6_budget_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return budgets.chargeback(facts.fact(spark, sf_dir), shared=SHARED, overhead=0.05)
+    return budgets.chargeback(model.fact(spark, sf_dir), shared=SHARED, overhead=0.05)
 
 
 def c3_chargeback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,11 +72,11 @@ def c3_chargeback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def c3_chargeback_none(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return budgets.chargeback(facts.fact(spark, sf_dir), shared=SHARED, strategy="none", unallocated_strategy="even")
+    return budgets.chargeback(model.fact(spark, sf_dir), shared=SHARED, strategy="none", unallocated_strategy="even")
 
 
 def c4_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return budgets.reconciliation(_lines(spark, sf_dir), facts.fact(spark, sf_dir), 0.05)
+    return budgets.reconciliation(_lines(spark, sf_dir), model.fact(spark, sf_dir), 0.05)
 
 
 def c5_showback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +84,8 @@ def c5_showback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clusters = facts.latest(T.cluster_history(spark, sf_dir), ["cluster_id"], "change_time", "event_id")
-    return recommend.profiles(facts.fact(spark, sf_dir), clusters, facts.job_runs(T.run_periods(spark, sf_dir)), facts.query_activity(T.query_history(spark, sf_dir)), T.AS_OF, 365)
+    clusters = model.clusters(spark, sf_dir)
+    return recommend.profiles(model.fact(spark, sf_dir), clusters, model.runs(spark, sf_dir), model.activity(spark, sf_dir), T.AS_OF, 365)
 
 
 def a15_entity_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +104,7 @@ def r12_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q9_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.checks(facts.priced_usage(spark, sf_dir), "2001-11-05", c=quality.QualityConfig(ignore_skus=("UNKNOWN_*",)))
+    return quality.checks(model.priced(spark, sf_dir), "2001-11-05", c=quality.QualityConfig(ignore_skus=("UNKNOWN_*",)))
 
 
 def q8_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,11 +112,11 @@ def q8_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q5_unpriced_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unpriced_skus(facts.priced_usage(spark, sf_dir))
+    return quality.unpriced_skus(model.priced(spark, sf_dir))
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = facts.fact(spark, sf_dir)
+    daily = model.fact(spark, sf_dir)
     status = _status(spark, sf_dir)
     totals = daily.groupBy("usage_date").agg(money(F.col("total_cost_usd")).alias("cost"))
     parts = [

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import blank_to_null, fingerprint, money, normalise_key, normalise_map
 from ledgerflow.operators import facts
 from ledgerflow.operators.facts import DIMS, MEASURES
-from ledgerflow.sources import readers, sinks
+from ledgerflow.plans import model
+from ledgerflow.sources import readers, sinks, stored
 from ledgerflow.sources import tables as T
 
 
@@ -28,21 +31,21 @@ def p3_normalise_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_sku_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = facts.priced_usage(spark, sf_dir)
+    p = model.priced(spark, sf_dir)
     return p.groupBy("sku_name", "billing_origin_product", "sku_group", "compute_family", "is_serverless", "is_photon").agg(F.count(F.lit(1)).alias("records"))
 
 
 def p11_priced_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ("record_id", "unit_price", "price_missing", "discount_pct", "discount_rule", *MEASURES)
-    return facts.priced_usage(spark, sf_dir).select(*cols)
+    return model.priced(spark, sf_dir).select(*cols)
 
 
 def p13_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.priced_usage(spark, sf_dir).select("record_id", "entity_type", "entity_id", "entity_key", "entity_name")
+    return model.priced(spark, sf_dir).select("record_id", "entity_type", "entity_id", "entity_key", "entity_name")
 
 
 def p15_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.priced_usage(spark, sf_dir).select("record_id", *DIMS, *[f"{d}_source" for d in DIMS], "tags_resolved", "is_fully_tagged", "is_untagged")
+    return model.priced(spark, sf_dir).select("record_id", *DIMS, *[f"{d}_source" for d in DIMS], "tags_resolved", "is_fully_tagged", "is_untagged")
 
 
 def j1_price_tranches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,11 +54,11 @@ def j1_price_tranches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a2_cost_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fact(spark, sf_dir)
+    return model.fact(spark, sf_dir)
 
 
 def a3_cost_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.cost_monthly(facts.fact(spark, sf_dir))
+    return facts.cost_monthly(model.fact(spark, sf_dir))
 
 
 def d1_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,56 +66,87 @@ def d1_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a4_dim_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.dim_sku(facts.priced_usage(spark, sf_dir))
+    return facts.dim_sku(model.priced(spark, sf_dir))
 
 
 def a5_dim_workspace(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = T.read(spark, sf_dir, "nation").filter("n_nationkey % 4 <> 0").select(F.col("n_nationkey").cast("string").alias("workspace_id"), F.col("n_name").alias("workspace_name"))
-    return facts.dim_workspace(facts.fact(spark, sf_dir), names)
+    return facts.dim_workspace(model.fact(spark, sf_dir), names)
 
 
 def a6_dim_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.dim_entity(facts.fact(spark, sf_dir), T.AS_OF)
+    return facts.dim_entity(model.fact(spark, sf_dir), T.AS_OF)
 
 
 def a7_job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = facts.job_runs(T.run_periods(spark, sf_dir))
-    return runs.select("job_id", "run_id", "run_date", "result_state", "is_failed", "is_success", "is_cancelled", "duration_minutes", F.get("compute_ids", F.lit(0)).alias("first_compute_id"))
+    runs = model.runs(spark, sf_dir)
+    return runs.select("workspace_id", "job_id", "run_id", "run_date", "result_state", "is_failed", "is_success", "is_cancelled", "duration_minutes", F.get("compute_ids", F.lit(0)).alias("first_compute_id"))
 
 
 def a8_run_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.run_cost(facts.priced_usage(spark, sf_dir))
+    return facts.run_cost(model.priced(spark, sf_dir))
 
 
 def a10_job_run_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = facts.job_run_cost(facts.job_runs(T.run_periods(spark, sf_dir)), facts.priced_usage(spark, sf_dir))
-    return runs.select("job_id", "run_id", "has_cost", "run_cost_usd", "cost_per_minute", "project", "cost_center")
+    runs = facts.job_run_cost(model.runs(spark, sf_dir), model.priced(spark, sf_dir))
+    return runs.select("workspace_id", "job_id", "run_id", "has_cost", "run_cost_usd", "cost_per_minute", "project", "cost_center")
 
 
 def a11_query_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.query_activity(T.query_history(spark, sf_dir))
+    return model.activity(spark, sf_dir)
 
 
 def a12_warehouse_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.warehouse_cost(facts.fact(spark, sf_dir), facts.query_activity(T.query_history(spark, sf_dir)))
+    return facts.warehouse_cost(model.fact(spark, sf_dir), model.activity(spark, sf_dir))
 
 
 def a13_tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.tag_coverage(facts.fact(spark, sf_dir))
+    return facts.tag_coverage(model.fact(spark, sf_dir))
+
+
+def j5_named_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = facts.job_runs(T.run_periods(spark, sf_dir), T.jobs(spark, sf_dir))
+    return runs.select("workspace_id", "job_id", "run_id", "job_name", "job_run_as", "duration_minutes")
+
+
+def j7_entity_configuration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity dimension with the configuration of its clusters and warehouses."""
+    e = facts.dim_entity(model.fact(spark, sf_dir), T.AS_OF, model.clusters(spark, sf_dir), model.warehouses(spark, sf_dir))
+    return e.select("entity_key", "workspace_id", "entity_type", "lifetime_cost_usd", "worker_count", "is_autoscale", "is_single_node", "auto_termination_minutes", "dbr_version", *facts.WAREHOUSE_CONFIG)
+
+
+def j11_warehouse_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = facts.warehouse_cost(model.fact(spark, sf_dir), model.activity(spark, sf_dir), model.warehouses(spark, sf_dir))
+    return w.select("usage_date", "workspace_id", "warehouse_id", "total_cost_usd", "query_count", *facts.WAREHOUSE_CONFIG)
+
+
+def p17_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = model.priced(spark, sf_dir)
+    return p.groupBy("entity_type", "owner_resolved").agg(F.count(F.lit(1)).alias("records"))
+
+
+def p20_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.warehouses(spark, sf_dir).select("workspace_id", "warehouse_id", "warehouse_name", *facts.WAREHOUSE_CONFIG, "is_deleted", "is_serverless")
 
 
 def w1_latest_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = facts.latest(T.cluster_history(spark, sf_dir), ["cluster_id"], "change_time", "event_id")
-    workers, auto = F.col("worker_count"), F.col("max_autoscale_workers") > F.col("min_autoscale_workers")
-    return c.select("cluster_id", "worker_count", F.coalesce(auto, F.lit(False)).alias("is_autoscale"), ((workers == 0) & ~F.coalesce(auto, F.lit(False))).alias("is_single_node"), "is_deleted", "auto_termination_minutes", "dbr_version")
+    return model.clusters(spark, sf_dir).select("cluster_id", "worker_count", "is_autoscale", "is_single_node", "is_deleted", "auto_termination_minutes", "dbr_version")
 
 
 def w6_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.kpis(facts.fact(spark, sf_dir))
+    return facts.kpis(model.fact(spark, sf_dir))
+
+
+def _by_sku_group(priced: DataFrame) -> DataFrame:
+    return priced.groupBy("sku_group").agg(money(F.col("total_cost_usd")).alias("total_cost_usd"), F.sum("usage_quantity").alias("dbus"))
 
 
 def d5_cost_by_sku_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.priced_usage(spark, sf_dir).groupBy("sku_group").agg(money(F.col("total_cost_usd")).alias("total_cost_usd"), F.sum("usage_quantity").alias("dbus"))
+    return _by_sku_group(model.priced(spark, sf_dir))
+
+
+def d5_sku_groups_30_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_sku_group(model.priced(spark, sf_dir, model.last_days(30)))
 
 
 def l9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,4 +177,37 @@ def s17_high_water_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.high_water_marks(marks)
 
 
+def s17_recorded_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks appended to a table of marks, and the highest of each source read back."""
+    path = stored.scratch_path(spark, "marks")
+    for table, stamp in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("orders", "o_orderdate")):
+        sinks.record_mark(T.read(spark, sf_dir, table).agg(F.to_date(F.max(stamp)).alias("watermark_date")), table, path)
+    return readers.high_water_marks(spark.read.parquet(path))
+
+
+def s5_job_run_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readers.ingest_days(T.run_periods(spark, sf_dir), "period_start_time", "run_date", "2001-01-01", "2001-03-31")
+    return rows.select("workspace_id", "job_id", "run_id", "run_date", "period_start_time", "result_state")
+
+
+def s6_task_run_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readers.ingest_days(T.task_periods(spark, sf_dir), "period_start_time", "run_date", "2001-01-01", "2001-03-31")
+    return rows.groupBy("run_date", "task_key", "result_state").agg(F.count(F.lit(1)).alias("tasks"))
+
+
+def s7_query_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readers.ingest_days(T.query_history(spark, sf_dir).drop("query_date"), "start_time", "query_date", "2001-07-05", "2001-07-15")
+    return rows.select("statement_id", "query_date", "workspace_id", "warehouse_id", "execution_status")
+
+
+def s8_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full snapshots of the configuration tables, each overwritten; rows of each as read back."""
+    root = stored.scratch_path(spark, "snapshots")
+    tables = {"clusters": T.cluster_history(spark, sf_dir), "warehouses": T.warehouse_history(spark, sf_dir), "jobs": T.jobs(spark, sf_dir), "node_types": T.read(spark, sf_dir, "part"), "workspaces": T.read(spark, sf_dir, "nation")}
+    for name, df in tables.items():
+        sinks.overwrite(readers.with_audit(df, "run-1", name), f"{root}/{name}")
+    counts = [spark.read.parquet(f"{root}/{name}").groupBy(F.col("_source").alias("source")).agg(F.count(F.lit(1)).alias("rows")) for name in tables]
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES = {n: f for n, f in list(globals().items()) if n.split("_")[0][:1] in "pjadwls" and n.split("_")[0][1:].isdigit()}

@@ -30,17 +30,17 @@ def top(df: DataFrame, k: int, by: str, *ties: str) -> DataFrame:
 
 
 def d2_latest_kpi(s: SparkSession, d: str) -> DataFrame:
-    k = facts.kpis(facts.fact(s, d))
+    k = facts.kpis(model.fact(s, d))
     pct = lambda c: rounded(F.coalesce(c, F.lit(0.0)) * 100, 2)
     return k.orderBy(F.desc("usage_date")).limit(1).select("usage_date", "total_cost_usd", "mtd_cost_usd", pct(F.col("dod_change")).alias("dod_pct"), pct(F.col("serverless_ratio")).alias("serverless_pct"))
 
 
 def d3_daily_cost(s: SparkSession, d: str) -> DataFrame:
-    return facts.kpis(facts.fact(s, d)).filter(since(90)).select("usage_date", "total_cost_usd", "avg_7d_usd", "avg_28d_usd")
+    return facts.kpis(model.fact(s, d)).filter(since(90)).select("usage_date", "total_cost_usd", "avg_7d_usd", "avg_28d_usd")
 
 
 def d4_cost_by_team(s: SparkSession, d: str) -> DataFrame:
-    return top(facts.fact(s, d).filter(since(30)).groupBy("team").agg(usd().alias("cost")), 15, "cost", "team")
+    return top(model.recent(s, d, 30).groupBy("team").agg(usd().alias("cost")), 15, "cost", "team")
 
 
 def d6_budget_now(s: SparkSession, d: str) -> DataFrame:
@@ -71,7 +71,7 @@ def d8_severe_anomalies(s: SparkSession, d: str) -> DataFrame:
 
 
 def d9_cost_by_entity(s: SparkSession, d: str) -> DataFrame:
-    g = facts.fact(s, d).filter(since(30)).groupBy("entity_key", "entity_type", "team", "cost_center", "environment").agg(usd().alias("cost"))
+    g = model.recent(s, d, 30).groupBy("entity_key", "entity_type", "team", "cost_center", "environment").agg(usd().alias("cost"))
     return top(g, 25, "cost", "entity_key", "team", "cost_center", "environment")
 
 
@@ -86,17 +86,17 @@ def d11_chargeback_year(s: SparkSession, d: str) -> DataFrame:
 
 
 def d12_monthly_by_sku(s: SparkSession, d: str) -> DataFrame:
-    f = facts.fact(s, d).filter(F.col("usage_date") >= F.add_months(F.lit(T.AS_OF).cast("date"), -12))
+    f = model.fact(s, d).filter(F.col("usage_date") >= F.add_months(F.lit(T.AS_OF).cast("date"), -12))
     return f.groupBy("year_month", "sku_group").agg(usd().alias("cost"), F.sum("usage_quantity").alias("dbus"))
 
 
 def d13_cost_by_workspace(s: SparkSession, d: str) -> DataFrame:
     names = T.read(s, d, "nation").select(F.col("n_nationkey").cast("string").alias("workspace_id"), F.col("n_name").alias("workspace_name"))
-    return facts.fact(s, d).filter(since(30)).groupBy("workspace_id").agg(usd().alias("cost")).join(facts.small(names), "workspace_id", "left")
+    return model.recent(s, d, 30).groupBy("workspace_id").agg(usd().alias("cost")).join(facts.small(names), "workspace_id", "left")
 
 
 def _coverage(s: SparkSession, d: str, days: int, *keys: str) -> DataFrame:
-    c = facts.tag_coverage(facts.fact(s, d)).filter(since(days))
+    c = facts.tag_coverage(model.fact(s, d)).filter(since(days))
     g = c.groupBy(*keys).agg(usd("attributed_cost_usd").alias("attributed"), usd("total_cost_usd").alias("total"))
     return g.select(*keys, ratio(F.col("attributed") * 100, F.col("total"), 2).alias("coverage_pct"))
 
@@ -106,7 +106,7 @@ def d14_coverage_by_day(s: SparkSession, d: str) -> DataFrame:
 
 
 def _job_costs(s: SparkSession, d: str) -> DataFrame:
-    runs = facts.job_run_cost(facts.job_runs(T.run_periods(s, d)), facts.priced_usage(s, d))
+    runs = facts.job_run_cost(model.runs(s, d), model.priced(s, d))
     failed = F.col("is_failed")
     g = runs.groupBy("job_id").agg(F.count(F.lit(1)).alias("runs"), F.count_if(failed).alias("failures"), rounded(F.avg("duration_minutes"), 4).alias("avg_minutes"), usd("run_cost_usd").alias("cost"), money_if(failed, F.col("run_cost_usd")).alias("failed_cost"))
     return g.withColumns({"cost_per_run": ratio(F.col("cost"), F.col("runs"), 4), "failure_rate": ratio(F.col("failures"), F.col("runs"), 4)})
@@ -117,13 +117,13 @@ def d15_costly_jobs(s: SparkSession, d: str) -> DataFrame:
 
 
 def d16_warehouses(s: SparkSession, d: str) -> DataFrame:
-    w = facts.warehouse_cost(facts.fact(s, d), facts.query_activity(T.query_history(s, d)))
+    w = facts.warehouse_cost(model.fact(s, d), model.activity(s, d))
     g = w.groupBy("warehouse_id").agg(usd().alias("cost"), F.sum("query_count").alias("queries"), F.sum("active_hours").alias("hours"))
     return top(g.withColumn("cost_per_query", ratio(F.col("cost"), F.col("queries"), 4)), 30, "cost", "warehouse_id")
 
 
 def d17_detail(s: SparkSession, d: str) -> DataFrame:
-    f = facts.fact(s, d).filter(since(7)).groupBy("usage_date", "workspace_id", "entity_key", "sku_name").agg(usd().alias("cost"))
+    f = model.recent(s, d, 7).groupBy("usage_date", "workspace_id", "entity_key", "sku_name").agg(usd().alias("cost"))
     return top(f, 500, "cost", "usage_date", "workspace_id", "entity_key", "sku_name")
 
 
@@ -140,11 +140,11 @@ def d20_recommendations(s: SparkSession, d: str) -> DataFrame:
 
 
 def d21_shares(s: SparkSession, d: str) -> DataFrame:
-    return facts.kpis(facts.fact(s, d)).filter(since(90)).select("usage_date", rounded(F.col("serverless_ratio") * 100, 2).alias("serverless_pct"), rounded(F.col("all_purpose_ratio") * 100, 2).alias("all_purpose_pct"), rounded(F.col("allocated_ratio") * 100, 2).alias("coverage_pct"), "cost_per_dbu")
+    return facts.kpis(model.fact(s, d)).filter(since(90)).select("usage_date", rounded(F.col("serverless_ratio") * 100, 2).alias("serverless_pct"), rounded(F.col("all_purpose_ratio") * 100, 2).alias("all_purpose_pct"), rounded(F.col("allocated_ratio") * 100, 2).alias("coverage_pct"), "cost_per_dbu")
 
 
 def d22_untagged_by_resource(s: SparkSession, d: str) -> DataFrame:
-    f = facts.fact(s, d).filter((F.col("cost_center") == UNALLOCATED) & (F.col("team") == UNALLOCATED))
+    f = model.fact(s, d).filter((F.col("cost_center") == UNALLOCATED) & (F.col("team") == UNALLOCATED))
     return top(f.groupBy("entity_key", "entity_type", "workspace_id").agg(usd().alias("cost")), 50, "cost", "entity_key", "workspace_id")
 
 
@@ -153,8 +153,8 @@ def d23_unstable_jobs(s: SparkSession, d: str) -> DataFrame:
 
 
 def d24_cluster_config(s: SparkSession, d: str) -> DataFrame:
-    cost = facts.fact(s, d).filter("entity_type = 'CLUSTER'").groupBy(F.col("entity_id").alias("cluster_id")).agg(usd().alias("cost"))
-    c = facts.latest(T.cluster_history(s, d), ["cluster_id"], "change_time", "event_id").select("cluster_id", "worker_count", "dbr_version", "auto_termination_minutes")
+    cost = model.fact(s, d).filter("entity_type = 'CLUSTER'").groupBy(F.col("entity_id").alias("cluster_id")).agg(usd().alias("cost"))
+    c = model.clusters(s, d).select("cluster_id", "worker_count", "dbr_version", "auto_termination_minutes")
     return top(cost.join(c, "cluster_id", "left"), 100, "cost", "cluster_id")
 
 
@@ -172,13 +172,13 @@ def d27_coverage_by_dimension(s: SparkSession, d: str) -> DataFrame:
 
 
 def d29_empty_tags(s: SparkSession, d: str) -> DataFrame:
-    p = facts.priced_usage(s, d)
+    p = model.priced(s, d)
     has = F.exists(F.map_values("custom_tags"), lambda v: F.trim(v) != "")
     return p.agg(usd().alias("cost"), money_if(~has, F.col("total_cost_usd")).alias("cost_without_tags"), F.count_distinct("entity_key").alias("entities"))
 
 
 def v1_usage_live(s: SparkSession, d: str) -> DataFrame:
-    return facts.priced_usage(s, d).filter(since(90)).select("record_id", "usage_date", "entity_type", "entity_id", "sku_name", "unit_price", "list_cost_usd")
+    return model.priced(s, d).filter(since(90)).select("record_id", "usage_date", "entity_type", "entity_id", "sku_name", "unit_price", "list_cost_usd")
 
 
 def _tags(s: SparkSession, d: str) -> DataFrame:
@@ -189,7 +189,7 @@ def _tags(s: SparkSession, d: str) -> DataFrame:
 
 
 def v2_tag_inventory(s: SparkSession, d: str) -> DataFrame:
-    cost = facts.priced_usage(s, d).select("record_id", "total_cost_usd")
+    cost = model.priced(s, d).select("record_id", "total_cost_usd")
     g = _tags(s, d).join(cost, "record_id").groupBy("key", "dimension").agg(F.concat_ws(",", F.array_sort(F.collect_set("tag_key"))).alias("spellings"), F.count_distinct("tag_value").alias("distinct_values"), usd().alias("cost"))
     return g
 
@@ -199,7 +199,7 @@ def v3_coverage_live(s: SparkSession, d: str) -> DataFrame:
 
 
 def v4_untagged_live(s: SparkSession, d: str) -> DataFrame:
-    p = facts.priced_usage(s, d).filter((F.col("cost_center") == UNALLOCATED) & (F.col("team") == UNALLOCATED) & (F.col("project") == UNALLOCATED))
+    p = model.priced(s, d).filter((F.col("cost_center") == UNALLOCATED) & (F.col("team") == UNALLOCATED) & (F.col("project") == UNALLOCATED))
     return p.groupBy("entity_type", "entity_id", "workspace_id").agg(usd("list_cost_usd").alias("cost"), F.count(F.lit(1)).alias("records"), F.max(F.size("custom_tags")).cast("long").alias("tag_keys"))
 
 
@@ -216,25 +216,25 @@ def d33_untagged_by_type(s: SparkSession, d: str) -> DataFrame:
 
 
 def e1_daily(s: SparkSession, d: str) -> DataFrame:
-    return facts.fact(s, d).filter(since(30)).groupBy("usage_date").agg(usd().alias("cost"))
+    return model.recent(s, d, 30).groupBy("usage_date").agg(usd().alias("cost"))
 
 
 def e2_teams(s: SparkSession, d: str) -> DataFrame:
-    g = facts.fact(s, d).filter(since(30)).groupBy("team", "cost_center", "environment").agg(usd().alias("cost"), F.count_distinct("entity_key").alias("entities"))
+    g = model.recent(s, d, 30).groupBy("team", "cost_center", "environment").agg(usd().alias("cost"), F.count_distinct("entity_key").alias("entities"))
     return top(g, 20, "cost", "team", "cost_center", "environment")
 
 
 def e3_one_day(s: SparkSession, d: str) -> DataFrame:
-    g = facts.fact(s, d).filter(F.col("usage_date") == F.lit("2001-07-15").cast("date")).groupBy("sku_group", "entity_key", "team").agg(usd().alias("cost"))
+    g = model.fact(s, d).filter(F.col("usage_date") == F.lit("2001-07-15").cast("date")).groupBy("sku_group", "entity_key", "team").agg(usd().alias("cost"))
     return top(g, 50, "cost", "sku_group", "entity_key", "team")
 
 
 def e7_invoice(s: SparkSession, d: str) -> DataFrame:
-    return facts.priced_usage(s, d).groupBy(F.date_format("usage_date", "yyyy-MM").alias("year_month")).agg(usd("list_cost_usd").alias("list_usd"), usd("discount_usd").alias("discount_usd"), usd("effective_cost_usd").alias("effective_usd"))
+    return model.priced(s, d).groupBy(F.date_format("usage_date", "yyyy-MM").alias("year_month")).agg(usd("list_cost_usd").alias("list_usd"), usd("discount_usd").alias("discount_usd"), usd("effective_cost_usd").alias("effective_usd"))
 
 
 def e8_attribution(s: SparkSession, d: str) -> DataFrame:
-    return facts.priced_usage(s, d).groupBy("project", "project_source").agg(F.count(F.lit(1)).alias("records"), usd().alias("cost"))
+    return model.priced(s, d).groupBy("project", "project_source").agg(F.count(F.lit(1)).alias("records"), usd().alias("cost"))
 
 
 def e10_values_of_key(s: SparkSession, d: str) -> DataFrame:
@@ -253,19 +253,19 @@ def e12_keys_by_resource(s: SparkSession, d: str) -> DataFrame:
 
 
 def e14b_unpriced_share(s: SparkSession, d: str) -> DataFrame:
-    p = facts.priced_usage(s, d)
+    p = model.priced(s, d)
     missing = F.col("price_missing")
     return p.agg(F.count(F.lit(1)).alias("records"), F.count_if(missing).alias("unpriced"), ratio(F.count_if(missing) * 100.0, F.count(F.lit(1)), 4).alias("unpriced_pct"), ratio(F.sum(F.when(missing, F.col("usage_quantity")).otherwise(0.0)) * 100, F.sum("usage_quantity"), 4).alias("quantity_pct"))
 
 
 def e14c_unpriced_in_list(s: SparkSession, d: str) -> DataFrame:
-    skus = facts.priced_usage(s, d).filter("price_missing").select("sku_name").distinct()
+    skus = model.priced(s, d).filter("price_missing").select("sku_name").distinct()
     p = T.prices(s).groupBy("sku_name").agg(F.concat_ws(",", F.array_sort(F.collect_set("cloud"))).alias("clouds"), F.count(F.lit(1)).alias("tranches"))
     return skus.join(facts.small(p), "sku_name", "left").select("sku_name", F.coalesce("tranches", F.lit(0)).alias("tranches"), F.coalesce("clouds", F.lit("")).alias("clouds"))
 
 
 def e14d_outside_validity(s: SparkSession, d: str) -> DataFrame:
-    p = facts.priced_usage(s, d).filter("price_missing").groupBy("sku_name").agg(F.min("usage_date").alias("first_use"), F.max("usage_date").alias("last_use"))
+    p = model.priced(s, d).filter("price_missing").groupBy("sku_name").agg(F.min("usage_date").alias("first_use"), F.max("usage_date").alias("last_use"))
     v = T.prices(s).groupBy("sku_name").agg(F.min(F.to_date("price_start_time")).alias("valid_from"), F.max(F.to_date(F.coalesce("price_end_time", F.lit("9999-12-31").cast("timestamp_ntz")))).alias("valid_to"))
     return p.join(facts.small(v), "sku_name").filter((F.col("first_use") < F.col("valid_from")) | (F.col("last_use") >= F.col("valid_to")))
 
@@ -281,21 +281,21 @@ def e15a_freshness(s: SparkSession, d: str) -> DataFrame:
 
 
 def e15b_lag(s: SparkSession, d: str) -> DataFrame:
-    f = facts.fact(s, d)
+    f = model.fact(s, d)
     return f.agg(F.datediff(F.lit("2001-12-01").cast("date"), F.max("usage_date")).alias("lag_days"), F.count_if(since(30)).alias("recent_rows"))
 
 
 def e16_month_by_team(s: SparkSession, d: str) -> DataFrame:
-    return facts.fact(s, d).filter("year_month = '2001-07'").groupBy("team").agg(usd().alias("cost"))
+    return model.fact(s, d).filter("year_month = '2001-07'").groupBy("team").agg(usd().alias("cost"))
 
 
 def e17_job_averages(s: SparkSession, d: str) -> DataFrame:
-    runs = facts.job_run_cost(facts.job_runs(T.run_periods(s, d)), facts.priced_usage(s, d)).filter("has_cost")
+    runs = facts.job_run_cost(model.runs(s, d), model.priced(s, d)).filter("has_cost")
     return runs.groupBy("job_id").agg(F.count(F.lit(1)).alias("runs"), ratio(usd("run_cost_usd"), F.count(F.lit(1)), 4).alias("avg_cost"), rounded(F.avg("duration_minutes"), 4).alias("avg_minutes"))
 
 
 def e18_no_owner(s: SparkSession, d: str) -> DataFrame:
-    return facts.fact(s, d).filter(F.col("owner") == UNALLOCATED).groupBy("workspace_id").agg(usd().alias("cost"), F.count_distinct("entity_key").alias("entities"))
+    return model.fact(s, d).filter(F.col("owner") == UNALLOCATED).groupBy("workspace_id").agg(usd().alias("cost"), F.count_distinct("entity_key").alias("entities"))
 
 
 QUERIES: dict[str, Query] = {n: f for n, f in list(globals().items()) if n[0] in "dve" and n[1].isdigit()}

@@ -35,6 +35,15 @@ def read_source(spark: SparkSession, candidates: Sequence[str], optional: bool =
     raise MissingSource(f"none of {', '.join(candidates)} exists")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if its scan has fewer splits than that, as one file of one row group has.
+
+    For work that costs far more for each row than moving it; a large table has splits enough and is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def select_existing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only the wanted columns that are present; all columns if none is."""
     present = [c for c in columns if c in df.columns]

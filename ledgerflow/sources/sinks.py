@@ -32,6 +32,11 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     return seen.get["rows"]
 
 
+def record_mark(mark: DataFrame, source: str, path: str) -> None:
+    """Append the high-water mark (watermark_date) of a source to a table of marks; an empty source has none."""
+    append(mark.filter("watermark_date IS NOT NULL").select(F.lit(source).alias("source_key"), "watermark_date"), path)
+
+
 def append_merged(spark: SparkSession, old: str, df: DataFrame, path: str) -> int:
     """Old rows and new rows in a new snapshot, columns that one side lacks being null."""
     return overwrite(spark.read.parquet(old).unionByName(df, allowMissingColumns=True), path)
@@ -56,16 +61,15 @@ def replace_days(df: DataFrame, path: str, day: str, first: date, last: date) ->
     """Make a range of days hold exactly the batch: its days are overwritten, other days of the range dropped.
 
     The two steps are not atomic; a rerun repairs a run that broke off between them. The batch is
-    dealt by day, so that each partition gets few files. Only the distinct days reach the driver,
-    and they are bounded by the range.
+    computed once and dealt by day, so that each partition gets few files. Its distinct days, which
+    the range bounds, reach the driver with the observation of the write.
     """
     span = F.col(day).between(F.lit(first), F.lit(last))
-    counted, seen = _counted(df.filter(span))
+    seen = Observation()
+    counted = df.filter(span).observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(day)).alias("days"))
     counted.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
-    rows = seen.get["rows"]
-    written = [r[0] for r in df.filter(span).select(day).distinct().collect()]
-    delete_days(df.sparkSession, path, day, first, last, written)
-    return rows
+    delete_days(df.sparkSession, path, day, first, last, seen.get["days"])
+    return seen.get["rows"]
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], update: bool = True) -> DataFrame:

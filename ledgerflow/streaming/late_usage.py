@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ledgerflow.sources.sinks import replace_days
-
 
 def daily_cost_stream(usage: DataFrame, stamp: str = "usage_end_time", late: str = "7 days") -> DataFrame:
     """Cost of each day and SKU group; a day closes once the watermark has passed it."""
@@ -24,10 +22,7 @@ def replace_days_writer(stream: DataFrame, path: str, checkpoint: str, day: str
     """Micro-batches of whole days that replace what the table holds for them; reruns change nothing."""
 
     def write(batch: DataFrame, _: int) -> None:
-        span = batch.agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
-        if span["a"] is not None:
-            days = [r[0] for r in batch.select(day).distinct().collect()]
-            for d in days:  # only days of the batch may change
-                replace_days(batch, path, day, d, d)
+        # one write; partitions of days that the batch lacks are not touched
+        batch.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
