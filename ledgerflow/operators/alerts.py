@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import fingerprint, money, rounded
+from ledgerflow.operators.budgets import latest_status
 
 LEVELS = ("low", "medium", "high", "critical")
 COLUMNS = ("rule", "severity", "subject", "value", "threshold", "fingerprint")
@@ -73,6 +74,13 @@ def pipeline_health(run_log: DataFrame, since: str) -> DataFrame:
     return alert(named, "PIPELINE_HEALTH", F.lit("critical"), F.col("stages"), F.col("n"), F.lit(0))
 
 
+def reloaded(history: DataFrame, anomalies: DataFrame, as_of: str, days: int = 8) -> DataFrame:
+    """Alerts of a run without analytics of its own: from the latest stored status of each budget and the stored anomalies of the last days."""
+    recent = anomalies.filter(F.col("usage_date") >= F.date_sub(F.lit(as_of).cast("date"), days))
+    status = latest_status(history)
+    return union_all([budget_threshold(status), forecast_overrun(status), cost_anomaly(recent)])
+
+
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -80,22 +88,32 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def by_severity(alerts: DataFrame) -> DataFrame:
+    """Highest severity first, then rule, subject and fingerprint."""
+    return alerts.orderBy(*_order())
+
+
+def _order() -> list:
+    return [rank(F.col("severity")).desc(), "rule", "subject", "fingerprint"]
+
+
 def admit(alerts: DataFrame, history: DataFrame, now: str, cooldown_hours: int = 24, cap: int = 50, least: str = "medium") -> DataFrame:
-    """Alerts with ``outcome``: dispatched, or why not (duplicate, cooldown, severity, cap).
+    """Alerts with ``outcome`` (dispatched, or why not: duplicate, cooldown, severity, cap) and created_at.
 
-    ``history`` has fingerprint and created_at of dispatched alerts. The cap ranks what is left
-    after all filters: one row for each distinct fingerprint of one run.
+    ``history`` has fingerprint and created_at of dispatched alerts. The cap takes the first of the
+    alerts that pass all filters, which have distinct fingerprints: a top-k that merges small local
+    lists, met again by fingerprint.
     """
-    order = [rank(F.col("severity")).desc(), "rule", "subject", "fingerprint"]
-    first = F.row_number().over(Window.partitionBy("fingerprint").orderBy(*order))
+    first = F.row_number().over(Window.partitionBy("fingerprint").orderBy(*_order()))
     stamp = F.lit(now).cast("timestamp_ntz")
     seen = history.groupBy("fingerprint").agg(F.max("created_at").alias("__last"))
     a = alerts.withColumn("__first", first).join(seen, "fingerprint", "left")
     quiet = F.timestamp_diff("SECOND", F.col("__last"), stamp) < cooldown_hours * 3600
     why = F.when(F.col("__first") > 1, "duplicate").when(F.coalesce(quiet, F.lit(False)), "cooldown").when(rank(F.col("severity")) < LEVELS.index(least) + 1, "severity")
     a = a.withColumn("__why", why)
-    place = F.row_number().over(Window.partitionBy(F.col("__why").isNull()).orderBy(*order))
-    return a.withColumn("outcome", F.coalesce("__why", F.when(place > cap, "cap"), F.lit("dispatched"))).select(*COLUMNS, "outcome")
+    placed = a.filter("__why IS NULL").orderBy(*_order()).limit(cap).select("fingerprint", F.lit("dispatched").alias("__placed"))
+    out = a.join(placed, "fingerprint", "left").withColumn("outcome", F.coalesce("__why", "__placed", F.lit("cap")))
+    return out.select(*COLUMNS, "outcome", stamp.alias("created_at"))
 
 
 def route(admitted: DataFrame, channels: Sequence[tuple[str, str]]) -> DataFrame:

@@ -48,6 +48,9 @@ def budget_status(costs: DataFrame, budgets: Sequence[Budget], as_of: str, forec
     table = spark.createDataFrame([(b.budget_id, float(b.amount), scope_label(b.scope), b.period, [float(t) for t in sorted(b.thresholds)], not b.scope) for b in active], "budget_id string, amount double, scope string, period string, thresholds array<double>, whole boolean")
     by_period = lambda f: F.when(F.col("period") == "quarter", f(day, "quarter")).when(F.col("period") == "year", f(day, "year")).otherwise(f(day, "month"))
     table = table.withColumns({"period_start": by_period(period_start), "period_end": by_period(period_end)})
+    # only the widest of the active periods is read
+    widest = F.least(*[period_start(day, b.period) for b in active], day)
+    costs = costs.filter(F.col("usage_date").between(widest, day))
     fits = F.array(*[F.when(scope_matches(b.scope) & F.col("usage_date").between(period_start(day, b.period), day), F.lit(b.budget_id)) for b in active])
     spent = costs.select("usage_date", "total_cost_usd", F.explode(F.filter(fits, lambda x: x.isNotNull())).alias("budget_id"))
     daily = spent.groupBy("budget_id", "usage_date").agg(money(F.col("total_cost_usd")).alias("cost"))
@@ -95,6 +98,12 @@ def budget_status(costs: DataFrame, budgets: Sequence[Budget], as_of: str, forec
     )
 
 
+def latest_status(history: DataFrame) -> DataFrame:
+    """The newest row of each budget from a table of evaluations (budget_id, as_of_date, ...)."""
+    w = Window.partitionBy("budget_id").orderBy(F.desc("as_of_date"))
+    return history.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+
+
 def chargeback(costs: DataFrame, unit_col: str = "cost_center", shared: Sequence[str] = (), shared_cols: Sequence[str] = ("entity_name", "entity_key", "project", "application"), unallocated: str = "SIN_ASIGNAR", strategy: str = "proportional", unallocated_strategy: str = "proportional", overhead: float = 0.0) -> DataFrame:
     """Direct cost of each unit and month plus its part of shared and unattributed cost.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import matches_any, money, money_if, rounded
@@ -72,5 +72,17 @@ def enforce(rows: DataFrame) -> None:
         raise ValueError(f"blocking quality checks failed: {', '.join(sorted(failed))}")
 
 
+def unpriced(priced: DataFrame) -> DataFrame:
+    """Records, quantity and span of days of all usage without a price, by SKU, product, unit and cloud."""
+    return priced.filter("price_missing").groupBy("sku_name", "billing_origin_product", "usage_unit", "cloud").agg(F.count(F.lit(1)).alias("records"), F.sum("usage_quantity").alias("quantity"), F.min("usage_date").alias("first_seen"), F.max("usage_date").alias("last_seen"))
+
+
+def table_exists(name: str, table: DataFrame | None, spark: SparkSession) -> DataFrame:
+    """One check row for a table that a tolerant read gave or did not give."""
+    found = float(table is not None)
+    row = F.struct(F.lit("table_exists").alias("check_name"), F.lit(name).alias("table_name"), F.lit(found == 1).alias("passed"), F.lit(found).alias("observed"), F.lit(1.0).alias("threshold"), F.lit("error").alias("severity"))
+    return spark.range(1).select(F.inline(F.array(row)))
+
+
 def unpriced_skus(priced: DataFrame, top: int = 10) -> DataFrame:
     return priced.filter("price_missing").groupBy("sku_name").agg(F.count(F.lit(1)).alias("records"), F.sum("usage_quantity").alias("quantity"), F.min("usage_date").alias("first_seen"), F.max("usage_date").alias("last_seen")).orderBy(F.desc("records"), "sku_name").limit(top)

@@ -11,6 +11,7 @@ from ledgerflow.functions.exprs import money, money_if, rounded
 from ledgerflow.operators.attribution import UNALLOCATED
 
 
+# Thresholds and shares of the rules; rule names and confidences below are fixed as well.
 @dataclass(frozen=True)
 class RuleConfig:
     min_savings: float = 25.0
@@ -52,10 +53,10 @@ def profiles(daily: DataFrame, clusters: DataFrame, runs: DataFrame, activity: D
         F.max(F.col("compute_family") == "SERVERLESS").alias("is_serverless"),
     )
     p = p.withColumns({"analysis_days": F.lit(days), "days_since_activity": F.date_diff(end, "last_activity")})
-    job = runs.groupBy(F.concat(F.lit("JOB:"), "job_id").alias("entity_key")).agg(F.count(F.lit(1)).alias("run_count"), F.count_if("is_failed").alias("failed_runs"), rounded(F.avg("duration_minutes"), 4).alias("avg_minutes"))
-    house = activity.groupBy(F.concat(F.lit("WAREHOUSE:"), "warehouse_id").alias("entity_key")).agg(F.sum("query_count").alias("query_count"), F.sum("active_hours").alias("active_hours"))
-    config = clusters.select(F.concat(F.lit("CLUSTER:"), "cluster_id").alias("entity_key"), "worker_count", "auto_termination_minutes", "dbr_version", F.coalesce(F.col("max_autoscale_workers") > F.col("min_autoscale_workers"), F.lit(False)).alias("is_autoscale"))
-    return p.join(config, "entity_key", "left").join(job, "entity_key", "left").join(house, "entity_key", "left")
+    job = runs.groupBy("workspace_id", F.concat(F.lit("JOB:"), "job_id").alias("entity_key")).agg(F.count(F.lit(1)).alias("run_count"), F.count_if("is_failed").alias("failed_runs"), rounded(F.avg("duration_minutes"), 4).alias("avg_minutes"))
+    house = activity.groupBy("workspace_id", F.concat(F.lit("WAREHOUSE:"), "warehouse_id").alias("entity_key")).agg(F.sum("query_count").alias("query_count"), F.sum("active_hours").alias("active_hours"))
+    config = clusters.select(F.concat(F.lit("CLUSTER:"), "cluster_id").alias("entity_key"), "worker_count", "auto_termination_minutes", "dbr_version", "is_autoscale")
+    return p.join(config, "entity_key", "left").join(job, ["entity_key", "workspace_id"], "left").join(house, ["entity_key", "workspace_id"], "left")
 
 
 def recommendations(profile: DataFrame, c: RuleConfig = RuleConfig()) -> DataFrame:

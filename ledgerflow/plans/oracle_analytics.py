@@ -137,10 +137,10 @@ recent AS (SELECT entity_key, workspace_id, max(entity_type) AS entity_type, max
   FROM fact WHERE usage_date BETWEEN DATE '2001-08-01' - 364 AND DATE '2001-08-01' GROUP BY 1, 2),
 cfg AS (SELECT 'CLUSTER:' || user_id AS entity_key, k % 10 AS worker_count, CASE WHEN k % 5 <> 0 THEN (k * 3) % 200 END AS auto_termination_minutes, (k % 6 + 11) || '.3.x-scala2.12' AS dbr_version, k % 3 = 0 AND k % 8 > k % 4 AS is_autoscale
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)),
-jobstat AS (SELECT 'JOB:' || job_id AS entity_key, count(*) AS run_count, count(*) FILTER (is_failed) AS failed_runs, {rnd("avg(duration_minutes)", 4)} AS avg_minutes FROM runs GROUP BY 1),
-house AS (SELECT 'WAREHOUSE:' || warehouse_id AS entity_key, CAST(sum(query_count) AS BIGINT) AS query_count, CAST(sum(active_hours) AS BIGINT) AS active_hours FROM activity GROUP BY 1),
+jobstat AS (SELECT workspace_id, 'JOB:' || job_id AS entity_key, count(*) AS run_count, count(*) FILTER (is_failed) AS failed_runs, {rnd("avg(duration_minutes)", 4)} AS avg_minutes FROM runs GROUP BY 1, 2),
+house AS (SELECT workspace_id, 'WAREHOUSE:' || warehouse_id AS entity_key, CAST(sum(query_count) AS BIGINT) AS query_count, CAST(sum(active_hours) AS BIGINT) AS active_hours FROM activity GROUP BY 1, 2),
 profiles AS (SELECT r.*, 365 AS analysis_days, CAST(date_diff('day', last_activity, DATE '2001-08-01') AS INT) AS days_since_activity, worker_count, auto_termination_minutes, dbr_version, is_autoscale, run_count, failed_runs, avg_minutes, query_count, active_hours
-  FROM recent r LEFT JOIN cfg USING (entity_key) LEFT JOIN jobstat USING (entity_key) LEFT JOIN house USING (entity_key)),
+  FROM recent r LEFT JOIN cfg USING (entity_key) LEFT JOIN jobstat USING (entity_key, workspace_id) LEFT JOIN house USING (entity_key, workspace_id)),
 monthly AS (SELECT *, cost_usd / 365 * 30 AS m FROM profiles)"""
 )
 _RULES = [
@@ -184,10 +184,15 @@ _FACT_TOTALS = f"SELECT usage_date, {usd('total_cost_usd')} AS cost FROM fact GR
 _ORDER_TOTALS = f"SELECT CAST(o_orderdate AS DATE) AS usage_date, {usd('o_totalprice')} AS cost FROM orders GROUP BY 1"
 _STATUS_TAIL = STATUS[len(FACT) :]
 _COVERAGE_TAIL = COVERAGE[len(FACT) :]
-_ALERTS = " UNION ALL ".join(
+_BUDGET_ALERTS = " UNION ALL ".join(
     [
         alert("BUDGET_THRESHOLD", "CASE WHEN consumed_pct >= 100 THEN 'critical' WHEN consumed_pct >= 90 THEN 'high' WHEN consumed_pct >= 80 THEN 'medium' ELSE 'low' END", "budget_id", "consumed_pct", "threshold_reached", "status WHERE threshold_reached IS NOT NULL", "budget_id || '|' || period_start || '|' || CAST(threshold_reached AS INT)"),
         alert("FORECAST_OVERRUN", "CASE WHEN (projected - amount) / amount >= 0.2 THEN 'high' ELSE 'medium' END", "budget_id", "(projected - amount) / amount", "0.05", "status WHERE amount > 0 AND consumed_pct < 100 AND (projected - amount) / amount >= 0.05", "budget_id || '|' || period_start"),
+    ]
+)
+_ALERTS = " UNION ALL ".join(
+    [
+        _BUDGET_ALERTS,
         _ANOMALY_ALERT,
         alert("DAILY_SPEND_SPIKE", _SPIKE_LEVEL, "CAST(usage_date AS VARCHAR)", "cost", "mean", _SPIKE.format(_FACT_TOTALS, 0.01)),
         alert("NEW_EXPENSIVE_ENTITY", "CASE WHEN lc >= 60 THEN 'high' ELSE 'medium' END", "entity_key || '@' || workspace_id", "lc", "20", f"(SELECT entity_key, workspace_id, min(usage_date) AS f, {usd('total_cost_usd')} AS lc FROM fact GROUP BY 1, 2) WHERE date_diff('day', f, DATE '2001-08-01') <= 60 AND lc >= 20"),
@@ -214,6 +219,19 @@ ORACLE_SQL = {
     "t11_seasonal_naive": f"WITH RECURSIVE {forecasts('seasonal_naive', False, 10)}",
     "t12_moving_average": f"WITH RECURSIVE {forecasts('moving_average', False, 5)}",
     "b6_budget_status": f"WITH {STATUS} SELECT * FROM status",
+    "w7_latest_budgets": f"WITH {STATUS} SELECT *, DATE '2001-07-20' AS as_of_date FROM status",
+    "t15_budget_with_forecast": f"""WITH d AS (SELECT CAST(ts AS DATE) AS usage_date, event_type, value FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'), o AS (SELECT usage_date, {usd("value")} AS cost FROM d GROUP BY 1),
+      m AS (SELECT {rnd("avg(cost)", 4)} AS v FROM (SELECT cost FROM o ORDER BY usage_date DESC LIMIT 7)),
+      b AS (SELECT 'org' AS budget_id, 'ORGANIZACION' AS scope, 90000.0::DOUBLE AS amount, {usd("value")} AS act, count(DISTINCT usage_date) AS days FROM d UNION ALL SELECT 'clicks', 'team=click', 20000.0, {usd("value")}, count(DISTINCT usage_date) FROM d WHERE event_type = 'click'),
+      r AS (SELECT *, act / days AS rate, CASE budget_id WHEN 'org' THEN 11 * (SELECT v FROM m) ELSE 11 * act / days END AS rest FROM b),
+      p AS (SELECT *, {rnd("(act + rest)", 4)} AS projected, {rnd("(act / amount * 100)", 4)} AS consumed_pct FROM r), q AS (SELECT *, {rnd("(projected / amount * 100)", 4)} AS projected_pct FROM p)
+      SELECT budget_id, scope, 'month' AS period, DATE '2024-01-01' AS period_start, DATE '2024-01-31' AS period_end, amount, {rnd("act", 4)} AS actual, projected, consumed_pct, projected_pct, {rnd("(amount - projected)", 4)} AS variance, 20 AS elapsed_days, 11 AS remaining_days, 31 AS total_days, {rnd("(20 / 31 * 100)", 4)} AS progress_pct,
+      {rnd("(greatest(0, amount - act) / 11)", 4)} AS required_daily, CAST(CASE WHEN amount - act <= 0 THEN 0 ELSE floor((amount - act) / rate + 1e-9) END AS INT) AS days_to_exhaustion, list_max(list_filter([50.0::DOUBLE, 80, 90, 100], lambda t: t <= consumed_pct)) AS threshold_reached,
+      CASE WHEN consumed_pct >= 100 THEN 'EXCEEDED' WHEN consumed_pct >= 90 OR projected_pct >= 100 THEN 'CRITICAL' WHEN consumed_pct >= 50 OR projected_pct >= 90 THEN 'WARNING' ELSE 'OK' END AS status, projected_pct <= 100 AS on_track FROM q""",
+    "a16_cost_series": f"WITH {FACT} " + " UNION ALL ".join(f"SELECT '{d}' AS dimension, {d} AS dim_value, usage_date, {usd('total_cost_usd')} AS cost FROM fact GROUP BY 2, 3" for d in ("team", "sku_group", "environment")),
+    "q10_tables": "SELECT 'table_exists' AS check_name, t AS table_name, n > 0 AS passed, CAST(n > 0 AS DOUBLE) AS observed, CAST(1 AS DOUBLE) AS threshold, 'error' AS severity FROM (SELECT 'lineitem' AS t, count(*) AS n FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'absent', 0)",
+    "q5_unpriced_usage": f"WITH {PRICED} SELECT sku_name, billing_origin_product, usage_unit, cloud, count(*) AS records, sum(usage_quantity) AS quantity, min(usage_date) AS first_seen, max(usage_date) AS last_seen FROM tagged WHERE price_missing GROUP BY 1, 2, 3, 4",
+    "l15_reloaded_alerts": f"WITH {STATUS}, {anomalies(True, 'mad', None)} {_BUDGET_ALERTS} UNION ALL {_ANOMALY_ALERT} AND severity IN ('high', 'critical') AND usage_date >= DATE '2024-01-30' - 8",
     "c3_chargeback": f"WITH {chargeback('proportional', 'proportional', 0.05)} SELECT {_LINE_COLUMNS} FROM lines",
     "c3_chargeback_none": f"WITH {chargeback('none', 'even', 0.0)} SELECT {_LINE_COLUMNS} FROM lines",
     "c4_reconciliation": f"WITH {chargeback('proportional', 'proportional', 0.05)}, a AS (SELECT year_month, {usd('total_usd')} AS allocated FROM lines GROUP BY 1), b AS (SELECT year_month, {usd('total_cost_usd')} AS source FROM fact GROUP BY 1) SELECT year_month, source, allocated, abs(allocated - source * 1.05) <= greatest(0.01, abs(source * 1.05) * 1e-6) AS reconciles FROM b JOIN a USING (year_month)",

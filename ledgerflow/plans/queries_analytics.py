@@ -9,6 +9,7 @@ from ledgerflow.functions.exprs import money
 from ledgerflow.operators import alerts, budgets, facts, quality, recommend, series
 from ledgerflow.operators.budgets import Budget
 from ledgerflow.plans import model
+from ledgerflow.sources import readers, stored
 from ledgerflow.sources import tables as T
 
 ANOMALY = series.AnomalyConfig(score_threshold=2.0, min_pct_change=0.2)
@@ -56,13 +57,53 @@ def t12_moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return budgets.budget_status(model.fact(spark, sf_dir), BUDGETS, AS_OF)
+    # the widest period of the budgets is the year
+    return budgets.budget_status(model.fact(spark, sf_dir, ("2001-01-01", AS_OF)), BUDGETS, AS_OF)
 
 
 def b6_budget_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _status(spark, sf_dir)
 
 
+def _budget_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluations of three days, from one stored fact."""
+    costs = stored.written(model.fact(spark, sf_dir, ("2001-01-01", AS_OF)).select("usage_date", "total_cost_usd", "sku_group", "team", "environment", "cost_center"))
+    days = ("2001-06-10", "2001-07-10", AS_OF)
+    return alerts.union_all([budgets.budget_status(costs, BUDGETS, d).withColumn("as_of_date", F.lit(d).cast("date")) for d in days])
+
+
+def w7_latest_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest evaluation of each budget out of a history of them."""
+    return budgets.latest_status(_budget_history(spark, sf_dir))
+
+
+def l15_reloaded_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts.reloaded(_budget_history(spark, sf_dir), series.anomalies(T.series(spark, sf_dir), ANOMALY), "2024-01-30")
+
+
+def t15_budget_with_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Budgets whose rest of the month comes from a forecast of the organisation's series."""
+    day = "2024-01-20"
+    costs = T.read(spark, sf_dir, "events").select(F.to_date("ts").alias("usage_date"), F.col("value").alias("total_cost_usd"), F.col("event_type").alias("team")).filter(F.col("usage_date") <= F.lit(day).cast("date"))
+    org = costs.groupBy(F.lit("all").alias("dimension"), F.lit("all").alias("dim_value"), "usage_date").agg(money(F.col("total_cost_usd")).alias("cost"))
+    ahead = series.forecasts(org, series.ForecastConfig(method="moving_average", weekly=False, min_history_days=7))
+    return budgets.budget_status(costs, (Budget("org", 90000.0), Budget("clicks", 20000.0, {"team": "click"})), day, ahead)
+
+
+def a16_cost_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.daily_series(model.fact(spark, sf_dir), ("team", "sku_group", "environment", "absent"))
+
+
+def q10_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existence checks of tables, one of which is not there."""
+    rows = [quality.table_exists(t, readers.read_source(spark, [f"{sf_dir}/{t}.parquet"], optional=True), spark) for t in ("lineitem", "orders", "absent")]
+    return alerts.union_all(rows)
+
+
+def q5_unpriced_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.unpriced(model.priced(spark, sf_dir))
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budgets.chargeback(model.fact(spark, sf_dir), shared=SHARED, overhead=0.05)
 
@@ -85,7 +126,7 @@ def c5_showback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     clusters = model.clusters(spark, sf_dir)
-    return recommend.profiles(model.fact(spark, sf_dir), clusters, model.runs(spark, sf_dir), model.activity(spark, sf_dir), T.AS_OF, 365)
+    return recommend.profiles(model.recent(spark, sf_dir, 365), clusters, model.runs(spark, sf_dir), model.activity(spark, sf_dir), T.AS_OF, 365)
 
 
 def a15_entity_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +157,9 @@ def q5_unpriced_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = model.fact(spark, sf_dir)
-    status = _status(spark, sf_dir)
+    """All rules over one fact, written once: every rule reads the few columns it needs of it."""
+    daily = stored.written(model.fact(spark, sf_dir))
+    status = budgets.budget_status(daily, BUDGETS, AS_OF)
     totals = daily.groupBy("usage_date").agg(money(F.col("total_cost_usd")).alias("cost"))
     parts = [
         alerts.budget_threshold(status),
@@ -128,7 +170,7 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         alerts.coverage_drop(facts.tag_coverage(daily)),
         alerts.data_quality(q9_quality_checks(spark, sf_dir)),
     ]
-    return alerts.union_all(parts)
+    return alerts.by_severity(alerts.union_all(parts))
 
 
 def l10_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +195,7 @@ def _admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def l11_admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.alert_log(_admitted(spark, sf_dir), CHANNELS).drop("threshold", "value")
+    return alerts.alert_log(_admitted(spark, sf_dir), CHANNELS).drop("threshold", "value", "created_at")
 
 
 def l13_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,4 +206,4 @@ def l16_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.digest(_admitted(spark, sf_dir))
 
 
-QUERIES = {n: f for n, f in list(globals().items()) if n[0] in "atbcrql" and n.split("_")[0][1:].isdigit()}
+QUERIES = {n: f for n, f in list(globals().items()) if n[0] in "atbcrqlw" and n.split("_")[0][1:].isdigit()}
