@@ -5,7 +5,7 @@ from __future__ import annotations
 from ledgerflow.plans.oracle_analytics import ADMITTED, FOUND, anomalies, chargeback
 from ledgerflow.plans.oracle_analytics import _CHANNEL as CHANNEL
 from ledgerflow.plans.oracle_analytics import STATUS
-from ledgerflow.plans.oracle_facts import ACTIVITY, COVERAGE, FACT, KPI, PRICED, RUN_COST, RUNS, rnd, usd
+from ledgerflow.plans.oracle_facts import COVERAGE, FACT, KPI, PRICED, RUN_COST, RUNS, USAGE, WAREHOUSE_COST, rnd, usd
 
 COST = usd("total_cost_usd")
 
@@ -24,16 +24,15 @@ def coverage(days: int, keys: str) -> str:
 
 _LINES = chargeback("proportional", "proportional", 0.05)
 _JOBS = f"""{PRICED}, {RUN_COST}, {RUNS}, jc AS (SELECT job_id, count(*) AS runs, count(*) FILTER (is_failed) AS failures, {rnd("avg(duration_minutes)", 4)} AS avg_minutes, {usd("run_cost_usd")} AS cost, {usd("CASE WHEN is_failed THEN run_cost_usd END")} AS failed_cost
-  FROM runs LEFT JOIN run_cost USING (job_id, run_id) GROUP BY 1), jobs AS (SELECT *, {pct("cost", "runs", 4)} AS cost_per_run, {pct("failures", "runs", 4)} AS failure_rate FROM jc)"""
-_WAREHOUSE = f"""{FACT}, {ACTIVITY}, c AS (SELECT day(usage_date) AS dd, entity_id AS warehouse_id, {COST} AS total_cost_usd FROM fact WHERE entity_type = 'WAREHOUSE' GROUP BY 1, 2),
-  q AS (SELECT day(query_date) AS dd, warehouse_id, sum(query_count) AS qc, sum(active_hours) AS ah FROM activity GROUP BY 1, 2),
-  w AS (SELECT warehouse_id, {COST} AS cost, CAST(sum(qc) AS BIGINT) AS queries, CAST(sum(ah) AS BIGINT) AS hours FROM c LEFT JOIN q USING (dd, warehouse_id) GROUP BY 1)"""
+  FROM runs LEFT JOIN run_cost USING (workspace_id, job_id, run_id) GROUP BY 1), jobs AS (SELECT *, {pct("cost", "runs", 4)} AS cost_per_run, {pct("failures", "runs", 4)} AS failure_rate FROM jc)"""
+_WAREHOUSE = f"""{WAREHOUSE_COST}, w AS (SELECT warehouse_id, {COST} AS cost, CAST(sum(query_count) AS BIGINT) AS queries, CAST(sum(active_hours) AS BIGINT) AS hours FROM house GROUP BY 1)"""
 _TAGS = f"""{PRICED}, tags AS (
-  SELECT record_id, total_cost_usd, 'costcenter' AS key, 'cost_center' AS dimension, 'Cost-Center' AS tag_key, CASE WHEN o_custkey % 11 = 0 THEN '  ' ELSE c_mktsegment END AS tag_value FROM tagged
-  UNION ALL SELECT record_id, total_cost_usd, 'equipo', 'team', 'equipo', CASE WHEN s_nationkey % 6 = 0 THEN 'n/a' ELSE 'team-' || (s_nationkey % 4) END FROM tagged
-  UNION ALL SELECT record_id, total_cost_usd, 'env', 'environment', 'ENV', CASE l_linenumber % 4 WHEN 0 THEN 'prod' WHEN 1 THEN 'Desarrollo' WHEN 2 THEN 'staging' ELSE 'lab' END FROM tagged)"""
-_INVENTORY = f"{_TAGS}, inv AS (SELECT key, dimension, string_agg(DISTINCT tag_key, ',') AS spellings, count(DISTINCT tag_value) AS distinct_values, {COST} AS cost FROM tags GROUP BY 1, 2)"
-_UNTAGGED = f"{PRICED}, un AS (SELECT entity_type, entity_id, workspace_id, {usd('list_cost_usd')} AS cost, count(*) AS records, CAST(3 AS BIGINT) AS tag_keys FROM tagged WHERE cost_center = 'SIN_ASIGNAR' AND team = 'SIN_ASIGNAR' AND project = 'SIN_ASIGNAR' GROUP BY 1, 2, 3)"
+  SELECT usage_date, total_cost_usd, 'costcenter' AS key, 'cost_center' AS dimension, 'Cost-Center' AS tag_key, CASE WHEN o_custkey % 11 = 0 THEN '  ' ELSE c_mktsegment END AS tag_value FROM tagged WHERE NOT bare
+  UNION ALL SELECT usage_date, total_cost_usd, 'equipo', 'team', 'equipo', CASE WHEN s_nationkey % 6 = 0 THEN 'n/a' ELSE 'team-' || (s_nationkey % 4) END FROM tagged WHERE NOT bare
+  UNION ALL SELECT usage_date, total_cost_usd, 'env', 'environment', 'ENV', CASE l_linenumber % 4 WHEN 0 THEN 'prod' WHEN 1 THEN 'Desarrollo' WHEN 2 THEN 'staging' ELSE 'lab' END FROM tagged WHERE NOT bare
+  UNION ALL SELECT usage_date, total_cost_usd, 'ticket', NULL, CASE WHEN l_linenumber % 2 = 0 THEN 'Ticket' ELSE 'ticket-' END, 'T' || (l_linenumber % 3) FROM tagged WHERE NOT bare)"""
+_INVENTORY = f"{_TAGS}, inv AS (SELECT key, dimension, string_agg(DISTINCT tag_key, ',' ORDER BY tag_key) AS spellings, count(DISTINCT tag_value) AS distinct_values, {COST} AS cost FROM tags GROUP BY 1, 2)"
+_UNTAGGED = f"{PRICED}, un AS (SELECT entity_type, entity_id, workspace_id, {usd('list_cost_usd')} AS cost, count(*) AS records, CAST(max(CASE WHEN bare THEN 0 ELSE 4 END) AS BIGINT) AS tag_keys FROM tagged WHERE cost_center = 'SIN_ASIGNAR' AND team = 'SIN_ASIGNAR' AND project = 'SIN_ASIGNAR' GROUP BY 1, 2, 3)"
 
 ORACLE_SQL = {
     "d2_latest_kpi": f"WITH {KPI} SELECT usage_date, total_cost_usd, mtd_cost_usd, {rnd('(coalesce(dod_change, 0) * 100)', 2)} AS dod_pct, {rnd('(coalesce(serverless_ratio, 0) * 100)', 2)} AS serverless_pct FROM kpi ORDER BY usage_date DESC LIMIT 1",
@@ -41,14 +40,14 @@ ORACLE_SQL = {
     "d4_cost_by_team": f"WITH {FACT} SELECT team, {COST} AS cost FROM fact WHERE {since(30)} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15",
     "d6_budget_now": f"WITH {STATUS} SELECT budget_id, scope, status, consumed_pct, projected_pct FROM status",
     "d7_actual_and_forecast": f"""WITH org AS (SELECT CAST(ts AS DATE) AS usage_date, {usd("value")} AS cost FROM events GROUP BY 1), m AS (SELECT avg(cost) AS v, max(usage_date) AS last FROM (SELECT * FROM org ORDER BY usage_date DESC LIMIT 7))
-      SELECT usage_date, cost AS amount, 'Real' AS series FROM org UNION ALL SELECT CAST(last + CAST(h AS INT) AS DATE), {rnd("v", 4)}, 'Pronostico' FROM (SELECT v, last, unnest(range(1, 46)) AS h FROM m)""",
+      SELECT usage_date, cost AS amount, 'Real' AS series FROM org WHERE {since(60, '2024-01-30')} UNION ALL SELECT CAST(last + CAST(h AS INT) AS DATE), {rnd("v", 4)}, 'Pronostico' FROM (SELECT v, last, unnest(range(1, 46)) AS h FROM m)""",
     "d8_recent_anomalies": f"WITH {anomalies(True, 'mad', None)} SELECT usage_date, dimension, dim_value, score, severity FROM anomalies WHERE {since(14, '2024-01-30')} ORDER BY usage_date DESC, abs(score) DESC, dimension, dim_value LIMIT 50",
     "d8_severe_anomalies": f"WITH {anomalies(True, 'mad', None)} SELECT usage_date, dimension, dim_value, score, severity FROM anomalies WHERE {since(14, '2024-01-30')} AND severity IN ('high', 'critical') ORDER BY usage_date DESC, abs(score) DESC, dimension, dim_value LIMIT 50",
     "d9_cost_by_entity": f"WITH {FACT} SELECT entity_key, entity_type, team, cost_center, environment, {COST} AS cost FROM fact WHERE {since(30)} GROUP BY ALL ORDER BY cost DESC, entity_key, team, cost_center, environment LIMIT 25",
     "d10_latest_chargeback": f"WITH {_LINES} SELECT year_month, unit, direct_usd, total_usd, pct_of_total FROM lines WHERE year_month = (SELECT max(year_month) FROM lines)",
     "d11_chargeback_year": f"WITH {_LINES} SELECT year_month, unit, total_usd FROM lines WHERE year_month >= '2000-09'",
     "d12_monthly_by_sku": f"WITH {FACT} SELECT year_month, sku_group, {COST} AS cost, sum(usage_quantity) AS dbus FROM fact WHERE usage_date >= DATE '2000-08-01' GROUP BY 1, 2",
-    "d13_cost_by_workspace": f"WITH {FACT} SELECT workspace_id, 'NATION_' || workspace_id AS workspace_name, {COST} AS cost FROM fact WHERE {since(30)} GROUP BY 1",
+    "d13_cost_by_workspace": f"WITH {FACT} SELECT workspace_id, CASE WHEN CAST(workspace_id AS INT) % 4 <> 0 THEN 'NATION_' || workspace_id END AS workspace_name, {COST} AS cost FROM fact WHERE {since(30)} GROUP BY 1",
     "d14_coverage_by_day": coverage(60, "usage_date, dimension"),
     "d15_costly_jobs": f"WITH {_JOBS} SELECT job_id, runs, failures, avg_minutes, cost, cost_per_run FROM jobs ORDER BY cost DESC, job_id LIMIT 30",
     "d16_warehouses": f"WITH {_WAREHOUSE} SELECT warehouse_id, cost, queries, hours, {pct('cost', 'queries', 4)} AS cost_per_query FROM w ORDER BY cost DESC, warehouse_id LIMIT 30",
@@ -62,9 +61,9 @@ ORACLE_SQL = {
       g AS (SELECT CAST(user_id AS VARCHAR) AS cluster_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
       SELECT cluster_id, cost, k % 10 AS worker_count, (k % 6 + 11) || '.3.x-scala2.12' AS dbr_version, CASE WHEN k % 5 <> 0 THEN (k * 3) % 200 END AS auto_termination_minutes FROM c LEFT JOIN g USING (cluster_id) ORDER BY cost DESC, cluster_id LIMIT 100""",
     "d25_run_log": "SELECT event_id, ts AS finished_at, event_type AS status FROM events WHERE ts >= TIMESTAMP '2024-01-24' ORDER BY ts DESC, event_id DESC LIMIT 200",
-    "d26_alert_log": f"WITH {ADMITTED} SELECT rule, severity, subject, fingerprint, outcome, CASE WHEN outcome = 'dispatched' THEN array_to_string({CHANNEL}, ',') ELSE '' END AS channels FROM admitted ORDER BY outcome, fingerprint, subject LIMIT 200",
+    "d26_alert_log": f"WITH {ADMITTED} SELECT TIMESTAMP '2024-01-31' AS created_at, rule, severity, subject, fingerprint, outcome, CASE WHEN outcome = 'dispatched' THEN array_to_string({CHANNEL}, ',') ELSE '' END AS channels FROM admitted ORDER BY outcome, fingerprint, subject LIMIT 200",
     "d27_coverage_by_dimension": coverage(30, "dimension"),
-    "d29_empty_tags": f"WITH {PRICED} SELECT {COST} AS cost, CAST(0 AS DOUBLE) AS cost_without_tags, count(DISTINCT entity_key) AS entities FROM tagged",
+    "d29_empty_tags": f"WITH {PRICED} SELECT {COST} AS cost, {usd('CASE WHEN bare THEN total_cost_usd END')} AS cost_without_tags, count(DISTINCT entity_key) AS entities FROM tagged",
     "v1_usage_live": f"WITH {PRICED} SELECT record_id, usage_date, entity_type, entity_id, sku_name, unit_price, list_cost_usd FROM tagged WHERE {since(90)}",
     "v2_tag_inventory": f"WITH {_INVENTORY} SELECT * FROM inv",
     "v3_coverage_live": coverage(90, "dimension, usage_date"),
@@ -78,8 +77,13 @@ ORACLE_SQL = {
     "e7_invoice": f"WITH {PRICED} SELECT strftime(usage_date, '%Y-%m') AS year_month, {usd('list_cost_usd')} AS list_usd, {usd('discount_usd')} AS discount_usd, {usd('effective_cost_usd')} AS effective_usd FROM tagged GROUP BY 1",
     "e8_attribution": f"WITH {PRICED} SELECT project, project_source, count(*) AS records, {COST} AS cost FROM tagged GROUP BY 1, 2",
     "e10_values_of_key": f"WITH {_TAGS} SELECT tag_value, count(*) AS records FROM tags WHERE key = 'equipo' GROUP BY 1",
-    "e11_unknown_keys": f"WITH {_TAGS} SELECT tag_key, count(*) AS records FROM tags WHERE dimension = 'environment' GROUP BY 1",
-    "e12_keys_by_resource": "SELECT 'CLUSTER' AS resource, 'Owner' AS k, count(DISTINCT CAST(json_extract(props, '$.k') AS INTEGER) % 5) AS values FROM events UNION ALL SELECT 'JOB', 'Proyecto', count(DISTINCT c_custkey % 3) FROM customer WHERE c_custkey % 2 = 0",
+    "e11_unknown_keys": f"WITH {_TAGS} SELECT tag_key, count(*) AS records FROM tags WHERE dimension IS NULL GROUP BY 1",
+    "e9_tag_keys": f"WITH {_TAGS} SELECT key, dimension, string_agg(DISTINCT tag_key, ',' ORDER BY tag_key) AS spellings, count(DISTINCT tag_value) AS distinct_values, {usd(f'CASE WHEN {since(30)} THEN total_cost_usd END')} AS cost_30_days FROM tags GROUP BY 1, 2",
+    "d30_unknown_keys_top": f"WITH {_TAGS} SELECT key, count(*) AS records, {COST} AS cost FROM tags WHERE dimension IS NULL GROUP BY 1 ORDER BY cost DESC, key LIMIT 30",
+    "e13_empty_tag_share": f"WITH {USAGE} SELECT count(*) AS records, count(*) FILTER (bare) AS without_tags, {rnd('(count(*) FILTER (bare) * 100.0 / count(*))', 4)} AS without_tags_pct FROM usage",
+    "e14e_copy_against_source": f"WITH {PRICED} SELECT 'copy' AS side, count(*) AS tranches, count(DISTINCT sku) AS skus FROM prices UNION ALL SELECT 'source', count(*), count(DISTINCT sku) FROM prices UNION ALL SELECT 'usage', count(*), count(DISTINCT sku_name) FROM usage",
+    "e15c_sample": f"WITH {FACT} SELECT usage_date, sku_group, entity_type, team, cost_center, {COST} AS cost, CAST(sum(record_count) AS BIGINT) AS records FROM fact WHERE {since(30)} GROUP BY 1, 2, 3, 4, 5 ORDER BY cost DESC, usage_date, sku_group, entity_type, team, cost_center LIMIT 50",
+    "e12_keys_by_resource": "SELECT 'CLUSTER' AS resource, 'Owner' AS k, count(DISTINCT CAST(json_extract(props, '$.k') AS INTEGER) % 5) AS values FROM events UNION ALL SELECT 'JOB', 'Proyecto', count(DISTINCT c_custkey % 3) FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'WAREHOUSE', 'Team', count(DISTINCT (s_suppkey + n) % 3) FROM supplier, (VALUES (0), (1)) v(n)",
     "e14b_unpriced_share": f"WITH {PRICED} SELECT count(*) AS records, count(*) FILTER (price_missing) AS unpriced, {rnd('(count(*) FILTER (price_missing) * 100.0 / count(*))', 4)} AS unpriced_pct, {rnd('(sum(CASE WHEN price_missing THEN usage_quantity ELSE 0 END) * 100 / sum(usage_quantity))', 4)} AS quantity_pct FROM tagged",
     "e14c_unpriced_in_list": f"WITH {PRICED} SELECT sku_name, coalesce(tranches, 0) AS tranches, coalesce(clouds, '') AS clouds FROM (SELECT DISTINCT sku_name FROM tagged WHERE price_missing) LEFT JOIN (SELECT sku AS sku_name, string_agg(DISTINCT cloud, ',' ORDER BY cloud) AS clouds, count(*) AS tranches FROM prices GROUP BY 1) USING (sku_name)",
     "e14d_outside_validity": f"WITH {PRICED}, p AS (SELECT sku_name, min(usage_date) AS first_use, max(usage_date) AS last_use FROM tagged WHERE price_missing GROUP BY 1), v AS (SELECT sku AS sku_name, CAST(min(a) AS DATE) AS valid_from, CAST(max(coalesce(b, TIMESTAMP '9999-12-31')) AS DATE) AS valid_to FROM prices GROUP BY 1) SELECT * FROM p JOIN v USING (sku_name) WHERE first_use < valid_from OR last_use >= valid_to",
@@ -87,6 +91,6 @@ ORACLE_SQL = {
     "e15a_freshness": "SELECT 'lineitem' AS table_name, count(*) AS rows, min(CAST(l_shipdate AS DATE)) AS first_day, max(CAST(l_shipdate AS DATE)) AS last_day FROM lineitem UNION ALL SELECT 'orders', count(*), min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)) FROM orders UNION ALL SELECT 'events', count(*), min(CAST(ts AS DATE)), max(CAST(ts AS DATE)) FROM events",
     "e15b_lag": f"WITH {FACT} SELECT CAST(date_diff('day', max(usage_date), DATE '2001-12-01') AS INT) AS lag_days, count(*) FILTER ({since(30)}) AS recent_rows FROM fact",
     "e16_month_by_team": f"WITH {FACT} SELECT team, {COST} AS cost FROM fact WHERE year_month = '2001-07' GROUP BY 1",
-    "e17_job_averages": f"WITH {PRICED}, {RUN_COST}, {RUNS} SELECT job_id, count(*) AS runs, {rnd('(' + usd('run_cost_usd') + ' / count(*))', 4)} AS avg_cost, {rnd('avg(duration_minutes)', 4)} AS avg_minutes FROM runs JOIN run_cost USING (job_id, run_id) GROUP BY 1",
+    "e17_job_averages": f"WITH {PRICED}, {RUN_COST}, {RUNS} SELECT job_id, count(*) AS runs, {rnd('(' + usd('run_cost_usd') + ' / count(*))', 4)} AS avg_cost, {rnd('avg(duration_minutes)', 4)} AS avg_minutes FROM runs JOIN run_cost USING (workspace_id, job_id, run_id) GROUP BY 1",
     "e18_no_owner": f"WITH {FACT} SELECT workspace_id, {COST} AS cost, count(DISTINCT entity_key) AS entities FROM fact WHERE owner = 'SIN_ASIGNAR' GROUP BY 1",
 }

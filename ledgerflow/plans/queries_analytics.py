@@ -188,7 +188,7 @@ def l7_pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = series.anomalies(T.series(spark, sf_dir), ANOMALY)
+    found = stored.written(series.anomalies(T.series(spark, sf_dir), ANOMALY))
     raw = alerts.cost_anomaly(found, "low").unionByName(alerts.cost_anomaly(found.filter("dimension = 'event_type'"), "low"))
     history = raw.filter("fingerprint < '8'").select("fingerprint", F.when(F.col("fingerprint") < "4", F.lit("2024-01-30 10:00:00")).otherwise(F.lit("2024-01-28 10:00:00")).cast("timestamp_ntz").alias("created_at"))
     return alerts.admit(raw, history, "2024-01-31 00:00:00", cap=3, least="low")

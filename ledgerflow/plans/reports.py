@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.exprs import money, money_if, normalise_key, ratio, rounded
+from ledgerflow.functions.exprs import lookup, money, money_if, normalise_key, ratio, rounded
 from ledgerflow.operators import facts, series
-from ledgerflow.operators.attribution import ALIASES, UNALLOCATED, alias_index
+from ledgerflow.operators.attribution import UNALLOCATED, alias_index
+from ledgerflow.plans import model
 from ledgerflow.plans import queries_analytics as A
+from ledgerflow.sources import stored
 from ledgerflow.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,8 +37,13 @@ def d2_latest_kpi(s: SparkSession, d: str) -> DataFrame:
     return k.orderBy(F.desc("usage_date")).limit(1).select("usage_date", "total_cost_usd", "mtd_cost_usd", pct(F.col("dod_change")).alias("dod_pct"), pct(F.col("serverless_ratio")).alias("serverless_pct"))
 
 
+def _kpis(s: SparkSession, d: str, days: int) -> DataFrame:
+    """KPIs of the last days. The 28 days of usage that rolling means reach back to, and the month's start, lie in the three months before."""
+    return facts.kpis(model.recent(s, d, days + 92)).filter(since(days))
+
+
 def d3_daily_cost(s: SparkSession, d: str) -> DataFrame:
-    return facts.kpis(model.fact(s, d)).filter(since(90)).select("usage_date", "total_cost_usd", "avg_7d_usd", "avg_28d_usd")
+    return _kpis(s, d, 90).select("usage_date", "total_cost_usd", "avg_7d_usd", "avg_28d_usd")
 
 
 def d4_cost_by_team(s: SparkSession, d: str) -> DataFrame:
@@ -51,7 +58,7 @@ def d7_actual_and_forecast(s: SparkSession, d: str) -> DataFrame:
     org = T.read(s, d, "events").groupBy(F.lit("ORGANIZACION").alias("dimension"), F.lit("ORGANIZACION").alias("dim_value"), F.to_date("ts").alias("usage_date")).agg(money(F.col("value")).alias("cost"))
     actual = org.select("usage_date", F.col("cost").alias("amount"), F.lit("Real").alias("series"))
     ahead = series.forecasts(org, series.ForecastConfig(method="moving_average", weekly=False)).select(F.col("forecast_date").alias("usage_date"), F.col("expected_cost").alias("amount"), F.lit("Pronostico").alias("series"))
-    return actual.unionByName(ahead)
+    return actual.filter(since(60, "2024-01-30")).unionByName(ahead)
 
 
 def newest_anomalies(found: DataFrame) -> DataFrame:
@@ -86,17 +93,17 @@ def d11_chargeback_year(s: SparkSession, d: str) -> DataFrame:
 
 
 def d12_monthly_by_sku(s: SparkSession, d: str) -> DataFrame:
-    f = model.fact(s, d).filter(F.col("usage_date") >= F.add_months(F.lit(T.AS_OF).cast("date"), -12))
+    f = model.fact(s, d, ("2000-08-01", "2999-12-31"))
     return f.groupBy("year_month", "sku_group").agg(usd().alias("cost"), F.sum("usage_quantity").alias("dbus"))
 
 
 def d13_cost_by_workspace(s: SparkSession, d: str) -> DataFrame:
-    names = T.read(s, d, "nation").select(F.col("n_nationkey").cast("string").alias("workspace_id"), F.col("n_name").alias("workspace_name"))
+    names = T.read(s, d, "nation").filter("n_nationkey % 4 <> 0").select(F.col("n_nationkey").cast("string").alias("workspace_id"), F.col("n_name").alias("workspace_name"))
     return model.recent(s, d, 30).groupBy("workspace_id").agg(usd().alias("cost")).join(facts.small(names), "workspace_id", "left")
 
 
 def _coverage(s: SparkSession, d: str, days: int, *keys: str) -> DataFrame:
-    c = facts.tag_coverage(model.fact(s, d)).filter(since(days))
+    c = facts.tag_coverage(model.recent(s, d, days))
     g = c.groupBy(*keys).agg(usd("attributed_cost_usd").alias("attributed"), usd("total_cost_usd").alias("total"))
     return g.select(*keys, ratio(F.col("attributed") * 100, F.col("total"), 2).alias("coverage_pct"))
 
@@ -140,7 +147,7 @@ def d20_recommendations(s: SparkSession, d: str) -> DataFrame:
 
 
 def d21_shares(s: SparkSession, d: str) -> DataFrame:
-    return facts.kpis(model.fact(s, d)).filter(since(90)).select("usage_date", rounded(F.col("serverless_ratio") * 100, 2).alias("serverless_pct"), rounded(F.col("all_purpose_ratio") * 100, 2).alias("all_purpose_pct"), rounded(F.col("allocated_ratio") * 100, 2).alias("coverage_pct"), "cost_per_dbu")
+    return _kpis(s, d, 90).select("usage_date", rounded(F.col("serverless_ratio") * 100, 2).alias("serverless_pct"), rounded(F.col("all_purpose_ratio") * 100, 2).alias("all_purpose_pct"), rounded(F.col("allocated_ratio") * 100, 2).alias("coverage_pct"), "cost_per_dbu")
 
 
 def d22_untagged_by_resource(s: SparkSession, d: str) -> DataFrame:
@@ -164,7 +171,13 @@ def d25_run_log(s: SparkSession, d: str) -> DataFrame:
 
 
 def d26_alert_log(s: SparkSession, d: str) -> DataFrame:
-    return A.l11_admitted(s, d).orderBy("outcome", "fingerprint", "subject").limit(200)
+    return newest_alerts(A.alerts.alert_log(A._admitted(s, d), A.CHANNELS), "2024-01-31")
+
+
+def newest_alerts(log: DataFrame, as_of: str) -> DataFrame:
+    """The 200 newest alerts of 14 days; ties by outcome, fingerprint and subject."""
+    recent = log.filter(F.col("created_at") >= F.date_sub(F.lit(as_of).cast("date"), 13).cast("timestamp_ntz"))
+    return recent.orderBy(F.desc("created_at"), "outcome", "fingerprint", "subject").limit(200).select("created_at", "rule", "severity", "subject", "fingerprint", "outcome", "channels")
 
 
 def d27_coverage_by_dimension(s: SparkSession, d: str) -> DataFrame:
@@ -178,20 +191,53 @@ def d29_empty_tags(s: SparkSession, d: str) -> DataFrame:
 
 
 def v1_usage_live(s: SparkSession, d: str) -> DataFrame:
-    return model.priced(s, d).filter(since(90)).select("record_id", "usage_date", "entity_type", "entity_id", "sku_name", "unit_price", "list_cost_usd")
+    return model.priced(s, d, model.last_days(90)).select("record_id", "usage_date", "entity_type", "entity_id", "sku_name", "unit_price", "list_cost_usd")
 
 
-def _tags(s: SparkSession, d: str) -> DataFrame:
-    u = T.usage(s, d).select("record_id", "usage_date", F.explode("custom_tags").alias("tag_key", "tag_value"))
+def _tags(rows: DataFrame) -> DataFrame:
+    """One row for each tag of usage rows; no join, so that a repeated record counts once for each of its rows."""
     known = {k: dim for dim, keys in alias_index().items() for k in keys}
     key = normalise_key(F.col("tag_key"))
-    return u.withColumns({"key": key, "dimension": F.element_at(F.create_map(*[F.lit(x) for p in known.items() for x in p]), key)})
+    return rows.select("*", F.explode("custom_tags").alias("tag_key", "tag_value")).withColumns({"key": key, "dimension": lookup(known, key)})
+
+
+def _spellings() -> list[Column]:
+    return [F.concat_ws(",", F.array_sort(F.collect_set("tag_key"))).alias("spellings"), F.count_distinct("tag_value").alias("distinct_values")]
 
 
 def v2_tag_inventory(s: SparkSession, d: str) -> DataFrame:
-    cost = model.priced(s, d).select("record_id", "total_cost_usd")
-    g = _tags(s, d).join(cost, "record_id").groupBy("key", "dimension").agg(F.concat_ws(",", F.array_sort(F.collect_set("tag_key"))).alias("spellings"), F.count_distinct("tag_value").alias("distinct_values"), usd().alias("cost"))
-    return g
+    return _tags(model.priced(s, d)).groupBy("key", "dimension").agg(*_spellings(), usd().alias("cost"))
+
+
+def e9_tag_keys(s: SparkSession, d: str) -> DataFrame:
+    """Keys with their spellings, values and the cost of the last 30 days."""
+    cost = money_if(since(30), F.col("total_cost_usd"))
+    return _tags(model.priced(s, d)).groupBy("key", "dimension").agg(*_spellings(), cost.alias("cost_30_days"))
+
+
+def d30_unknown_keys_top(s: SparkSession, d: str) -> DataFrame:
+    g = _tags(model.priced(s, d)).filter("dimension IS NULL").groupBy("key").agg(F.count(F.lit(1)).alias("records"), usd().alias("cost"))
+    return top(g, 30, "cost", "key")
+
+
+def e13_empty_tag_share(s: SparkSession, d: str) -> DataFrame:
+    bare = F.coalesce(F.size("custom_tags") <= 0, F.lit(True))
+    return T.usage(s, d).agg(F.count(F.lit(1)).alias("records"), F.count_if(bare).alias("without_tags"), ratio(F.count_if(bare) * 100.0, F.count(F.lit(1)), 4).alias("without_tags_pct"))
+
+
+def e14e_copy_against_source(s: SparkSession, d: str) -> DataFrame:
+    """Tranches and SKUs of the price list as ingested, and the SKUs of the usage it serves."""
+    copy = stored.written(T.prices(s))
+    listed = copy.agg(F.lit("copy").alias("side"), F.count(F.lit(1)).alias("tranches"), F.count_distinct("sku_name").alias("skus"))
+    source = T.prices(s).agg(F.lit("source").alias("side"), F.count(F.lit(1)).alias("tranches"), F.count_distinct("sku_name").alias("skus"))
+    used = T.usage(s, d).agg(F.lit("usage").alias("side"), F.count(F.lit(1)).alias("tranches"), F.count_distinct("sku_name").alias("skus"))
+    return listed.unionByName(source).unionByName(used)
+
+
+def e15c_sample(s: SparkSession, d: str) -> DataFrame:
+    keys = ("usage_date", "sku_group", "entity_type", "team", "cost_center")
+    g = model.recent(s, d, 30).groupBy(*keys).agg(usd().alias("cost"), F.sum("record_count").alias("records"))
+    return top(g, 50, "cost", *keys)
 
 
 def v3_coverage_live(s: SparkSession, d: str) -> DataFrame:
@@ -225,7 +271,7 @@ def e2_teams(s: SparkSession, d: str) -> DataFrame:
 
 
 def e3_one_day(s: SparkSession, d: str) -> DataFrame:
-    g = model.fact(s, d).filter(F.col("usage_date") == F.lit("2001-07-15").cast("date")).groupBy("sku_group", "entity_key", "team").agg(usd().alias("cost"))
+    g = model.fact(s, d, ("2001-07-15", "2001-07-15")).groupBy("sku_group", "entity_key", "team").agg(usd().alias("cost"))
     return top(g, 50, "cost", "sku_group", "entity_key", "team")
 
 
@@ -238,18 +284,17 @@ def e8_attribution(s: SparkSession, d: str) -> DataFrame:
 
 
 def e10_values_of_key(s: SparkSession, d: str) -> DataFrame:
-    return _tags(s, d).filter("key = 'equipo'").groupBy("tag_value").agg(F.count(F.lit(1)).alias("records"))
+    return _tags(T.usage(s, d)).filter("key = 'equipo'").groupBy("tag_value").agg(F.count(F.lit(1)).alias("records"))
 
 
 def e11_unknown_keys(s: SparkSession, d: str) -> DataFrame:
-    known = [k for keys in alias_index({k: v for k, v in ALIASES.items() if k != "environment"}).values() for k in keys]
-    return _tags(s, d).filter(~F.col("key").isin(known)).groupBy("tag_key").agg(F.count(F.lit(1)).alias("records"))
+    return _tags(T.usage(s, d)).filter("dimension IS NULL").groupBy("tag_key").agg(F.count(F.lit(1)).alias("records"))
 
 
 def e12_keys_by_resource(s: SparkSession, d: str) -> DataFrame:
-    clusters = T.cluster_history(s, d).select(F.lit("CLUSTER").alias("resource"), F.explode("tags").alias("k", "v"))
-    jobs = T.jobs(s, d).select(F.lit("JOB").alias("resource"), F.explode("tags").alias("k", "v"))
-    return clusters.unionByName(jobs).groupBy("resource", "k").agg(F.count_distinct("v").alias("values"))
+    sources = (("CLUSTER", T.cluster_history(s, d)), ("JOB", T.jobs(s, d)), ("WAREHOUSE", T.warehouse_history(s, d)))
+    rows = [df.select(F.lit(name).alias("resource"), F.explode("tags").alias("k", "v")) for name, df in sources]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("resource", "k").agg(F.count_distinct("v").alias("values"))
 
 
 def e14b_unpriced_share(s: SparkSession, d: str) -> DataFrame:
@@ -260,7 +305,7 @@ def e14b_unpriced_share(s: SparkSession, d: str) -> DataFrame:
 
 def e14c_unpriced_in_list(s: SparkSession, d: str) -> DataFrame:
     skus = model.priced(s, d).filter("price_missing").select("sku_name").distinct()
-    p = T.prices(s).groupBy("sku_name").agg(F.concat_ws(",", F.array_sort(F.collect_set("cloud"))).alias("clouds"), F.count(F.lit(1)).alias("tranches"))
+    p = T.prices(s).groupBy("sku_name").agg(F.concat_ws(",", F.array_sort(F.collect_set(F.upper("cloud")))).alias("clouds"), F.count(F.lit(1)).alias("tranches"))
     return skus.join(facts.small(p), "sku_name", "left").select("sku_name", F.coalesce("tranches", F.lit(0)).alias("tranches"), F.coalesce("clouds", F.lit("")).alias("clouds"))
 
 
@@ -286,7 +331,7 @@ def e15b_lag(s: SparkSession, d: str) -> DataFrame:
 
 
 def e16_month_by_team(s: SparkSession, d: str) -> DataFrame:
-    return model.fact(s, d).filter("year_month = '2001-07'").groupBy("team").agg(usd().alias("cost"))
+    return model.fact(s, d, ("2001-07-01", "2001-07-31")).groupBy("team").agg(usd().alias("cost"))
 
 
 def e17_job_averages(s: SparkSession, d: str) -> DataFrame:
