@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-import tempfile
-import types
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -15,8 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bytes of text handled at once inside a task; a longer single text is handled alone.
-SLICE_BYTES = 1 << 20
+from ledgerflow.sources.readers import spread
+from ledgerflow.sources.stored import Scratch, written  # noqa: F401 - for the operators beside
+
+#: Bytes of text and rows handled at once inside a task; a longer single text is handled alone.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 512
 
 _TEXT = "__text"
 
@@ -24,7 +23,7 @@ _TEXT = "__text"
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     # Python workers find the package where the driver has it
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
@@ -38,26 +37,18 @@ def fold(id_col: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder of ``spark.checkpoint.dir``; set one only where none is configured."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+def own(df: DataFrame, columns: list[str], name: str = "__page") -> Column:
+    """The caller's columns as one struct: whatever their names, they meet none of an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias(name) if columns else F.struct(F.lit(0).alias("__none")).alias(name)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` computed once, written as Parquet below the shared checkpoint folder, and read again."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def with_own(columns: list[str], name: str = "__page") -> list[Column]:
+    """The columns that ``own`` packed, by their names."""
+    return [F.col(f"`{name}`.`{c}`").alias(c) for c in columns]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a record batch so that each part holds about ``limit`` bytes of ``column``, or one row."""
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Cut a record batch so that each part holds about ``limit`` bytes of ``column``, or one row, and at most ``rows`` rows."""
     n = batch.num_rows
     if n == 0:
         return
@@ -65,7 +56,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     start = 0
     while start < n:
         stop = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
-        stop = min(n, max(stop, start + 1))
+        stop = min(n, start + rows, max(stop, start + 1))
         yield batch.slice(start, stop - start)
         start = stop
 
@@ -101,13 +92,16 @@ def map_texts(
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
     fields = [f for c in kept for f in df.schema.fields if f.name == c]
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in new)])
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias(_TEXT))
+    # a text that is kept travels once
+    twice = text_col not in kept or df.schema[text_col].dataType != T.StringType()
+    source = df.select(*[F.col(f"`{c}`") for c in kept], *([F.col(f"`{text_col}`").cast("string").alias(_TEXT)] if twice else []))
+    column = _TEXT if twice else text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in slices(batch, _TEXT, limit):
-                texts = part.column(_TEXT)
+            for part in slices(batch, column, limit):
+                texts = part.column(column)
                 arrays = [part.column(i) for i in range(len(kept))] + work(texts)
                 yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *names])
 
@@ -156,21 +150,17 @@ class Words:
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
-
-
-def _kept() -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Tables that live as long as the worker process: functions that travel by value have globals of their own."""
-    return sys.modules.setdefault("ledgerflow_process_tables", types.ModuleType("ledgerflow_process_tables")).__dict__.setdefault("powers", {})
+#: Power tables of this worker process, the largest size met so far.
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     size = max(SLICE_BYTES * 2, 1 << (max(1, n) - 1).bit_length())
-    tables = _kept()
-    if size not in tables:
-        tables.clear()
+    if size not in _TABLES:
+        _TABLES.clear()
         with np.errstate(over="ignore"):
-            tables[size] = tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (_BASE, _INVERSE))
-    return tables[size]
+            _TABLES[size] = tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (_BASE, _INVERSE))
+    return _TABLES[size]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
