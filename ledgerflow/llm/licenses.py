@@ -20,7 +20,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import literal_rows
+from ledgerflow.llm.common import literal_rows, own, with_own
 
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,6 +40,8 @@ NOTICES = (
     ("mpl-2.0-text", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 SHORT, LONG = 2, 5
+#: Distinct hashes that are checked before the join, and template rows that are broadcast, at most.
+LISTED, BROADCAST_ROWS = 5_000, 200_000
 
 
 def _words(text: str) -> list[str]:
@@ -72,55 +74,61 @@ def _key(k: str, gram: str) -> Column:
     return F.when(F.col(k) == SHORT, short).otherwise(long)
 
 
-def _grams(words: Column, k: int, wanted: list[int]) -> Column:
-    """Structs (pos, k, gram) of the rolling k-grams whose hash is wanted."""
+def _grams(words: Column, k: int, wanted: list[int] | None) -> Column:
+    """Structs (pos, k, gram) of all rolling k-grams, or of those whose hash is wanted."""
     places = F.when(F.size(words) >= k, F.sequence(F.lit(1), F.size(words) - (k - 1))).otherwise(F.array().cast("array<int>"))
-    kept = F.filter(places, lambda i: F.xxhash64(*[F.get(words, i + (j - 1)) for j in range(k)]).isin(wanted))
-    return F.transform(kept, lambda i: F.struct((i - 1).alias("pos"), F.lit(k).alias("k"), F.slice(words, i, F.lit(k)).alias("gram")))
+    if wanted is not None:
+        places = F.filter(places, lambda i: F.xxhash64(*[F.get(words, i + (j - 1)) for j in range(k)]).isin(wanted))
+    return F.transform(places, lambda i: F.struct((i - 1).alias("pos"), F.lit(k).alias("k"), F.slice(words, i, F.lit(k)).alias("gram")))
 
 
-def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, text_col: str = "text", least: float = 0.8, slack: int = 3, keep: list[str] | None = None) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, text_col: str = "text", least: float = 0.8, slack: int = 3, keep: list[str] | None = None, listed: int = LISTED, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with n_words, spans (template, label, base, first, last, coverage), base_starts, base_labels, labels and score.
 
-    ``templates`` come from ``template_table``; they are a fixed library, small enough to broadcast.
+    ``templates`` come from ``template_table``. They are broadcast up to ``broadcast_rows`` rows and
+    joined by shuffle beyond; up to ``listed`` distinct hashes are also checked before the join, so
+    that only grams which meet a template leave their text. Other columns travel in one struct.
     """
     new = ("n_words", "spans", "base_starts", "base_labels", "labels", "score")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     templates = template_table(docs.sparkSession) if templates is None else templates
-    wanted: dict[int, list[int]] = {}
-    for r in templates.select("t_k", "t_key").distinct().collect():
-        wanted.setdefault(r["t_k"], []).append(r["t_key"])
+    keys = templates.select("t_k", "t_key").distinct().limit(listed + 1).collect()
+    wanted = {k: sorted(r["t_key"] for r in keys if r["t_k"] == k) if len(keys) <= listed else None for k in (SHORT, LONG)}
+    size = templates.limit(broadcast_rows + 1).count()
+    templates = templates.select(*[F.col(c).alias(f"__{c}") for c in ("template", "label", "base", "t_size", "t_pos", "t_k", "t_gram", "t_key")])
     # the Kelvin sign is the one letter outside A-Z that lower() turns into ASCII
     text = F.replace(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit("\u212a"), F.lit("\ufffc"))
-    columns = [F.col(f"`{c}`") for c in kept]
-    cut = docs.select(F.monotonically_increasing_id().alias("__row"), *columns, F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0)).alias("__words"))
-    found = F.concat(*[_grams(F.col("__words"), k, sorted(keys)) for k, keys in sorted(wanted.items())])
-    rolled = cut.select("__row", *columns, F.size("__words").cast("long").alias("n_words"), found.alias("__grams"))
-    rows = rolled.select("__row", *columns, "n_words", F.explode_outer("__grams").alias("__g")).withColumns({"k": F.col("__g.k"), "gram": F.col("__g.gram"), "pos": F.col("__g.pos")}).drop("__g")
-    same = (F.col("__key") == F.col("t_key")) & (F.col("k") == F.col("t_k")) & (F.col("gram") == F.col("t_gram"))
-    met = rows.withColumn("__key", _key("k", "gram")).join(F.broadcast(templates), same, "left").withColumn("diagonal", F.col("pos") - F.col("t_pos"))
+    cut = docs.select(F.monotonically_increasing_id().alias("__row"), own(docs, kept), F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0)).alias("__words"))
+    found = F.concat(*[_grams(F.col("__words"), k, wanted[k]) for k in (SHORT, LONG)])
+    rolled = cut.select("__row", "__page", F.size("__words").cast("long").alias("__n"), found.alias("__grams"))
+    rows = rolled.select("__row", "__page", "__n", F.explode_outer("__grams").alias("__g")).select("__row", "__page", "__n", F.col("__g.k").alias("__k"), F.col("__g.gram").alias("__gram"), F.col("__g.pos").alias("__pos"))
+    same = (F.col("__key") == F.col("__t_key")) & (F.col("__k") == F.col("__t_k")) & (F.col("__gram") == F.col("__t_gram"))
+    met = rows.withColumn("__key", _key("__k", "__gram")).join(F.broadcast(templates) if size <= broadcast_rows else templates, same, "left").withColumn("__diagonal", F.col("__pos") - F.col("__t_pos"))
     # all that follows is about one row of docs at a time, so one shuffle serves it
     met = met.repartition("__row")
-    page = [F.first(F.col(f"`{c}`")).alias(c) for c in [*kept, "n_words"]]
-    facts = [F.first(c).alias(c) for c in ("label", "base", "t_size")]
-    votes = met.groupBy("__row", "template", "diagonal").agg(*page, *facts, F.count_distinct("t_pos").alias("votes"), F.min("pos").alias("first"), F.max(F.col("pos") + F.col("k") - 1).alias("last"))
-    by_place = Window.partitionBy("__row", "template").orderBy("diagonal")
-    opens = F.when(F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(by_place) > slack), 1).otherwise(0)
+    page = [F.first(c).alias(c) for c in ("__page", "__n")]
+    facts = [F.first(c).alias(c) for c in ("__label", "__base", "__t_size")]
+    votes = met.groupBy("__row", "__template", "__diagonal").agg(*page, *facts, F.collect_set("__t_pos").alias("__votes"), F.min("__pos").alias("__first"), F.max(F.col("__pos") + F.col("__k") - 1).alias("__last"))
+    by_place = Window.partitionBy("__row", "__template").orderBy("__diagonal")
+    opens = F.when(F.col("__base") | (F.col("__diagonal") - F.lag("__diagonal").over(by_place) > slack), 1).otherwise(0)
     numbered = votes.withColumn("__opens", opens).withColumn("__group", F.sum("__opens").over(by_place))
-    merged = numbered.groupBy("__row", "template", "__group").agg(*page, *facts, F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
-    coverage = F.least(F.lit(1.0), F.col("votes") / F.col("t_size"))
-    verified = (F.col("base") & (F.col("votes") == F.col("t_size"))) | (~F.col("base") & (coverage >= least))
-    span = F.when(verified, F.struct("template", "label", "base", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), coverage.alias("coverage")))
-    per_doc = merged.groupBy("__row").agg(*page, F.array_sort(F.collect_list(span)).alias("spans"), F.max(F.when(F.col("template").isNotNull(), coverage)).alias("best"))
-    base = F.filter("spans", lambda s: s["base"])
+    # a k-gram of the template counts once, on however many of the merged diagonals it was met
+    distinct = F.size(F.array_distinct(F.flatten(F.collect_list("__votes"))))
+    merged = numbered.groupBy("__row", "__template", "__group").agg(*page, *facts, distinct.alias("__votes"), F.min("__first").alias("__first"), F.max("__last").alias("__last"))
+    coverage = F.col("__votes") / F.col("__t_size")
+    verified = (F.col("__base") & (F.col("__votes") == F.col("__t_size"))) | (~F.col("__base") & (coverage >= least))
+    named = [F.col(f"__{c}").alias(c) for c in ("template", "label", "base")]
+    span = F.when(verified, F.struct(*named, F.col("__first").cast("long").alias("first"), F.col("__last").cast("long").alias("last"), coverage.alias("coverage")))
+    per_doc = merged.groupBy("__row").agg(*page, F.array_sort(F.collect_list(span)).alias("__spans"), F.max(F.when(F.col("__template").isNotNull(), coverage)).alias("__best"))
+    base = F.filter("__spans", lambda s: s["base"])
     return per_doc.select(
-        *kept,
-        "n_words",
-        "spans",
+        *with_own(kept),
+        F.col("__n").alias("n_words"),
+        F.col("__spans").alias("spans"),
         F.array_sort(F.transform(base, lambda s: s["first"])).alias("base_starts"),
         F.array_sort(F.array_distinct(F.transform(base, lambda s: s["label"]))).alias("base_labels"),
-        F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["label"]))).alias("labels"),
-        F.coalesce("best", F.lit(0.0)).alias("score"),
+        F.array_sort(F.array_distinct(F.transform("__spans", lambda s: s["label"]))).alias("labels"),
+        F.coalesce("__best", F.lit(0.0)).alias("score"),
     )
 
 

@@ -77,10 +77,10 @@ t(template, label, base, t_size, t_pos, k, gram) AS (VALUES {_TEMPLATES}),
 places AS (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM d),
 g AS (SELECT rid, i - 1 AS pos, k, array_to_string(w[i:i + k - 1], ' ') AS gram FROM places, (VALUES (2), (5)) ks(k) WHERE i + k - 1 <= len(w)),
 m AS (SELECT rid, template, label, base, t_size, pos - t_pos AS diagonal, pos, t_pos FROM g JOIN t USING (k, gram)),
-v AS (SELECT rid, template, label, base, t_size, diagonal, count(DISTINCT t_pos) AS votes, min(pos) AS first FROM m GROUP BY ALL),
+v AS (SELECT rid, template, label, base, t_size, diagonal, list(DISTINCT t_pos) AS votes, min(pos) AS first FROM m GROUP BY ALL),
 o AS (SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER q > 3 THEN 1 ELSE 0 END AS opens FROM v WINDOW q AS (PARTITION BY rid, template ORDER BY diagonal)),
 n AS (SELECT *, sum(opens) OVER (PARTITION BY rid, template ORDER BY diagonal) AS grp FROM o),
-s AS (SELECT rid, template, label, base, t_size, grp, least(1.0, CAST(sum(votes) AS DOUBLE) / t_size) AS coverage, min(first) AS first FROM n GROUP BY rid, template, label, base, t_size, grp),
+s AS (SELECT rid, template, label, base, t_size, grp, CAST(len(list_distinct(flatten(list(votes)))) AS DOUBLE) / t_size AS coverage, min(first) AS first FROM n GROUP BY rid, template, label, base, t_size, grp),
 c AS (SELECT *, CASE WHEN base THEN coverage = 1 ELSE coverage >= 0.8 END AS ok FROM s)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, count(*) FILTER (ok AND base) AS n_base, min(first) FILTER (ok AND base) AS first_word, max(first) FILTER (ok AND base) AS last_word,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (ok AND base), '') AS base_labels, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (ok), '') AS labels, coalesce(max(coverage), 0) AS score
