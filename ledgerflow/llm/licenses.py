@@ -101,12 +101,15 @@ def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, text_col:
     cut = docs.select(F.monotonically_increasing_id().alias("__row"), own(docs, kept), F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0)).alias("__words"))
     found = F.concat(*[_grams(F.col("__words"), k, wanted[k]) for k in (SHORT, LONG)])
     rolled = cut.select("__row", "__page", F.size("__words").cast("long").alias("__n"), found.alias("__grams"))
-    rows = rolled.select("__row", "__page", "__n", F.explode_outer("__grams").alias("__g")).select("__row", "__page", "__n", F.col("__g.k").alias("__k"), F.col("__g.gram").alias("__gram"), F.col("__g.pos").alias("__pos"))
+    # only the first of a text's rows carries the caller's columns
+    opened = rolled.select("__row", "__page", "__n", F.posexplode_outer("__grams").alias("__i", "__g"))
+    page = F.when(F.coalesce("__i", F.lit(0)) == 0, F.col("__page")).alias("__page")
+    rows = opened.select("__row", page, "__n", F.col("__g.k").alias("__k"), F.col("__g.gram").alias("__gram"), F.col("__g.pos").alias("__pos"))
     same = (F.col("__key") == F.col("__t_key")) & (F.col("__k") == F.col("__t_k")) & (F.col("__gram") == F.col("__t_gram"))
     met = rows.withColumn("__key", _key("__k", "__gram")).join(F.broadcast(templates) if size <= broadcast_rows else templates, same, "left").withColumn("__diagonal", F.col("__pos") - F.col("__t_pos"))
     # all that follows is about one row of docs at a time, so one shuffle serves it
     met = met.repartition("__row")
-    page = [F.first(c).alias(c) for c in ("__page", "__n")]
+    page = [F.first("__page", ignorenulls=True).alias("__page"), F.first("__n").alias("__n")]
     facts = [F.first(c).alias(c) for c in ("__label", "__base", "__t_size")]
     votes = met.groupBy("__row", "__template", "__diagonal").agg(*page, *facts, F.collect_set("__t_pos").alias("__votes"), F.min("__pos").alias("__first"), F.max(F.col("__pos") + F.col("__k") - 1).alias("__last"))
     by_place = Window.partitionBy("__row", "__template").orderBy("__diagonal")

@@ -62,9 +62,13 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     lengths = F.filter(F.array(*[F.lit(n) for n in sizes["lengths"]]).cast("array<int>"), lambda n: n <= F.length("__path"))
     prefixes = F.transform(lengths, lambda n: F.substring(F.col("__path"), F.lit(1), n))
     expressions = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
-    named = base.withColumn("__expression", F.explode_outer(expressions)).withColumn("__digest", F.sha2("__expression", 256)).withColumn("__key", F.substring("__digest", 1, 8))
+    # only the first of a URL's rows carries the caller's columns
+    opened = base.select("*", F.posexplode_outer(expressions).alias("__i", "__expression"))
+    first = F.coalesce("__i", F.lit(0)) == 0
+    opened = opened.withColumns({c: F.when(first, F.col(c)) for c in ("__page", "__host", "__path")})
+    named = opened.withColumn("__digest", F.sha2("__expression", 256)).withColumn("__key", F.substring("__digest", 1, 8))
     met = named.join(ready, (F.col("__key") == F.col("__r_key")) & (F.col("__digest") == F.col("__r_digest")), "left")
     rank = F.struct(F.length("__r_rule").alias("a"), F.length("__r_host").alias("b"), (F.col("__r_verdict") == "block").cast("int").alias("c"))
     rule = F.max_by(F.struct("__r_rule", "__r_verdict"), F.when(F.col("__r_rule").isNotNull(), rank)).alias("__best")
-    rows = met.groupBy("__row").agg(*[F.first(c).alias(c) for c in ("__page", "__host", "__path")], rule)
+    rows = met.groupBy("__row").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("__page", "__host", "__path")], rule)
     return rows.select(*with_own(kept), F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__best.__r_rule").alias("rule"), F.coalesce("__best.__r_verdict", F.lit(default)).alias("verdict"))

@@ -86,6 +86,7 @@ def test_decontaminate(spark, group_bytes):
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://", "http://com", "http://com/", "HTTP://A.Example.COM/en/x?y=/z", "https://www.example.com/en/", "https://x.www.example.com/en/q#f", "http://example.com/EN/", "http://notexample.com/en/", "ftp://b.net/es/1", "http://net/fr/", "http://n.net/de/", "a://b://c.com/", "http://example.com?/en/", "http://é.com/é", "http://example.com/en/" + "p/" * 500]
     urls += urls[6:8]
+    urls += ["http://" + "a." * 100_000 + "www.example.com/en/", "http://" + "b." * 100_000 + "net", "http://." + "/fr/" * 3, "http://net./fr/"]
     rules = list(urlfilter.RULES)
 
     def judge(u):
@@ -97,7 +98,7 @@ def test_url_filter(spark):
         best = max(fit, default=(0, None, "allow"))
         return host, path, best[1], best[2]
 
-    pages = spark.createDataFrame([(i, u, "html", "old") for i, u in enumerate(urls)], "page_id long, url string, html string, host string")
+    pages = spark.createDataFrame([(i, u, "html", "old") for i, u in enumerate(urls)], "page_id long, url string, html string, host string").withColumn("r_rule", F.lit("own")).withColumn("r_key", F.lit("own"))
     table = urlfilter.rule_table(spark)
     for limit in (1000, 0):
         got = sorted((r.page_id, (r.host, r.path, r.rule, r.verdict)) for r in urlfilter.filter_urls(pages, table, broadcast_rules=limit).collect())
@@ -146,11 +147,55 @@ def test_mixing(spark):
     assert mixing.mix(empty(spark)).count() == 0
 
 
+def solved_rates(sizes, target, most=2.0):
+    """NumPy: bisection for the lambda at which capped exponential tilts meet the target."""
+    x = np.array(sizes, float)
+    mean = x[x > 0].mean()
+    rate = lambda a: np.where(x > 0, np.minimum(most, np.exp(np.minimum(a * x / mean, 1))), 0)
+    if target >= most * x.sum() * (1 - 1e-12):
+        return np.where(x > 0, most, 0)
+    lo, hi = -1e4, 1e4
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if (x * rate(mid)).sum() < target else (lo, mid)
+    return rate(lo)
+
+
+def test_mixing_rates_are_tilts_that_meet_the_targets(spark):
+    rng = np.random.default_rng(13)
+    rows = [(i, " ".join(["w"] * int(rng.geometric(0.02))), "de", f"s{int(rng.integers(7)) % 5}", 1) for i in range(1500)]
+    rows.append((9000, LONG, None, "s1", 0))
+    out = mixing.mix(spark.createDataFrame(rows, SCHEMA).drop("n_chars").withColumn("lambda", F.lit(1)).withColumn("mean", F.lit("x"))).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r.source].append(r)
+    for mine in by.values():
+        want = solved_rates([r["size"] for r in mine], mine[0].target)
+        assert np.allclose([r.rate for r in mine], want, rtol=1e-5, atol=1e-6)
+        assert sum(r["size"] * r.rate for r in mine) == pytest.approx(mine[0].target, rel=1e-6)
+        assert all(r.taken <= 2 * r["size"] and abs(r.copies - r.rate) < 1 for r in mine)
+    assert any(len({round(r.rate, 6) for r in mine}) > 10 for mine in by.values())
+
+
+def test_mixing_deals_equal_rows_out(spark):
+    """A third of the rows repeat id and text: as many of them get a copy as their source's target needs."""
+    rows = [(i, "a b c d e", "de", "x", 1) for i in range(400)] + [(-1, "p q r s t", "de", "x", 1)] * 400 + [(-2, "p q", "de", "y", 1)] * 400
+    out = mixing.mix(spark.createDataFrame(rows, SCHEMA), weights=(1, 1), share=1.2).collect()
+    for source in "xy":
+        mine = [r for r in out if r.source == source]
+        assert abs(sum(r.taken for r in mine) / mine[0].target - 1) < 0.05
+
+
 def test_licenses(spark):
     notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
     texts = [*ODD, "All rights reserved. CC BY cc-by 4.0 all RIGHTS, reserved", "GNU General Public License general public", notice, notice.replace("free of", "free of any").replace("copy of this", "copy this"), "Permission is hereby granted", "licensed under \u212aind cc by", "cc\u00e9 by cc  by", "Released under the MIT License."]
     texts.append(texts[-1])
-    got = licenses.contract(licenses.scan_licenses(docs(spark, texts).withColumn("spans", F.lit(1)))).collect()
+    odd = docs(spark, texts).withColumn("spans", F.lit(1)).withColumns({c: F.lit(f"own {c}") for c in ("label", "base", "template", "pos", "k", "gram", "t_pos", "t_size", "votes", "first", "last", "diagonal", "best")})
+    scanned = licenses.scan_licenses(odd)
+    assert {(r.label, r.pos, r.votes) for r in scanned.collect()} == {("own label", "own pos", "own votes")}
+    got = licenses.contract(scanned).collect()
+    listless = {r.doc_id: r for r in licenses.contract(licenses.scan_licenses(odd, listed=0, broadcast_rows=0)).collect()}
+    assert all(listless[r.doc_id] == r for r in got)
     assert len(got) == len(texts)
     for r in got:
         w, base = words(texts[r.doc_id]), []
