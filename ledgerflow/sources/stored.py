@@ -40,6 +40,10 @@ class Scratch:
         self._tables.append((df.sparkSession, path))
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def adopt(self, other: Scratch) -> None:
+        """Take over the tables of ``other``."""
+        self._tables += other._tables
+
     def drop(self) -> None:
         """Remove the tables; nothing may read them any more."""
         for spark, text in self._tables:
