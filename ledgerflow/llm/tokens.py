@@ -66,7 +66,7 @@ class Counter:
         held = 0
         for piece in unseen:
             part.append(piece)
-            held += len(piece)
+            held += len(piece) if piece.isascii() else len(piece.encode(errors="replace"))
             if held >= BATCH_BYTES:
                 self._encode(part)
                 part, held = [], 0
