@@ -172,9 +172,26 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of data[s:e] for every span, from prefix sums of a polynomial modulo 2**64."""
+    """Hash of data[s:e] for every span, from prefix sums of a polynomial modulo 2**64.
+
+    A hash does not depend on the place, so that long data are taken block by block; spans come sorted by start.
+    """
+    if len(data) > 2 * SLICE_BYTES and len(starts) > 1:
+        cuts = np.unique(np.searchsorted(starts, np.arange(0, len(data) + SLICE_BYTES, SLICE_BYTES)))
+        parts = [_span_hashes(data[starts[a] : ends[a:b].max()], starts[a:b] - starts[a], ends[a:b] - starts[a]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return np.concatenate(parts)
+    return _span_hashes(data, starts, ends)
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     power, inverse = _powers(len(data))
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
         return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def blocks_of(n: int, size: int = 4 * SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, end) of consecutive stretches of at most ``size`` of n places."""
+    for start in range(0, n, size):
+        yield start, min(n, start + size)

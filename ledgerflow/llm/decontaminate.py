@@ -9,7 +9,8 @@ The scan runs over many stretches of a batch side by side, so that each step is
 vectorised table lookup.
 
 Windows reach the tasks in groups of at most ``group_bytes``: a larger set of items takes
-more passes over the same rows, each with a bounded broadcast, none with a shuffle.
+more passes over the same rows, each a job of its own that is written before the next one, with a
+bounded broadcast and no shuffle.
 
 Nulls: a null text has no words; a null item_id marks words but is not listed. Repeated rows
 of documents are judged one by one, repeated items count once. With no items nothing is hit.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import ALNUM, Words, map_texts
+from ledgerflow.llm.common import ALNUM, Scratch, Words, blocks_of, map_texts
 
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Bytes of a block, and bits of its hash.
@@ -34,7 +35,7 @@ BLOCK, HASH_BITS = 6, 18
 #: Bytes of text that one of the side-by-side scans covers.
 LANE = 1024
 #: Bytes of windows that one broadcast holds.
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
 #: Shortest windows of each class; a window belongs to the last class it reaches.
 CLASSES = (1, 8, 16, 32, 64)
 
@@ -138,10 +139,10 @@ class Searcher:
             return none, none, none
         flat = np.full(total + 8, _SPACE, np.uint8)
         flat[ends[extra > 0] - 1] = _SEPARATOR
-        body = sizes - 1
-        shift = np.repeat(begins + 1 - w.starts, body)
-        source = np.flatnonzero(w.low)
-        flat[source + shift] = w.low[source]
+        for a, b in blocks_of(len(sizes), 1 << 18):
+            low = w.low[w.starts[a] : w.ends[b - 1]]
+            source = np.flatnonzero(low)
+            flat[source + np.repeat(begins[a:b] + 1 - w.starts[a:b] + w.starts[a], sizes[a:b] - 1)] = low[source]
         text = flat.tobytes()
         eight = np.ndarray((total + 1,), "<u8", flat, 0, (1,))
         starts, which = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -183,25 +184,23 @@ def decontaminate(
     keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with n_words, n_hit, hit_spans (first and last word of each stretch), hit_items and contaminated."""
-    kept = [c for c in (docs.columns if keep is None else keep)]
+    kept = list(docs.columns if keep is None else keep)
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
     new = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("hit_spans", span), ("hit_items", T.ArrayType(T.StringType())), ("contaminated", T.BooleanType())]
-    out, first_pass = docs, True
-    groups = list(_small(windows_of(items, item_id_col, item_text_col, window), group_bytes, docs))
-    for number, held in enumerate(groups):
-        last_pass = number == len(groups) - 1
-        columns = kept if last_pass else [*kept, *([text_col] if text_col not in kept else [])]
-        out = _search(out, text_col, new, held, columns, first_pass)
-        first_pass = False
+    sc, scratch = docs.sparkSession.sparkContext, Scratch()
+    groups = _groups(windows_of(items, item_id_col, item_text_col, window), group_bytes)
+    out, first_pass, held = docs, True, next(groups)
+    while held is not None:
+        following = next(groups, None)
+        columns = kept if following is None else [*kept, *([text_col] if text_col not in kept else [])]
+        out = _search(out, text_col, new, sc.broadcast(held), columns, first_pass)
+        if following is not None:
+            # one group at a time: its pass ends, and its tables go, before the next one is sent
+            out = scratch.written(out)
+        first_pass, held = False, following
     return out
 
 
-def _small(windows: DataFrame, limit: int, docs: DataFrame):
-    sc = docs.sparkSession.sparkContext
-    for grams, items in _groups(windows, limit):
-        yield sc.broadcast((grams, items))
-
-
 def _search(df: DataFrame, text_col: str, new: list, held, kept: list[str], first_pass: bool) -> DataFrame:
     def make():
         searcher = Searcher(*held.value) if held.value[0] else None
