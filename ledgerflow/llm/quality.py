@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import Words, map_texts, span_hashes, text_bytes
-from ledgerflow.llm.toxicity import training_rows
+from ledgerflow.llm.common import Words, blocks_of, map_texts, span_hashes, text_bytes
+from ledgerflow.llm.toxicity import bounded, training_rows
 
 #: Labelled rows in the space, at most.
 MAX_TRAIN = 3000
@@ -64,12 +64,13 @@ def describe(texts: pa.Array) -> np.ndarray:
     out = np.zeros((n, DIM), np.float32)
     if len(raw) == 0:
         return out
-    doc = np.repeat(np.arange(n), np.diff(offsets))
-    if len(raw) >= 4:
-        s = _SHAPE[raw]
+    for a, b in blocks_of(len(raw) - 3):
+        # 4-grams that start in [a, b) and end in their own text
+        s = _SHAPE[raw[a : b + 3]]
+        doc = np.repeat(np.arange(n), np.diff(np.clip(offsets, a, b + 3)))
         gram = (s[:-3] << np.uint32(18) | s[1:-2] << np.uint32(12) | s[2:-1] << np.uint32(6) | s[3:]) * np.uint32(0x9E3779B1) >> np.uint32(21)
         same = doc[:-3] == doc[3:]
-        out[:, :SHAPES] = np.bincount(doc[:-3][same] * SHAPES + gram[same], minlength=n * SHAPES).reshape(n, SHAPES)
+        out[:, :SHAPES] += np.bincount(doc[:-3][same] * SHAPES + gram[same], minlength=n * SHAPES).reshape(n, SHAPES)
     w = Words(texts)
     word_doc, size = w.text_of(), np.minimum(w.ends - w.starts, LENGTHS) - 1
     out[:, SHAPES : SHAPES + LENGTHS] = np.bincount(word_doc * LENGTHS + size, minlength=n * LENGTHS).reshape(n, LENGTHS)
@@ -81,7 +82,7 @@ def describe(texts: pa.Array) -> np.ndarray:
     starts = np.unique(np.concatenate([offsets[:-1][filled], np.flatnonzero(raw == 0x0A) + 1]))
     starts = starts[starts < len(raw)]
     ends = np.append(starts[1:], len(raw))
-    out[rows, SHAPES + LENGTHS + REPEATS + _repeat_class(doc[starts], span_hashes(raw, starts, ends), n)[rows]] = weight[rows]
+    out[rows, SHAPES + LENGTHS + REPEATS + _repeat_class(np.searchsorted(offsets, starts, side="right") - 1, span_hashes(raw, starts, ends), n)[rows]] = weight[rows]
     return out
 
 
@@ -109,8 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return lambda texts: [pa.array([r.astype("<u4").tobytes() for r in describe(texts)], pa.binary())]
 
     chosen = training_rows(docs, labels, id_col, text_col, label_col, parts, held, max_train)
-    made = map_texts(chosen, "text", [("tf", T.BinaryType())], make, ["__id", "label"], limit=1 << 18)
-    got = sorted(((str(r["__id"]), r["label"], bytes(r["tf"])) for r in made.collect()), key=lambda r: r)
+    got = bounded(map_texts(chosen, "text", [("tf", T.BinaryType())], make, ["__key", "__id", "label"], limit=1 << 18), "tf", max_train)
     if not got:
         return None
     tf = np.frombuffer(b"".join(r[2] for r in got), "<u4").reshape(-1, DIM).astype(np.float32)

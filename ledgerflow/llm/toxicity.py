@@ -3,7 +3,7 @@
 Features of a text are the distinct hashed words, word pairs and pairs with one word skipped,
 of the whole text lowered A-Z, and word beginnings of a few bytes, so that inflected forms of
 a learned word count where a language has many. The model is fitted on a bounded sample of labelled rows
-(``max_train`` rows, the first by a hash of the id) with one learning rate for each coordinate
+(``max_train`` rows, the first by a hash of the id, of at most 256 MB of features) with one learning rate for each coordinate
 and L1 regularisation, which leaves few weights: they are broadcast as two short arrays and
 every text is scored in Arrow batches.
 
@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import Words, fold, map_texts, mix, span_hashes
+from ledgerflow.llm.common import Scratch, Words, fold, map_texts, mix, span_hashes
 
 #: Labelled rows that a model is fitted on, at most.
 MAX_TRAIN = 6000
+#: Bytes of their features, at most.
+MAX_BYTES = 256 << 20
 HASH_BITS = 20
 #: Bytes of the word beginnings that stand for inflected forms.
 STEMS = (4, 5, 6)
@@ -91,11 +93,27 @@ def fit(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, flo
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, parts: int, held: int, most: int) -> DataFrame:
-    """(text, label) of at most ``most`` labelled rows outside the held-out fold."""
+    """(__key, __id, label, text) of the texts of at most ``most`` labelled ids outside the held-out fold."""
     usable = labels.filter((fold(id_col, parts) != held) & F.col(label_col).isin(0, 1))
-    chosen = usable.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).orderBy(F.xxhash64("__id"), "__id", "label").limit(most)
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.join(F.broadcast(chosen), "__id").select("__id", "text", "label")
+    chosen = usable.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).distinct().orderBy(F.xxhash64("__id"), "__id", "label").limit(most)
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return rows.join(F.broadcast(chosen), "__id").select(F.xxhash64("__id", "label", F.xxhash64("text")).alias("__key"), F.col("__id").cast("string").alias("__id"), "label", "text")
+
+
+def bounded(described: DataFrame, column: str, most: int, most_bytes: int = MAX_BYTES) -> list[tuple[str, int, bytes]]:
+    """(id, label, bytes of ``column``), in a fixed order, of at most ``most`` distinct rows and ``most_bytes`` bytes.
+
+    Rows that repeat id, text and label count once, so that an id that many rows share does not fill the driver.
+    """
+    scratch = Scratch()
+    rows = scratch.written(described.dropDuplicates(["__key"]))
+    sizes = rows.select("__key", F.length(column).alias("size")).orderBy("__key").limit(most).collect()
+    held = np.cumsum([r["size"] for r in sizes])
+    inside = [r["__key"] for r, h in zip(sizes, held, strict=True) if h <= most_bytes]
+    got = rows.filter(F.col("__key") <= inside[-1]).select("__id", "label", column).collect() if inside else []
+    scratch.drop()
+    # a fixed order makes the fit repeatable
+    return sorted(((r["__id"] or "", r["label"], bytes(r[column])) for r in got), key=lambda r: r)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", parts: int = 3, held: int = 1, max_train: int = MAX_TRAIN):
@@ -112,9 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return work
 
     chosen = training_rows(docs, labels, id_col, text_col, label_col, parts, held, max_train)
-    made = map_texts(chosen, "text", [("ids", T.BinaryType())], make, ["__id", "label"])
-    # a fixed order makes the fit repeatable
-    got = sorted(((r["__id"], r["label"], bytes(r["ids"])) for r in made.collect()), key=lambda r: (str(r[0]), r[1], r[2]))
+    got = bounded(map_texts(chosen, "text", [("ids", T.BinaryType())], make, ["__key", "__id", "label"]), "ids", max_train)
     return fit([(np.frombuffer(ids, "<i4").astype(np.int64), y) for _, y, ids in got])
 
 
