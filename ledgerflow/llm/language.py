@@ -3,7 +3,7 @@
 A text is lower-cased; the byte trigrams of its letters (everything else is one space) are
 hashed to ``DIM`` places, counted over the whole text, damped (1 + log), weighted by inverse
 document frequency and normalised. The rows of each learned language (a bounded sample: about
-``per_lang`` rows each, chosen by a hash of the id) are clustered into ``clusters`` centroids
+``per_lang`` rows each and twice that at most, chosen by a hash of id and text, repeated rows once) are clustered into ``clusters`` centroids
 by spherical k-means, one Spark group for each language. A text takes the language of the
 centroid with the largest cosine.
 
@@ -26,13 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import fold, map_texts, text_bytes
+from ledgerflow.llm.common import blocks_of, fold, map_texts, text_bytes
 
-#: Sampled rows for each language, about.
+#: Sampled rows for each language, about; never more than twice that.
 PER_LANG = 800
 DIM, CLUSTERS, ROUNDS, MARGIN = 4096, 4, 8, 0.6
 #: Quantile of the cosines that sets a limit, least rows it is taken over, and n-grams below which distance does not reject.
@@ -50,12 +50,15 @@ def counts(texts: pa.Array) -> np.ndarray:
     n = len(offsets) - 1
     if len(raw) < 3:
         return np.zeros((n, DIM), np.float32)
-    c = _LETTERS[raw].astype(np.uint32)
-    gram = (c[:-2] << np.uint32(16) | c[1:-1] << np.uint32(8) | c[2:]) * np.uint32(0x9E3779B1) >> np.uint32(20)
-    doc = np.repeat(np.arange(n), np.diff(offsets))
-    keep = (doc[:-2] == doc[2:]) & ~((c[:-2] == 32) & (c[1:-1] == 32)) & ~((c[1:-1] == 32) & (c[2:] == 32))
-    key = doc[:-2][keep] * DIM + gram[keep]
-    return np.bincount(key, minlength=n * DIM).reshape(n, DIM).astype(np.float32)
+    out = np.zeros((n, DIM), np.float32)
+    for a, b in blocks_of(len(raw) - 2):
+        # trigrams that start in [a, b) and end in their own text
+        c = _LETTERS[raw[a : b + 2]].astype(np.uint32)
+        gram = (c[:-2] << np.uint32(16) | c[1:-1] << np.uint32(8) | c[2:]) * np.uint32(0x9E3779B1) >> np.uint32(20)
+        doc = np.repeat(np.arange(n), np.diff(np.clip(offsets, a, b + 2)))
+        keep = (doc[:-2] == doc[2:]) & ~((c[:-2] == 32) & (c[1:-1] == 32)) & ~((c[1:-1] == 32) & (c[2:] == 32))
+        out += np.bincount(doc[:-2][keep] * DIM + gram[keep], minlength=n * DIM).reshape(n, DIM)
+    return out
 
 
 def has_letter(text: str | None) -> bool:
@@ -108,8 +111,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not sizes:
         return [], np.zeros((0, DIM), np.float32), np.zeros(0, np.int64), np.ones(DIM, np.float32), np.zeros((0, SIZES))
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, per_lang / n)))])
-    draw = F.shiftrightunsigned(F.xxhash64("id", F.lit(1)), 11) / F.lit(float(1 << 53))
-    sample = rows.filter(draw < F.element_at(share, F.col("lang"))).select("lang", "text")
+    rows = rows.withColumn("draw", F.xxhash64("id", "text", F.lit(1)))
+    drawn = rows.filter(F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53)) < F.element_at(share, F.col("lang"))).dropDuplicates(["lang", "draw"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    sample = drawn.withColumn("place", place).filter(F.col("place") <= 2 * per_lang).select("lang", "text")
 
     def make():
         def work(texts: pa.Array) -> list[pa.Array]:
