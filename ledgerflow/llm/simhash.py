@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import map_texts, mix, text_bytes, written
+from ledgerflow.llm.common import Scratch, map_texts, mix, text_bytes
 from ledgerflow.llm.components import connected_components
 
 MAX_TREE = 8192
@@ -219,7 +219,7 @@ def _links(probe: np.ndarray, full: np.ndarray, shard: np.ndarray, member: np.nd
     return moved, union.label[moved]
 
 
-def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide: int = -1, probes: int = 1, max_tree: int = MAX_TREE, pairs: bool = False) -> DataFrame:
+def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide: int = -1, probes: int = 1, max_tree: int = MAX_TREE, pairs: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """Edges (src, dst) between class numbers ``id`` of rows (id, fp, more).
 
     Each of the first ``probes`` words of a fingerprint is searched in shards of its own. With
@@ -230,7 +230,7 @@ def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide:
     carried = [full.alias("full")] if wide >= 0 else []
     keyed = classes.select("id", *carried, F.explode(keys).alias("k")).select("id", *(["full"] if carried else []), "k.key", "k.probe")
     # shards that need more than one tree; written first, so that Spark knows their number before it plans the join
-    large = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_tree).select("key", F.ceil(F.col("n") / max_tree).cast("int").alias("trees")))
+    large = (scratch or Scratch()).written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_tree).select("key", F.ceil(F.col("n") / max_tree).cast("int").alias("trees")))
     split = keyed.join(large, "key", "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
     own = F.pmod(F.xxhash64("id"), F.col("trees")).cast("int")
     asking = split.withColumn("own", own).withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
@@ -313,17 +313,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.filter(F.try_divide(F.col("common"), F.col("total") - F.col("common")) >= least).select("src", "dst")
 
 
-def confirmed_links(found: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+def confirmed_links(found: DataFrame, texts: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
     """Edges of the same components as all pairs ``found`` (src, dst) that are confirmed; ``texts`` has __class and __read."""
-    pairs = written(found.distinct())
-    asked = written(pairs.select(F.col("src").alias("__class")).unionByName(pairs.select(F.col("dst").alias("__class"))).distinct())
+    pairs = scratch.written(found.distinct())
+    asked = scratch.written(pairs.select(F.col("src").alias("__class")).unionByName(pairs.select(F.col("dst").alias("__class"))).distinct())
     one = texts.join(asked, "__class").groupBy("__class").agg(F.min_by("__read", F.xxhash64("__read")).alias("__read"))
-    sets = written(run_sets(one, "__read", words, ["__class"]))
-    first = written(confirmed(pairs.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst"), sets, least))
-    root = connected_components(first)
+    sets = scratch.written(run_sets(one, "__read", words, ["__class"]))
+    first = scratch.written(confirmed(pairs.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst"), sets, least))
+    root = connected_components(first, scratch)
     ends = pairs.join(root.select(F.col("node").alias("src"), F.col("root").alias("a")), "src", "left").join(root.select(F.col("node").alias("dst"), F.col("root").alias("b")), "dst", "left")
     apart = ends.filter(F.coalesce("a", "src") != F.coalesce("b", "dst")).select("src", "dst")
-    return first.unionByName(written(confirmed(apart, sets, least)))
+    return first.unionByName(scratch.written(confirmed(apart, sets, least)))
 
 
 def near_duplicates(
@@ -341,29 +341,34 @@ def near_duplicates(
     max_tree: int = MAX_TREE,
     keep: list[str] | None = None,
     exact: float = 0.0,
-    again: str | None = None,
 ) -> DataFrame:
     """``docs`` with fp, group (a number of the component) and component_id (its smallest id).
 
-    ``exact`` needs ``again``: where the kept columns hold the text.
+    Columns of these names, and one named more, are dropped. ``exact`` needs the text among the kept columns.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("fp", "more", "group", "component_id")]
     cols = [F.col(f"`{c}`") for c in kept]
-    carried = docs.select(*cols, F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__read"))
-    marked = written(fingerprints(carried, "__read", words, confirm_bits, distinct, [*kept, "__id"]))
+    # a text that is kept travels and is written once
+    read = text_col if text_col in kept and exact > 0 else "__read"
+    carried = docs.select(*cols, F.col(f"`{id_col}`").alias("__id"), *([F.col(f"`{text_col}`").alias("__read")] if read == "__read" else []))
+    scratch, lasting = Scratch(), Scratch()
+    marked = lasting.written(fingerprints(carried, read, words, confirm_bits, distinct, [*kept, "__id"]))
     number = F.xxhash64("fp", "more") if confirm_bits else F.col("fp")
     marked = marked.withColumn("__class", number)
-    classes = written(marked.groupBy("__class", "fp", "more").agg(F.min("__id").alias("low"), F.count(F.lit(1)).alias("rows")))
-    edges = link_classes(classes.withColumnRenamed("__class", "id"), radius, blocks, agree, wide, probes, max_tree, pairs=exact > 0)
+    classes = scratch.written(marked.groupBy("__class", "fp", "more").agg(F.min("__id").alias("low"), F.count(F.lit(1)).alias("rows")))
+    edges = link_classes(classes.withColumnRenamed("__class", "id"), radius, blocks, agree, wide, probes, max_tree, exact > 0, scratch)
     if exact > 0:
-        edges = confirmed_links(edges, marked.select("__class", F.coalesce(F.col(again).cast("string"), F.lit("")).alias("__read")), words, exact)
-    found = connected_components(edges)
+        if text_col not in kept:
+            raise ValueError("exact similarity needs the text column among the kept ones")
+        edges = confirmed_links(edges, marked.select("__class", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__read")), words, exact, scratch)
+    found = connected_components(edges, scratch)
     lowest = found.join(classes, F.col("node") == F.col("__class")).groupBy("root").agg(F.min("low").alias("root_low"))
     joined = found.join(lowest, "root").select(F.col("node").alias("__class"), "root", "root_low")
     named = classes.join(joined, "__class", "left").select("__class", "rows", F.coalesce("root", "__class").alias("group"), F.when(F.col("root").isNotNull(), F.col("root_low")).otherwise(F.col("low")).alias("component_id"))
     # classes of many copies are few: written first, Spark finds them small and joins them without dealing their rows by class
-    named = written(named)
-    many, few = written(named.filter(F.col("rows") > MANY)), named.filter(F.col("rows") <= MANY)
+    named = lasting.written(named)
+    scratch.drop()
+    many, few = lasting.written(named.filter(F.col("rows") > MANY)), named.filter(F.col("rows") <= MANY)
     common = marked.join(many.drop("rows"), "__class")
     rest = marked.join(many.select("__class"), "__class", "left_anti").join(few.drop("rows"), "__class")
     return common.unionByName(rest).select(*cols, "fp", "group", "component_id")
