@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     chosen = training_rows(docs, labels, id_col, text_col, label_col, parts, held, max_train)
     got = bounded(map_texts(chosen, "text", [("ids", T.BinaryType())], make, ["__key", "__id", "label"]), "ids", max_train)
-    return fit([(np.frombuffer(ids, "<i4").astype(np.int64), y) for _, y, ids in got])
+    return fit([(np.frombuffer(ids, "<i4"), y) for _, y, ids in got])
 
 
 def score(docs: DataFrame, model, text_col: str = "text", threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
