@@ -25,10 +25,9 @@ own shards: a link found by any of them counts.
 64 + confirm_bits bits at most ``wide`` may differ. With ``distinct`` each run votes once, which
 brings the share of differing bits close to the angle between sets of runs.
 
-With ``exact`` the bits only propose: every pair found is confirmed by the Jaccard similarity of the
-two texts' sets of runs, which must be at least ``exact``. Each class first asks its smallest
-neighbour; of the other pairs only those that are still apart are compared, so that a group of many
-near copies does not carry its sets once for each pair.
+With ``exact`` the bits only propose: a pair counts if the Jaccard similarity of the two texts' sets
+of runs is at least ``exact``. ``confirmed_links`` says in which order proposed pairs are looked at,
+so that a group of many near copies does not carry its sets once for each pair.
 
 A null text counts as one without words. Null ids never name a component that has another
 id. Repeated rows are in one component. Empty input gives no rows.
@@ -54,6 +53,10 @@ MAX_TREE = 8192
 MANY = 1000
 #: Pairs that one step of a search looks at.
 STEP_PAIRS = 1 << 20
+#: Pairs held before a forest of them is taken.
+HELD_PAIRS = 1 << 21
+#: Members and bytes of run hashes of a block in which parts of a component meet.
+CELL_ROWS, CELL_BYTES = 512, 8 << 20
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -219,22 +222,60 @@ def _links(probe: np.ndarray, full: np.ndarray, shard: np.ndarray, member: np.nd
     return moved, union.label[moved]
 
 
-def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide: int = -1, probes: int = 1, max_tree: int = MAX_TREE, pairs: bool = False, scratch: Scratch | None = None) -> DataFrame:
+def _forest(union: Union, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs that make a spanning forest of least distances over what the union holds apart (Boruvka's rounds)."""
+    order = np.lexsort((b, a, d))
+    a, b = a[order], b[order]
+    while True:
+        x, y = union.label[a], union.label[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        # the first, and so nearest, pair of each component
+        _, first = np.unique(np.stack([x, y], axis=1).ravel(), return_index=True)
+        chosen = np.unique(first // 2)
+        yield a[chosen], b[chosen]
+        union.merge(a[chosen], b[chosen])
+
+
+def _proposals(probe: np.ndarray, full: np.ndarray, shard: np.ndarray, member: np.ndarray, radius: int, wide: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A spanning forest, by least distances, of the pairs within the radius and ``wide`` bits."""
+    union = Union(len(probe))
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    count = 0
+    for a, b in _search(probe, shard, member, radius):
+        apart = union.label[a] != union.label[b]
+        # members of one tree find each other twice
+        a, b = a[apart & ((a < b) | ~member[a])], b[apart & ((a < b) | ~member[a])]
+        d = np.bitwise_count(full[a] ^ full[b]).sum(axis=1, dtype=np.int64)
+        near = d <= wide
+        held.append((a[near], b[near], d[near]))
+        count += int(near.sum())
+        if count > HELD_PAIRS:
+            yield from _forest(union, *map(np.concatenate, zip(*held, strict=True)))
+            held, count = [], 0
+    if count:
+        yield from _forest(union, *map(np.concatenate, zip(*held, strict=True)))
+
+
+def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide: int = -1, probes: int = 1, max_tree: int = MAX_TREE, propose: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """Edges (src, dst) between class numbers ``id`` of rows (id, fp, more).
 
-    Each of the first ``probes`` words of a fingerprint is searched in shards of its own. With
-    ``pairs`` every pair that is found is an edge, with the smaller number as src; a pair may come repeatedly.
+    Each of the first ``probes`` words of a fingerprint is searched in shards of its own. ``propose`` gives real pairs, the smaller number first, which may come repeatedly: of each tree's pairs those
+    of a spanning forest by least distances.
     """
     full = F.concat(F.array("fp"), "more")
     keys = F.concat(*[shard_keys(F.get(full, F.lit(p)), blocks, agree, p) for p in range(probes)])
     carried = [full.alias("full")] if wide >= 0 else []
-    keyed = classes.select("id", *carried, F.explode(keys).alias("k")).select("id", *(["full"] if carried else []), "k.key", "k.probe")
+    extra = ["full"] if carried else []
+    keyed = classes.select("id", *carried, F.explode(keys).alias("k")).select("id", *extra, "k.key", "k.probe")
     # shards that need more than one tree; written first, so that Spark knows their number before it plans the join
     large = (scratch or Scratch()).written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_tree).select("key", F.ceil(F.col("n") / max_tree).cast("int").alias("trees")))
     split = keyed.join(large, "key", "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
     own = F.pmod(F.xxhash64("id"), F.col("trees")).cast("int")
     asking = split.withColumn("own", own).withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
-    rows = asking.select("key", "tree", (F.col("tree") == F.col("own")).alias("member"), "id", "probe", *(["full"] if carried else []))
+    rows = asking.select("key", "tree", (F.col("tree") == F.col("own")).alias("member"), "id", "probe", *extra)
     ordered = rows.repartition("key", "tree").sortWithinPartitions("key", "tree", F.desc("member"))
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
@@ -247,20 +288,20 @@ def link_classes(classes: DataFrame, radius: int, blocks: int, agree: int, wide:
             key, tree = table["key"].to_numpy(), table["tree"].to_numpy()
             last = np.flatnonzero((key == key[-1]) & (tree == tree[-1]))[0]
             done, rest = table.slice(0, last), table.slice(last)
-            yield from _solve(done, radius, wide, schema, pairs)
+            yield from _solve(done, radius, wide, schema, propose)
             if rest.num_rows > 8 * max_tree:
                 # a tree that many ask: answer those here, keep the tree's members, which come first
                 members = int(np.count_nonzero(rest["member"].to_numpy()))
                 if members < rest.num_rows:
-                    yield from _solve(rest, radius, wide, schema, pairs)
+                    yield from _solve(rest, radius, wide, schema, propose)
                     rest = rest.slice(0, members)
         if rest is not None:
-            yield from _solve(rest, radius, wide, schema, pairs)
+            yield from _solve(rest, radius, wide, schema, propose)
 
     return ordered.mapInArrow(run, "src long, dst long")
 
 
-def _solve(table: pa.Table, radius: int, wide: int, schema: pa.Schema, pairs: bool) -> Iterator[pa.RecordBatch]:
+def _solve(table: pa.Table, radius: int, wide: int, schema: pa.Schema, propose: bool) -> Iterator[pa.RecordBatch]:
     """Edges of the complete shards of a sorted table; fingerprints alone in their shard go at once."""
     if not table.num_rows:
         return
@@ -275,11 +316,8 @@ def _solve(table: pa.Table, radius: int, wide: int, schema: pa.Schema, pairs: bo
     probe = table["probe"].to_numpy().view(np.uint64)
     full = table["full"].chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(probe), -1) if wide >= 0 else probe[:, None]
     member, ids = table["member"].to_numpy().astype(bool), table["id"].to_numpy()
-    if pairs:
-        for a, b in _search(probe, shard, member, radius):
-            # members of one tree find each other twice
-            once = (ids[a] != ids[b]) & ((a < b) | ~member[a])
-            a, b = _near(full, a[once], b[once], wide)
+    if propose:
+        for a, b in _proposals(probe, full, shard, member, radius, wide):
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], schema=schema)
         return
@@ -313,17 +351,73 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.filter(F.try_divide(F.col("common"), F.col("total") - F.col("common")) >= least).select("src", "dst")
 
 
-def confirmed_links(found: DataFrame, texts: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
-    """Edges of the same components as all pairs ``found`` (src, dst) that are confirmed; ``texts`` has __class and __read."""
-    pairs = scratch.written(found.distinct())
+def across_parts(members: DataFrame, least: float, wide: int, rows: int = CELL_ROWS, size: int = CELL_BYTES) -> DataFrame:
+    """Edges (src, dst) between parts of one component: all pairs of different ``label`` within ``wide`` bits and of at least
+    ``least`` similarity, less those that join parts which a cell has joined already.
+
+    ``members`` has whole, label, id, full and runs. A component is cut into blocks of about ``rows``
+    members and ``size`` bytes; each two of its blocks meet in one bounded group, so that sets are sent
+    once for each block and not once for each pair.
+    """
+    held = members.groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("runs") * 8).alias("bytes"))
+    cut = held.select("whole", F.greatest(F.ceil(F.col("n") / rows), F.ceil(F.col("bytes") / size)).cast("int").alias("blocks"))
+    own = members.join(cut, "whole").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    sent = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = sent.select("whole", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "full", "runs")
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def meet(cell: pa.Table) -> pa.Table:
+        cell = cell.sort_by([("own", "ascending"), ("id", "ascending")]).combine_chunks()
+        ids, own_ = cell["id"].to_numpy(), cell["own"].to_numpy()
+        bits = cell["full"].chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+        sets = cell["runs"].chunk(0)
+        bounds = sets.offsets.to_numpy().astype(np.int64)
+        flat = sets.values.to_numpy()
+        length = np.diff(bounds)
+        _, first, place = np.unique(cell["label"].to_numpy(), return_index=True, return_inverse=True)
+        union = Union(len(ids))
+        union.label = first[place]
+        last = int(np.searchsorted(own_, own_[-1]))  # members of the second block, or all of one block
+        src, dst = [], []
+        for x in range(last if own_[0] != own_[-1] else len(ids)):
+            others = np.arange(last if own_[0] != own_[-1] else x + 1, len(ids))
+            near = others[union.label[others] != union.label[x]]
+            shorter, longer = np.minimum(length[near], length[x]), np.maximum(length[near], length[x])
+            near = near[(shorter >= longer * (least - 1e-9)) & (np.bitwise_count(bits[near] ^ bits[x]).sum(axis=1, dtype=np.int64) <= wide)]
+            mine = flat[bounds[x] : bounds[x + 1]]
+            for y in near.tolist():
+                if union.label[x] == union.label[y]:
+                    continue
+                theirs = flat[bounds[y] : bounds[y + 1]]
+                common = len(np.intersect1d(mine, theirs, assume_unique=True))
+                if common and common / (len(mine) + len(theirs) - common) >= least:
+                    src.append(min(ids[x], ids[y]))
+                    dst.append(max(ids[x], ids[y]))
+                    union.merge(np.array([x]), np.array([y]))
+        return pa.table([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], schema=schema)
+
+    return cells.groupBy("whole", "i", "j").applyInArrow(meet, "src long, dst long")
+
+
+def confirmed_links(classes: DataFrame, texts: DataFrame, words: int, least: float, scratch: Scratch, **search) -> DataFrame:
+    """Edges of the same components as all proposed pairs of classes that are confirmed by their texts; ``texts`` has __class and __read.
+
+    First a nearest forest of the proposed pairs is confirmed, which joins a group of near copies by
+    about as many pairs as members. Where that leaves a forest's component in parts, all its members
+    of different parts meet in ``across_parts``.
+    """
+    pairs = scratch.written(link_classes(classes, propose=True, scratch=scratch, **search).distinct())
     asked = scratch.written(pairs.select(F.col("src").alias("__class")).unionByName(pairs.select(F.col("dst").alias("__class"))).distinct())
     one = texts.join(asked, "__class").groupBy("__class").agg(F.min_by("__read", F.xxhash64("__read")).alias("__read"))
     sets = scratch.written(run_sets(one, "__read", words, ["__class"]))
-    first = scratch.written(confirmed(pairs.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst"), sets, least))
-    root = connected_components(first, scratch)
-    ends = pairs.join(root.select(F.col("node").alias("src"), F.col("root").alias("a")), "src", "left").join(root.select(F.col("node").alias("dst"), F.col("root").alias("b")), "dst", "left")
-    apart = ends.filter(F.coalesce("a", "src") != F.coalesce("b", "dst")).select("src", "dst")
-    return first.unionByName(scratch.written(confirmed(apart, sets, least)))
+    first = scratch.written(confirmed(pairs, sets, least))
+    whole = connected_components(pairs, scratch).withColumnRenamed("root", "whole")
+    part = connected_components(first, scratch).withColumnRenamed("root", "part")
+    parts = whole.join(part, "node", "left").select(F.col("node").alias("id"), "whole", F.coalesce("part", "node").alias("label"))
+    # components of several parts that are more than one refused pair
+    several = parts.groupBy("whole").agg((F.min("label") < F.max("label")).alias("several"), F.count(F.lit(1)).alias("n")).filter("several AND n > 2").select("whole")
+    members = parts.join(several, "whole").join(classes.select("id", F.concat(F.array("fp"), "more").alias("full")), "id").join(sets.withColumnRenamed("__class", "id"), "id")
+    return first.unionByName(scratch.written(across_parts(scratch.written(members), least, search["wide"])))
 
 
 def near_duplicates(
@@ -356,11 +450,13 @@ def near_duplicates(
     number = F.xxhash64("fp", "more") if confirm_bits else F.col("fp")
     marked = marked.withColumn("__class", number)
     classes = scratch.written(marked.groupBy("__class", "fp", "more").agg(F.min("__id").alias("low"), F.count(F.lit(1)).alias("rows")))
-    edges = link_classes(classes.withColumnRenamed("__class", "id"), radius, blocks, agree, wide, probes, max_tree, exact > 0, scratch)
+    numbered, search = classes.withColumnRenamed("__class", "id"), {"radius": radius, "blocks": blocks, "agree": agree, "wide": wide, "probes": probes, "max_tree": max_tree}
     if exact > 0:
         if text_col not in kept:
             raise ValueError("exact similarity needs the text column among the kept ones")
-        edges = confirmed_links(edges, marked.select("__class", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__read")), words, exact, scratch)
+        edges = confirmed_links(numbered, marked.select("__class", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__read")), words, exact, scratch, **search)
+    else:
+        edges = link_classes(numbered, **search, scratch=scratch)
     found = connected_components(edges, scratch)
     lowest = found.join(classes, F.col("node") == F.col("__class")).groupBy("root").agg(F.min("low").alias("root_low"))
     joined = found.join(lowest, "root").select(F.col("node").alias("__class"), "root", "root_low")
