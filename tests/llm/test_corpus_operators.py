@@ -388,6 +388,142 @@ def test_language(spark):
     assert language.identify(empty(spark), language.train(d)).count() == 0
 
 
+def plain_ftrl(rows, epochs, alpha, beta, l1, l2):
+    """FTRL-proximal with dictionaries, one weight at a time, in the operator's order of examples."""
+    z, n, bz, bn = defaultdict(float), defaultdict(float), 0.0, 0.0
+    weight = lambda i: 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+    rng = np.random.default_rng(7)
+    for _ in range(epochs):
+        for e in rng.permutation(len(rows)):
+            ids, y = rows[e]
+            w = {i: weight(i) for i in ids}
+            b = -bz / ((beta + math.sqrt(bn)) / alpha)
+            g = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values()) + b)))) - y
+            for i in ids:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w[i]
+                n[i] += g * g
+            bz += g - (math.sqrt(bn + g * g) - math.sqrt(bn)) / alpha * b
+            bn += g * g
+    return {i: weight(i) for i in list(z) if weight(i)}, -bz / ((beta + math.sqrt(bn)) / alpha)
+
+
+def test_ftrl_against_dictionaries(spark):
+    rng = np.random.default_rng(31)
+    rows = [(np.unique(rng.integers(0, 300, size=25)).astype("<i4"), int(i % 3 == 0)) for i in range(150)]
+    rows = [(np.union1d(ids, [301]).astype("<i4") if y else ids, y) for ids, y in rows]
+    used, w, bias = toxicity.fit(rows)
+    want, want_bias = plain_ftrl([(ids.tolist(), y) for ids, y in rows], toxicity.EPOCHS, toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2)
+    assert dict(zip(used.tolist(), w.tolist())) == pytest.approx(want) and bias == pytest.approx(want_bias)
+    # scores are the sums of the weights of a text's distinct features
+    d, labels = labelled(spark, 120)
+    model = toxicity.train(d, labels)
+    known = dict(zip(model[0].tolist(), model[1].tolist()))
+    import pyarrow as pa
+
+    for r in toxicity.score(d, model).collect():
+        _, ids, _ = toxicity.features(pa.array([r.text or ""]))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-(model[2] + sum(known.get(i, 0.0) for i in set(ids.tolist()))))))
+
+
+def test_quality_votes_against_all_pairs(spark):
+    """Every document against every labelled vector by plain cosines and sorted neighbours."""
+    import pyarrow as pa
+
+    d, labels = labelled(spark, 120)
+    idf, basis, known, y = model = quality.train(d, labels)
+    for r in quality.score(d, model).collect():
+        v = [math.log1p(c) * w for c, w in zip(quality.describe(pa.array([r.text or ""]))[0].tolist(), idf.tolist())]
+        x = [sum(a * b for a, b in zip(v, basis[:, j].tolist()) if a) for j in range(basis.shape[1])]
+        norm = math.sqrt(sum(a * a for a in x))
+        cos = sorted(((max(sum(a * b for a, b in zip(x, k)) / norm, 0) if norm else 0, label) for k, label in zip(known.tolist(), y.tolist())), reverse=True)
+        near = [(c**quality.POWER, label) for c, label in cos if c >= cos[quality.NEIGHBOURS - 1][0] - 1e-7]
+        total = sum(c for c, _ in near)
+        want = sum(c * label for c, label in near) / total if total else float(y.mean())
+        assert r.score == pytest.approx(want, abs=2e-3), r.doc_id
+
+
+def test_language_against_dictionaries(spark):
+    rng = np.random.default_rng(17)
+    parts = {"xx": ["ka", "lo", "mi", "tu"], "yy": ["sch", "ung", "ber", "ei"]}
+    rows = [(i, " ".join("".join(rng.choice(parts["xx" if i % 2 else "yy"], size=3)) for _ in range(20)), "xx" if i % 2 else "yy", None, 1) for i in range(120)]
+    rows += [(500, "Ka\u00e9 lo-MI", None, None, 0), (501, "a", None, None, 0)]
+    d = spark.createDataFrame(rows, SCHEMA)
+    languages, centres, owner, idf, _ = model = language.train(d)
+
+    def place(g):
+        h = (g[0] << 16 | g[1] << 8 | g[2]) * 0x9E3779B1 & 0xFFFFFFFF
+        return h >> 20
+
+    for r in language.identify(d, model).collect():
+        c = [b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in r.text.lower().encode()]
+        grams = Counter(place(c[i : i + 3]) for i in range(len(c) - 2) if c[i : i + 2] != [32, 32] and c[i + 1 : i + 3] != [32, 32])
+        v = {k: math.log1p(n) * float(idf[k]) for k, n in grams.items()}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1
+        cos = [min(1, max(0, sum(x * float(m[k]) for k, x in v.items()) / norm)) for m in centres]
+        assert r.score == pytest.approx(max(cos), abs=1e-5)
+        assert r.lang_pred in {languages[owner[i]] for i, x in enumerate(cos) if x >= max(cos) - 1e-6}
+
+
+def test_long_texts_are_described_block_by_block(monkeypatch):
+    import pyarrow as pa
+
+    from ledgerflow.llm import common
+
+    texts = pa.array([LONG, None, "", "ab", "abc\n" * 700, "x" * 3000, "\u00e9\u00e9 a"])
+    whole = quality.describe(texts), language.counts(texts), toxicity.features(texts)[1]
+    for module in (quality, language):
+        monkeypatch.setattr(module, "blocks_of", lambda n: common.blocks_of(n, 997))
+    monkeypatch.setattr(common, "SLICE_BYTES", 1024)
+    parts = quality.describe(texts), language.counts(texts), toxicity.features(texts)[1]
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts))
+
+
+def test_training_rows_are_bounded_after_the_join(spark):
+    texts = spark.range(300).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 50).alias("text"))
+    labels = spark.createDataFrame([(7, 1), (7, 1)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(texts, labels, "doc_id", "text", "toxic", 3, -1, 10).withColumn("text", F.encode("text", "utf-8"))
+    assert rows.count() == 300
+    assert len(toxicity.bounded(rows, "text", 20)) == 20
+    assert len(toxicity.bounded(rows, "text", 1000)) == 50
+    assert len(toxicity.bounded(rows, "text", 1000, most_bytes=10)) < 10
+
+
+def test_across_parts_against_all_pairs(spark, monkeypatch):
+    """Members of components that a forest left in parts: the same components as by all pairs, whatever the size of blocks."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for c in range(3):
+        base = rng.integers(0, 1 << 40, size=60)
+        for m in range(25):
+            s = base.copy()
+            s[rng.choice(60, size=int(rng.integers(0, 14)), replace=False)] = rng.integers(0, 1 << 40)
+            rows.append((c, 100 * c + m, 100 * c + m, [0, 0, 0, 0], sorted({int(x) for x in s})))
+    df = spark.createDataFrame(rows, "whole long, label long, id long, full array<long>, runs array<long>")
+    want = list(range(len(rows)))
+
+    def find(x):
+        while want[x] != x:
+            x = want[x]
+        return x
+
+    for i, a in enumerate(rows):
+        for j, b in enumerate(rows[:i]):
+            u, v = set(a[4]), set(b[4])
+            if a[0] == b[0] and len(u & v) / len(u | v) >= 0.8:
+                want[find(i)] = find(j)
+    at = {r[2]: i for i, r in enumerate(rows)}
+    for block in (512, 7):
+        got = components.connected_components(simhash.across_parts(df, 0.8, 256, rows=block))
+        groups = defaultdict(set)
+        for r in got.collect():
+            groups[r.root].add(find(at[r.node]))
+        assert all(len(g) == 1 for g in groups.values())
+        linked = {i for i in range(len(rows)) if sum(find(j) == find(i) for j in range(len(rows))) > 1}
+        assert {at[r.node] for r in got.collect()} == linked
+        roots = {at[r.node]: r.root for r in got.collect()}
+        assert all(roots[i] == roots[j] for i in linked for j in linked if find(i) == find(j))
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_cover_their_tables(spark, name):
     sf = "/root/testdata/sf0.001"
