@@ -41,7 +41,7 @@ def test_entry(spark):
 
 
 #: Queries that between them run every operator; the driver compares all of them at sf0.01.
-CHOSEN = ["p1_normalise_keys", "p3_normalise_maps", "p6_sku_classes", "p11_priced_usage", "p13_entities", "p15_dimensions", "j1_price_tranches", "a2_cost_daily", "a4_dim_sku", "a6_dim_entity", "a7_job_runs", "a10_job_run_cost", "a11_query_activity", "a13_tag_coverage", "w1_latest_clusters", "w6_kpis", "t5_anomalies", "t5_anomalies_plain", "t6_gap_fill", "t14_forecast", "t11_seasonal_naive", "t12_moving_average", "b6_budget_status", "c3_chargeback", "c3_chargeback_none", "r11_recommendations", "q9_quality_checks", "l11_admitted", "s4_usage_ingest", "s13_upsert", "s16_ingest_window", "v2_tag_inventory", "e14d_outside_validity"]
+CHOSEN = ["p1_normalise_keys", "p3_normalise_maps", "p6_sku_classes", "p11_priced_usage", "p13_entities", "p15_dimensions", "j1_price_tranches", "a2_cost_daily", "a4_dim_sku", "a6_dim_entity", "a7_job_runs", "a10_job_run_cost", "a11_query_activity", "a13_tag_coverage", "w1_latest_clusters", "w6_kpis", "t5_anomalies", "t5_anomalies_plain", "t6_gap_fill", "t14_forecast", "t11_seasonal_naive", "t12_moving_average", "b6_budget_status", "c3_chargeback", "c3_chargeback_none", "r11_recommendations", "q9_quality_checks", "l11_admitted", "s4_usage_ingest", "s13_upsert", "s16_ingest_window", "v2_tag_inventory", "e14d_outside_validity", "j7_entity_configuration", "j11_warehouse_catalog", "w7_latest_budgets", "t15_budget_with_forecast", "a16_cost_series", "l15_reloaded_alerts", "s17_recorded_marks", "d26_alert_log"]
 
 
 @pytest.mark.parametrize("name", CHOSEN)

@@ -54,6 +54,59 @@ def test_glob(spark, glob, text, fits):
     assert one(spark, exprs.matches_any(F.lit(text), [glob])) is fits
 
 
+USE = "SELECT 'A' AS sku_name, 'DBU' AS usage_unit, 'aws' AS cloud, TIMESTAMP_NTZ '2026-02-01 00:00:00' AS usage_end_time"
+
+
+@pytest.mark.parametrize(
+    "pricing_column,price",
+    [
+        ("named_struct('default', 2.0D, 'effective_list', named_struct('default', 1.5D))", 1.5),
+        ("named_struct('default', CAST(NULL AS DOUBLE), 'promotional', named_struct('default', 0.5D))", 0.5),
+        ("3.0D", 3.0),
+        ("named_struct('other', 1)", None),
+    ],
+)
+def test_price_shapes_and_cloud_without_case(spark, pricing_column, price):
+    prices = spark.sql(f"SELECT 'A' AS sku_name, 'DBU' AS usage_unit, 'AWS' AS cloud, TIMESTAMP_NTZ '2026-01-01 00:00:00' AS price_start_time, CAST(NULL AS TIMESTAMP_NTZ) AS price_end_time, {pricing_column} AS pricing")
+    assert facts.with_price(spark.sql(USE), prices).first()["unit_price"] == price
+
+
+def test_normalised_maps(spark):
+    df = spark.sql("SELECT map('Cost-Center', '-', 'cost_center', 'x', 'COSTCENTER', 'y', 'Env', ' prod ') AS m UNION ALL SELECT NULL UNION ALL SELECT map()")
+    got = [r["x"] for r in df.select(exprs.normalise_map(F.col("m")).alias("x")).collect()]
+    assert got == [{"costcenter": "x", "env": "prod"}, {}, {}]
+
+
+def test_warehouse_cost_meets_queries_of_its_own_day_and_workspace(spark):
+    daily = spark.createDataFrame([(date(2026, m, 5), w, "WAREHOUSE", "h", 10.0) for m in (1, 2) for w in ("a", "b")], "usage_date date, workspace_id string, entity_type string, entity_id string, total_cost_usd double")
+    activity = spark.createDataFrame([(date(2026, 2, 5), "a", "h", "u", 4, 0, 1)], "query_date date, workspace_id string, warehouse_id string, executed_by string, query_count long, failed_queries long, active_hours long")
+    got = {(r.usage_date.month, r.workspace_id): r.cost_per_query for r in facts.warehouse_cost(daily, activity).collect()}
+    assert got == {(1, "a"): None, (1, "b"): None, (2, "a"): 2.5, (2, "b"): None}
+
+
+def test_series_of_the_fact_and_latest_budget(spark):
+    daily = spark.createDataFrame([(date(2026, 1, 1), "t", "A", 1.0), (date(2026, 1, 1), "t", "B", 2.0), (date(2026, 1, 2), None, "A", 4.0)], "usage_date date, team string, sku_group string, total_cost_usd double")
+    got = {(r.dimension, r.dim_value, r.usage_date.day): r.cost for r in series.daily_series(daily, ["team", "sku_group", "absent"]).collect()}
+    assert got == {("team", "t", 1): 3, ("sku_group", "A", 1): 1, ("sku_group", "B", 1): 2, ("sku_group", "A", 2): 4}
+    history = spark.sql("SELECT 'b' AS budget_id, DATE '2026-01-01' AS as_of_date, 'OK' AS status UNION ALL SELECT 'b', DATE '2026-01-03', 'WARNING'")
+    assert [r.status for r in budgets.latest_status(history).collect()] == ["WARNING"]
+
+
+def test_streams_of_costs_and_alerts(spark, tmp_path):
+    src = str(tmp_path / "u")
+    spark.sql("SELECT TIMESTAMP '2026-01-01 05:00:00' AS usage_end_time, 'A' AS sku_group, 1.0D AS total_cost_usd UNION ALL SELECT TIMESTAMP '2026-01-01 09:00:00', 'A', 2.0D UNION ALL SELECT TIMESTAMP '2026-01-20 00:00:00', 'A', 9.0D").write.parquet(src)
+    usage = spark.readStream.schema("usage_end_time timestamp, sku_group string, total_cost_usd double").parquet(src)
+    q = late_usage.daily_cost_stream(usage).writeStream.format("memory").queryName("daily_costs").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert [(r.usage_date, r.cost, r.records) for r in spark.table("daily_costs").collect()] == [(date(2026, 1, 1), 3.0, 2)]
+    src = str(tmp_path / "a")
+    spark.sql("SELECT 'f' AS fingerprint, TIMESTAMP '2026-01-01 05:00:00' AS created_at UNION ALL SELECT 'f', TIMESTAMP '2026-01-01 06:00:00' UNION ALL SELECT 'g', TIMESTAMP '2026-01-01 06:00:00'").coalesce(1).write.parquet(src)
+    found = spark.readStream.schema("fingerprint string, created_at timestamp").parquet(src)
+    q = late_usage.first_alerts(found).writeStream.format("memory").queryName("first_alerts").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert sorted(r.fingerprint for r in spark.table("first_alerts").collect()) == ["f", "g"]
+
+
 def test_entity_and_dimensions(spark):
     df = spark.sql("SELECT named_struct('job_id', ' ', 'cluster_id', 'c1') AS usage_metadata, map('Equipo', 'Datos', 'cc', 'n/a', 'CC ', 'CC-1', 'ambiente', 'prod') AS custom_tags, '3' AS workspace_id")
     r = attribution.with_dimensions(attribution.with_entity(df), {"3": {"environment": "qa", "project": "p"}}).first()
@@ -120,6 +173,11 @@ def test_chargeback_reconciles(spark):
         ({"entity_type": "WAREHOUSE", "query_count": 100, "active_hours": 100}, "OVERSIZED_WAREHOUSE", 1200),
         ({"entity_type": "JOB", "sku_group": "ALL_PURPOSE", "run_count": 5}, "ALL_PURPOSE_FOR_JOBS", 1350),
         ({"entity_type": "JOB", "days_since_activity": 14}, "ZOMBIE_ENTITY", 3000),
+        ({"entity_type": "CLUSTER", "dbr_version": "12.2.x-scala2.12"}, "LEGACY_RUNTIME", 300),
+        ({"entity_type": "JOB", "sku_group": "SQL"}, "PHOTON_OPPORTUNITY", 360),
+        ({"entity_type": "CLUSTER", "is_autoscale": False, "worker_count": 4}, "NO_AUTOSCALE", 450),
+        ({"entity_type": "JOB", "run_count": 20, "avg_minutes": 5.0}, "SERVERLESS_CANDIDATE", 600),
+        ({"entity_type": "JOB", "untagged_cost_usd": 100.0}, "UNTAGGED_SPEND", 0),
     ],
 )
 def test_rules(spark, more, rule, savings):
