@@ -8,9 +8,13 @@ term products with them. Blocks are visited by falling bound and scored through
 index until the bound falls below the query's k-th score (or equals it and no smaller id can
 come); what is left cannot enter the result.
 
-The query set meets the blocks as chunks of queries against slices (bounded sets of blocks),
-each pair one bounded group made by an equi-join key; local results merge by query with one
-top-k window over k rows from each slice.
+Three rounds, of which only the last moves blocks in numbers. First the bounds alone, two
+vectors for each block, meet chunks of queries on pages of bounds: every query names its
+``SEEDS`` best blocks. Those are scored, which gives the query a floor, a score that k rows
+reach. Then the bounds meet the queries again, and a query travels only to slices (bounded sets
+of blocks) with a bound at or above its floor, a block only to chunks with such a query. Chunks
+and slices, each pair one bounded group made by an equi-join key, give local results that merge
+by query with one top-k window over k rows from each slice.
 
 Vectors that are null, or hold null or non-finite components, take no part. Vectors of other
 lengths are padded with zeros. Fewer rows than k give all; ties go to the smaller id; repeated
@@ -25,13 +29,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block, blocks of a slice, queries of a chunk.
-BLOCK, SLICE_BLOCKS, CHUNK = 256, 64, 1024
+from ledgerflow.llm.common import Scratch
 
-_PACKED = "id_min long, n int, width int, ids binary, forward binary, code string"
+#: Rows of a block, blocks of a slice, queries of a chunk, slices of a page of bounds, blocks that give a query its floor.
+BLOCK, SLICE_BLOCKS, CHUNK, PAGE_SLICES, SEEDS = 256, 64, 4096, 64, 2
+
+#: Consecutive blocks that go to the same slice.
+_RUN = 16
+
+_PACKED = "id_min long, n int, width int, ids binary, forward binary, code string, high binary, low binary"
+_FIELDS = ("n", "width", "ids", "forward", "code")
+_HITS = "chunk int, slice int, block long, query_row long"
 
 
 def _matrix(column: pa.Array, scale: float) -> np.ndarray:
@@ -45,7 +56,7 @@ def _matrix(column: pa.Array, scale: float) -> np.ndarray:
 
 def pack_blocks(vectors: DataFrame, scale: float, block: int) -> DataFrame:
     """Rows of _PACKED from (id, vector) rows already sorted within partitions."""
-    schema = pa.schema([("id_min", pa.int64()), ("n", pa.int32()), ("width", pa.int32()), ("ids", pa.binary()), ("forward", pa.binary()), ("code", pa.string())])
+    schema = pa.schema([("id_min", pa.int64()), ("n", pa.int32()), ("width", pa.int32()), ("ids", pa.binary()), ("forward", pa.binary()), ("code", pa.string()), ("high", pa.binary()), ("low", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,7 +64,7 @@ def pack_blocks(vectors: DataFrame, scale: float, block: int) -> DataFrame:
                 part = batch.slice(start, block)
                 ids, m = part.column(0).to_numpy(), _matrix(part.column(1), scale)
                 code = next(c for c, most in (("<i2", 1 << 15), ("<i4", 1 << 31), ("<f8", np.inf)) if np.abs(m).max(initial=0) < most)
-                row = (int(ids.min()), len(ids), m.shape[1], ids.tobytes(), m.astype(code).tobytes(), code)
+                row = (int(ids.min()), len(ids), m.shape[1], ids.tobytes(), m.astype(code).tobytes(), code, m.max(axis=0).astype(code).tobytes(), m.min(axis=0).astype(code).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     return vectors.mapInArrow(run, _PACKED)
@@ -68,6 +79,18 @@ def _pad(m: np.ndarray, width: int) -> np.ndarray:
     return np.pad(m, ((0, 0), (0, width - m.shape[1])))
 
 
+def _stack(parts: list[np.ndarray]) -> np.ndarray:
+    width = max(m.shape[1] for m in parts)
+    return np.vstack([_pad(m, width) for m in parts])
+
+
+def bounds(queries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """The largest score that each query can have in each block."""
+    width = max(queries.shape[1], high.shape[1])
+    queries, high, low = (_pad(m, width) for m in (queries, high, low))
+    return np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+
+
 class Best:
     """The k best (score, id) of each query so far, best first; missing places hold -inf."""
 
@@ -88,12 +111,15 @@ class Best:
         self.score[q], self.id[q] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
 
-def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[Best, int]:
-    """Local top k of every query over (ids, forward index) blocks, and the number of (query, block) pairs scored."""
+def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], k: int, floor: np.ndarray | None = None) -> tuple[Best, int]:
+    """Local top k of every query over (ids, forward index) blocks, and the number of (query, block) pairs scored.
+
+    Scores below a query's ``floor`` may be missing.
+    """
     width = max([queries.shape[1], *(m.shape[1] for _, m in blocks)])
     queries, blocks = _pad(queries, width), [(i, _pad(m, width)) for i, m in blocks]
-    high, low = np.vstack([m.max(axis=0) for _, m in blocks]), np.vstack([m.min(axis=0) for _, m in blocks])
-    bound = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+    bound = bounds(queries, np.vstack([m.max(axis=0) for _, m in blocks]), np.vstack([m.min(axis=0) for _, m in blocks]))
+    floor = np.full(len(queries), -np.inf) if floor is None else floor
     first_id = np.array([i.min() for i, _ in blocks])
     order = np.lexsort((np.broadcast_to(first_id, bound.shape), -bound), axis=1)
     best, scored = Best(len(queries), k), 0
@@ -103,7 +129,8 @@ def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.nda
         b = bound[live, at]
         kth = best.score[live, -1]
         # bounds only fall, but at equal bounds a later block may start at a larger id, so only b < kth ends a query
-        live, at, b, kth = (x[b >= kth] for x in (live, at, b, kth))
+        reach = b >= np.maximum(kth, floor[live])
+        live, at, b, kth = (x[reach] for x in (live, at, b, kth))
         if not len(live):
             break
         use = (b > kth) | (first_id[at] < best.id[live, -1])
@@ -117,38 +144,130 @@ def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.nda
     return best, scored
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, block: int = BLOCK, slice_blocks: int = SLICE_BLOCKS, chunk: int = CHUNK) -> DataFrame:
-    """(query_id, rank, id_col, score) for each row of ``queries`` against all ``vectors``."""
+def _met(asked: DataFrame, held: DataFrame, keys: list[str], work, schema: str) -> DataFrame:
+    """``work(asks, held)`` on the rows of both sides that share ``keys``."""
+
+    def run(asks: pd.DataFrame, mine: pd.DataFrame) -> pd.DataFrame:
+        if asks.empty or mine.empty:
+            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
+        return work(asks, mine)
+
+    # both sides may come from one table: new names for one of them keep their columns apart
+    held = held.select(*[F.col(c).alias(c) for c in held.columns])
+    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(run, schema)
+
+
+def _asks(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The ids and the matrix of query rows."""
+    parts = [unpack(r) for r in rows.to_dict("records")]
+    return np.concatenate([i for i, _ in parts]), _stack([m for _, m in parts])
+
+
+def _page_bounds(asks: pd.DataFrame, held: pd.DataFrame) -> np.ndarray:
+    ends = [[np.frombuffer(r[c], r["code"]).astype(np.float64)[None, :] for r in held.to_dict("records")] for c in ("high", "low")]
+    return bounds(_asks(asks)[1], _stack(ends[0]), _stack(ends[1]))
+
+
+def _all_of(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+
+def _dealt(n: int, *columns: str | Column) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+
+
+def floors(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int, k: int, scratch: Scratch) -> DataFrame:
+    """(query_row, floor): the best k-th score among the blocks with a query's highest bounds; -inf where none holds k rows."""
+
+    def best(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        bound = _page_bounds(asks, held)
+        n = min(SEEDS, bound.shape[1])
+        at = np.argpartition(-bound, n - 1, axis=1)[:, :n]
+        return pd.DataFrame({"query_row": np.repeat(asks["query_row"].to_numpy(np.int64), n), "chunk": asks["chunk"].iloc[0], "block": held["block"].to_numpy()[at].ravel(), "bound": np.take_along_axis(bound, at, 1).ravel()})
+
+    def kth(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        ids, m = _asks(asks)
+        found, _ = search(m, ids, [unpack(r) for r in held.to_dict("records")], k)
+        return pd.DataFrame({"query_row": asks["query_row"].to_numpy(np.int64), "floor": found.score[:, -1]})
+
+    paged = _met(*_paged(asking, blocks, pages, chunks), ["page", "chunk"], best, "query_row long, chunk int, block long, bound double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("bound"), "block")
+    seeds = scratch.written(paged.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= SEEDS).select("query_row", "chunk", "block"))
+    asked = asking.drop("chunk").join(seeds, "query_row")
+    held = blocks.select("block", *_FIELDS).join(seeds.select("chunk", "block").distinct(), "block")
+    return _met(asked, held, ["block", "chunk"], kth, "query_row long, floor double").groupBy("query_row").agg(F.max("floor").alias("floor"))
+
+
+def _paged(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int) -> tuple[DataFrame, DataFrame]:
+    """Queries on every page of bounds, and the bounds of blocks for every chunk of queries."""
+    held = blocks.select("block", "slice", _dealt(pages, "slice").alias("page"), _all_of(chunks).alias("chunk"), "code", "high", "low")
+    return asking.withColumn("page", _all_of(pages)), held
+
+
+def reached(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int) -> DataFrame:
+    """_HITS: each query with each slice that holds a bound at or above its ``floor``, and each such block with the chunk of queries."""
+
+    def hits(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        fits = _page_bounds(asks, held) >= asks["floor"].to_numpy()[:, None]
+        slices, block, rows = held["slice"].to_numpy(np.int64), held["block"].to_numpy(np.int64), asks["query_row"].to_numpy(np.int64)
+        wanted = np.flatnonzero(fits.any(axis=0))
+        out = [pd.DataFrame({"slice": slices[wanted], "block": pd.array(block[wanted], "Int64"), "query_row": pd.array([None] * len(wanted), "Int64")})]
+        for s in np.unique(slices):
+            mine = rows[fits[:, slices == s].any(axis=1)]
+            out.append(pd.DataFrame({"slice": s, "block": pd.array([None] * len(mine), "Int64"), "query_row": pd.array(mine, "Int64")}))
+        return pd.concat(out).assign(chunk=asks["chunk"].iloc[0])[["chunk", "slice", "block", "query_row"]]
+
+    return _met(*_paged(asking, blocks, pages, chunks), ["page", "chunk"], hits, _HITS)
+
+
+def top_k(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = 5,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    scale: float = 256.0,
+    block: int = BLOCK,
+    slice_blocks: int = SLICE_BLOCKS,
+    chunk: int = CHUNK,
+    page_slices: int = PAGE_SLICES,
+    moved: list | None = None,
+) -> DataFrame:
+    """(query_id, rank, id_col, score) for each row of ``queries`` against all ``vectors``.
+
+    ``moved``, if given, receives the table of _HITS: what the last round moves.
+    """
 
     def usable(df: DataFrame) -> DataFrame:
         v = F.col(f"`{vector_col}`").cast("array<double>")
         fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & v.isNotNull() & fine)
 
-    candidates, asked = usable(vectors), usable(queries)
-    slices = max(1, -(-candidates.count() // (block * slice_blocks)))
+    scratch, order = Scratch(), ("id", F.xxhash64("v"))
+    packed = pack_blocks(usable(vectors).repartitionByRange(*order).sortWithinPartitions(*order), scale, block)
+    packed = scratch.written(packed.select(F.monotonically_increasing_id().alias("block"), *_FIELDS, "high", "low"))
+    slices = max(1, -(-packed.count() // slice_blocks))
+    pages = max(1, -(-slices // page_slices))
+    # short runs of neighbours, so that a slice holds whole ranges of ids and few of them
+    blocks = packed.withColumn("slice", _dealt(slices, F.floor(F.col("block") / min(_RUN, slice_blocks))))
+
+    asked = scratch.written(pack_blocks(usable(queries), scale, 1).select(F.monotonically_increasing_id().alias("query_row"), *_FIELDS))
     chunks = max(1, -(-asked.count() // chunk))
-    order = ("id", F.xxhash64("v"))
-    fields = ("n", "width", "ids", "forward", "code")
-
-    blocks = pack_blocks(candidates.repartitionByRange(*order).sortWithinPartitions(*order), scale, block)
-    blocks = blocks.select(F.pmod(F.xxhash64("ids"), F.lit(slices)).alias("slice"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"), F.lit(None).cast("long").alias("query_row"), *fields)
-    asking = pack_blocks(asked, scale, 1).select(F.monotonically_increasing_id().alias("query_row"), *fields)
-    asking = asking.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice"), F.pmod(F.xxhash64("ids"), F.lit(chunks)).alias("chunk"), "query_row", *fields)
-
-    def local(group: pd.DataFrame) -> pd.DataFrame:
-        asks = group[group["query_row"].notna()]
-        held = [unpack(r) for r in group[group["query_row"].isna()].to_dict("records")]
-        if asks.empty or not held:
-            return pd.DataFrame({c: [] for c in ("query_row", "query_id", "id", "score")})
-        mine = [unpack(r) for r in asks.to_dict("records")]
-        width = max(m.shape[1] for _, m in mine)
-        ids = np.concatenate([i for i, _ in mine])
-        found, _ = search(np.vstack([_pad(m, width) for _, m in mine]), ids, held, k)
+    asking = asked.withColumn("chunk", _dealt(chunks, "query_row"))
+    asking = asking.join(scratch.written(floors(asking, blocks, pages, chunks, k, scratch)), "query_row", "left").fillna(float("-inf"), ["floor"])
+    hits = scratch.written(reached(asking, blocks, pages, chunks))
+    if moved is not None:
+        moved.append(hits)
+
+    def local(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        ids, m = _asks(asks)
+        found, _ = search(m, ids, [unpack(r) for r in held.to_dict("records")], k, asks["floor"].to_numpy())
         rows, places = np.nonzero(np.isfinite(found.score))
         return pd.DataFrame({"query_row": asks["query_row"].to_numpy(np.int64)[rows], "query_id": ids[rows], "id": found.id[rows, places], "score": found.score[rows, places].astype(np.int64)})
 
-    near = blocks.unionByName(asking).groupBy("slice", "chunk").applyInPandas(local, "query_row long, query_id long, id long, score long")
+    going = hits.filter("query_row is not null").select("query_row", "slice").join(asking, "query_row")
+    held = hits.filter("block is not null").select("block", "chunk").join(blocks.select("block", "slice", *_FIELDS), "block")
+    near = _met(going, held, ["slice", "chunk"], local, "query_row long, query_id long, id long, score long")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "id")
     ranked = near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")

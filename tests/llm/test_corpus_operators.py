@@ -236,6 +236,27 @@ def test_top_k(spark):
     assert topk.top_k(df.filter("false"), df.filter("false")).count() == 0
 
 
+def test_top_k_moves_few_blocks(spark):
+    rng = np.random.default_rng(8)
+    # 20 directions in turn over the ids, 100 neighbours each: a query needs the blocks of its own direction
+    axes = np.eye(20) * 3
+    vecs = [(i, [float(x) for x in axes[i // 100] + rng.normal(size=20) * 0.05]) for i in range(2000)]
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
+    moved = []
+    got = topk.top_k(df, df.filter("vec_id % 50 = 0"), block=25, slice_blocks=4, chunk=8, moved=moved).collect()
+    m = np.floor(256 * np.array([v for _, v in vecs]))
+    found = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
+        found[r.query_id].append((r.vec_id, r.score))
+    for q in range(0, 2000, 50):
+        s = m @ m[q]
+        assert found[q] == [(i, s[i]) for i in sorted((i for i in range(2000) if i != q), key=lambda i: (-s[i], i))[:5]]
+    going = moved[0].filter("query_row is not null").count()
+    held = moved[0].filter("block is not null").count()
+    # 40 queries and 80 blocks: the full grid of 20 slices and 5 chunks would move 800 queries and 400 blocks
+    assert going <= 200 and held <= 200
+
+
 def test_block_pruning_skips_blocks():
     rng = np.random.default_rng(1)
     far = [(np.arange(i * 50, i * 50 + 50), np.floor(rng.normal(size=(50, 4))) + (100 if i == 3 else 0)) for i in range(6)]
