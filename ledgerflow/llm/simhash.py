@@ -57,6 +57,8 @@ STEP_PAIRS = 1 << 20
 HELD_PAIRS = 1 << 21
 #: Members and bytes of run hashes of a block in which parts of a component meet.
 CELL_ROWS, CELL_BYTES = 512, 8 << 20
+#: Pairs of one class that meet one copy of its set, about.
+HUB_PAIRS = 256
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -341,13 +343,33 @@ def run_sets(docs: DataFrame, text_col: str, words: int, keep: list[str]) -> Dat
     return map_texts(docs, text_col, [("runs", T.ArrayType(T.LongType()))], make, keep)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (src, dst) of classes whose sets have a Jaccard similarity of at least ``least``."""
-    a = sets.select(F.col("__class").alias("src"), F.col("runs").alias("a"))
-    b = sets.select(F.col("__class").alias("dst"), F.col("runs").alias("b"))
+def dealt(pairs: DataFrame, side: str, scratch: Scratch, most: int) -> DataFrame:
+    """(``side``, copies) of the classes that more than ``most`` pairs name on this side.
+
+    Written first, so that Spark finds the few of them small and joins the pairs to them without a shuffle.
+    """
+    named = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    return scratch.written(named.select(side, F.ceil(F.col("n") / most).cast("int").alias("copies")))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, least: float, scratch: Scratch | None = None, most: int = HUB_PAIRS) -> DataFrame:
+    """The pairs (src, dst) of classes whose sets have a Jaccard similarity of at least ``least``.
+
+    The hub of a forest may be in a third of all pairs: its pairs are dealt by their other end over
+    copies of its set, one copy for about ``most`` pairs.
+    """
+    scratch = scratch or Scratch()
+    salted, own = pairs, {}
+    for side, other in (("src", "dst"), ("dst", "src")):
+        hubs = dealt(pairs, side, scratch, most)
+        salted = salted.join(hubs, side, "left").withColumn(f"{side}_copy", F.coalesce(F.pmod(F.xxhash64(other), F.col("copies")), F.lit(0)).cast("int")).drop("copies")
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias(f"{side}_copy")
+        own[side] = sets.select(F.col("__class").alias(side), F.col("runs").alias(f"{side}_runs")).join(hubs, side, "left").select(side, f"{side}_runs", copies)
+    met = salted.join(own["src"], ["src", "src_copy"]).join(own["dst"], ["dst", "dst_copy"])
+    a, b = F.col("src_runs"), F.col("dst_runs")
     # sets whose sizes alone rule the similarity out are not intersected
-    sized = pairs.join(a, "src").join(b, "dst").filter(F.least(F.size("a"), F.size("b")) >= F.greatest(F.size("a"), F.size("b")) * F.lit(least - 1e-9))
-    both = sized.select("src", "dst", F.size(F.array_intersect("a", "b")).alias("common"), (F.size("a") + F.size("b")).alias("total"))
+    sized = met.filter(F.least(F.size(a), F.size(b)) >= F.greatest(F.size(a), F.size(b)) * F.lit(least - 1e-9))
+    both = sized.select("src", "dst", F.size(F.array_intersect(a, b)).alias("common"), (F.size(a) + F.size(b)).alias("total"))
     return both.filter(F.try_divide(F.col("common"), F.col("total") - F.col("common")) >= least).select("src", "dst")
 
 
@@ -410,7 +432,7 @@ def confirmed_links(classes: DataFrame, texts: DataFrame, words: int, least: flo
     asked = scratch.written(pairs.select(F.col("src").alias("__class")).unionByName(pairs.select(F.col("dst").alias("__class"))).distinct())
     one = texts.join(asked, "__class").groupBy("__class").agg(F.min_by("__read", F.xxhash64("__read")).alias("__read"))
     sets = scratch.written(run_sets(one, "__read", words, ["__class"]))
-    first = scratch.written(confirmed(pairs, sets, least))
+    first = scratch.written(confirmed(pairs, sets, least, scratch))
     whole = connected_components(pairs, scratch).withColumnRenamed("root", "whole")
     part = connected_components(first, scratch).withColumnRenamed("root", "part")
     parts = whole.join(part, "node", "left").select(F.col("node").alias("id"), "whole", F.coalesce("part", "node").alias("label"))

@@ -545,6 +545,21 @@ def test_across_parts_against_all_pairs(spark, monkeypatch):
         assert all(roots[i] == roots[j] for i in linked for j in linked if find(i) == find(j))
 
 
+def test_confirmed_pairs_of_a_hub_against_sets(spark):
+    """A class in most pairs, on either side, meets copies of its set: the same pairs as by plain sets, none twice."""
+    rng = np.random.default_rng(9)
+    base = list(range(60))
+    sets = {c: sorted({*base[int(rng.integers(0, 9)) :], *(1000 * c + np.arange(rng.integers(0, 9))).tolist()}) for c in range(120)}
+    sets[119] = []
+    pairs = [(5, c) for c in range(6, 120)] + [(c, 110) for c in range(5)] + [(c, 119) for c in range(6, 60)]
+    df, held = spark.createDataFrame(pairs, "src long, dst long"), spark.createDataFrame(list(sets.items()), "__class long, runs array<long>")
+    want = sorted((a, b) for a, b in pairs if len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]}))
+    for most in (7, 256):
+        assert sorted(map(tuple, simhash.confirmed(df, held, 0.8, most=most).collect())) == want
+    assert 0 < len(want) < len(pairs)
+    assert simhash.confirmed(df.filter("false"), held, 0.8).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_cover_their_tables(spark, name):
     sf = "/root/testdata/sf0.001"
