@@ -72,9 +72,15 @@ def compute_family(group: Column) -> Column:
     return F.when(group.startswith("SERVERLESS"), F.lit("SERVERLESS")).when(group.isin("ALL_PURPOSE", "JOBS", "DLT", "SQL"), group).otherwise(F.lit("OTHER"))
 
 
+def discount_struct(pct: Column | None = None, name: Column | None = None) -> Column:
+    """struct(pct within 0 and 0.999, name); without a rule no discount."""
+    share = F.lit(0.0) if pct is None else F.least(F.greatest(pct, F.lit(0.0)), F.lit(0.999))
+    return F.struct(share.alias("pct"), (F.lit(NO_DISCOUNT) if name is None else name).alias("name"))
+
+
 def discount(rules: Sequence[Mapping]) -> Column:
     """struct(pct, name) of the first rule that fits; every key of a rule must fit, null fits nothing."""
-    out = F.struct(F.lit(0.0).alias("pct"), F.lit(NO_DISCOUNT).alias("name"))
+    out = discount_struct()
     for rule in reversed(rules):
         fits = F.lit(True)
         for key, wanted in rule.get("match", {}).items():
@@ -90,8 +96,8 @@ def infra_factor(family: Column, enabled: bool, factors: Mapping[str, float]) ->
     return F.coalesce(lookup(factors, family), F.lit(float(factors.get("OTHER", 0.0))))
 
 
-def priced_columns(rules: Sequence[Mapping], infra: bool, factors: Mapping[str, float] = INFRA_FACTORS) -> list[dict[str, Column]]:
-    """Column groups to add one after another to usage with ``unit_price`` and ``usage_quantity``."""
+def priced_columns(rules: Sequence[Mapping], infra: bool, factors: Mapping[str, float] = INFRA_FACTORS, found: Column | None = None) -> list[dict[str, Column]]:
+    """Column groups to add one after another to usage with ``unit_price`` and ``usage_quantity``; ``found`` is a discount known already."""
     list_cost = fixed(F.coalesce(F.col("usage_quantity"), F.lit(0.0)) * F.coalesce(F.col("unit_price"), F.lit(0.0)))
     return [
         {
@@ -99,7 +105,7 @@ def priced_columns(rules: Sequence[Mapping], infra: bool, factors: Mapping[str,
             "is_serverless": has_token("SERVERLESS", F.col("sku_name"), F.col("billing_origin_product")),
             "is_photon": has_token("PHOTON", F.col("sku_name")),
             "price_missing": F.col("unit_price").isNull(),
-            "__discount": discount(rules),
+            "__discount": discount(rules) if found is None else found,
             "list_cost_usd": list_cost,
         },
         {"compute_family": compute_family(F.col("sku_group")), "discount_pct": F.col("__discount.pct"), "discount_rule": F.col("__discount.name")},

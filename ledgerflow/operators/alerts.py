@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.exprs import fingerprint, money, rounded
 from ledgerflow.operators.budgets import latest_status
 
+# The levels in order; shares, amounts and days that the rules below have as defaults.
 LEVELS = ("low", "medium", "high", "critical")
 COLUMNS = ("rule", "severity", "subject", "value", "threshold", "fingerprint")
 
@@ -47,7 +48,7 @@ def daily_spike(totals: DataFrame, pct: float = 0.35, least: float = 200.0) -> D
     t = totals.withColumns({"n": F.count("cost").over(back), "mean": F.sum(F.col("cost").cast("decimal(20,6)")).over(back).cast("double") / 7, "last": F.max("usage_date").over(Window.partitionBy())})
     up = (F.col("cost") - F.col("mean")) / F.col("mean")
     hit = t.filter((F.col("usage_date") == F.col("last")) & (F.col("n") == 7) & (F.col("mean") > 0) & (up >= pct) & (F.col("cost") >= least))
-    return alert(hit, "DAILY_SPEND_SPIKE", F.when(up >= 1.0, "critical").otherwise("high"), F.col("usage_date"), F.col("cost"), F.col("mean"))
+    return alert(hit, "DAILY_SPEND_SPIKE", F.when(up >= 1.0, "critical").otherwise("high"), F.col("usage_date"), F.col("cost"), F.col("mean") * (1 + pct))
 
 
 def new_expensive(entities: DataFrame, as_of: str, least: float = 150.0, days: int = 7) -> DataFrame:
@@ -57,10 +58,12 @@ def new_expensive(entities: DataFrame, as_of: str, least: float = 150.0, days: i
     return alert(new, "NEW_EXPENSIVE_ENTITY", F.when(cost >= 3 * least, "high").otherwise("medium"), subject, cost, F.lit(least))
 
 
-def coverage_drop(coverage: DataFrame, least: float = 0.80) -> DataFrame:
-    by_dim = coverage.groupBy("dimension").agg(money(F.col("attributed_cost_usd")).alias("a"), money(F.col("total_cost_usd")).alias("t"))
-    ratio = F.when(F.col("t") > 0, F.col("a") / F.col("t")).otherwise(1.0)
-    return alert(by_dim.filter(ratio < least), "TAG_COVERAGE_DROP", F.when(ratio < 0.75 * least, "high").otherwise("medium"), F.col("dimension"), ratio, F.lit(least))
+def coverage_drop(coverage: DataFrame, day: str, dimension: str = "cost_center", least: float = 0.80) -> DataFrame:
+    """The coverage of one day by the dimension that costs are allocated by; one alert a month."""
+    of_day = coverage.filter((F.col("dimension") == dimension) & (F.col("usage_date") == F.lit(day).cast("date")))
+    sums = of_day.agg(money(F.col("attributed_cost_usd")).alias("a"), money(F.col("total_cost_usd")).alias("t")).filter("t > 0")
+    ratio = F.col("a") / F.col("t")
+    return alert(sums.filter(ratio < least), "TAG_COVERAGE_DROP", F.when(ratio < 0.75 * least, "high").otherwise("medium"), F.lit(f"dimension={dimension}"), ratio, F.lit(least), F.lit(dimension), F.lit(day[:7]))
 
 
 def data_quality(checks: DataFrame) -> DataFrame:
@@ -106,7 +109,9 @@ def admit(alerts: DataFrame, history: DataFrame, now: str, cooldown_hours: int =
     """
     first = F.row_number().over(Window.partitionBy("fingerprint").orderBy(*_order()))
     stamp = F.lit(now).cast("timestamp_ntz")
-    seen = history.groupBy("fingerprint").agg(F.max("created_at").alias("__last"))
+    # older dispatches cannot hold an alert back: twice the cooldown is all that is read of the log
+    recent = history.filter(F.col("created_at") >= stamp - F.make_dt_interval(hours=F.lit(2 * cooldown_hours)))
+    seen = recent.groupBy("fingerprint").agg(F.max("created_at").alias("__last"))
     a = alerts.withColumn("__first", first).join(seen, "fingerprint", "left")
     quiet = F.timestamp_diff("SECOND", F.col("__last"), stamp) < cooldown_hours * 3600
     why = F.when(F.col("__first") > 1, "duplicate").when(F.coalesce(quiet, F.lit(False)), "cooldown").when(rank(F.col("severity")) < LEVELS.index(least) + 1, "severity")

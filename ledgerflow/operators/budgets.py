@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import matches_any, money, rounded, scope_matches
+from ledgerflow.operators import predicates
+from ledgerflow.sources.stored import Scratch
 
 
 @dataclass(frozen=True)
@@ -39,8 +41,9 @@ def budget_status(costs: DataFrame, budgets: Sequence[Budget], as_of: str, forec
     """One row for each active budget with the period's actual and projected cost.
 
     ``costs`` has usage_date, total_cost_usd and the scope columns; it is read once, every row
-    going to each budget whose scope it fits. ``forecast`` (forecast_date, expected_cost) serves
-    budgets of the whole organisation.
+    going to each budget whose scope it fits. Many budgets find their costs through the index of
+    ``predicates``. ``forecast`` (forecast_date, expected_cost) serves budgets of the whole
+    organisation. Without an active budget there are no rows.
     """
     spark = costs.sparkSession
     active = [b for b in budgets if b.effective_from <= as_of <= b.effective_to]
@@ -49,11 +52,9 @@ def budget_status(costs: DataFrame, budgets: Sequence[Budget], as_of: str, forec
     by_period = lambda f: F.when(F.col("period") == "quarter", f(day, "quarter")).when(F.col("period") == "year", f(day, "year")).otherwise(f(day, "month"))
     table = table.withColumns({"period_start": by_period(period_start), "period_end": by_period(period_end)})
     # only the widest of the active periods is read
-    widest = F.least(*[period_start(day, b.period) for b in active], day)
-    costs = costs.filter(F.col("usage_date").between(widest, day))
-    fits = F.array(*[F.when(scope_matches(b.scope) & F.col("usage_date").between(period_start(day, b.period), day), F.lit(b.budget_id)) for b in active])
-    spent = costs.select("usage_date", "total_cost_usd", F.explode(F.filter(fits, lambda x: x.isNotNull())).alias("budget_id"))
-    daily = spent.groupBy("budget_id", "usage_date").agg(money(F.col("total_cost_usd")).alias("cost"))
+    widest = min([_first_day(as_of, b.period) for b in active], default=as_of)
+    costs = costs.filter(F.col("usage_date").between(F.lit(widest).cast("date"), day))
+    daily = (_daily_by_scope if len(active) > predicates.FEW_RULES else _daily_by_column)(costs, active, table, day)
     total = daily.groupBy("budget_id").agg(money(F.col("cost")).alias("actual"), F.count(F.lit(1)).alias("data_days"), F.max("usage_date").alias("last_day"))
     s = table.join(total, "budget_id", "left").withColumns({"actual": F.coalesce("actual", F.lit(0.0)), "data_days": F.coalesce("data_days", F.lit(0))})
     last = F.coalesce("last_day", F.date_sub("period_start", 1))
@@ -98,6 +99,48 @@ def budget_status(costs: DataFrame, budgets: Sequence[Budget], as_of: str, forec
     )
 
 
+def _first_day(as_of: str, period: str) -> str:
+    """``period_start`` of a day of the calendar, as text."""
+    year, month = int(as_of[:4]), int(as_of[5:7])
+    month = {"quarter": (month - 1) // 3 * 3 + 1, "year": 1}.get(period, month)
+    return f"{year:04d}-{month:02d}-01"
+
+
+def _daily_by_column(costs: DataFrame, active: Sequence[Budget], table: DataFrame, day: Column) -> DataFrame:
+    """(budget_id, usage_date, cost), each budget a Column of the plan."""
+    fits = F.array(*[F.when(scope_matches(b.scope) & F.col("usage_date").between(period_start(day, b.period), day), F.lit(b.budget_id)) for b in active]).cast("array<string>")
+    spent = costs.select("usage_date", "total_cost_usd", F.explode(F.filter(fits, lambda x: x.isNotNull())).alias("budget_id"))
+    return spent.groupBy("budget_id", "usage_date").agg(money(F.col("total_cost_usd")).alias("cost"))
+
+
+def _daily_by_scope(costs: DataFrame, active: Sequence[Budget], table: DataFrame, day: Column) -> DataFrame:
+    """(budget_id, usage_date, cost) by the index of predicates.
+
+    Costs are summed by day and combination of scope values before they meet scopes, and by scope
+    before they meet the budgets that share it.
+    """
+    scratch = Scratch()
+    scopes = {scope_label(b.scope): b.scope for b in active}
+    keys = predicates.keys_of(list(scopes.values()))
+    by_combo = scratch.written(costs.groupBy("usage_date", *keys).agg(money(F.col("total_cost_usd")).alias("cost")))
+    fits = predicates.matching(by_combo, list(scopes.values()), scratch)
+    names = costs.sparkSession.createDataFrame(list(enumerate(scopes)), "rule long, scope string")
+    met = by_combo.withColumns(predicates.combination(keys)).join(fits, ["c1", "c2"]).groupBy("rule", "usage_date").agg(money(F.col("cost")).alias("cost"))
+    by_scope = met.join(names, "rule").select("scope", "usage_date", "cost")
+    due = table.select("budget_id", "scope", "period_start")
+    return by_scope.join(due, "scope").filter(F.col("usage_date") >= F.col("period_start")).select("budget_id", "usage_date", "cost")
+
+
+def by_consumption(status: DataFrame) -> DataFrame:
+    """The most consumed budgets first."""
+    return status.orderBy(F.desc_nulls_last("consumed_pct"), "budget_id")
+
+
+def by_total(lines: DataFrame) -> DataFrame:
+    """The largest chargeback lines first."""
+    return lines.orderBy(F.desc("total_usd"), "year_month", "unit")
+
+
 def latest_status(history: DataFrame) -> DataFrame:
     """The newest row of each budget from a table of evaluations (budget_id, as_of_date, ...)."""
     w = Window.partitionBy("budget_id").orderBy(F.desc("as_of_date"))

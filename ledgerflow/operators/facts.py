@@ -9,18 +9,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.exprs import money, money_if, ratio, rounded
-from ledgerflow.functions.pricing import priced_columns
+from ledgerflow.functions.pricing import discount_struct, priced_columns
+from ledgerflow.operators import predicates, tranches
 from ledgerflow.operators.attribution import ALIASES, UNALLOCATED, resolved, with_dimensions, with_entity
+from ledgerflow.sources.stored import Scratch
 
 DIMS = tuple(ALIASES)
 MEASURES = ("list_cost_usd", "discount_usd", "effective_cost_usd", "infra_cost_usd", "total_cost_usd")
-#: Rows of a price or configuration table up to which it is broadcast.
-BROADCAST_ROWS = 500_000
+#: Rows and stored bytes of a price or configuration table up to which it is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 16 << 20
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if a count shows that it is small."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def sized(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``df`` computed once and stored, and whether its rows and bytes are few."""
+    scratch = Scratch()
+    table = scratch.written(df)
+    return table, scratch.size() <= most_bytes and table.count() <= most
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` stored, with a broadcast hint if it is small."""
+    table, few = sized(df, most, most_bytes)
+    return F.broadcast(table) if few else table
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: str, tie: str | None = None) -> DataFrame:
@@ -46,15 +56,22 @@ def unit_price(prices: DataFrame, column: str = "pricing") -> Column:
     return F.coalesce(*found, F.lit(None).cast("double"))
 
 
-def with_price(usage: DataFrame, prices: DataFrame) -> DataFrame:
+#: Tranches of a price list up to which one array for each SKU holds them.
+FEW_TRANCHES = 2000
+
+
+def with_price(usage: DataFrame, prices: DataFrame, few: int = FEW_TRANCHES) -> DataFrame:
     """Left join to the price tranche valid at the end of use; of several the latest one. Clouds compare without case.
 
     Tranches of a SKU and unit are one array, latest first, so that a record meets one row and
-    picks its tranche in place: no fan-out, and no shuffle of the usage to undo it.
+    picks its tranche in place: no fan-out, and no shuffle of the usage to undo it. Lists of more than
+    ``few`` tranches go through the interval index of ``tranches``.
     """
     cloud = lambda: F.upper(F.coalesce("cloud", F.lit("")))
-    tranche = F.struct(F.col("price_start_time").alias("a"), F.col("price_end_time").alias("b"), cloud().alias("cloud"), unit_price(prices).alias("price"))
-    p = prices.groupBy(F.col("sku_name").alias("p_sku"), F.coalesce("usage_unit", F.lit("")).alias("p_unit")).agg(F.sort_array(F.collect_list(tranche), asc=False).alias("__tranches"))
+    listed = prices.select(F.col("sku_name").alias("sku"), F.coalesce("usage_unit", F.lit("")).alias("unit"), cloud().alias("cloud"), F.col("price_start_time").alias("a"), F.col("price_end_time").alias("b"), unit_price(prices).alias("price"))
+    if prices.limit(few + 1).count() > few:
+        return _indexed_price(usage, listed, cloud())
+    p = listed.groupBy(F.col("sku").alias("p_sku"), F.col("unit").alias("p_unit")).agg(F.sort_array(F.collect_list(F.struct("a", "cloud", "b", "price")), asc=False).alias("__tranches"))
     joined = usage.join(small(p), (F.col("sku_name") == F.col("p_sku")) & (F.coalesce("usage_unit", F.lit("")) == F.col("p_unit")), "left")
     end = F.col("usage_end_time")
     valid = F.filter("__tranches", lambda t: ((t["cloud"] == "") | (t["cloud"] == cloud())) & (end >= t["a"]) & (t["b"].isNull() | (end < t["b"])))
@@ -62,6 +79,24 @@ def with_price(usage: DataFrame, prices: DataFrame) -> DataFrame:
     return best.withColumns({"price_start_time": F.col("__t.a"), "unit_price": F.col("__t.price")}).drop("p_sku", "p_unit", "__tranches", "__t")
 
 
+def _indexed_price(usage: DataFrame, listed: DataFrame, cloud: Column) -> DataFrame:
+    intervals = Scratch().written(tranches.elementary(listed))
+    lines, buckets = tranches.index(intervals)
+    names = {c: f"__{c}" for c in ("low", "width", "buckets", "bucket", "intervals")}
+    time = F.coalesce(tranches.micros(F.col("usage_end_time")), F.lit(-1 << 62))
+    placed = usage.join(small(lines.withColumnsRenamed(names)), (F.col("sku_name") == F.col("p_sku")) & (F.coalesce("usage_unit", F.lit("")) == F.col("p_unit")), "left")
+    step = F.floor((time - F.col("__low")) / F.col("__width")).cast("long")
+    placed = placed.withColumn("__at", F.greatest(F.lit(0), F.least(F.col("__buckets") - 1, step))).drop("__low", "__width", "__buckets")
+    filed = small(buckets.withColumnsRenamed({**names, "p_sku": "b_sku", "p_unit": "b_unit"}))
+    met = placed.join(filed, (F.col("p_sku") == F.col("b_sku")) & (F.col("p_unit") == F.col("b_unit")) & (F.col("__at") == F.col("__bucket")), "left")
+    valid = F.filter("__intervals", lambda t: ((t["cloud"] == "") | (t["cloud"] == cloud)) & (time >= t["start"]) & (time < t["stop"]))
+    # at most one for the own cloud and one for all: the later start counts, then the own cloud
+    best = F.array_max(F.transform(valid, lambda t: F.struct(t["since"].alias("since"), t["cloud"].alias("cloud"), t["price"].alias("price"))))
+    since = F.timestamp_add("MICROSECOND", F.col("__t.since"), F.lit("1970-01-01").cast("timestamp_ntz"))
+    out = met.withColumn("__t", best).withColumns({"price_start_time": since, "unit_price": F.col("__t.price")})
+    return out.drop("p_sku", "p_unit", "b_sku", "b_unit", "__at", "__bucket", "__intervals", "__t")
+
+
 def priced_usage(usage: DataFrame, prices: DataFrame, clusters: DataFrame, jobs: DataFrame, discounts: Sequence[Mapping] = (), defaults: Mapping[str, Mapping[str, str]] | None = None, infra: bool = True) -> DataFrame:
     """Priced, attributed usage records.
 
@@ -74,17 +109,57 @@ def priced_usage(usage: DataFrame, prices: DataFrame, clusters: DataFrame, jobs:
     c = resolved(clusters.select(F.col("cluster_id").alias("c_id"), "cluster_name", F.col("owned_by").alias("c_owner"), "tags"), "tags", "cluster_dims")
     j = resolved(jobs.select(F.col("workspace_id").alias("j_ws"), F.col("job_id").alias("j_id"), "job_name", F.col("run_as").alias("j_owner"), "tags"), "tags", "job_dims")
     u = usage.join(small(c), F.col("usage_metadata.cluster_id") == F.col("c_id"), "left")
-    u = u.join(j, (F.col("workspace_id") == F.col("j_ws")) & (F.col("usage_metadata.job_id") == F.col("j_id")), "left")
+    u = with_job(u, j)
     u = with_entity(with_price(u, prices))
     u = with_dimensions(u, defaults)
-    for group in priced_columns(discounts, infra):
+    indexed = len(discounts) > predicates.FEW_RULES
+    if indexed:
+        u = with_discount(u, discounts)
+    for group in priced_columns(() if indexed else discounts, infra, found=F.col("__discount") if indexed else None):
         u = u.withColumns(group)
     name = F.when(F.col("entity_type") == "JOB", F.col("job_name")).when(F.col("entity_type") == "CLUSTER", F.col("cluster_name"))
     out = u.withColumns({"entity_name": F.coalesce(name, "entity_id"), "owner_resolved": F.coalesce("run_as", "j_owner", "c_owner")})
     return out.drop("__discount", "c_id", "c_owner", "j_ws", "j_id", "j_owner")
 
 
-GRAIN = ("usage_date", "account_id", "workspace_id", "cloud", "sku_name", "sku_group", "compute_family", "entity_type", "entity_id", "entity_key", *DIMS)
+def with_discount(usage: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
+    """``usage`` with __discount, the struct of the first rule that fits, for any number of rules."""
+    scopes = [r.get("match", {}) for r in rules]
+    scratch = Scratch()
+    named = usage.sparkSession.createDataFrame([(n, r["name"], float(r["discount_pct"])) for n, r in enumerate(rules)], "rule long, name string, pct double")
+    best = predicates.first_match(usage, scopes, scratch).join(F.broadcast(named), "rule").select("c1", "c2", discount_struct(F.col("pct"), F.col("name")).alias("__discount"))
+    known = usage.withColumns(predicates.combination(predicates.keys_of(scopes))).join(small(best), ["c1", "c2"], "left").drop("c1", "c2")
+    return known.withColumn("__discount", F.coalesce("__discount", discount_struct()))
+
+
+#: A key that more usage records have than this is dealt over copies of its job, one copy for about as many records.
+HOT_ROWS = 100_000
+
+
+def with_job(usage: DataFrame, jobs: DataFrame, hot: int = HOT_ROWS, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Left join to the jobs of a workspace (j_ws, j_id).
+
+    Up to ``most`` jobs are broadcast and need no shuffle. Beyond, usage without a job bypasses the join, as all of a
+    workspace would meet in one task, and jobs of many records are copied, their records dealt over the copies.
+    """
+    job = F.col("usage_metadata.job_id")
+    jobs, few = sized(jobs, most)
+    if few:
+        return usage.join(F.broadcast(jobs), (F.col("workspace_id") == F.col("j_ws")) & (job == F.col("j_id")), "left")
+    scratch = Scratch()
+    named = usage.filter(job.isNotNull() & F.col("workspace_id").isNotNull())
+    copies = named.groupBy(F.col("workspace_id").alias("j_ws"), job.alias("j_id")).agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("copies")).filter("copies > 1")
+    copies = scratch.written(copies)
+    spread_jobs = jobs.join(copies, ["j_ws", "j_id"], "left").withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
+    # copies number few keys and are met by a broadcast, if they are few
+    dealt = named.join(small(copies.withColumnsRenamed({"j_ws": "h_ws", "j_id": "h_id"})), (F.col("workspace_id") == F.col("h_ws")) & (job == F.col("h_id")), "left")
+    dealt = dealt.withColumn("u_copy", F.coalesce(F.pmod(F.xxhash64("record_id"), F.col("copies")), F.lit(0)).cast("int")).drop("h_ws", "h_id", "copies")
+    met = dealt.join(spread_jobs, (F.col("workspace_id") == F.col("j_ws")) & (job == F.col("j_id")) & (F.col("u_copy") == F.col("copy")), "left").drop("u_copy", "copy")
+    rest = usage.filter(job.isNull() | F.col("workspace_id").isNull())
+    return met.unionByName(rest, allowMissingColumns=True)
+
+
+GRAIN = ("usage_date", "account_id", "workspace_id", "cloud", "sku_name", "sku_group", "compute_family", "is_serverless", "entity_type", "entity_id", "entity_key", *DIMS)
 
 
 def cost_daily(priced: DataFrame) -> DataFrame:
@@ -107,6 +182,7 @@ def cost_monthly(daily: DataFrame) -> DataFrame:
     keys = ("year_month", "account_id", "workspace_id", "sku_group", "compute_family", "entity_type", *DIMS)
     return daily.groupBy(*keys).agg(
         *[money(F.col(m)).alias(m) for m in MEASURES],
+        F.sum("usage_quantity").alias("usage_quantity"),
         F.count_distinct("entity_key").alias("distinct_entities"),
         F.size(F.collect_set("usage_date")).cast("long").alias("active_days"),  # 31 at most
         F.trunc(F.min("usage_date"), "MM").alias("month_start"),
@@ -150,13 +226,20 @@ def dim_workspace(daily: DataFrame, names: DataFrame) -> DataFrame:
     return seen.join(small(names), "workspace_id", "left").withColumn("workspace_name", F.coalesce("workspace_name", F.concat(F.lit("ws-"), F.col("workspace_id"))))
 
 
+#: Configuration of a cluster that its entity carries.
+CLUSTER_CONFIG = ("worker_count", "min_autoscale_workers", "max_autoscale_workers", "is_autoscale", "is_single_node", "auto_termination_minutes", "dbr_version", "driver_node_type", "worker_node_type", "cluster_source", "policy_id")
+
+
 def dim_entity(daily: DataFrame, as_of: str, clusters: DataFrame | None = None, warehouses: DataFrame | None = None) -> DataFrame:
-    """One row for each entity and workspace; with ``clusters`` (one row each) and ``warehouses`` (one row for each of a
-    workspace) also their configuration, null for entities of other types."""
+    """One row for each entity and workspace; with ``clusters`` and ``warehouses`` (one row for each of a workspace) also
+    their configuration, null for entities of other types."""
     out = daily.groupBy("entity_key", "workspace_id").agg(
         F.max("entity_type").alias("entity_type"),
         F.max("entity_name").alias("entity_name"),
         F.max("owner_resolved").alias("owner_resolved"),
+        F.max("sku_group").alias("primary_sku_group"),
+        F.max("is_serverless").alias("is_serverless"),
+        F.max("is_photon").alias("is_photon"),
         *[F.max(d).alias(d) for d in DIMS],
         F.count_distinct("usage_date").alias("active_days"),
         F.min("usage_date").alias("first_seen"),
@@ -164,12 +247,11 @@ def dim_entity(daily: DataFrame, as_of: str, clusters: DataFrame | None = None,
         money(F.col("total_cost_usd")).alias("lifetime_cost_usd"),
         F.date_diff(F.lit(as_of).cast("date"), F.max("usage_date")).alias("days_since_activity"),
     )
+    keys = ["entity_key", "workspace_id"]
     if clusters is not None:
-        c = clusters.select(F.concat(F.lit("CLUSTER:"), "cluster_id").alias("entity_key"), "worker_count", "is_autoscale", "is_single_node", "auto_termination_minutes", "dbr_version")
-        out = out.join(small(c), "entity_key", "left")
+        out = out.join(small(clusters.select(F.concat(F.lit("CLUSTER:"), "cluster_id").alias("entity_key"), "workspace_id", *CLUSTER_CONFIG)), keys, "left")
     if warehouses is not None:
-        w = warehouses.select(F.concat(F.lit("WAREHOUSE:"), "warehouse_id").alias("entity_key"), "workspace_id", *WAREHOUSE_CONFIG)
-        out = out.join(small(w), ["entity_key", "workspace_id"], "left")
+        out = out.join(small(warehouses.select(F.concat(F.lit("WAREHOUSE:"), "warehouse_id").alias("entity_key"), "workspace_id", *WAREHOUSE_CONFIG)), keys, "left")
     return out
 
 
@@ -216,35 +298,102 @@ def run_cost(priced: DataFrame) -> DataFrame:
     return ran.groupBy("workspace_id", F.col("usage_metadata.job_id").alias("job_id"), F.col("usage_metadata.job_run_id").alias("run_id")).agg(money(F.col("total_cost_usd")).alias("run_cost_usd"), F.sum("usage_quantity").alias("dbus"))
 
 
+def job_sums(priced: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cost of each run, and the dimensions of each job, from one scan of the usage.
+
+    Both grains are grouping sets of one aggregation, stored once and told apart by their number.
+    """
+    job, run = F.col("usage_metadata.job_id"), F.col("usage_metadata.job_run_id")
+    used = priced.filter(job.isNotNull()).select("workspace_id", job.alias("job_id"), run.alias("run_id"), "total_cost_usd", "usage_quantity", *DIMS)
+    ws, j, r = F.col("workspace_id"), F.col("job_id"), F.col("run_id")
+    both = used.groupingSets([[ws, j, r], [ws, j]], ws, j, r).agg(F.grouping_id().alias("grain"), money(F.col("total_cost_usd")).alias("run_cost_usd"), F.sum("usage_quantity").alias("dbus"), *[F.max(d).alias(d) for d in DIMS])
+    table = Scratch().written(both)
+    runs = table.filter("grain = 0 AND run_id IS NOT NULL").select("workspace_id", "job_id", "run_id", "run_cost_usd", "dbus")
+    return runs, table.filter("grain = 1").select("workspace_id", "job_id", *DIMS)
+
+
 def job_run_cost(runs: DataFrame, priced: DataFrame) -> DataFrame:
     """Runs with their cost and the dimensions of their job; costs are summed by run before they meet the runs."""
-    tags = priced.filter(F.col("usage_metadata.job_id").isNotNull()).groupBy("workspace_id", F.col("usage_metadata.job_id").alias("job_id")).agg(*[F.max(d).alias(d) for d in DIMS])
-    joined = runs.join(run_cost(priced), ["workspace_id", "job_id", "run_id"], "left").join(tags, ["workspace_id", "job_id"], "left")
+    costs, tags = job_sums(priced)
+    joined = runs.join(costs, ["workspace_id", "job_id", "run_id"], "left").join(tags, ["workspace_id", "job_id"], "left")
     cost = F.coalesce("run_cost_usd", F.lit(0.0))
     return joined.withColumns({"has_cost": F.col("run_cost_usd").isNotNull(), "run_cost_usd": cost, "cost_per_minute": ratio(cost, F.col("duration_minutes"), 6), **{d: F.coalesce(d, F.lit(UNALLOCATED)) for d in DIMS}})
 
 
+#: Columns of a query that are summed as they are, and the names of their sums.
+_QUERY_SUMS = {"total_duration_ms": "total_ms", "waiting_for_compute_duration_ms": "queue_ms", "read_bytes": "read_bytes", "produced_rows": "produced_rows"}
+
+
 def query_activity(history: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """Activity by day, workspace, warehouse and user. With ``accuracy`` the 95 % duration is approximate, in bounded memory."""
+    """Activity by day, workspace, warehouse and user; active hours are the hours that queries took.
+
+    With ``accuracy`` the 95 % duration is approximate, in bounded memory.
+    """
     p95 = F.percentile("total_duration_ms", F.lit(0.95)) if accuracy is None else F.percentile_approx("total_duration_ms", 0.95, accuracy).cast("double")
-    return history.groupBy("query_date", "workspace_id", "warehouse_id", "executed_by").agg(
+    grouped = history.groupBy("query_date", "workspace_id", "warehouse_id", "executed_by").agg(
         F.count(F.lit(1)).alias("query_count"),
-        F.sum("total_duration_ms").alias("total_ms"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in _QUERY_SUMS.items()],
         rounded(F.avg("total_duration_ms"), 4).alias("avg_ms"),
         rounded(p95, 4).alias("p95_ms"),
-        F.count_if(F.col("execution_status") == "FAILED").alias("failed_queries"),
+        F.count_if(F.upper(F.coalesce("execution_status", F.lit(""))).contains("FAIL")).alias("failed_queries"),
         F.count_distinct("statement_id").alias("distinct_statements"),
-        F.size(F.collect_set(F.hour("start_time"))).cast("long").alias("active_hours"),
     )
+    return grouped.withColumn("active_hours", rounded(F.col("total_ms") / 3_600_000.0, 4))
 
 
-def warehouse_cost(daily: DataFrame, activity: DataFrame, warehouses: DataFrame | None = None) -> DataFrame:
-    """Cost of each warehouse, workspace and day with that day's activity; with ``warehouses`` also their configuration."""
+def warehouse_cost(priced: DataFrame, activity: DataFrame, warehouses: DataFrame | None = None) -> DataFrame:
+    """Cost of each warehouse, workspace, day and set of dimensions with that day's activity; with ``warehouses`` also their configuration.
+
+    A warehouse whose day has several sets of dimensions repeats its activity for each of them.
+    """
     keys = ["usage_date", "workspace_id", "warehouse_id"]
-    cost = daily.filter("entity_type = 'WAREHOUSE'").groupBy("usage_date", "workspace_id", F.col("entity_id").alias("warehouse_id")).agg(money(F.col("total_cost_usd")).alias("total_cost_usd"))
-    used = activity.groupBy(F.col("query_date").alias("usage_date"), "workspace_id", "warehouse_id").agg(F.sum("query_count").alias("query_count"), F.sum("failed_queries").alias("failed_queries"), F.count_distinct("executed_by").alias("distinct_users"), F.sum("active_hours").alias("active_hours"))
-    out = cost.join(used, keys, "left").withColumn("cost_per_query", ratio(F.col("total_cost_usd"), F.col("query_count"), 6))
-    return out if warehouses is None else out.join(small(warehouses.select("workspace_id", "warehouse_id", *WAREHOUSE_CONFIG)), keys[1:], "left")
+    house = priced.withColumn("warehouse_id", F.col("usage_metadata.warehouse_id")).filter(F.col("warehouse_id").isNotNull())
+    cost = house.groupBy(*keys, *DIMS).agg(*[money(F.col(m)).alias(m) for m in MEASURES], F.sum("usage_quantity").alias("usage_quantity"), F.max("sku_group").alias("sku_group"), F.max("is_serverless").alias("is_serverless"))
+    used = activity.groupBy(F.col("query_date").alias("usage_date"), "workspace_id", "warehouse_id").agg(
+        F.sum("query_count").alias("query_count"),
+        F.sum("failed_queries").alias("failed_queries"),
+        F.count_distinct("executed_by").alias("distinct_users"),
+        rounded(F.sum(F.col("active_hours").cast("decimal(20,4)")).cast("double"), 4).alias("active_hours"),
+        rounded(F.avg("avg_ms"), 4).alias("avg_ms"),
+        F.sum("read_bytes").alias("read_bytes"),
+    )
+    out = cost.join(used, keys, "left").withColumns({"cost_per_query": ratio(F.col("total_cost_usd"), F.col("query_count"), 6), "entity_key": F.concat(F.lit("WAREHOUSE:"), "warehouse_id")})
+    return out if warehouses is None else out.join(small(warehouses.select("workspace_id", "warehouse_id", "warehouse_name", *WAREHOUSE_CONFIG)), keys[1:], "left")
+
+
+def live_coverage(priced: DataFrame) -> DataFrame:
+    """List cost that a record's own tags attribute, by day, workspace and dimension, with the entities behind it.
+
+    Costs are summed by entity first, so that what is unpivoted is a row for each entity.
+    """
+    cost = F.col("list_cost_usd")
+    own = [F.struct(F.lit(d).alias("dimension"), money_if(F.col(f"{d}_source") == "usage", cost).alias("known"), F.max(F.col(f"{d}_source") == "usage").alias("any")) for d in DIMS]
+    by_entity = priced.groupBy("usage_date", "workspace_id", "entity_id").agg(money(cost).alias("cost"), F.array(*own).alias("__d"))
+    long = by_entity.select("usage_date", "workspace_id", "entity_id", "cost", F.explode("__d").alias("d"))
+    # an entity without an id has cost but is not counted
+    named = F.col("entity_id").isNotNull()
+    out = long.groupBy("usage_date", "workspace_id", F.col("d.dimension").alias("dimension")).agg(
+        rounded(money(F.col("cost")), 2).alias("total_cost_usd"),
+        rounded(money(F.col("d.known")), 2).alias("attributed_cost_usd"),
+        F.count_if(named & F.col("d.any")).alias("attributed_entities"),
+        F.count_if(named).alias("total_entities"),
+    )
+    total, known = F.col("total_cost_usd"), F.col("attributed_cost_usd")
+    return out.withColumns({"unattributed_cost_usd": rounded(total - known, 2), "coverage_pct": ratio(known * 100.0, total, 2, 100.0)})
+
+
+def live_untagged(priced: DataFrame) -> DataFrame:
+    """List cost of records whose own tags give no dimension, by entity, SKU and product."""
+    none = F.lit(True)
+    for d in DIMS:
+        none = none & (F.col(f"{d}_source") != "usage")
+    return priced.filter(none).groupBy("entity_type", "entity_id", "workspace_id", "sku_name", "billing_origin_product").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.min("usage_date").alias("first_seen"),
+        F.max("usage_date").alias("last_seen"),
+        rounded(money(F.col("list_cost_usd")), 2).alias("list_cost_usd"),
+        F.max(F.greatest(F.coalesce(F.size("custom_tags"), F.lit(0)), F.lit(0))).cast("long").alias("tag_count"),
+    )
 
 
 def tag_coverage(daily: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import matches_any, money, money_if, rounded
 from ledgerflow.operators.attribution import UNALLOCATED
+from ledgerflow.sources.stored import Scratch
 
 
 @dataclass(frozen=True)
@@ -28,8 +29,14 @@ def _row(name: str, passed: Column, value: Column, limit: float, level: str) ->
     return F.struct(F.lit(name).alias("check_name"), F.coalesce(passed, F.lit(False)).alias("passed"), value.cast("double").alias("observed"), F.lit(float(limit)).alias("threshold"), F.lit(level).alias("severity"))
 
 
-def checks(priced: DataFrame, as_of: str, keys: Sequence[str] = ("record_id",), c: QualityConfig = QualityConfig()) -> DataFrame:
-    """(check_name, passed, observed, threshold, severity); ``keys`` is the full grain of the table."""
+def checks(priced: DataFrame, as_of: str, keys: Sequence[str] = ("record_id",), c: QualityConfig = QualityConfig(), store: bool = True, scratch: Scratch | None = None) -> DataFrame:
+    """(check_name, passed, observed, threshold, severity); ``keys`` is the full grain of the table.
+
+    Without ``store`` the table is taken as stored already.
+    """
+    # both aggregations read the few columns that checks need, stored once
+    wanted = dict.fromkeys([*keys, "sku_name", "usage_date", "total_cost_usd", "price_missing", *c.coverage_dims])
+    priced = (Scratch() if scratch is None else scratch).written(priced.select(*wanted)) if store else priced
     ignored = matches_any(F.col("sku_name"), c.ignore_skus)
     cost = F.col("total_cost_usd")
     one = priced.agg(

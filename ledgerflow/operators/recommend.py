@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import money, money_if, rounded
-from ledgerflow.operators.attribution import UNALLOCATED
+from ledgerflow.operators.attribution import ALIASES
 
 
 # Thresholds and shares of the rules; rule names and confidences below are fixed as well.
@@ -38,25 +38,31 @@ class RuleConfig:
 
 
 def profiles(daily: DataFrame, clusters: DataFrame, runs: DataFrame, activity: DataFrame, as_of: str, days: int) -> DataFrame:
-    """One row for each entity and workspace with the cost, use and configuration of the last ``days`` days."""
+    """One row for each entity and workspace with the cost, runs, queries and configuration of the days from ``days`` before ``as_of`` on."""
     end = F.lit(as_of).cast("date")
-    recent = daily.filter(F.col("usage_date").between(F.date_sub(end, days - 1), end))
-    untagged = (F.col("cost_center") == UNALLOCATED) & (F.col("team") == UNALLOCATED)
-    p = recent.groupBy("entity_key", "workspace_id").agg(
+    within = lambda day: F.col(day).between(F.date_sub(end, days), end)
+    p = daily.filter(within("usage_date")).groupBy("entity_key", "workspace_id").agg(
         F.max("entity_type").alias("entity_type"),
         F.max("entity_id").alias("entity_id"),
+        F.max("entity_name").alias("entity_name"),
+        F.max("owner_resolved").alias("owner"),
         F.max("sku_group").alias("sku_group"),
         money(F.col("total_cost_usd")).alias("cost_usd"),
-        money_if(untagged, F.col("total_cost_usd")).alias("untagged_cost_usd"),
+        money_if(F.col("is_untagged"), F.col("total_cost_usd")).alias("untagged_cost_usd"),
         F.max("usage_date").alias("last_activity"),
         F.max("is_photon").alias("is_photon"),
-        F.max(F.col("compute_family") == "SERVERLESS").alias("is_serverless"),
+        F.max("is_serverless").alias("is_serverless"),
+        *[F.max(d).alias(f"dim_{d}" if d == "owner" else d) for d in ALIASES],
     )
     p = p.withColumns({"analysis_days": F.lit(days), "days_since_activity": F.date_diff(end, "last_activity")})
-    job = runs.groupBy("workspace_id", F.concat(F.lit("JOB:"), "job_id").alias("entity_key")).agg(F.count(F.lit(1)).alias("run_count"), F.count_if("is_failed").alias("failed_runs"), rounded(F.avg("duration_minutes"), 4).alias("avg_minutes"))
-    house = activity.groupBy("workspace_id", F.concat(F.lit("WAREHOUSE:"), "warehouse_id").alias("entity_key")).agg(F.sum("query_count").alias("query_count"), F.sum("active_hours").alias("active_hours"))
-    config = clusters.select(F.concat(F.lit("CLUSTER:"), "cluster_id").alias("entity_key"), "worker_count", "auto_termination_minutes", "dbr_version", "is_autoscale")
-    return p.join(config, "entity_key", "left").join(job, ["entity_key", "workspace_id"], "left").join(house, ["entity_key", "workspace_id"], "left")
+    job = runs.filter(within("run_date")).groupBy("workspace_id", F.concat(F.lit("JOB:"), "job_id").alias("entity_key")).agg(
+        F.count(F.lit(1)).alias("run_count"), F.count_if("is_failed").alias("failed_runs"), rounded(F.avg("duration_minutes"), 4).alias("avg_minutes"), F.max("run_date").alias("last_run_date")
+    )
+    hours = rounded(F.sum(F.col("active_hours").cast("decimal(20,4)")).cast("double"), 4)
+    house = activity.filter(within("query_date")).groupBy("workspace_id", F.concat(F.lit("WAREHOUSE:"), "warehouse_id").alias("entity_key")).agg(F.sum("query_count").alias("query_count"), hours.alias("active_hours"))
+    config = clusters.select(F.concat(F.lit("CLUSTER:"), "cluster_id").alias("entity_key"), "workspace_id", "worker_count", "auto_termination_minutes", "dbr_version", "is_autoscale")
+    keys = ["entity_key", "workspace_id"]
+    return p.join(config, keys, "left").join(job, keys, "left").join(house, keys, "left")
 
 
 def recommendations(profile: DataFrame, c: RuleConfig = RuleConfig()) -> DataFrame:

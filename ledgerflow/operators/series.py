@@ -28,6 +28,7 @@ def daily_series(daily: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     return long.groupBy(*KEYS, "usage_date").agg(money(F.col("v")).alias("cost"))
 
 
+# Windows, thresholds and limits of severity below, and of the forecast.
 @dataclass(frozen=True)
 class AnomalyConfig:
     window_days: int = 28
@@ -110,13 +111,17 @@ def anomalies(series: DataFrame, c: AnomalyConfig = AnomalyConfig()) -> DataFram
 
 
 def filled(series: DataFrame, train: int) -> DataFrame:
-    """One row for each series: first day, last day and values of every day, 0 for days without; the last ``train`` kept."""
-    g = series.groupBy(*KEYS).agg(F.min("usage_date").alias("first"), F.max("usage_date").alias("last"), F.map_from_entries(F.collect_list(F.struct("usage_date", "cost"))).alias("__m"))
-    days = F.sequence("first", "last")
-    values = F.transform(days, lambda d: F.coalesce(F.element_at("__m", d), F.lit(0.0)))
-    g = g.select(*KEYS, "last", values.alias("v"), days.alias("d"), F.size(days).alias("history"))
-    start = F.greatest(F.lit(1), F.size("v") - train + 1)
-    return g.select(*KEYS, "last", "history", F.slice("v", start, train).alias("v"), F.slice("d", start, train).alias("d"))
+    """One row for each series: last day, days of history, and values of the last ``train`` days, 0 for days without.
+
+    Rows of one day are summed. Only days of the training window are gathered, so that a row holds ``train`` values at most.
+    """
+    daily = series.groupBy(*KEYS, "usage_date").agg(F.sum("cost").alias("cost"))
+    w = Window.partitionBy(*KEYS)
+    spans = daily.withColumns({"first": F.min("usage_date").over(w), "last": F.max("usage_date").over(w)}).filter(F.datediff("last", "usage_date") < train)
+    g = spans.groupBy(*KEYS, "first", "last").agg(F.map_from_entries(F.collect_list(F.struct("usage_date", "cost"))).alias("__m"))
+    days = F.sequence(F.greatest(F.col("first"), F.date_sub("last", train - 1)), F.col("last"))
+    g = g.withColumns({"history": F.datediff("last", "first") + 1, "d": days})
+    return g.select(*KEYS, "last", "history", F.transform("d", lambda d: F.coalesce(F.element_at("__m", d), F.lit(0.0))).alias("v"), "d")
 
 
 def weekly_indices(v: Column, d: Column, weekly: bool) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,8 @@ def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.warehouse_config(T.warehouse_history(spark, sf_dir))
 
 
-def priced(spark: SparkSession, sf_dir: str, days: Days | None = None) -> DataFrame:
-    return facts.priced_usage(T.usage(spark, sf_dir, days), T.prices(spark), clusters(spark, sf_dir), T.jobs(spark, sf_dir), T.DISCOUNTS, T.WORKSPACE_DEFAULTS)
+def priced(spark: SparkSession, sf_dir: str, days: Days | None = None, discounts: Sequence[Mapping] = T.DISCOUNTS) -> DataFrame:
+    return facts.priced_usage(T.usage(spark, sf_dir, days), T.prices(spark), clusters(spark, sf_dir), T.jobs(spark, sf_dir), discounts, T.WORKSPACE_DEFAULTS)
 
 
 def fact(spark: SparkSession, sf_dir: str, days: Days | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerflow.plans.oracle_facts import ACTIVITY, COVERAGE, FACT, PRICED, RUNS, rnd, usd
+from ledgerflow.plans.oracle_facts import ACTIVITY, CLUSTERS, COVERAGE, DIMS, FACT, HOURS, PRICED, RUNS, rnd, usd
 
 SERIES = """
 series AS (SELECT dimension, dim_value, usage_date, CAST(sum(v) AS DOUBLE) AS cost FROM (
@@ -130,17 +130,15 @@ _LINE_COLUMNS = "year_month, unit, entities, direct_usd, shared_usd, unallocated
 
 PROFILES = (
     FACT
-    + f", {ACTIVITY}, {RUNS}"
+    + f", {ACTIVITY}, {RUNS}, {CLUSTERS}"
     + f""",
-recent AS (SELECT entity_key, workspace_id, max(entity_type) AS entity_type, max(entity_id) AS entity_id, max(sku_group) AS sku_group, {usd("total_cost_usd")} AS cost_usd,
-  {usd("CASE WHEN cost_center = 'SIN_ASIGNAR' AND team = 'SIN_ASIGNAR' THEN total_cost_usd END")} AS untagged_cost_usd, max(usage_date) AS last_activity, bool_or(is_photon) AS is_photon, bool_or(compute_family = 'SERVERLESS') AS is_serverless
-  FROM fact WHERE usage_date BETWEEN DATE '2001-08-01' - 364 AND DATE '2001-08-01' GROUP BY 1, 2),
-cfg AS (SELECT 'CLUSTER:' || user_id AS entity_key, k % 10 AS worker_count, CASE WHEN k % 5 <> 0 THEN (k * 3) % 200 END AS auto_termination_minutes, (k % 6 + 11) || '.3.x-scala2.12' AS dbr_version, k % 3 = 0 AND k % 8 > k % 4 AS is_autoscale
-  FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)),
-jobstat AS (SELECT workspace_id, 'JOB:' || job_id AS entity_key, count(*) AS run_count, count(*) FILTER (is_failed) AS failed_runs, {rnd("avg(duration_minutes)", 4)} AS avg_minutes FROM runs GROUP BY 1, 2),
-house AS (SELECT workspace_id, 'WAREHOUSE:' || warehouse_id AS entity_key, CAST(sum(query_count) AS BIGINT) AS query_count, CAST(sum(active_hours) AS BIGINT) AS active_hours FROM activity GROUP BY 1, 2),
-profiles AS (SELECT r.*, 365 AS analysis_days, CAST(date_diff('day', last_activity, DATE '2001-08-01') AS INT) AS days_since_activity, worker_count, auto_termination_minutes, dbr_version, is_autoscale, run_count, failed_runs, avg_minutes, query_count, active_hours
-  FROM recent r LEFT JOIN cfg USING (entity_key) LEFT JOIN jobstat USING (entity_key, workspace_id) LEFT JOIN house USING (entity_key, workspace_id)),
+recent AS (SELECT entity_key, workspace_id, max(entity_type) AS entity_type, max(entity_id) AS entity_id, max(entity_name) AS entity_name, max(owner_resolved) AS owner, max(sku_group) AS sku_group, {usd("total_cost_usd")} AS cost_usd,
+  {usd("CASE WHEN is_untagged THEN total_cost_usd ELSE 0.0 END")} AS untagged_cost_usd, max(usage_date) AS last_activity, max(is_photon) AS is_photon, max(is_serverless) AS is_serverless, {", ".join(f"max({d}) AS {'dim_' if d == 'owner' else ''}{d}" for d in DIMS.split(", "))}
+  FROM fact WHERE usage_date BETWEEN DATE '2001-08-01' - 365 AND DATE '2001-08-01' GROUP BY 1, 2),
+jobstat AS (SELECT workspace_id, 'JOB:' || job_id AS entity_key, count(*) AS run_count, count(*) FILTER (is_failed) AS failed_runs, {rnd("avg(duration_minutes)", 4)} AS avg_minutes, max(run_date) AS last_run_date FROM runs WHERE run_date BETWEEN DATE '2001-08-01' - 365 AND DATE '2001-08-01' GROUP BY 1, 2),
+house AS (SELECT workspace_id, 'WAREHOUSE:' || warehouse_id AS entity_key, CAST(sum(query_count) AS BIGINT) AS query_count, {rnd(HOURS, 4)} AS active_hours FROM activity WHERE query_date BETWEEN DATE '2001-08-01' - 365 AND DATE '2001-08-01' GROUP BY 1, 2),
+profiles AS (SELECT r.*, 365 AS analysis_days, CAST(date_diff('day', last_activity, DATE '2001-08-01') AS INT) AS days_since_activity, worker_count, auto_termination_minutes, dbr_version, is_autoscale, run_count, failed_runs, avg_minutes, last_run_date, query_count, active_hours
+  FROM recent r LEFT JOIN clusters c ON r.entity_key = 'CLUSTER:' || cluster_id AND r.workspace_id = c.workspace_id LEFT JOIN jobstat j ON r.entity_key = j.entity_key AND r.workspace_id = j.workspace_id LEFT JOIN house h ON r.entity_key = h.entity_key AND r.workspace_id = h.workspace_id),
 monthly AS (SELECT *, cost_usd / 365 * 30 AS m FROM profiles)"""
 )
 _RULES = [
@@ -194,9 +192,9 @@ _ALERTS = " UNION ALL ".join(
     [
         _BUDGET_ALERTS,
         _ANOMALY_ALERT,
-        alert("DAILY_SPEND_SPIKE", _SPIKE_LEVEL, "CAST(usage_date AS VARCHAR)", "cost", "mean", _SPIKE.format(_FACT_TOTALS, 0.01)),
+        alert("DAILY_SPEND_SPIKE", _SPIKE_LEVEL, "CAST(usage_date AS VARCHAR)", "cost", "(mean * 1.01)", _SPIKE.format(_FACT_TOTALS, 0.01)),
         alert("NEW_EXPENSIVE_ENTITY", "CASE WHEN lc >= 60 THEN 'high' ELSE 'medium' END", "entity_key || '@' || workspace_id", "lc", "20", f"(SELECT entity_key, workspace_id, min(usage_date) AS f, {usd('total_cost_usd')} AS lc FROM fact GROUP BY 1, 2) WHERE date_diff('day', f, DATE '2001-08-01') <= 60 AND lc >= 20"),
-        alert("TAG_COVERAGE_DROP", "CASE WHEN r < 0.6 THEN 'high' ELSE 'medium' END", "dimension", "r", "0.8", f"(SELECT dimension, {usd('attributed_cost_usd')} / {usd('total_cost_usd')} AS r FROM coverage GROUP BY 1) WHERE r < 0.8"),
+        alert("TAG_COVERAGE_DROP", "CASE WHEN r < 0.99 * 0.75 THEN 'high' ELSE 'medium' END", "'dimension=' || dimension", "r", "0.99", f"(SELECT dimension, {usd('attributed_cost_usd')} / {usd('total_cost_usd')} AS r FROM coverage WHERE dimension = 'cost_center' AND usage_date = DATE '2001-08-01' GROUP BY 1) WHERE r < 0.99", "dimension || '|2001-08'"),
         alert("DATA_QUALITY", "'high'", "check_name", "observed", "threshold", "checks WHERE NOT passed AND severity = 'error'"),
     ]
 )
@@ -219,6 +217,15 @@ ORACLE_SQL = {
     "t11_seasonal_naive": f"WITH RECURSIVE {forecasts('seasonal_naive', False, 10)}",
     "t12_moving_average": f"WITH RECURSIVE {forecasts('moving_average', False, 5)}",
     "b6_budget_status": f"WITH {STATUS} SELECT * FROM status",
+    "b2_many_budgets": f"""WITH {FACT}, b AS (SELECT i, 'b' || i AS budget_id, 5.0 + i % 100 AS amount, ['month', 'quarter', 'year'][i % 3 + 1] AS period, [DATE '2001-07-01', DATE '2001-07-01', DATE '2001-01-01'][i % 3 + 1] AS a, [DATE '2001-07-31', DATE '2001-09-30', DATE '2001-12-31'][i % 3 + 1] AS e,
+        i % 5 AS kind, 'JOB:' || i AS job, 'team-' || (i % 3) AS t, ['P', 'D', 'Q'][i % 3 + 1] AS v FROM (SELECT unnest(range(10000)) AS i)),
+      f AS (SELECT usage_date, entity_key, team, sku_group, environment, total_cost_usd AS c FROM fact WHERE usage_date BETWEEN DATE '2001-01-01' AND DATE '2001-07-20'), d AS (SELECT usage_date, {usd("c")} AS c FROM f GROUP BY 1), s AS (SELECT usage_date, team, environment, {usd("c")} AS c FROM f WHERE sku_group LIKE '%SQL%' GROUP BY 1, 2, 3),
+      m AS (SELECT i, usage_date, c FROM b JOIN f ON kind < 3 AND entity_key = job AND usage_date >= a UNION ALL SELECT i, usage_date, c FROM b JOIN s ON kind = 3 AND (team = t OR team LIKE 'SIN#_%' ESCAPE '#') AND environment LIKE v || '%' AND usage_date >= a UNION ALL SELECT i, usage_date, c FROM b JOIN d ON kind = 4 AND usage_date >= a),
+      w AS (SELECT i, {usd("c")} AS act, count(DISTINCT usage_date) AS days, max(usage_date) AS last FROM m GROUP BY 1),
+      x AS (SELECT b.*, coalesce(act, 0) AS act, coalesce(act / days, 0) * greatest(0, date_diff('day', coalesce(last, a - 1), e)) AS rest FROM b LEFT JOIN w USING (i)),
+      y AS (SELECT *, {rnd("(act + rest)", 4)} AS projected, {rnd("(act / amount * 100)", 4)} AS consumed_pct FROM x), z AS (SELECT *, {rnd("(projected / amount * 100)", 4)} AS projected_pct FROM y)
+      SELECT budget_id, CASE WHEN kind < 3 THEN 'entity_key=' || job WHEN kind = 3 THEN 'environment=' || v || '* & sku_group=*SQL* & team=[' || chr(39) || t || chr(39) || ', ' || chr(39) || 'SIN_*' || chr(39) || ']' ELSE 'ORGANIZACION' END AS scope, period, {rnd("act", 4)} AS actual, consumed_pct, projected,
+        CASE WHEN consumed_pct >= 100 THEN 'EXCEEDED' WHEN consumed_pct >= 90 OR projected_pct >= 100 THEN 'CRITICAL' WHEN consumed_pct >= 50 OR projected_pct >= 90 THEN 'WARNING' ELSE 'OK' END AS status FROM z""",
     "w7_latest_budgets": f"WITH {STATUS} SELECT *, DATE '2001-07-20' AS as_of_date FROM status",
     "t15_budget_with_forecast": f"""WITH d AS (SELECT CAST(ts AS DATE) AS usage_date, event_type, value FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'), o AS (SELECT usage_date, {usd("value")} AS cost FROM d GROUP BY 1),
       m AS (SELECT {rnd("avg(cost)", 4)} AS v FROM (SELECT cost FROM o ORDER BY usage_date DESC LIMIT 7)),
@@ -243,7 +250,7 @@ ORACLE_SQL = {
     "q8_quality_summary": f"WITH {PRICED}, {CHECKS} SELECT count(*) AS total, count(*) FILTER (passed) AS passed, count(*) FILTER (NOT passed) AS failed, count(*) FILTER (NOT passed AND severity = 'error') AS blocking FROM checks",
     "q5_unpriced_skus": f"WITH {PRICED} SELECT sku_name, count(*) AS records, sum(usage_quantity) AS quantity, min(usage_date) AS first_seen, max(usage_date) AS last_seen FROM tagged WHERE price_missing GROUP BY 1 ORDER BY records DESC, sku_name LIMIT 10",
     "l10_alerts": f"WITH {FACT}{_STATUS_TAIL}{_COVERAGE_TAIL}, {anomalies(True, 'mad', None)}, {CHECKS} {_ALERTS}",
-    "l4_daily_spike": alert("DAILY_SPEND_SPIKE", _SPIKE_LEVEL, "CAST(usage_date AS VARCHAR)", "cost", "mean", _SPIKE.format(_ORDER_TOTALS, -0.9)),
+    "l4_daily_spike": alert("DAILY_SPEND_SPIKE", _SPIKE_LEVEL, "CAST(usage_date AS VARCHAR)", "cost", "(mean * (1 - 0.9))", _SPIKE.format(_ORDER_TOTALS, -0.9)),
     "l7_pipeline_health": alert("PIPELINE_HEALTH", "'critical'", "stages", "n", "0", "(SELECT string_agg(DISTINCT 'stage-' || (user_id % 5), ',' ORDER BY 'stage-' || (user_id % 5)) AS stages, count(*) AS n FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-30') WHERE n > 0"),
     "l11_admitted": f"WITH {ADMITTED} SELECT rule, severity, subject, fingerprint, outcome, CASE WHEN outcome = 'dispatched' THEN array_to_string({_CHANNEL}, ',') ELSE '' END AS channels FROM admitted",
     "l13_routes": f"WITH {ADMITTED} SELECT fingerprint, severity, unnest({_CHANNEL}) AS channel FROM admitted WHERE outcome = 'dispatched'",

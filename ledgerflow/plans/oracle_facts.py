@@ -92,7 +92,7 @@ FACT = (
     PRICED
     + f""",
 fact AS (
-  SELECT usage_date, account_id, workspace_id, cloud, sku_name, sku_group, compute_family, entity_type, entity_id, entity_key, {DIMS}, {_SUMS},
+  SELECT usage_date, account_id, workspace_id, cloud, sku_name, sku_group, compute_family, is_serverless, entity_type, entity_id, entity_key, {DIMS}, {_SUMS},
     sum(usage_quantity) AS usage_quantity, max(usage_unit) AS usage_unit, max(entity_name) AS entity_name, max(owner_resolved) AS owner_resolved, count(*) AS record_count, count(*) FILTER (price_missing) AS records_without_price,
     bool_or(tags_resolved = 0) AS is_untagged, bool_or(tags_resolved = 6) AS is_fully_tagged, bool_or(is_photon) AS is_photon, strftime(usage_date, '%Y-%m') AS year_month
   FROM tagged GROUP BY ALL)"""
@@ -128,14 +128,19 @@ periods AS (SELECT CAST(c_nationkey AS VARCHAR) AS workspace_id, CAST(o_custkey
   FROM (SELECT *, unnest(range(0, o_orderkey % 3 + 1)) AS n FROM orders JOIN customer ON o_custkey = c_custkey)),
 runs AS (SELECT workspace_id, job_id, run_id, CAST(min(a) AS DATE) AS run_date, max(result_state) AS result_state, max(result_state) = 'FAILED' AS is_failed, max(result_state) = 'SUCCEEDED' AS is_success,
   max(result_state) = 'CANCELED' AS is_cancelled, round(date_diff('second', min(a), max(b)) / 60.0, 4) AS duration_minutes, 'c' || arg_min(n, a) AS first_compute_id FROM periods GROUP BY 1, 2, 3)"""
-ACTIVITY = """
-queries AS (SELECT CAST(event_id AS VARCHAR) AS statement_id, ts - INTERVAL 8218 DAY AS start_time, CAST(s_nationkey AS VARCHAR) AS workspace_id, CAST(user_id % 20 AS VARCHAR) AS warehouse_id, user_id, value, event_type, event_id FROM events LEFT JOIN supplier ON s_suppkey = user_id % 20),
-activity AS (SELECT CAST(start_time AS DATE) AS query_date, workspace_id, warehouse_id, 'user-' || (user_id % 7) AS executed_by, count(*) AS query_count,
-  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_ms, round(avg(CAST(round(value * 100) AS BIGINT)), 4) AS avg_ms, round(quantile_cont(CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE), 0.95), 4) AS p95_ms,
-  count(*) FILTER (event_type = 'error') AS failed_queries, count(DISTINCT event_id) AS distinct_statements, count(DISTINCT hour(start_time)) AS active_hours FROM queries GROUP BY 1, 2, 3, 4)"""
+ACTIVITY = f"""
+queries AS (SELECT CAST(event_id AS VARCHAR) AS statement_id, ts - INTERVAL 8218 DAY AS start_time, CAST(s_nationkey AS VARCHAR) AS workspace_id, CAST(user_id % 20 AS VARCHAR) AS warehouse_id, 'user-' || (user_id % 7) AS executed_by,
+  CASE WHEN event_type <> 'error' THEN 'FINISHED' WHEN user_id % 2 = 0 THEN 'FAILED' ELSE 'query_failed' END AS execution_status, CAST(round(value * 100) AS BIGINT) AS total_duration_ms,
+  CASE WHEN event_id % 5 <> 0 THEN event_id % 1000 END AS waiting_ms, CASE WHEN event_id % 7 <> 0 THEN event_id * 10 END AS read_bytes, event_id % 91 AS produced_rows FROM events LEFT JOIN supplier ON s_suppkey = user_id % 20),
+activity AS (SELECT CAST(start_time AS DATE) AS query_date, workspace_id, warehouse_id, executed_by, count(*) AS query_count, CAST(sum(coalesce(total_duration_ms, 0)) AS BIGINT) AS total_ms, CAST(sum(coalesce(waiting_ms, 0)) AS BIGINT) AS queue_ms,
+  CAST(sum(coalesce(read_bytes, 0)) AS BIGINT) AS read_bytes, CAST(sum(coalesce(produced_rows, 0)) AS BIGINT) AS produced_rows, round(avg(total_duration_ms), 4) AS avg_ms, round(quantile_cont(CAST(total_duration_ms AS DOUBLE), 0.95), 4) AS p95_ms,
+  count(*) FILTER (contains(upper(coalesce(execution_status, '')), 'FAIL')) AS failed_queries, count(DISTINCT statement_id) AS distinct_statements, {rnd("(sum(coalesce(total_duration_ms, 0)) / 3600000.0)", 4)} AS active_hours FROM queries GROUP BY 1, 2, 3, 4)"""
 CLUSTERS = """
-clusters AS (SELECT CAST(user_id AS VARCHAR) AS cluster_id, k, k % 10 AS worker_count, k % 3 = 0 AND k % 8 > k % 4 AS is_autoscale, k % 10 = 0 AND NOT (k % 3 = 0 AND k % 8 > k % 4) AS is_single_node, event_type = 'error' AS is_deleted,
-  CASE WHEN k % 5 <> 0 THEN (k * 3) % 200 END AS auto_termination_minutes, (k % 6 + 11) || '.3.x-scala2.12' AS dbr_version FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1))"""
+clusters AS (SELECT CAST(user_id % 25 AS VARCHAR) AS workspace_id, CAST(user_id AS VARCHAR) AS cluster_id, k, k % 10 AS worker_count, CASE WHEN k % 3 = 0 THEN k % 4 END AS min_autoscale_workers, CASE WHEN k % 3 = 0 THEN k % 8 END AS max_autoscale_workers, k % 3 = 0 AND k % 8 > k % 4 AS is_autoscale,
+  k % 10 = 0 AND NOT (k % 3 = 0 AND k % 8 > k % 4) AS is_single_node, event_type = 'error' AS is_deleted, CASE WHEN k % 5 <> 0 THEN (k * 3) % 200 END AS auto_termination_minutes, (k % 6 + 11) || '.3.x-scala2.12' AS dbr_version,
+  'driver-' || (k % 3) AS driver_node_type, 'worker-' || (k % 4) AS worker_node_type, CASE WHEN k % 2 = 0 THEN 'UI' ELSE 'JOB' END AS cluster_source, CASE WHEN k % 7 = 0 THEN 'policy-' || k END AS policy_id
+  FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1))"""
+CLUSTER_CONFIG = "worker_count, min_autoscale_workers, max_autoscale_workers, is_autoscale, is_single_node, auto_termination_minutes, dbr_version, driver_node_type, worker_node_type, cluster_source, policy_id"
 WAREHOUSES = """
 warehouses AS (SELECT CAST(s_nationkey AS VARCHAR) AS workspace_id, CAST(s_suppkey AS VARCHAR) AS warehouse_id, s_name AS warehouse_name, CASE (s_suppkey + 1) % 3 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' ELSE 'Large' END AS warehouse_size,
   CASE (s_suppkey + 1) % 3 WHEN 0 THEN 'PRO' WHEN 1 THEN 'CLASSIC' ELSE 'pro_serverless' END AS warehouse_type, CAST((s_suppkey + 1) % 4 * 10 AS INT) AS auto_stop_minutes, CAST((s_suppkey + 1) % 2 + 1 AS INT) AS min_clusters, CAST((s_suppkey + 1) % 5 + 2 AS INT) AS max_clusters,
@@ -143,9 +148,11 @@ warehouses AS (SELECT CAST(s_nationkey AS VARCHAR) AS workspace_id, CAST(s_suppk
 CONFIG = "warehouse_size, warehouse_type, auto_stop_minutes, min_clusters, max_clusters"
 RUN_COST = f"run_cost AS (SELECT workspace_id, entity_id AS job_id, CAST(l_orderkey AS VARCHAR) AS run_id, {usd('total_cost_usd')} AS run_cost_usd, sum(usage_quantity) AS dbus FROM tagged WHERE entity_type = 'JOB' GROUP BY 1, 2, 3)"
 
-WAREHOUSE_COST = f"""{FACT}, {ACTIVITY}, c AS (SELECT usage_date, workspace_id, entity_id AS warehouse_id, {usd("total_cost_usd")} AS total_cost_usd FROM fact WHERE entity_type = 'WAREHOUSE' GROUP BY 1, 2, 3),
-q AS (SELECT query_date AS usage_date, workspace_id, warehouse_id, CAST(sum(query_count) AS BIGINT) AS query_count, CAST(sum(failed_queries) AS BIGINT) AS failed_queries, count(DISTINCT executed_by) AS distinct_users, CAST(sum(active_hours) AS BIGINT) AS active_hours FROM activity GROUP BY 1, 2, 3),
-house AS (SELECT *, CASE WHEN query_count > 0 THEN {rnd("total_cost_usd / query_count", 6)} END AS cost_per_query FROM c LEFT JOIN q USING (usage_date, workspace_id, warehouse_id))"""
+HOURS = "CAST(sum(CAST(active_hours AS DECIMAL(20,4))) AS DOUBLE)"
+WAREHOUSE_COST = f"""{PRICED}, {ACTIVITY}, c AS (SELECT usage_date, workspace_id, CAST(l_suppkey AS VARCHAR) AS warehouse_id, {DIMS}, {_SUMS}, sum(usage_quantity) AS usage_quantity, max(sku_group) AS sku_group, max(is_serverless) AS is_serverless FROM tagged WHERE l_returnflag = 'A' GROUP BY ALL),
+q AS (SELECT query_date AS usage_date, workspace_id, warehouse_id, CAST(sum(query_count) AS BIGINT) AS query_count, CAST(sum(failed_queries) AS BIGINT) AS failed_queries, count(DISTINCT executed_by) AS distinct_users, {rnd(HOURS, 4)} AS active_hours,
+  {rnd("avg(avg_ms)", 4)} AS avg_ms, CAST(sum(read_bytes) AS BIGINT) AS read_bytes FROM activity GROUP BY 1, 2, 3),
+house AS (SELECT *, CASE WHEN query_count > 0 THEN {rnd("total_cost_usd / query_count", 6)} END AS cost_per_query, 'WAREHOUSE:' || warehouse_id AS entity_key FROM c LEFT JOIN q USING (usage_date, workspace_id, warehouse_id))"""
 
 ORACLE_SQL = {
     "p1_normalise_keys": """SELECT p_partkey, regexp_replace(lower(p_brand || '_' || p_name), '[^a-z0-9]', '', 'g') AS key, CASE WHEN p_size % 5 IN (0, 1) THEN NULL ELSE p_type END AS value FROM part""",
@@ -155,15 +162,22 @@ ORACLE_SQL = {
     "p11_priced_usage": f"WITH {PRICED} SELECT record_id, unit_price, price_missing, discount_pct, discount_rule, {', '.join(_MEASURES)} FROM tagged",
     "p13_entities": f"WITH {PRICED} SELECT record_id, entity_type, entity_id, entity_key, entity_name FROM tagged",
     "p15_dimensions": f"WITH {PRICED} SELECT record_id, {DIMS}, {', '.join(d + '_source' for d in DIMS.split(', '))}, tags_resolved, tags_resolved = 6 AS is_fully_tagged, tags_resolved = 0 AS is_untagged FROM tagged",
+    "p9_many_discounts": f"""WITH {PRICED}, rules AS (SELECT i, CAST(i % 40 AS VARCHAR) AS ws, ['premium#_%', '%sql%', 'enterprise#_dlt#_core#_compute', '%compute'][i % 4 + 1] AS sku, (i % 97) || '%' AS e1, '_' || (i % 10) AS e2, i % 50 / 100 AS pct FROM (SELECT unnest(range(1000)) AS i)),
+      best AS (SELECT rid, min(i) AS i FROM tagged t JOIN rules r ON t.workspace_id = ws AND lower(t.sku_name) LIKE sku ESCAPE '#' AND (t.entity_id LIKE e1 OR t.entity_id LIKE e2) GROUP BY 1)
+      SELECT record_id, CASE WHEN b.i IS NULL THEN 'sin_descuento' ELSE 'rule-' || b.i END AS discount_rule, coalesce(r.pct, 0.0) AS discount_pct, round(list_cost_usd * coalesce(r.pct, 0.0), 6) AS discount_usd FROM tagged LEFT JOIN best b USING (rid) LEFT JOIN rules r ON r.i = b.i""",
+    "j1_many_tranches": f"""WITH {USAGE}, p AS (SELECT ['PREMIUM_JOBS_COMPUTE_(PHOTON)', 'PREMIUM_SQL_PRO_COMPUTE_US_EAST', 'ENTERPRISE_DLT_CORE_COMPUTE'][o_orderkey % 3 + 1] AS sku, ['', 'AWS', 'AZURE', 'GCP'][o_orderkey % 4 + 1] AS pc, o_orderdate + to_seconds(o_orderkey % 86400) AS a,
+      CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate + to_seconds(o_orderkey % 86400) + to_hours(CAST(o_orderkey % 400 + 1 AS INT)) END AS b, o_orderkey % 100000 / 1e5 AS price FROM orders)
+      SELECT record_id, sku_name, cloud, a AS price_start_time, price AS unit_price FROM usage LEFT JOIN p ON sku_name = sku AND (pc = '' OR pc = cloud) AND usage_end_time >= a AND (b IS NULL OR usage_end_time < b)
+      QUALIFY row_number() OVER (PARTITION BY rid ORDER BY a DESC NULLS LAST, pc DESC, b DESC NULLS LAST, price DESC) = 1""",
     "j1_price_tranches": f"WITH {PRICED} SELECT sku_name, cloud, price_start_time, unit_price, count(*) AS records, sum(usage_quantity) AS quantity FROM tranche GROUP BY ALL",
     "a2_cost_daily": f"WITH {FACT} SELECT * FROM fact",
-    "a3_cost_monthly": f"WITH {FACT} SELECT year_month, account_id, workspace_id, sku_group, compute_family, entity_type, {DIMS}, {_SUMS}, count(DISTINCT entity_key) AS distinct_entities, count(DISTINCT usage_date) AS active_days, CAST(date_trunc('month', min(usage_date)) AS DATE) AS month_start FROM fact GROUP BY ALL",
+    "a3_cost_monthly": f"WITH {FACT} SELECT year_month, account_id, workspace_id, sku_group, compute_family, entity_type, {DIMS}, {_SUMS}, sum(usage_quantity) AS usage_quantity, count(DISTINCT entity_key) AS distinct_entities, count(DISTINCT usage_date) AS active_days, CAST(date_trunc('month', min(usage_date)) AS DATE) AS month_start FROM fact GROUP BY ALL",
     "d1_dim_date": """SELECT d AS date_key, CAST(year(d) AS INT) AS year, CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month, CAST(day(d) AS INT) AS day, CAST(weekofyear(d) AS INT) AS week_of_year, CAST(dayofweek(d) + 1 AS INT) AS day_of_week,
       strftime(d, '%Y-%m') AS year_month, dayofweek(d) IN (0, 6) AS is_weekend, CAST(date_trunc('month', d) AS DATE) AS month_start, last_day(d) AS month_end, d = last_day(d) AS is_month_end, d > DATE '2001-08-01' AS is_future
       FROM (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM (SELECT min(CAST(l_shipdate AS DATE)) AS a, max(CAST(l_shipdate AS DATE)) + 90 AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey))""",
     "a4_dim_sku": f"WITH {PRICED} SELECT sku_name, cloud, max(sku_group) AS sku_group, max(unit_price) AS max_unit_price, arg_max(unit_price, usage_end_time) FILTER (unit_price IS NOT NULL) AS latest_unit_price, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {usd('total_cost_usd')} AS lifetime_cost_usd FROM tagged GROUP BY 1, 2",
     "a5_dim_workspace": f"WITH {FACT} SELECT workspace_id, CASE WHEN CAST(workspace_id AS INT) % 4 <> 0 THEN 'NATION_' || workspace_id ELSE 'ws-' || workspace_id END AS workspace_name, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {usd('total_cost_usd')} AS lifetime_cost_usd FROM fact GROUP BY 1, 2",
-    "a6_dim_entity": f"WITH {FACT} SELECT entity_key, workspace_id, max(entity_type) AS entity_type, max(entity_name) AS entity_name, max(owner_resolved) AS owner_resolved, {', '.join(f'max({d}) AS {d}' for d in DIMS.split(', '))}, count(DISTINCT usage_date) AS active_days, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {usd('total_cost_usd')} AS lifetime_cost_usd, CAST(date_diff('day', max(usage_date), DATE '2001-08-01') AS INT) AS days_since_activity FROM fact GROUP BY 1, 2",
+    "a6_dim_entity": f"WITH {FACT} SELECT entity_key, workspace_id, max(entity_type) AS entity_type, max(entity_name) AS entity_name, max(owner_resolved) AS owner_resolved, max(sku_group) AS primary_sku_group, max(is_serverless) AS is_serverless, max(is_photon) AS is_photon, {', '.join(f'max({d}) AS {d}' for d in DIMS.split(', '))}, count(DISTINCT usage_date) AS active_days, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {usd('total_cost_usd')} AS lifetime_cost_usd, CAST(date_diff('day', max(usage_date), DATE '2001-08-01') AS INT) AS days_since_activity FROM fact GROUP BY 1, 2",
     "a7_job_runs": f"WITH {RUNS} SELECT * FROM runs",
     "j5_named_runs": f"WITH {RUNS} SELECT workspace_id, job_id, run_id, c_name AS job_name, CASE WHEN c_custkey % 3 <> 0 THEN 'svc-' || (c_custkey % 4) END AS job_run_as, duration_minutes FROM runs LEFT JOIN customer ON job_id = CAST(c_custkey AS VARCHAR) AND workspace_id = CAST(c_nationkey AS VARCHAR)",
     "a8_run_cost": f"WITH {PRICED}, {RUN_COST} SELECT * FROM run_cost",
@@ -172,14 +186,14 @@ ORACLE_SQL = {
       coalesce(project, 'SIN_ASIGNAR') AS project, coalesce(cost_center, 'SIN_ASIGNAR') AS cost_center FROM runs LEFT JOIN run_cost c USING (workspace_id, job_id, run_id) LEFT JOIN jt USING (workspace_id, job_id)""",
     "a11_query_activity": f"WITH {ACTIVITY} SELECT * FROM activity",
     "a12_warehouse_cost": f"WITH {WAREHOUSE_COST} SELECT * FROM house",
-    "j11_warehouse_catalog": f"WITH {WAREHOUSE_COST}, {WAREHOUSES} SELECT usage_date, workspace_id, warehouse_id, total_cost_usd, query_count, {CONFIG} FROM house LEFT JOIN warehouses USING (workspace_id, warehouse_id)",
+    "j11_warehouse_catalog": f"WITH {WAREHOUSE_COST}, {WAREHOUSES} SELECT usage_date, workspace_id, warehouse_id, {DIMS}, total_cost_usd, query_count, warehouse_name, {CONFIG} FROM house LEFT JOIN warehouses USING (workspace_id, warehouse_id)",
     "j7_entity_configuration": f"""WITH {FACT}, {CLUSTERS}, {WAREHOUSES}, e AS (SELECT entity_key, workspace_id, max(entity_type) AS entity_type, {usd("total_cost_usd")} AS lifetime_cost_usd FROM fact GROUP BY 1, 2)
-      SELECT entity_key, e.workspace_id, entity_type, lifetime_cost_usd, worker_count, is_autoscale, is_single_node, auto_termination_minutes, dbr_version, {CONFIG}
-      FROM e LEFT JOIN clusters ON entity_key = 'CLUSTER:' || cluster_id LEFT JOIN warehouses w ON entity_key = 'WAREHOUSE:' || w.warehouse_id AND e.workspace_id = w.workspace_id""",
+      SELECT entity_key, e.workspace_id, entity_type, lifetime_cost_usd, {CLUSTER_CONFIG}, {CONFIG}
+      FROM e LEFT JOIN clusters g ON entity_key = 'CLUSTER:' || cluster_id AND e.workspace_id = g.workspace_id LEFT JOIN warehouses w ON entity_key = 'WAREHOUSE:' || w.warehouse_id AND e.workspace_id = w.workspace_id""",
     "p17_owners": f"WITH {PRICED} SELECT entity_type, owner_resolved, count(*) AS records FROM tagged GROUP BY 1, 2",
     "p20_warehouses": f"WITH {WAREHOUSES} SELECT * FROM warehouses",
     "a13_tag_coverage": f"WITH {COVERAGE} SELECT * FROM coverage",
-    "w1_latest_clusters": f"WITH {CLUSTERS} SELECT * EXCLUDE (k) FROM clusters",
+    "w1_latest_clusters": f"WITH {CLUSTERS} SELECT cluster_id, worker_count, is_autoscale, is_single_node, is_deleted, auto_termination_minutes, dbr_version FROM clusters",
     "w6_kpis": f"WITH {KPI} SELECT * FROM kpi",
     "d5_cost_by_sku_group": f"WITH {PRICED} SELECT sku_group, {usd('total_cost_usd')} AS total_cost_usd, sum(usage_quantity) AS dbus FROM tagged GROUP BY 1",
     "d5_sku_groups_30_days": f"WITH {PRICED} SELECT sku_group, {usd('total_cost_usd')} AS total_cost_usd, sum(usage_quantity) AS dbus FROM tagged WHERE usage_date BETWEEN DATE '2001-08-01' - 29 AND DATE '2001-08-01' GROUP BY 1",
@@ -189,8 +203,8 @@ ORACLE_SQL = {
     "s16_ingest_window": "SELECT CAST(max(CAST(o_orderdate AS DATE)) - 7 AS DATE) AS first_day, DATE '2001-12-31' AS last_day, 'mark' AS kind FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT CAST(DATE '2001-12-31' - 400 AS DATE), DATE '2001-12-31', 'initial'",
     "s5_job_run_ingest": f"WITH {RUNS} SELECT workspace_id, job_id, run_id, CAST(a AS DATE) AS run_date, a AS period_start_time, result_state FROM periods WHERE CAST(a AS DATE) BETWEEN DATE '2001-01-01' AND DATE '2001-03-31'",
     "s6_task_run_ingest": "SELECT CAST(l_shipdate AS DATE) AS run_date, 'task-' || l_linenumber AS task_key, CASE WHEN l_returnflag = 'R' THEN 'FAILED' ELSE 'SUCCEEDED' END AS result_state, count(*) AS tasks FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '2001-01-01' AND DATE '2001-03-31' GROUP BY 1, 2, 3",
-    "s7_query_ingest": f"WITH {ACTIVITY} SELECT statement_id, CAST(start_time AS DATE) AS query_date, workspace_id, warehouse_id, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'FINISHED' END AS execution_status FROM queries WHERE CAST(start_time AS DATE) BETWEEN DATE '2001-07-05' AND DATE '2001-07-15'",
-    "s8_snapshots": "SELECT 'clusters' AS source, count(*) AS rows FROM events UNION ALL SELECT 'warehouses', 2 * count(*) FROM supplier UNION ALL SELECT 'jobs', count(*) FROM customer UNION ALL SELECT 'node_types', count(*) FROM part UNION ALL SELECT 'workspaces', count(*) FROM nation",
+    "s7_query_ingest": f"WITH {ACTIVITY} SELECT statement_id, CAST(start_time AS DATE) AS query_date, workspace_id, warehouse_id, execution_status FROM queries WHERE CAST(start_time AS DATE) BETWEEN DATE '2001-07-05' AND DATE '2001-07-15'",
+    "s8_snapshots": "SELECT 'prices' AS source, CAST(11 AS BIGINT) AS rows UNION ALL SELECT 'clusters', count(*) FROM events UNION ALL SELECT 'warehouses', 2 * count(*) FROM supplier UNION ALL SELECT 'jobs', count(*) FROM customer UNION ALL SELECT 'node_types', count(*) FROM part UNION ALL SELECT 'workspaces', count(*) FROM nation",
     "s17_recorded_marks": "SELECT 'orders' AS source_key, max(CAST(o_orderdate AS DATE)) AS watermark_date FROM orders UNION ALL SELECT 'lineitem', max(CAST(l_shipdate AS DATE)) FROM lineitem",
     "s17_high_water_marks": "SELECT o_orderpriority AS source_key, max(CAST(o_orderdate AS DATE)) AS watermark_date FROM orders GROUP BY 1",
 }

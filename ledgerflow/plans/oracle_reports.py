@@ -5,7 +5,7 @@ from __future__ import annotations
 from ledgerflow.plans.oracle_analytics import ADMITTED, FOUND, anomalies, chargeback
 from ledgerflow.plans.oracle_analytics import _CHANNEL as CHANNEL
 from ledgerflow.plans.oracle_analytics import STATUS
-from ledgerflow.plans.oracle_facts import COVERAGE, FACT, KPI, PRICED, RUN_COST, RUNS, USAGE, WAREHOUSE_COST, rnd, usd
+from ledgerflow.plans.oracle_facts import COVERAGE, FACT, HOURS, KPI, PRICED, RUN_COST, RUNS, USAGE, WAREHOUSE_COST, WAREHOUSES, rnd, usd
 
 COST = usd("total_cost_usd")
 
@@ -23,16 +23,25 @@ def coverage(days: int, keys: str) -> str:
 
 
 _LINES = chargeback("proportional", "proportional", 0.05)
-_JOBS = f"""{PRICED}, {RUN_COST}, {RUNS}, jc AS (SELECT job_id, count(*) AS runs, count(*) FILTER (is_failed) AS failures, {rnd("avg(duration_minutes)", 4)} AS avg_minutes, {usd("run_cost_usd")} AS cost, {usd("CASE WHEN is_failed THEN run_cost_usd END")} AS failed_cost
-  FROM runs LEFT JOIN run_cost USING (workspace_id, job_id, run_id) GROUP BY 1), jobs AS (SELECT *, {pct("cost", "runs", 4)} AS cost_per_run, {pct("failures", "runs", 4)} AS failure_rate FROM jc)"""
-_WAREHOUSE = f"""{WAREHOUSE_COST}, w AS (SELECT warehouse_id, {COST} AS cost, CAST(sum(query_count) AS BIGINT) AS queries, CAST(sum(active_hours) AS BIGINT) AS hours FROM house GROUP BY 1)"""
+_JOBS = f"""{PRICED}, {RUN_COST}, {RUNS}, labels AS (SELECT workspace_id, CAST(o_custkey AS VARCHAR) AS job_id, max(team) AS team, max(cost_center) AS cost_center FROM tagged WHERE l_returnflag = 'R' GROUP BY 1, 2),
+  jr AS (SELECT coalesce(c_name, r.job_id) AS job, coalesce(team, 'SIN_ASIGNAR') AS team, coalesce(cost_center, 'SIN_ASIGNAR') AS cost_center, is_failed, duration_minutes, coalesce(run_cost_usd, 0) AS cost FROM runs r LEFT JOIN customer ON r.job_id = CAST(c_custkey AS VARCHAR) AND r.workspace_id = CAST(c_nationkey AS VARCHAR)
+    LEFT JOIN run_cost k ON r.workspace_id = k.workspace_id AND r.job_id = k.job_id AND r.run_id = k.run_id LEFT JOIN labels l ON r.workspace_id = l.workspace_id AND r.job_id = l.job_id WHERE run_date BETWEEN DATE '2001-08-01' - 29 AND DATE '2001-08-01')"""
+_WAREHOUSE = f"""{WAREHOUSE_COST}, {WAREHOUSES}, w AS (SELECT coalesce(warehouse_name, warehouse_id) AS warehouse, warehouse_size, warehouse_type, {COST} AS cost, CAST(sum(query_count) AS BIGINT) AS queries, {rnd(HOURS, 2)} AS hours, max(auto_stop_minutes) AS auto_stop_minutes
+  FROM house LEFT JOIN warehouses USING (workspace_id, warehouse_id) WHERE {since(30)} GROUP BY 1, 2, 3)"""
 _TAGS = f"""{PRICED}, tags AS (
   SELECT usage_date, total_cost_usd, 'costcenter' AS key, 'cost_center' AS dimension, 'Cost-Center' AS tag_key, CASE WHEN o_custkey % 11 = 0 THEN '  ' ELSE c_mktsegment END AS tag_value FROM tagged WHERE NOT bare
   UNION ALL SELECT usage_date, total_cost_usd, 'equipo', 'team', 'equipo', CASE WHEN s_nationkey % 6 = 0 THEN 'n/a' ELSE 'team-' || (s_nationkey % 4) END FROM tagged WHERE NOT bare
   UNION ALL SELECT usage_date, total_cost_usd, 'env', 'environment', 'ENV', CASE l_linenumber % 4 WHEN 0 THEN 'prod' WHEN 1 THEN 'Desarrollo' WHEN 2 THEN 'staging' ELSE 'lab' END FROM tagged WHERE NOT bare
   UNION ALL SELECT usage_date, total_cost_usd, 'ticket', NULL, CASE WHEN l_linenumber % 2 = 0 THEN 'Ticket' ELSE 'ticket-' END, 'T' || (l_linenumber % 3) FROM tagged WHERE NOT bare)"""
 _INVENTORY = f"{_TAGS}, inv AS (SELECT key, dimension, string_agg(DISTINCT tag_key, ',' ORDER BY tag_key) AS spellings, count(DISTINCT tag_value) AS distinct_values, {COST} AS cost FROM tags GROUP BY 1, 2)"
-_UNTAGGED = f"{PRICED}, un AS (SELECT entity_type, entity_id, workspace_id, {usd('list_cost_usd')} AS cost, count(*) AS records, CAST(max(CASE WHEN bare THEN 0 ELSE 4 END) AS BIGINT) AS tag_keys FROM tagged WHERE cost_center = 'SIN_ASIGNAR' AND team = 'SIN_ASIGNAR' AND project = 'SIN_ASIGNAR' GROUP BY 1, 2, 3)"
+# only a record's own tags resolve a dimension here: cost centre, team and environment, if the record is not bare
+_OWN = {"cost_center": "NOT bare AND o_custkey % 11 <> 0", "team": "NOT bare AND s_nationkey % 6 <> 0", "environment": "NOT bare", "project": "false", "application": "false", "owner": "false"}
+_UNTAGGED = f"""{PRICED}, un AS (SELECT entity_type, entity_id, workspace_id, sku_name, billing_origin_product, count(*) AS records, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {rnd(usd("list_cost_usd"), 2)} AS list_cost_usd, CAST(max(CASE WHEN bare THEN 0 ELSE 4 END) AS BIGINT) AS tag_count
+  FROM tagged WHERE {since(90)} AND {" AND ".join(f"NOT ({x})" for x in _OWN.values())} GROUP BY 1, 2, 3, 4, 5)"""
+_BLOCKS = " UNION ALL ".join(
+    f"SELECT usage_date, workspace_id, '{d}' AS dimension, {rnd(usd('list_cost_usd'), 2)} AS total_cost_usd, {rnd(usd(f'CASE WHEN {x} THEN list_cost_usd ELSE 0 END'), 2)} AS attributed_cost_usd, count(DISTINCT CASE WHEN {x} THEN entity_id END) AS attributed_entities, count(DISTINCT entity_id) AS total_entities FROM tagged WHERE {since(90)} GROUP BY 1, 2"
+    for d, x in _OWN.items()
+)
 
 ORACLE_SQL = {
     "d2_latest_kpi": f"WITH {KPI} SELECT usage_date, total_cost_usd, mtd_cost_usd, {rnd('(coalesce(dod_change, 0) * 100)', 2)} AS dod_pct, {rnd('(coalesce(serverless_ratio, 0) * 100)', 2)} AS serverless_pct FROM kpi ORDER BY usage_date DESC LIMIT 1",
@@ -49,14 +58,14 @@ ORACLE_SQL = {
     "d12_monthly_by_sku": f"WITH {FACT} SELECT year_month, sku_group, {COST} AS cost, sum(usage_quantity) AS dbus FROM fact WHERE usage_date >= DATE '2000-08-01' GROUP BY 1, 2",
     "d13_cost_by_workspace": f"WITH {FACT} SELECT workspace_id, CASE WHEN CAST(workspace_id AS INT) % 4 <> 0 THEN 'NATION_' || workspace_id END AS workspace_name, {COST} AS cost FROM fact WHERE {since(30)} GROUP BY 1",
     "d14_coverage_by_day": coverage(60, "usage_date, dimension"),
-    "d15_costly_jobs": f"WITH {_JOBS} SELECT job_id, runs, failures, avg_minutes, cost, cost_per_run FROM jobs ORDER BY cost DESC, job_id LIMIT 30",
-    "d16_warehouses": f"WITH {_WAREHOUSE} SELECT warehouse_id, cost, queries, hours, {pct('cost', 'queries', 4)} AS cost_per_query FROM w ORDER BY cost DESC, warehouse_id LIMIT 30",
+    "d15_costly_jobs": f"WITH {_JOBS} SELECT job, team, cost_center, count(*) AS runs, count(*) FILTER (is_failed) AS failures, {rnd('avg(duration_minutes)', 2)} AS avg_minutes, {rnd(usd('cost'), 2)} AS cost, {rnd('(' + usd('cost') + ' / count(*))', 4)} AS cost_per_run FROM jr GROUP BY 1, 2, 3 ORDER BY cost DESC, job, team, cost_center LIMIT 30",
+    "d16_warehouses": f"WITH {_WAREHOUSE} SELECT warehouse, warehouse_size, warehouse_type, cost, queries, hours, {pct('cost', 'queries', 4)} AS cost_per_query, auto_stop_minutes FROM w ORDER BY cost DESC, warehouse, warehouse_size, warehouse_type LIMIT 30",
     "d17_detail": f"WITH {FACT} SELECT usage_date, workspace_id, entity_key, sku_name, {COST} AS cost FROM fact WHERE {since(7)} GROUP BY 1, 2, 3, 4 ORDER BY cost DESC, usage_date, workspace_id, entity_key, sku_name LIMIT 500",
     "d18_savings_total": f"""WITH {FOUND} SELECT {usd("savings_usd")} AS savings_usd, {usd("CASE WHEN confidence = 'alta' THEN savings_usd END")} AS high_confidence_usd, count(*) AS findings, count(DISTINCT entity_key) AS entities FROM found""",
     "d20_recommendations": f"WITH {FOUND} SELECT entity_key, workspace_id, rule_id, savings_usd, severity FROM found ORDER BY savings_usd DESC, entity_key, workspace_id, rule_id LIMIT 200",
     "d21_shares": f"WITH {KPI} SELECT usage_date, {rnd('(serverless_ratio * 100)', 2)} AS serverless_pct, {rnd('(all_purpose_ratio * 100)', 2)} AS all_purpose_pct, {rnd('(allocated_ratio * 100)', 2)} AS coverage_pct, cost_per_dbu FROM kpi WHERE {since(90)}",
-    "d22_untagged_by_resource": f"WITH {FACT} SELECT entity_key, entity_type, workspace_id, {COST} AS cost FROM fact WHERE cost_center = 'SIN_ASIGNAR' AND team = 'SIN_ASIGNAR' GROUP BY 1, 2, 3 ORDER BY cost DESC, entity_key, workspace_id LIMIT 50",
-    "d23_unstable_jobs": f"WITH {_JOBS} SELECT job_id, runs, failures, failure_rate, failed_cost FROM jobs WHERE failures > 0 ORDER BY failed_cost DESC, job_id LIMIT 30",
+    "d22_untagged_by_resource": f"WITH {FACT} SELECT entity_name, entity_type, workspace_id, {COST} AS cost FROM fact WHERE {since(30)} AND is_untagged GROUP BY 1, 2, 3 ORDER BY cost DESC, entity_name NULLS FIRST, entity_type, workspace_id LIMIT 50",
+    "d23_unstable_jobs": f"WITH {_JOBS} SELECT job, team, count(*) AS runs, count(*) FILTER (is_failed) AS failures, {rnd('(count(*) FILTER (is_failed) / count(*) * 100)', 1)} AS failure_pct, {rnd(usd('CASE WHEN is_failed THEN cost ELSE 0 END'), 2)} AS failed_cost FROM jr GROUP BY 1, 2 HAVING count(*) FILTER (is_failed) > 0 ORDER BY failed_cost DESC, job, team LIMIT 30",
     "d24_cluster_config": f"""WITH {FACT}, c AS (SELECT entity_id AS cluster_id, {COST} AS cost FROM fact WHERE entity_type = 'CLUSTER' GROUP BY 1),
       g AS (SELECT CAST(user_id AS VARCHAR) AS cluster_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
       SELECT cluster_id, cost, k % 10 AS worker_count, (k % 6 + 11) || '.3.x-scala2.12' AS dbr_version, CASE WHEN k % 5 <> 0 THEN (k * 3) % 200 END AS auto_termination_minutes FROM c LEFT JOIN g USING (cluster_id) ORDER BY cost DESC, cluster_id LIMIT 100""",
@@ -66,11 +75,11 @@ ORACLE_SQL = {
     "d29_empty_tags": f"WITH {PRICED} SELECT {COST} AS cost, {usd('CASE WHEN bare THEN total_cost_usd END')} AS cost_without_tags, count(DISTINCT entity_key) AS entities FROM tagged",
     "v1_usage_live": f"WITH {PRICED} SELECT record_id, usage_date, entity_type, entity_id, sku_name, unit_price, list_cost_usd FROM tagged WHERE {since(90)}",
     "v2_tag_inventory": f"WITH {_INVENTORY} SELECT * FROM inv",
-    "v3_coverage_live": coverage(90, "dimension, usage_date"),
+    "v3_coverage_live": f"WITH {PRICED}, por AS ({_BLOCKS}) SELECT usage_date, workspace_id, dimension, total_cost_usd, attributed_cost_usd, {rnd('(total_cost_usd - attributed_cost_usd)', 2)} AS unattributed_cost_usd, {pct('100.0 * attributed_cost_usd', 'total_cost_usd', 2, '100.0')} AS coverage_pct, attributed_entities, total_entities FROM por",
     "v4_untagged_live": f"WITH {_UNTAGGED} SELECT * FROM un",
     "d31_tag_inventory_top": f"WITH {_INVENTORY} SELECT key, coalesce(dimension, 'NO RECONOCIDA') AS dimension, cost FROM inv ORDER BY cost DESC, key LIMIT 50",
-    "d32_unresolved": f"WITH {_UNTAGGED} SELECT entity_type, entity_id, workspace_id, cost FROM un ORDER BY cost DESC, entity_type, entity_id NULLS FIRST, workspace_id LIMIT 100",
-    "d33_untagged_by_type": f"WITH {_UNTAGGED} SELECT entity_type, {usd('cost')} AS cost, CAST(sum(records) AS BIGINT) AS records FROM un GROUP BY 1",
+    "d32_unresolved": f"WITH {_UNTAGGED} SELECT entity_type, entity_id, sku_name, billing_origin_product, records, first_seen, last_seen, list_cost_usd FROM un ORDER BY list_cost_usd DESC, entity_type, entity_id NULLS FIRST, workspace_id, sku_name, billing_origin_product NULLS FIRST LIMIT 100",
+    "d33_untagged_by_type": f"WITH {_UNTAGGED} SELECT entity_type, {rnd(usd('list_cost_usd'), 2)} AS cost FROM un GROUP BY 1",
     "e1_daily": f"WITH {FACT} SELECT usage_date, {COST} AS cost FROM fact WHERE {since(30)} GROUP BY 1",
     "e2_teams": f"WITH {FACT} SELECT team, cost_center, environment, {COST} AS cost, count(DISTINCT entity_key) AS entities FROM fact WHERE {since(30)} GROUP BY 1, 2, 3 ORDER BY cost DESC, team, cost_center, environment LIMIT 20",
     "e3_one_day": f"WITH {FACT} SELECT sku_group, entity_key, team, {COST} AS cost FROM fact WHERE usage_date = DATE '2001-07-15' GROUP BY 1, 2, 3 ORDER BY cost DESC, sku_group, entity_key, team LIMIT 50",

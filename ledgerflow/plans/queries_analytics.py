@@ -62,7 +62,23 @@ def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b6_budget_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _status(spark, sf_dir)
+    return budgets.by_consumption(_status(spark, sf_dir))
+
+
+def _scope(i: int) -> dict:
+    if i % 5 < 3:
+        return {"entity_key": f"JOB:{i}"}
+    return {"team": [f"team-{i % 3}", "SIN_*"], "sku_group": "*SQL*", "environment": f"{'PDQ'[i % 3]}*"} if i % 5 == 3 else {}
+
+
+#: Budgets by the thousand: of single jobs, of teams and SKU groups, of the whole organisation.
+MANY_BUDGETS = tuple(Budget(f"b{i}", 5.0 + i % 100, _scope(i), ("month", "quarter", "year")[i % 3]) for i in range(10_000))
+
+
+def b2_many_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten thousand budgets by the index of predicates."""
+    status = budgets.budget_status(model.fact(spark, sf_dir, ("2001-01-01", AS_OF)), MANY_BUDGETS, AS_OF)
+    return status.select("budget_id", "scope", "period", "actual", "consumed_pct", "projected", "status")
 
 
 def _budget_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +125,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def c3_chargeback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir)
+    return budgets.by_total(_lines(spark, sf_dir))
 
 
 def c3_chargeback_none(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +142,7 @@ def c5_showback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     clusters = model.clusters(spark, sf_dir)
-    return recommend.profiles(model.recent(spark, sf_dir, 365), clusters, model.runs(spark, sf_dir), model.activity(spark, sf_dir), T.AS_OF, 365)
+    return recommend.profiles(model.recent(spark, sf_dir, 366), clusters, model.runs(spark, sf_dir), model.activity(spark, sf_dir), T.AS_OF, 365)
 
 
 def a15_entity_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +160,11 @@ def r12_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.savings_summary(recommend.recommendations(_profiles(spark, sf_dir), RULES))
 
 
+IGNORED = quality.QualityConfig(ignore_skus=("UNKNOWN_*",))
+
+
 def q9_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.checks(model.priced(spark, sf_dir), "2001-11-05", c=quality.QualityConfig(ignore_skus=("UNKNOWN_*",)))
+    return quality.checks(model.priced(spark, sf_dir), "2001-11-05", c=IGNORED)
 
 
 def q8_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,18 +176,22 @@ def q5_unpriced_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rules over one fact, written once: every rule reads the few columns it needs of it."""
-    daily = stored.written(model.fact(spark, sf_dir))
+    """All rules over usage priced once and stored, and over the fact of it, stored as well."""
+    scratch = stored.Scratch()
+    wanted = dict.fromkeys([*facts.GRAIN, *facts.MEASURES, "record_id", "usage_quantity", "usage_unit", "entity_name", "owner_resolved", "price_missing", "is_untagged", "is_fully_tagged", "is_photon"])
+    priced = scratch.written(model.priced(spark, sf_dir).select(*wanted))
+    daily = scratch.written(facts.cost_daily(priced))
     status = budgets.budget_status(daily, BUDGETS, AS_OF)
     totals = daily.groupBy("usage_date").agg(money(F.col("total_cost_usd")).alias("cost"))
+    of_day = daily.filter(F.col("usage_date") == F.lit(T.AS_OF).cast("date"))
     parts = [
         alerts.budget_threshold(status),
         alerts.forecast_overrun(status),
         alerts.cost_anomaly(series.anomalies(T.series(spark, sf_dir), ANOMALY), "low"),
         alerts.daily_spike(totals, 0.01, 1.0),
         alerts.new_expensive(facts.dim_entity(daily, T.AS_OF), T.AS_OF, 20.0, 60),
-        alerts.coverage_drop(facts.tag_coverage(daily)),
-        alerts.data_quality(q9_quality_checks(spark, sf_dir)),
+        alerts.coverage_drop(facts.tag_coverage(of_day), T.AS_OF, least=0.99),
+        alerts.data_quality(quality.checks(priced, "2001-11-05", c=IGNORED, store=False)),
     ]
     return alerts.by_severity(alerts.union_all(parts))
 

@@ -48,6 +48,34 @@ def p15_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.priced(spark, sf_dir).select("record_id", *DIMS, *[f"{d}_source" for d in DIMS], "tags_resolved", "is_fully_tagged", "is_untagged")
 
 
+#: Discount rules by the hundred, of literals, prefixes and globs, on three keys; the first that fits counts.
+MANY_DISCOUNTS = tuple(
+    {"name": f"rule-{i}", "match": {"workspace_id": str(i % 40), "sku_name": ("PREMIUM_*", "*sql*", "ENTERPRISE_DLT_CORE_COMPUTE", "*COMPUTE")[i % 4], "entity_id": [f"{i % 97}*", f"?{i % 10}"]}, "discount_pct": i % 50 / 100} for i in range(1000)
+)
+
+
+def p9_many_discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A thousand discount rules by the index of predicates."""
+    return model.priced(spark, sf_dir, discounts=MANY_DISCOUNTS).select("record_id", "discount_rule", "discount_pct", "discount_usd")
+
+
+def _many_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price list with a tranche for each order: overlapping ones of all lengths, some without an end, for one cloud or all."""
+    o = T.read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    sku = F.element_at(F.array(*map(F.lit, ("PREMIUM_JOBS_COMPUTE_(PHOTON)", "PREMIUM_SQL_PRO_COMPUTE_US_EAST", "ENTERPRISE_DLT_CORE_COMPUTE"))), (k % 3 + 1).cast("int"))
+    start = F.col("o_orderdate") + F.make_dt_interval(secs=(k % 86_400).cast("decimal(18,6)"))
+    cloud = F.element_at(F.array(*map(F.lit, ("", "aws", "AZURE", "gcp"))), (k % 4 + 1).cast("int"))
+    end = F.when(k % 11 != 0, start + F.make_dt_interval(hours=(k % 400 + 1).cast("int")))
+    return o.select(sku.alias("sku_name"), F.lit("DBU").alias("usage_unit"), cloud.alias("cloud"), start.alias("price_start_time"), end.alias("price_end_time"), (k % 100_000 / 1e5).alias("pricing"))
+
+
+def j1_many_tranches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage priced from a list of as many tranches as there are orders, by the interval index."""
+    p = facts.with_price(T.usage(spark, sf_dir), _many_prices(spark, sf_dir))
+    return p.select("record_id", "sku_name", "cloud", "price_start_time", "unit_price")
+
+
 def j1_price_tranches(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = facts.with_price(T.usage(spark, sf_dir), T.prices(spark))
     return p.groupBy("sku_name", "cloud", "price_start_time", "unit_price").agg(F.count(F.lit(1)).alias("records"), F.sum("usage_quantity").alias("quantity"))
@@ -97,7 +125,7 @@ def a11_query_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a12_warehouse_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.warehouse_cost(model.fact(spark, sf_dir), model.activity(spark, sf_dir))
+    return facts.warehouse_cost(model.priced(spark, sf_dir), model.activity(spark, sf_dir))
 
 
 def a13_tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,12 +140,12 @@ def j5_named_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j7_entity_configuration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entity dimension with the configuration of its clusters and warehouses."""
     e = facts.dim_entity(model.fact(spark, sf_dir), T.AS_OF, model.clusters(spark, sf_dir), model.warehouses(spark, sf_dir))
-    return e.select("entity_key", "workspace_id", "entity_type", "lifetime_cost_usd", "worker_count", "is_autoscale", "is_single_node", "auto_termination_minutes", "dbr_version", *facts.WAREHOUSE_CONFIG)
+    return e.select("entity_key", "workspace_id", "entity_type", "lifetime_cost_usd", *facts.CLUSTER_CONFIG, *facts.WAREHOUSE_CONFIG)
 
 
 def j11_warehouse_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = facts.warehouse_cost(model.fact(spark, sf_dir), model.activity(spark, sf_dir), model.warehouses(spark, sf_dir))
-    return w.select("usage_date", "workspace_id", "warehouse_id", "total_cost_usd", "query_count", *facts.WAREHOUSE_CONFIG)
+    w = facts.warehouse_cost(model.priced(spark, sf_dir), model.activity(spark, sf_dir), model.warehouses(spark, sf_dir))
+    return w.select("usage_date", "workspace_id", "warehouse_id", *DIMS, "total_cost_usd", "query_count", "warehouse_name", *facts.WAREHOUSE_CONFIG)
 
 
 def p17_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +231,7 @@ def s7_query_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s8_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full snapshots of the configuration tables, each overwritten; rows of each as read back."""
     root = stored.scratch_path(spark, "snapshots")
-    tables = {"clusters": T.cluster_history(spark, sf_dir), "warehouses": T.warehouse_history(spark, sf_dir), "jobs": T.jobs(spark, sf_dir), "node_types": T.read(spark, sf_dir, "part"), "workspaces": T.read(spark, sf_dir, "nation")}
+    tables = {"prices": T.prices(spark), "clusters": T.cluster_history(spark, sf_dir), "warehouses": T.warehouse_history(spark, sf_dir), "jobs": T.jobs(spark, sf_dir), "node_types": T.read(spark, sf_dir, "part"), "workspaces": T.read(spark, sf_dir, "nation")}
     for name, df in tables.items():
         sinks.overwrite(readers.with_audit(df, "run-1", name), f"{root}/{name}")
     counts = [spark.read.parquet(f"{root}/{name}").groupBy(F.col("_source").alias("source")).agg(F.count(F.lit(1)).alias("rows")) for name in tables]

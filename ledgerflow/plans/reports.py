@@ -112,21 +112,24 @@ def d14_coverage_by_day(s: SparkSession, d: str) -> DataFrame:
     return _coverage(s, d, 60, "usage_date", "dimension")
 
 
-def _job_costs(s: SparkSession, d: str) -> DataFrame:
-    runs = facts.job_run_cost(model.runs(s, d), model.priced(s, d))
+def _job_costs(s: SparkSession, d: str, *dims: str) -> DataFrame:
+    """Runs of the last 30 days by job and dimensions of the job."""
+    runs = facts.job_runs(T.run_periods(s, d), T.jobs(s, d)).filter(since(30, column="run_date"))
     failed = F.col("is_failed")
-    g = runs.groupBy("job_id").agg(F.count(F.lit(1)).alias("runs"), F.count_if(failed).alias("failures"), rounded(F.avg("duration_minutes"), 4).alias("avg_minutes"), usd("run_cost_usd").alias("cost"), money_if(failed, F.col("run_cost_usd")).alias("failed_cost"))
-    return g.withColumns({"cost_per_run": ratio(F.col("cost"), F.col("runs"), 4), "failure_rate": ratio(F.col("failures"), F.col("runs"), 4)})
+    g = facts.job_run_cost(runs, model.priced(s, d)).groupBy(F.coalesce("job_name", F.col("job_id").cast("string")).alias("job"), *dims)
+    return g.agg(F.count(F.lit(1)).alias("runs"), F.count_if(failed).alias("failures"), rounded(F.avg("duration_minutes"), 2).alias("avg_minutes"), usd("run_cost_usd").alias("cost"), money_if(failed, F.col("run_cost_usd")).alias("failed_cost"))
 
 
 def d15_costly_jobs(s: SparkSession, d: str) -> DataFrame:
-    return top(_job_costs(s, d), 30, "cost", "job_id").select("job_id", "runs", "failures", "avg_minutes", "cost", "cost_per_run")
+    g = _job_costs(s, d, "team", "cost_center").withColumns({"cost_per_run": ratio(F.col("cost"), F.col("runs"), 4), "cost": rounded(F.col("cost"), 2)})
+    return top(g, 30, "cost", "job", "team", "cost_center").select("job", "team", "cost_center", "runs", "failures", "avg_minutes", "cost", "cost_per_run")
 
 
 def d16_warehouses(s: SparkSession, d: str) -> DataFrame:
-    w = facts.warehouse_cost(model.fact(s, d), model.activity(s, d))
-    g = w.groupBy("warehouse_id").agg(usd().alias("cost"), F.sum("query_count").alias("queries"), F.sum("active_hours").alias("hours"))
-    return top(g.withColumn("cost_per_query", ratio(F.col("cost"), F.col("queries"), 4)), 30, "cost", "warehouse_id")
+    w = facts.warehouse_cost(model.priced(s, d, model.last_days(30)), model.activity(s, d), model.warehouses(s, d))
+    hours = F.sum(F.col("active_hours").cast("decimal(20,4)")).cast("double")
+    g = w.groupBy(F.coalesce("warehouse_name", "warehouse_id").alias("warehouse"), "warehouse_size", "warehouse_type").agg(usd().alias("cost"), F.sum("query_count").alias("queries"), rounded(hours, 2).alias("hours"), F.max("auto_stop_minutes").alias("auto_stop_minutes"))
+    return top(g.withColumn("cost_per_query", ratio(F.col("cost"), F.col("queries"), 4)), 30, "cost", "warehouse", "warehouse_size", "warehouse_type")
 
 
 def d17_detail(s: SparkSession, d: str) -> DataFrame:
@@ -151,12 +154,14 @@ def d21_shares(s: SparkSession, d: str) -> DataFrame:
 
 
 def d22_untagged_by_resource(s: SparkSession, d: str) -> DataFrame:
-    f = model.fact(s, d).filter((F.col("cost_center") == UNALLOCATED) & (F.col("team") == UNALLOCATED))
-    return top(f.groupBy("entity_key", "entity_type", "workspace_id").agg(usd().alias("cost")), 50, "cost", "entity_key", "workspace_id")
+    f = model.recent(s, d, 30).filter("is_untagged")
+    return top(f.groupBy("entity_name", "entity_type", "workspace_id").agg(usd().alias("cost")), 50, "cost", "entity_name", "entity_type", "workspace_id")
 
 
 def d23_unstable_jobs(s: SparkSession, d: str) -> DataFrame:
-    return top(_job_costs(s, d).filter("failures > 0"), 30, "failed_cost", "job_id").select("job_id", "runs", "failures", "failure_rate", "failed_cost")
+    g = _job_costs(s, d, "team").filter("failures > 0")
+    g = g.withColumns({"failure_pct": ratio(F.col("failures") * 100.0, F.col("runs"), 1), "failed_cost": rounded(F.col("failed_cost"), 2)})
+    return top(g, 30, "failed_cost", "job", "team").select("job", "team", "runs", "failures", "failure_pct", "failed_cost")
 
 
 def d24_cluster_config(s: SparkSession, d: str) -> DataFrame:
@@ -241,12 +246,11 @@ def e15c_sample(s: SparkSession, d: str) -> DataFrame:
 
 
 def v3_coverage_live(s: SparkSession, d: str) -> DataFrame:
-    return _coverage(s, d, 90, "dimension", "usage_date")
+    return facts.live_coverage(model.priced(s, d, model.last_days(90)))
 
 
 def v4_untagged_live(s: SparkSession, d: str) -> DataFrame:
-    p = model.priced(s, d).filter((F.col("cost_center") == UNALLOCATED) & (F.col("team") == UNALLOCATED) & (F.col("project") == UNALLOCATED))
-    return p.groupBy("entity_type", "entity_id", "workspace_id").agg(usd("list_cost_usd").alias("cost"), F.count(F.lit(1)).alias("records"), F.max(F.size("custom_tags")).cast("long").alias("tag_keys"))
+    return facts.live_untagged(model.priced(s, d, model.last_days(90)))
 
 
 def d31_tag_inventory_top(s: SparkSession, d: str) -> DataFrame:
@@ -254,11 +258,12 @@ def d31_tag_inventory_top(s: SparkSession, d: str) -> DataFrame:
 
 
 def d32_unresolved(s: SparkSession, d: str) -> DataFrame:
-    return top(v4_untagged_live(s, d), 100, "cost", "entity_type", "entity_id", "workspace_id").select("entity_type", "entity_id", "workspace_id", "cost")
+    u = top(v4_untagged_live(s, d), 100, "list_cost_usd", "entity_type", "entity_id", "workspace_id", "sku_name", "billing_origin_product")
+    return u.select("entity_type", "entity_id", "sku_name", "billing_origin_product", "records", "first_seen", "last_seen", "list_cost_usd")
 
 
 def d33_untagged_by_type(s: SparkSession, d: str) -> DataFrame:
-    return v4_untagged_live(s, d).groupBy("entity_type").agg(usd("cost").alias("cost"), F.sum("records").alias("records"))
+    return v4_untagged_live(s, d).groupBy("entity_type").agg(rounded(usd("list_cost_usd"), 2).alias("cost")).orderBy(F.desc("cost"))
 
 
 def e1_daily(s: SparkSession, d: str) -> DataFrame:

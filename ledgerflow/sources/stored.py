@@ -40,6 +40,14 @@ class Scratch:
         self._tables.append((df.sparkSession, path))
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def size(self) -> int:
+        """Bytes of the tables as stored."""
+        total = 0
+        for spark, text in self._tables:
+            path = spark._jvm.org.apache.hadoop.fs.Path(text)
+            total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        return total
+
     def adopt(self, other: Scratch) -> None:
         """Take over the tables of ``other``."""
         self._tables += other._tables

@@ -107,6 +107,7 @@ def cluster_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configuration snapshots of clusters, many for each."""
     k = F.get_json_object("props", "$.k").cast("int")
     return read(spark, sf_dir, "events").select(
+        (F.col("user_id") % 25).cast("string").alias("workspace_id"),
         F.col("user_id").cast("string").alias("cluster_id"),
         "event_id",
         F.col("ts").alias("change_time"),
@@ -117,6 +118,10 @@ def cluster_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 3 == 0, k % 8).alias("max_autoscale_workers"),
         F.when(k % 5 == 0, F.lit(None)).otherwise((k * 3) % 200).cast("int").alias("auto_termination_minutes"),
         F.concat((k % 6 + 11).cast("string"), F.lit(".3.x-scala2.12")).alias("dbr_version"),
+        F.concat(F.lit("driver-"), (k % 3).cast("string")).alias("driver_node_type"),
+        F.concat(F.lit("worker-"), (k % 4).cast("string")).alias("worker_node_type"),
+        F.when(k % 2 == 0, "UI").otherwise("JOB").alias("cluster_source"),
+        F.when(k % 7 == 0, F.concat(F.lit("policy-"), k.cast("string"))).alias("policy_id"),
         F.create_map(F.lit("Owner"), F.concat(F.lit("own-"), (k % 5).cast("string"))).alias("tags"),
         (F.col("event_type") == "error").alias("is_deleted"),
     )
@@ -186,8 +191,11 @@ def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").cast("string").alias("workspace_id"),
         (F.col("user_id") % 20).cast("string").alias("warehouse_id"),
         F.concat(F.lit("user-"), (F.col("user_id") % 7).cast("string")).alias("executed_by"),
-        F.when(F.col("event_type") == "error", "FAILED").otherwise("FINISHED").alias("execution_status"),
+        F.when(F.col("event_type") != "error", "FINISHED").when(F.col("user_id") % 2 == 0, "FAILED").otherwise("query_failed").alias("execution_status"),
         F.round(F.col("value") * 100).cast("long").alias("total_duration_ms"),
+        F.when(F.col("event_id") % 5 != 0, F.col("event_id") % 1000).alias("waiting_for_compute_duration_ms"),
+        F.when(F.col("event_id") % 7 != 0, F.col("event_id") * 10).alias("read_bytes"),
+        (F.col("event_id") % 91).alias("produced_rows"),
     )
 
 
