@@ -37,9 +37,9 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 #: Five words, similarity of the word runs at least 0.8 by exact sets. The bits only propose: 0.8 is an angle
 #: of 0.152 pi, 39 of 256 bits on average, and 52 lose few pairs. Candidates differ in at most 14 bits of
-#: one of the first two words of 64 bits and share two of its eight bit blocks (always so up to 6 bits,
+#: one of the four words of 64 bits and share two of its eight bit blocks (always so up to 6 bits,
 #: in most cases up to 12).
-NEAR = {"words": 5, "radius": 14, "blocks": 8, "agree": 2, "confirm_bits": 192, "wide": 52, "distinct": True, "probes": 2, "exact": 0.8}
+NEAR = {"words": 5, "radius": 14, "blocks": 8, "agree": 2, "confirm_bits": 192, "wide": 52, "distinct": True, "probes": 4, "exact": 0.8}
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
