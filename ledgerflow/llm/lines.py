@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import own, with_own
+from ledgerflow.llm.common import own, with_own, written
 
 #: The characters [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
@@ -76,7 +76,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ident = F.col(f"`{id_col}`")
     rows = docs.select(own(docs, kept), ident.alias("id"), text.alias("text"), F.xxhash64(ident, text).alias("r1"), F.xxhash64(F.lit(1), ident, text).alias("r2"))
     lines = keyed_lines(rows.select("r1", "r2", "id", "text"), min_chars)
-    dropped = dropped_positions(lines, common_lines(lines, min_docs))
+    # stored first: the join deals its rows for nothing else, so that AQE can split a frequent hash
+    dropped = dropped_positions(lines, written(common_lines(lines, min_docs)))
     joined = rows.join(dropped, ["r1", "r2"], "left")
     count = F.size(split_lines(F.col("text"))).cast("long")
     lost = F.coalesce(F.size("dropped"), F.lit(0))
