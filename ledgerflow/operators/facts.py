@@ -18,17 +18,25 @@ DIMS = tuple(ALIASES)
 MEASURES = ("list_cost_usd", "discount_usd", "effective_cost_usd", "infra_cost_usd", "total_cost_usd")
 #: Rows and stored bytes of a price or configuration table up to which it is broadcast.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 16 << 20
+#: Bytes of input, as Catalyst adds them up, that need no measuring.
+KNOWN_BYTES = 4 << 20
 
 
 def sized(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """``df`` computed once and stored, and whether its rows and bytes are few."""
+    """``df``, and whether its rows and bytes are few.
+
+    A table that Catalyst knows to come from little input is few as it is. Any other is computed once,
+    stored and measured.
+    """
+    if most >= BROADCAST_ROWS and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= min(most_bytes, KNOWN_BYTES):
+        return df, True
     scratch = Scratch()
     table = scratch.written(df)
     return table, scratch.size() <= most_bytes and table.count() <= most
 
 
 def small(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` stored, with a broadcast hint if it is small."""
+    """``df``, with a broadcast hint if it is small."""
     table, few = sized(df, most, most_bytes)
     return F.broadcast(table) if few else table
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import matches_any, money, money_if, rounded
+from ledgerflow.operators import duplicates
 from ledgerflow.operators.attribution import UNALLOCATED
 from ledgerflow.sources.stored import Scratch
 
@@ -36,7 +37,8 @@ def checks(priced: DataFrame, as_of: str, keys: Sequence[str] = ("record_id",),
     """
     # both aggregations read the few columns that checks need, stored once
     wanted = dict.fromkeys([*keys, "sku_name", "usage_date", "total_cost_usd", "price_missing", *c.coverage_dims])
-    priced = (Scratch() if scratch is None else scratch).written(priced.select(*wanted)) if store else priced
+    scratch = scratch or Scratch()
+    priced = scratch.written(priced.select(*wanted)) if store else priced
     ignored = matches_any(F.col("sku_name"), c.ignore_skus)
     cost = F.col("total_cost_usd")
     one = priced.agg(
@@ -49,7 +51,7 @@ def checks(priced: DataFrame, as_of: str, keys: Sequence[str] = ("record_id",),
         money(cost).alias("cost"),
         *[money_if(F.col(d) != UNALLOCATED, cost).alias(f"has_{d}") for d in c.coverage_dims],
     )
-    repeated = priced.groupBy(*keys).count().filter("count > 1").agg(F.count(F.lit(1)).alias("repeated"))
+    repeated = duplicates.of_stored(priced, keys, scratch).agg(F.count(F.lit(1)).alias("repeated"))
     # both sides are one aggregate row
     both = one.withColumn("k", F.lit(1)).join(repeated.withColumn("k", F.lit(1)), "k")
     lag = F.datediff(F.lit(as_of).cast("date"), "last") * 24

@@ -90,10 +90,19 @@ def anomalies(series: DataFrame, c: AnomalyConfig = AnomalyConfig()) -> DataFram
             "__base": F.collect_list("cost").over(back),
         }
     )
+    return _judged(_due(s, c), c)
+
+
+def _due(s: DataFrame, c: AnomalyConfig) -> DataFrame:
+    """Points that are to be judged: of long and costly enough series, late enough, with enough of a baseline."""
     least = 3 if c.day_of_week_aware else c.min_history_days
     start = F.lit(c.min_history_days) if c.last_n is None else F.greatest(F.lit(c.min_history_days), F.col("__n") - c.last_n)
-    s = s.filter((F.col("__n") >= c.min_history_days + 1) & (F.col("__mean") >= c.min_avg_cost) & (F.col("__i") >= start) & (F.size("__base") >= least))
-    s = s.withColumn("__r", robust_score(F.col("cost"), F.array_sort("__base"), c.method))
+    return s.filter((F.col("__n") >= c.min_history_days + 1) & (F.col("__mean") >= c.min_avg_cost) & (F.col("__i") >= start) & (F.size("__base") >= least))
+
+
+def _judged(points: DataFrame, c: AnomalyConfig) -> DataFrame:
+    """Those of (keys, usage_date, cost, __base) that leave the range of their baseline."""
+    s = points.withColumn("__r", robust_score(F.col("cost"), F.array_sort("__base"), c.method))
     score, expected = F.col("__r.score"), F.col("__r.expected")
     pct = F.when(expected > 0, (F.col("cost") - expected) / expected).otherwise(F.when(F.col("cost") > 0, 1.0).otherwise(0.0))
     hit = s.filter((F.abs(score) >= c.score_threshold) & (F.abs(pct) >= c.min_pct_change))
@@ -110,6 +119,42 @@ def anomalies(series: DataFrame, c: AnomalyConfig = AnomalyConfig()) -> DataFram
     )
 
 
+def baseline_state(series: DataFrame, c: AnomalyConfig = AnomalyConfig()) -> DataFrame:
+    """What judging later days needs of a history: for each series its points, their exact sum, and the points of the last window, by day.
+
+    ``series`` has one row for each day. A row of the state holds at most ``window_days`` points.
+    """
+    last = F.max("usage_date").over(Window.partitionBy(*KEYS))
+    near = F.when(F.datediff("__last", "usage_date") < c.window_days, F.struct("usage_date", "cost"))
+    rows = series.withColumn("__last", last)
+    return rows.groupBy(*KEYS).agg(F.count("cost").alias("points"), F.sum(F.col("cost").cast("decimal(20,6)")).alias("total"), F.sort_array(F.collect_list(near)).alias("recent"))
+
+
+def advance(state: DataFrame, new: DataFrame, c: AnomalyConfig = AnomalyConfig()) -> tuple[DataFrame, DataFrame]:
+    """(state after the new days, anomalies among them), from the state and the new days alone.
+
+    ``new`` has the days after those of the state, one row for each series and day. The anomalies are those
+    that a run over the whole history up to the last new day finds on the new days. Series without new
+    days keep their state. Only state rows of series with new days are joined; ``sinks.merge_partitions``
+    or ``sinks.upsert`` by series puts them back.
+    """
+    fresh = new.groupBy(*KEYS).agg(F.count("cost").alias("n"), F.sum(F.col("cost").cast("decimal(20,6)")).alias("sum"), F.sort_array(F.collect_list(F.struct("usage_date", "cost"))).alias("fresh"))
+    both = fresh.join(state, list(KEYS), "left")
+    none = F.array().cast("array<struct<usage_date:date,cost:double>>")
+    both = both.select(*KEYS, F.coalesce("points", F.lit(0)).alias("before"), (F.coalesce("points", F.lit(0)) + F.col("n")).alias("points"), (F.coalesce("total", F.lit(0).cast("decimal(30,6)")) + F.col("sum")).cast("decimal(30,6)").alias("total"), F.concat(F.coalesce("recent", none), "fresh").alias("all"), "fresh")
+    newest = F.element_at("all", -1)["usage_date"]
+    after = both.select(*KEYS, "points", "total", F.filter("all", lambda p: F.datediff(newest, p["usage_date"]) < c.window_days).alias("recent"))
+
+    one = both.select("*", (F.col("total").cast("double") / F.col("points")).alias("__mean"), F.posexplode("fresh").alias("__at", "__p"))
+    day, dow = F.col("__p.usage_date"), F.dayofweek(F.col("__p.usage_date"))
+    ago = lambda p: F.datediff(day, p["usage_date"])
+    inside = lambda p: ago(p).between(1, c.window_days)
+    alike = (lambda p: inside(p) & (F.dayofweek(p["usage_date"]) == dow)) if c.day_of_week_aware else inside
+    base = F.transform(F.filter("all", alike), lambda p: p["cost"])
+    judged = one.select(*KEYS, day.alias("usage_date"), F.col("__p.cost").alias("cost"), base.alias("__base"), (F.col("before") + F.col("__at")).alias("__i"), F.col("points").alias("__n"), "__mean")
+    return after, _judged(_due(judged, c), c)
+
+
 def filled(series: DataFrame, train: int) -> DataFrame:
     """One row for each series: last day, days of history, and values of the last ``train`` days, 0 for days without.
 

@@ -211,6 +211,8 @@ _CHANNEL = "list_filter(['pager', 'chat', 'table'], lambda c: c = 'table' OR (c
 ORACLE_SQL = {
     "a16_series": f"WITH {SERIES} SELECT * FROM series",
     "t5_anomalies": f"WITH {anomalies(True, 'mad', None)} SELECT * FROM anomalies",
+    "t5_incremental_anomalies": " UNION ALL ".join(f"SELECT * FROM (WITH {anomalies(True, 'mad', None).replace('FROM events', f'FROM (SELECT * FROM events WHERE CAST(ts AS DATE) <= DATE {last})')} SELECT * FROM anomalies WHERE usage_date BETWEEN DATE {first} AND DATE {last})" for first, last in (("'2024-01-26'", "'2024-01-26'"), ("'2024-01-27'", "'2999-12-31'"))),
+    "q7_repeated_keys": "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "t5_anomalies_plain": f"WITH {anomalies(False, 'zscore', 10)} SELECT * FROM anomalies",
     "t6_gap_fill": f"WITH {SERIES}, part AS (SELECT * FROM series WHERE day(usage_date) % 3 <> 0 OR dim_value = 'click'), {FILLED.format(src='part', train=20)} SELECT dimension, dim_value, CAST(history AS INT) AS history, CAST(j - 1 AS INT) AS i, v AS cost FROM kept",
     "t14_forecast": f"WITH RECURSIVE {forecasts('holt', True, 45)}",

@@ -185,6 +185,11 @@ ORACLE_SQL = {
       SELECT workspace_id, job_id, run_id, c.run_cost_usd IS NOT NULL AS has_cost, coalesce(c.run_cost_usd, 0) AS run_cost_usd, CASE WHEN duration_minutes > 0 THEN {rnd("coalesce(c.run_cost_usd, 0) / duration_minutes", 6)} END AS cost_per_minute,
       coalesce(project, 'SIN_ASIGNAR') AS project, coalesce(cost_center, 'SIN_ASIGNAR') AS cost_center FROM runs LEFT JOIN run_cost c USING (workspace_id, job_id, run_id) LEFT JOIN jt USING (workspace_id, job_id)""",
     "a11_query_activity": f"WITH {ACTIVITY} SELECT * FROM activity",
+    "a11_monthly_p95": f"""WITH {ACTIVITY} SELECT strftime(start_time, '%Y-%m') AS span, workspace_id, warehouse_id, count(*) AS queries, quantile_disc(total_duration_ms, 0.5) AS p50_ms, quantile_disc(total_duration_ms, 0.95) AS p95_ms FROM queries GROUP BY 1, 2, 3
+      UNION ALL SELECT 'all', workspace_id, warehouse_id, count(*), quantile_disc(total_duration_ms, 0.5), quantile_disc(total_duration_ms, 0.95) FROM queries GROUP BY 2, 3""",
+    "a14_entities_by_span": f"""WITH {FACT} SELECT 'day' AS span, usage_date AS first_day, count(DISTINCT entity_key) AS entities FROM fact GROUP BY 1, 2 UNION ALL SELECT 'month', CAST(date_trunc('month', usage_date) AS DATE), count(DISTINCT entity_key) FROM fact GROUP BY 1, 2
+      UNION ALL SELECT 'quarter', CAST(date_trunc('quarter', usage_date) AS DATE), count(DISTINCT entity_key) FROM fact GROUP BY 1, 2""",
+    "s13_partition_merge": "WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey AS k, o_orderstatus AS v FROM orders) SELECT k, CASE WHEN month IN ('1999-03', '2001-02') AND k % 2 = 0 THEN 'N' ELSE v END AS v, month FROM o WHERE k % 3 <> 0 OR (month IN ('1999-03', '2001-02') AND k % 2 = 0)",
     "a12_warehouse_cost": f"WITH {WAREHOUSE_COST} SELECT * FROM house",
     "j11_warehouse_catalog": f"WITH {WAREHOUSE_COST}, {WAREHOUSES} SELECT usage_date, workspace_id, warehouse_id, {DIMS}, total_cost_usd, query_count, warehouse_name, {CONFIG} FROM house LEFT JOIN warehouses USING (workspace_id, warehouse_id)",
     "j7_entity_configuration": f"""WITH {FACT}, {CLUSTERS}, {WAREHOUSES}, e AS (SELECT entity_key, workspace_id, max(entity_type) AS entity_type, {usd("total_cost_usd")} AS lifetime_cost_usd FROM fact GROUP BY 1, 2)

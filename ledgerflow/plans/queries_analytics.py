@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import money
-from ledgerflow.operators import alerts, budgets, facts, quality, recommend, series
+from ledgerflow.operators import alerts, budgets, duplicates, facts, quality, recommend, series
 from ledgerflow.operators.budgets import Budget
 from ledgerflow.plans import model
 from ledgerflow.sources import readers, stored
@@ -34,6 +34,17 @@ def t5_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.anomalies(T.series(spark, sf_dir), ANOMALY)
 
 
+def t5_incremental_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomalies of the newest days from the stored state of the days before: one day, then the rest in one batch."""
+    points = stored.written(T.series(spark, sf_dir))
+    between = lambda a, b: points.filter(F.col("usage_date").between(F.lit(a).cast("date"), F.lit(b).cast("date")))
+    state = stored.written(series.baseline_state(between("1970-01-01", "2024-01-25"), ANOMALY))
+    after, first = series.advance(state, between("2024-01-26", "2024-01-26"), ANOMALY)
+    # every series has all days, so that the new state is whole
+    _, rest = series.advance(stored.written(after), between("2024-01-27", "2999-12-31"), ANOMALY)
+    return first.unionByName(rest)
+
+
 def t5_anomalies_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.anomalies(T.series(spark, sf_dir), series.AnomalyConfig(score_threshold=2.0, min_pct_change=0.2, day_of_week_aware=False, method="zscore", last_n=10))
 
@@ -167,6 +178,11 @@ def q9_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.checks(model.priced(spark, sf_dir), "2001-11-05", c=IGNORED)
 
 
+def q7_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines that share order and line number, found by bitmaps before any key is shuffled."""
+    return duplicates.repeated_keys(T.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 def q8_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.summary(q9_quality_checks(spark, sf_dir))
 

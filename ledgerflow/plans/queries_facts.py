@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.exprs import blank_to_null, fingerprint, money, normalise_key, normalise_map
-from ledgerflow.operators import facts
+from ledgerflow.operators import facts, rollups
 from ledgerflow.operators.facts import DIMS, MEASURES
 from ledgerflow.plans import model
 from ledgerflow.sources import readers, sinks, stored
@@ -124,6 +124,27 @@ def a11_query_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.activity(spark, sf_dir)
 
 
+def a11_monthly_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p95 of query times by warehouse and month, and by warehouse over all, from stored daily sketches."""
+    daily = stored.written(rollups.duration_sketches(T.query_history(spark, sf_dir)))
+    month = F.date_format("query_date", "yyyy-MM")
+    by = lambda span: rollups.merged_quantiles(daily, {"span": span, "workspace_id": F.col("workspace_id"), "warehouse_id": F.col("warehouse_id")}, {"p50_ms": 0.5, "p95_ms": 0.95})
+    return by(month).unionByName(by(F.lit("all")))
+
+
+def a14_entities_by_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct entities by day, month and quarter, from stored daily bitmaps; the last year's entities are numbered after those before."""
+    daily = stored.written(model.fact(spark, sf_dir).select("usage_date", "entity_key"))
+    old = daily.filter("usage_date < DATE '2000-08-01'")
+    numbers = stored.written(rollups.entity_numbers(old))
+    numbers = stored.written(rollups.entity_numbers(daily, known=numbers))
+    maps = stored.written(rollups.entity_bitmaps(daily, numbers))
+    day = F.col("usage_date")
+    spans = {"day": day, "month": F.trunc(day, "MM"), "quarter": F.trunc(day, "QUARTER")}
+    counts = [rollups.merged_counts(maps, {"span": F.lit(name), "first_day": first}) for name, first in spans.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def a12_warehouse_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.warehouse_cost(model.priced(spark, sf_dir), model.activity(spark, sf_dir))
 
@@ -195,6 +216,16 @@ def s13_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.upsert(o.filter("k % 3 <> 0"), o.filter("k % 2 = 0").withColumn("v", F.lit("N")), ["k"])
 
 
+def s13_partition_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order statuses by month, merged in place: a batch for two months rewrites these two only."""
+    o = T.read(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    path = stored.scratch_path(spark, "statuses")
+    sinks.overwrite(o.filter("k % 3 <> 0").repartition("month"), path, ["month"])
+    batch = o.filter("month IN ('1999-03', '2001-02') AND k % 2 = 0").withColumn("v", F.lit("N"))
+    sinks.merge_partitions(batch, path, ["month", "k"], ["month"])
+    return spark.read.schema("k long, v string, month string").parquet(path)
+
+
 def s16_ingest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = T.read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("source_key"), F.to_date("o_orderdate").alias("watermark_date"))
     return readers.ingest_window(marks, "1-URGENT", "2001-12-31").withColumn("kind", F.lit("mark")).unionByName(readers.ingest_window(marks, "none", "2001-12-31").withColumn("kind", F.lit("initial")))

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerflow.sources.stored import Scratch
+
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
@@ -83,5 +85,24 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], update: bool = T
     return rest.unionByName(new) if update else old.unionByName(rest)
 
 
+def merge_partitions(new: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], update: bool = True) -> int:
+    """Merge a batch by keys into a partitioned table, in place; returns the rows written.
+
+    The partition columns are among the keys, or follow from them, and are not null. The batch names the
+    partitions it touches: only those are read, merged and overwritten, files of others stay as they are. What
+    is written is stored first, as it is made of files that it replaces. Not atomic over several
+    partitions; a rerun with the same batch repairs a break.
+    """
+    spark, scratch = new.sparkSession, Scratch()
+    batch = scratch.written(new)
+    # at most a row for each partition of the table, which the driver lists anyway; prunes the scan
+    touched = F.broadcast(batch.select(*partition_by).distinct())
+    here = spark.read.parquet(path).join(touched, list(partition_by), "left_semi")
+    merged, seen = _counted(scratch.written(upsert(here, batch, keys, update)))
+    merged.repartition(*partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    scratch.drop()
+    return seen.get["rows"]
+
+
 def empty_table(spark: SparkSession, schema: T.StructType | str, path: str) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)

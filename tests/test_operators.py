@@ -78,10 +78,52 @@ def test_normalised_maps(spark):
 
 
 def test_warehouse_cost_meets_queries_of_its_own_day_and_workspace(spark):
-    daily = spark.createDataFrame([(date(2026, m, 5), w, "WAREHOUSE", "h", 10.0) for m in (1, 2) for w in ("a", "b")], "usage_date date, workspace_id string, entity_type string, entity_id string, total_cost_usd double")
-    activity = spark.createDataFrame([(date(2026, 2, 5), "a", "h", "u", 4, 0, 1)], "query_date date, workspace_id string, warehouse_id string, executed_by string, query_count long, failed_queries long, active_hours long")
-    got = {(r.usage_date.month, r.workspace_id): r.cost_per_query for r in facts.warehouse_cost(daily, activity).collect()}
-    assert got == {(1, "a"): None, (1, "b"): None, (2, "a"): 2.5, (2, "b"): None}
+    dims = ", ".join(f"'{d}-1' AS {d}" for d in facts.DIMS)
+    rows = " UNION ALL ".join(f"SELECT DATE '2026-0{m}-05' AS usage_date, '{w}' AS workspace_id, named_struct('warehouse_id', {h}) AS usage_metadata, 5.0D AS total_cost_usd" for m in (1, 2) for w in ("a", "b") for h in ("'h'", "'h'", "CAST(NULL AS STRING)"))
+    priced = spark.sql(f"SELECT *, {dims}, 1.0D AS list_cost_usd, 0.0D AS discount_usd, 1.0D AS effective_cost_usd, 0.0D AS infra_cost_usd, 2.0D AS usage_quantity, 'SQL' AS sku_group, false AS is_serverless FROM ({rows})")
+    activity = spark.createDataFrame([(date(2026, 2, 5), "a", "h", "u", 4, 0, 1.5, 10.0, 7), (date(2026, 2, 5), "a", "h", "v", 1, 1, 0.5, 30.0, 1)], "query_date date, workspace_id string, warehouse_id string, executed_by string, query_count long, failed_queries long, active_hours double, avg_ms double, read_bytes long")
+    got = {(r.usage_date.month, r.workspace_id): r for r in facts.warehouse_cost(priced, activity).collect()}
+    assert {k: r.cost_per_query for k, r in got.items()} == {(1, "a"): None, (1, "b"): None, (2, "a"): 2.0, (2, "b"): None}
+    r = got[2, "a"]
+    assert (r.distinct_users, r.active_hours, r.avg_ms, r.read_bytes, r.usage_quantity, r.list_cost_usd, r.entity_key) == (2, 2.0, 20.0, 8, 4.0, 2.0, "WAREHOUSE:h")
+
+
+def test_hours_are_those_that_queries_took(spark):
+    q = spark.sql("SELECT DATE '2026-01-01' AS query_date, 'w' AS workspace_id, 'h' AS warehouse_id, 'u' AS executed_by, s AS execution_status, CAST(ms AS LONG) AS total_duration_ms, CAST(NULL AS LONG) AS waiting_for_compute_duration_ms, 1L AS read_bytes, 2L AS produced_rows, s AS statement_id FROM VALUES ('Failed', 100), ('query_failed', NULL), (NULL, 3599900) AS t(s, ms)")
+    r = facts.query_activity(q).first()
+    assert (r.active_hours, r.failed_queries, r.total_ms, r.queue_ms, r.query_count, r.avg_ms) == (1.0, 2, 3_600_000, 0, 3, 1_800_000.0)
+
+
+def test_profiles_leave_old_runs_and_queries_out(spark):
+    dims = ", ".join(f"'x' AS {d}" for d in facts.DIMS)
+    daily = spark.sql(f"SELECT DATE '2001-08-01' AS usage_date, k AS entity_key, 'w' AS workspace_id, 'JOB' AS entity_type, '1' AS entity_id, 'n' AS entity_name, 'o' AS owner_resolved, 'JOBS' AS sku_group, 10.0D AS total_cost_usd, u AS is_untagged, false AS is_photon, false AS is_serverless, {dims} FROM VALUES ('JOB:1', false), ('JOB:1', true), ('WAREHOUSE:1', false), ('CLUSTER:1', false) AS t(k, u)")
+    runs = spark.sql("SELECT 'w' AS workspace_id, '1' AS job_id, d AS run_date, true AS is_failed, 1.0D AS duration_minutes FROM VALUES (DATE '1999-08-01'), (DATE '2001-07-01'), (DATE '2001-07-02') AS t(d)")
+    activity = spark.sql("SELECT 'w' AS workspace_id, '1' AS warehouse_id, d AS query_date, 3L AS query_count, 0.5D AS active_hours FROM VALUES (DATE '1999-08-01'), (DATE '2001-07-30') AS t(d)")
+    clusters = spark.sql("SELECT '1' AS cluster_id, w AS workspace_id, n AS worker_count, 0 AS auto_termination_minutes, '15.3' AS dbr_version, false AS is_autoscale FROM VALUES ('w', 4), ('other', 9) AS t(w, n)")
+    got = {r.entity_key: r for r in recommend.profiles(daily, clusters, runs, activity, "2001-08-01", 30).collect()}
+    assert (got["JOB:1"].run_count, got["JOB:1"].failed_runs, got["JOB:1"].last_run_date, got["JOB:1"].untagged_cost_usd) == (1, 1, date(2001, 7, 2), 10.0)
+    assert (got["WAREHOUSE:1"].query_count, got["WAREHOUSE:1"].active_hours) == (3, 0.5)
+    assert got["CLUSTER:1"].worker_count == 4 and len(got) == 3
+
+
+def test_live_coverage_counts_own_tags_only(spark):
+    sources = lambda own: ", ".join(f"'{'usage' if d in own else 'job'}' AS {d}_source" for d in facts.DIMS)
+    row = lambda entity, cost, own: f"SELECT DATE '2026-01-01' AS usage_date, 'w' AS workspace_id, {entity} AS entity_id, 'JOB' AS entity_type, 's' AS sku_name, CAST(NULL AS STRING) AS billing_origin_product, {cost}D AS list_cost_usd, map('a', 'b') AS custom_tags, {sources(own)}"
+    priced = spark.sql(" UNION ALL ".join([row("'1'", 8.0, ["team"]), row("'1'", 2.0, []), row("'2'", 4.0, []), row("CAST(NULL AS STRING)", 2.0, ["team"])]))
+    got = {r.dimension: r for r in facts.live_coverage(priced).collect()}
+    r = got["team"]
+    assert (r.total_cost_usd, r.attributed_cost_usd, r.unattributed_cost_usd, r.coverage_pct, r.attributed_entities, r.total_entities) == (16, 10, 6, 62.5, 1, 2)
+    assert (got["owner"].coverage_pct, got["owner"].attributed_entities) == (0, 0)
+    bare = {r.entity_id: (r.records, r.list_cost_usd, r.tag_count) for r in facts.live_untagged(priced).collect()}
+    assert bare == {"1": (1, 2.0, 1), "2": (1, 4.0, 1)}
+
+
+def test_coverage_alert_of_one_day_and_dimension(spark):
+    rows = [(date(2026, 1, 30), "cost_center", 100.0, 100.0), (date(2026, 1, 31), "cost_center", 100.0, 50.0), (date(2026, 1, 31), "team", 100.0, 0.0)]
+    coverage = spark.createDataFrame(rows, "usage_date date, dimension string, total_cost_usd double, attributed_cost_usd double")
+    got = [(r.subject, r.severity, r.value, r.threshold) for r in alerts.coverage_drop(coverage, "2026-01-31").collect()]
+    assert got == [("dimension=cost_center", "high", 0.5, 0.8)]
+    assert alerts.coverage_drop(coverage, "2026-01-30").count() == 0 and alerts.coverage_drop(coverage, "2026-02-01").count() == 0
 
 
 def test_series_of_the_fact_and_latest_budget(spark):
@@ -143,6 +185,9 @@ def test_forecast_of_constant_and_short_series(spark):
     assert series.forecasts(days(spark, [100] * 20)).count() == 0
     gap = series.filled(spark.createDataFrame([("d", "v", date(2026, 1, 1), 10.0), ("d", "v", date(2026, 1, 4), 40.0)], "dimension string, dim_value string, usage_date date, cost double"), 120).first()
     assert list(gap.v) == [10, 0, 0, 40]
+    twice = spark.createDataFrame([("d", "v", date(2026, 1, 1) + timedelta(i), float(i)) for i in range(200)] + [("d", "v", date(2026, 7, 19), 1.0)], "dimension string, dim_value string, usage_date date, cost double")
+    r = series.filled(twice, 3).first()
+    assert (list(r.v), r.history, r["last"]) == ([197.0, 198.0, 200.0], 200, date(2026, 7, 19)) and [x.day for x in r.d] == [17, 18, 19]
 
 
 def test_budget(spark):
@@ -150,6 +195,10 @@ def test_budget(spark):
     r = budgets.budget_status(costs, [budgets.Budget("b", 3000.0)], "2026-03-15").first()
     assert (r.consumed_pct, r.projected, r.required_daily, r.remaining_days, r.days_to_exhaustion) == (50, 3100, 93.75, 16, 15)
     assert r.status == "CRITICAL" and r.threshold_reached == 50
+    assert budgets.budget_status(costs, [], "2026-03-15").count() == 0
+    assert budgets.budget_status(costs, [budgets.Budget("old", 1.0, effective_to="2020-01-01")], "2026-03-15").count() == 0
+    ordered = budgets.by_consumption(budgets.budget_status(costs, [budgets.Budget("a", 9000.0), budgets.Budget("b", 3000.0)], "2026-03-15"))
+    assert [r.budget_id for r in ordered.collect()] == ["b", "a"]
     ahead = spark.createDataFrame([(date(2026, 3, 16) + timedelta(i), 120.0) for i in range(16)], "forecast_date date, expected_cost double")
     r = budgets.budget_status(costs, [budgets.Budget("b", 3000.0)], "2026-03-15", ahead).first()
     assert r.projected == 1500 + 1920
@@ -161,6 +210,7 @@ def test_chargeback_reconciles(spark):
     lines = budgets.chargeback(costs, shared=["shared-*"], shared_cols=["entity_name"])
     got = {r.unit: r for r in lines.collect()}
     assert (got["A"].unallocated_usd, got["B"].unallocated_usd, got["A"].total_usd) == (60, 40, 690)
+    assert [r.unit for r in budgets.by_total(lines).collect()] == ["A", "B"]
     assert budgets.reconciliation(lines, costs).first()["reconciles"]
 
 
@@ -200,6 +250,9 @@ def test_cooldown_and_cap(spark):
     got = {r.subject: r.outcome for r in alerts.admit(raw, history, "2026-01-01 12:00:00", cap=1).collect()}
     assert got["s1"] == "cooldown" and got["s0"] == "severity" and got["s2"] == "cap"
     assert sorted((got["s3"], got["again"])) == ["dispatched", "duplicate"]
+    # a longer log changes nothing, and no dispatch older than twice the cooldown is grouped
+    old = history.unionByName(spark.sql("SELECT 'f3' AS fingerprint, TIMESTAMP_NTZ '2025-12-01 10:00:00' AS created_at"))
+    assert {r.subject: r.outcome for r in alerts.admit(raw, old, "2026-01-01 12:00:00", cap=1).collect()}["s2"] == "cap"
 
 
 def test_sources(spark, tmp_path):
@@ -255,7 +308,8 @@ def test_streaming_replaces_days(spark, tmp_path):
 def test_latest_and_small(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", None)], "k string, t int")
     assert {(r.k, r.t) for r in facts.latest(df, ["k"], "t").collect()} == {("a", 2), ("b", None)}
-    assert facts.small(df, 1) is df
+    assert [facts.sized(df, 3)[1], facts.sized(df, 2)[1], facts.sized(df, 3, 1)[1]] == [True, False, False]
+    assert sorted(map(str, facts.small(df, 1).collect())) == sorted(map(str, df.collect()))
 
 
 def test_severe_anomalies_are_not_crowded_out(spark):
