@@ -32,6 +32,14 @@ def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> Da
     return spark.range(1).select(F.inline(built))
 
 
+def stable(df: DataFrame) -> DataFrame:
+    """``df`` with rows that come in the same order on every attempt of a task, so that numbers given to them hold.
+
+    Blocks of a shuffle arrive in any order: behind one the rows are stored first. A plain scan is left as it is.
+    """
+    return written(df) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
 def fold(id_col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts

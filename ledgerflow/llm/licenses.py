@@ -10,7 +10,8 @@ them on one diagonal for phrases of 2 or 3 words).
 
 Phrases of 2 or 3 words count every place where they stand; their diagonals are exact places
 and are not merged. Null and empty texts have no words and no labels; repeated rows are judged
-one by one (each row keeps a number of its own through one pass).
+one by one (each row keeps a number of its own through one pass, given where the rows have a fixed order).
+Templates are lowered as texts are. All spans of a text meet in one row: a text of n words has n / 2 of them at most.
 """
 
 from __future__ import annotations
@@ -20,10 +21,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import literal_rows, own, with_own
+from ledgerflow.llm.common import literal_rows, own, stable, with_own
 
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: (label, phrase): every place counts.
 PHRASES = (("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved"))
@@ -45,7 +45,8 @@ LISTED, BROADCAST_ROWS = 5_000, 200_000
 
 
 def _words(text: str) -> list[str]:
-    return re.findall(WORD_PATTERN, text.translate(str.maketrans(_UPPER, _LOWER)))
+    """Words as texts have them, which are lowered whole but for the Kelvin sign."""
+    return re.findall(WORD_PATTERN, text.replace("\u212a", "\ufffc").lower())
 
 
 def template_rows(phrases=PHRASES, notices=NOTICES) -> list[tuple]:
@@ -98,7 +99,7 @@ def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, text_col:
     templates = templates.select(*[F.col(c).alias(f"__{c}") for c in ("template", "label", "base", "t_size", "t_pos", "t_k", "t_gram", "t_key")])
     # the Kelvin sign is the one letter outside A-Z that lower() turns into ASCII
     text = F.replace(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit("\u212a"), F.lit("\ufffc"))
-    cut = docs.select(F.monotonically_increasing_id().alias("__row"), own(docs, kept), F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0)).alias("__words"))
+    cut = stable(docs).select(F.monotonically_increasing_id().alias("__row"), own(docs, kept), F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0)).alias("__words"))
     found = F.concat(*[_grams(F.col("__words"), k, wanted[k]) for k in (SHORT, LONG)])
     rolled = cut.select("__row", "__page", F.size("__words").cast("long").alias("__n"), found.alias("__grams"))
     # only the first of a text's rows carries the caller's columns

@@ -21,7 +21,8 @@ documents themselves are only compared with it and never shuffled.
 A null text has size 0 and takes 0. A null source is a source of its own, sorted last. A
 source without words has target 0. Repeated rows count each; rows that repeat both id and text
 where the last taken document falls get the copy by a hash of their place in the table. Empty
-input gives no rows. Reruns agree. Other columns travel in one struct and may have any name.
+input gives no rows. Reruns over one table agree, a repeated task with its first attempt too. Other
+columns travel in one struct and may have any name; those named as one of the six new ones are replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import Scratch, own, with_own
+from ledgerflow.llm.common import Scratch, own, stable, with_own
 
 #: Ranges of the quotient by which documents are taken, up to FAR; beyond it as many by hash.
 RANGES, FAR = 4096, 4
@@ -125,7 +126,7 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
     new = ("size", "source_size", "target", "rate", "copies", "taken")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     text, source = F.col(f"`{text_col}`"), F.col(f"`{source_col}`").cast("string")
-    scratch = Scratch()
+    scratch, docs = Scratch(), stable(docs)
     rows = docs.select(
         own(docs, kept),
         source.alias("__source"),

@@ -5,7 +5,7 @@ host has, joined with the path prefixes of the lengths that rule paths have. An
 expression finds candidate rules, the full digests confirm them, and the longest rule wins
 (then the longest host, then block before allow). URLs without a rule get ``default``.
 
-Each row keeps a number of its own through one pass, so that repeated rows stay apart. Other
+Each row keeps a number of its own through one pass, given where the rows have a fixed order, so that repeated rows stay apart. Other
 columns travel in one struct and may have any name; host, path, rule and verdict are replaced.
 
 Rules are broadcast while their count is at most ``broadcast_rules``; a larger list is joined
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import literal_rows, own, with_own
+from ledgerflow.llm.common import literal_rows, own, stable, with_own
 
 #: (verdict, host, path)
 RULES = (
@@ -53,7 +53,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     after = F.when(F.instr(url, "://") > 0, F.expr(f"substring(`{url_col}`, instr(`{url_col}`, '://') + 3)")).otherwise(F.lit(""))
     host = F.translate(F.regexp_extract(F.coalesce(after, F.lit("")), r"^([^/?#]*)", 1), _UPPER, _LOWER)
     path = F.regexp_extract(F.coalesce(after, F.lit("")), r"^[^/?#]*([^?#]*)", 1)
-    base = pages.select(own(pages, kept), F.monotonically_increasing_id().alias("__row"), host.alias("__host"), path.alias("__path"))
+    base = stable(pages).select(own(pages, kept), F.monotonically_increasing_id().alias("__row"), host.alias("__host"), path.alias("__path"))
     # the end of the host that the deepest rule can reach, with the labels in front of it left out
     tail = F.substring_index("__host", ".", -max(1, sizes["labels"]))
     parts = F.split(tail, r"\.", -1)
