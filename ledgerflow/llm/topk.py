@@ -8,15 +8,16 @@ term products with them. Blocks are visited by falling bound and scored through
 index until the bound falls below the query's k-th score (or equals it and no smaller id can
 come); what is left cannot enter the result.
 
-Three rounds, of which only the last moves blocks in numbers. First the bounds alone, two
-vectors for each block, meet chunks of queries on pages of bounds: every query names its
-``SEEDS`` best blocks. Those are scored, which gives the query a floor, a score that k rows
-reach. Then the bounds meet the queries again, and a query travels only to slices (bounded sets
-of blocks) with a bound at or above its floor, a block only to chunks with such a query. Chunks
-and slices, each pair one bounded group made by an equi-join key, give local results that merge
-by query with one top-k window over k rows from each slice.
-
-Vectors that are null, or hold null or non-finite components, take no part. Vectors of other
+Bounds form a tree: a page holds the bounds of a range of blocks, and has bounds of its own over
+them. Three rounds, of which only the last moves blocks in numbers. First chunks of queries meet
+the bounds of pages, and every query goes to its ``SEEDS`` best pages and names its ``SEEDS`` best
+blocks there. Those are scored, which gives the query a floor, a score that k rows reach. Then
+queries meet the bounds of pages again, go only to pages at or above their floor, and from there only
+to slices (bounded sets of blocks) with such a bound; a block travels only to chunks with such a
+query. Chunks and slices, each pair one bounded group made by an equi-join key, give local results
+that merge by query with one top-k window over k rows from each slice.
+
+Vectors that are null, or hold null or non-finite components, or components that leave 64 bits when scaled, take no part. Vectors of other
 lengths are padded with zeros. Fewer rows than k give all; ties go to the smaller id; repeated
 ids stay separate rows, but a query never meets rows that share its id. Components beyond
 the range where products sum below 2**53 are not exact.
@@ -42,7 +43,7 @@ _RUN = 16
 
 _PACKED = "id_min long, n int, width int, ids binary, forward binary, code string, high binary, low binary"
 _FIELDS = ("n", "width", "ids", "forward", "code")
-_HITS = "chunk int, slice int, block long, query_row long"
+_HITS = "chunk int, slice long, block long, query_row long"
 
 
 def _matrix(column: pa.Array, scale: float) -> np.ndarray:
@@ -176,7 +177,40 @@ def _dealt(n: int, *columns: str | Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
 
-def floors(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int, k: int, scratch: Scratch) -> DataFrame:
+def page_tops(blocks: DataFrame) -> DataFrame:
+    """The bounds of each page over those of its blocks."""
+
+    def top(held: pd.DataFrame) -> pd.DataFrame:
+        rows = held.to_dict("records")
+        high, low = (_stack([np.frombuffer(r[c], r["code"]).astype(np.float64)[None, :] for r in rows]) for c in ("high", "low"))
+        return pd.DataFrame([{"page": rows[0]["page"], "code": "<f8", "high": high.max(axis=0).tobytes(), "low": low.min(axis=0).tobytes()}])
+
+    return blocks.select("page", "code", "high", "low").groupBy("page").applyInPandas(top, "page long, code string, high binary, low binary")
+
+
+def asked_pages(asking: DataFrame, tops: DataFrame, chunks: int, seeds: int | None = None) -> DataFrame:
+    """(query_row, chunk, page): the ``seeds`` best pages of each query, or all with a bound at or above its ``floor``."""
+
+    def pick(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        bound = _page_bounds(asks, held)
+        if seeds is None:
+            q, at = np.nonzero(bound >= asks["floor"].to_numpy()[:, None])
+        else:
+            n = min(seeds, bound.shape[1])
+            at = np.argpartition(-bound, n - 1, axis=1)[:, :n].ravel()
+            q = np.repeat(np.arange(len(asks)), n)
+        return pd.DataFrame({"query_row": asks["query_row"].to_numpy(np.int64)[q], "chunk": asks["chunk"].iloc[0], "page": held["page"].to_numpy(np.int64)[at]})
+
+    return _met(asking, tops.withColumn("chunk", _all_of(chunks)), ["chunk"], pick, "query_row long, chunk int, page long")
+
+
+def _paged(asking: DataFrame, blocks: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries on the pages they ask for, and the bounds of a page's blocks for the chunks that ask for it."""
+    held = blocks.select("block", "slice", "page", "code", "high", "low").join(pages.select("page", "chunk").distinct(), "page")
+    return asking.drop("chunk").join(pages, "query_row"), held
+
+
+def floors(asking: DataFrame, blocks: DataFrame, pages: DataFrame, k: int, scratch: Scratch) -> DataFrame:
     """(query_row, floor): the best k-th score among the blocks with a query's highest bounds; -inf where none holds k rows."""
 
     def best(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -190,7 +224,7 @@ def floors(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int, k: int
         found, _ = search(m, ids, [unpack(r) for r in held.to_dict("records")], k)
         return pd.DataFrame({"query_row": asks["query_row"].to_numpy(np.int64), "floor": found.score[:, -1]})
 
-    paged = _met(*_paged(asking, blocks, pages, chunks), ["page", "chunk"], best, "query_row long, chunk int, block long, bound double")
+    paged = _met(*_paged(asking, blocks, pages), ["page", "chunk"], best, "query_row long, chunk int, block long, bound double")
     order = Window.partitionBy("query_row").orderBy(F.desc("bound"), "block")
     seeds = scratch.written(paged.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= SEEDS).select("query_row", "chunk", "block"))
     asked = asking.drop("chunk").join(seeds, "query_row")
@@ -198,13 +232,7 @@ def floors(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int, k: int
     return _met(asked, held, ["block", "chunk"], kth, "query_row long, floor double").groupBy("query_row").agg(F.max("floor").alias("floor"))
 
 
-def _paged(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int) -> tuple[DataFrame, DataFrame]:
-    """Queries on every page of bounds, and the bounds of blocks for every chunk of queries."""
-    held = blocks.select("block", "slice", _dealt(pages, "slice").alias("page"), _all_of(chunks).alias("chunk"), "code", "high", "low")
-    return asking.withColumn("page", _all_of(pages)), held
-
-
-def reached(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int) -> DataFrame:
+def reached(asking: DataFrame, blocks: DataFrame, pages: DataFrame) -> DataFrame:
     """_HITS: each query with each slice that holds a bound at or above its ``floor``, and each such block with the chunk of queries."""
 
     def hits(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -217,7 +245,7 @@ def reached(asking: DataFrame, blocks: DataFrame, pages: int, chunks: int) -> Da
             out.append(pd.DataFrame({"slice": s, "block": pd.array([None] * len(mine), "Int64"), "query_row": pd.array(mine, "Int64")}))
         return pd.concat(out).assign(chunk=asks["chunk"].iloc[0])[["chunk", "slice", "block", "query_row"]]
 
-    return _met(*_paged(asking, blocks, pages, chunks), ["page", "chunk"], hits, _HITS)
+    return _met(*_paged(asking, blocks, pages), ["page", "chunk"], hits, _HITS)
 
 
 def top_k(
@@ -235,29 +263,33 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, id_col, score) for each row of ``queries`` against all ``vectors``.
 
-    ``moved``, if given, receives the table of _HITS: what the last round moves.
+    ``moved``, if given, receives the tables of what moves: _HITS, and the pages that queries go to.
     """
 
     def usable(df: DataFrame) -> DataFrame:
         v = F.col(f"`{vector_col}`").cast("array<double>")
-        fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < float(1 << 63)))
         return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & v.isNotNull() & fine)
 
     scratch, order = Scratch(), ("id", F.xxhash64("v"))
     packed = pack_blocks(usable(vectors).repartitionByRange(*order).sortWithinPartitions(*order), scale, block)
     packed = scratch.written(packed.select(F.monotonically_increasing_id().alias("block"), *_FIELDS, "high", "low"))
-    slices = max(1, -(-packed.count() // slice_blocks))
-    pages = max(1, -(-slices // page_slices))
+    # numbers of blocks hold that of their range of ids above 33 bits: a page is a stretch of one range
+    stretch = F.floor(F.col("block").bitwiseAND(F.lit((1 << 33) - 1)) / (slice_blocks * page_slices))
+    packed = packed.withColumn("page", F.shiftright("block", 33) * (1 << 20) + stretch)
     # short runs of neighbours, so that a slice holds whole ranges of ids and few of them
-    blocks = packed.withColumn("slice", _dealt(slices, F.floor(F.col("block") / min(_RUN, slice_blocks))))
+    blocks = packed.withColumn("slice", F.col("page") * page_slices + _dealt(page_slices, F.floor(F.col("block") / min(_RUN, slice_blocks))))
+    tops = scratch.written(page_tops(blocks))
 
     asked = scratch.written(pack_blocks(usable(queries), scale, 1).select(F.monotonically_increasing_id().alias("query_row"), *_FIELDS))
     chunks = max(1, -(-asked.count() // chunk))
     asking = asked.withColumn("chunk", _dealt(chunks, "query_row"))
-    asking = asking.join(scratch.written(floors(asking, blocks, pages, chunks, k, scratch)), "query_row", "left").fillna(float("-inf"), ["floor"])
-    hits = scratch.written(reached(asking, blocks, pages, chunks))
+    seeds = scratch.written(asked_pages(asking, tops, chunks, SEEDS))
+    asking = asking.join(scratch.written(floors(asking, blocks, seeds, k, scratch)), "query_row", "left").fillna(float("-inf"), ["floor"])
+    pages = scratch.written(asked_pages(asking, tops, chunks))
+    hits = scratch.written(reached(asking, blocks, pages))
     if moved is not None:
-        moved.append(hits)
+        moved += [hits, pages]
 
     def local(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         ids, m = _asks(asks)
