@@ -15,8 +15,9 @@ are ``LEAST`` rows or all there are. Shorter texts are too short to judge: they
 if they hold n-grams and none was learned. Null texts and texts without a letter are rejected too,
 get `und` and score 0. Rejection does not alter lang_pred otherwise.
 
-Rows with a null lang are not learned from. Ties go to the language first in code point order.
-Repeated rows are predicted one by one. With nothing learned every text is `und`.
+Rows with a null lang are not learned from, nor are languages beyond the ``max_langs`` most frequent ones. Ties go to the language first in code point order.
+Repeated rows are predicted one by one. With nothing learned every text is `und`. Columns named lang_pred,
+score or rejected are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from ledgerflow.llm.common import blocks_of, fold, map_texts, text_bytes
 
 #: Sampled rows for each language, about; never more than twice that.
 PER_LANG = 800
+#: Languages learned, at most: the model has some 70 KB for each.
+MAX_LANGS = 200
 DIM, CLUSTERS, ROUNDS, MARGIN = 4096, 4, 8, 0.6
 #: Quantile of the cosines that sets a limit, least rows it is taken over, and n-grams below which distance does not reject.
 LOW, LEAST, SHORT = 0.01, 50, 15
@@ -103,11 +106,11 @@ def cluster(v: np.ndarray, k: int) -> np.ndarray:
     return centre
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", parts: int = 4, held: int = 2, per_lang: int = PER_LANG, clusters: int = CLUSTERS, margin: float = MARGIN):
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", parts: int = 4, held: int = 2, per_lang: int = PER_LANG, clusters: int = CLUSTERS, margin: float = MARGIN, max_langs: int = MAX_LANGS):
     """(languages, centroids, language of each centroid, idf, limit by language and size class)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     rows = rows.filter((fold("id", parts) != held) & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()}
     if not sizes:
         return [], np.zeros((0, DIM), np.float32), np.zeros(0, np.int64), np.ones(DIM, np.float32), np.zeros((0, SIZES))
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, per_lang / n)))])

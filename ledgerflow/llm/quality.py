@@ -12,6 +12,7 @@ with their labels, weighted by similarity.
 Null and empty texts have the zero vector, no neighbour and the sample's share of label 1 as
 score. Labels other than 0 and 1 are not learned from. Repeated rows are scored one by one.
 Without labelled rows the score is 0.5.
+Columns named score or predicted are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ every text is scored in Arrow batches.
 Null and empty texts have no features and get the score of the bias. Labels other than 0 and 1
 are not learned from; an id with several labels counts with each. Without usable labels, or
 with one class only, the score is the smoothed share of the positive label.
+Columns named score or predicted are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
