@@ -378,13 +378,25 @@ def across_parts(members: DataFrame, least: float, wide: int, rows: int = CELL_R
     ``least`` similarity, less those that join parts which a cell has joined already.
 
     ``members`` has whole, label, id, full and runs. A component is cut into blocks of about ``rows``
-    members and ``size`` bytes; each two of its blocks meet in one bounded group, so that sets are sent
-    once for each block and not once for each pair.
+    members and ``size`` bytes, each of one large part or of several small ones; each two of its blocks that
+    can hold two parts meet in one bounded group, so that sets are sent once for each block and not once for
+    each pair. A large part of n members beside s others so costs about n rows for each ``rows`` of s.
     """
-    held = members.groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("runs") * 8).alias("bytes"))
-    cut = held.select("whole", F.greatest(F.ceil(F.col("n") / rows), F.ceil(F.col("bytes") / size)).cast("int").alias("blocks"))
-    own = members.join(cut, "whole").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    sent = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks_of = lambda: F.greatest(F.ceil(F.col("n") / rows), F.ceil(F.col("bytes") / size)).cast("int")
+    parts = members.groupBy("whole", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("runs") * 8).alias("bytes")).withColumn("blocks", blocks_of())
+    # small parts share blocks
+    pooled = parts.filter("blocks = 1").groupBy("whole").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).select("whole", F.lit(None).cast("long").alias("part"), blocks_of().alias("blocks"))
+    cut = pooled.unionByName(parts.filter("blocks > 1").select("whole", F.col("label").alias("part"), "blocks"))
+    number = lambda part, k: F.xxhash64(F.coalesce(part, F.lit(0)), part.isNull(), k)
+    listed = cut.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("whole", "part", number(F.col("part"), F.col("k")).alias("own"))
+    every = listed.groupBy("whole").agg(F.collect_list(F.struct("own", "part")).alias("every"))
+    # blocks of one large part do not meet each other
+    meets = F.filter("every", lambda x: F.col("part").isNull() | x["part"].isNull() | (x["part"] != F.col("part")))
+    partners = listed.join(every, "whole").select("whole", "own", F.explode(F.transform(meets, lambda x: x["own"])).alias("other"))
+    large = parts.filter("blocks > 1").select("whole", "label", F.col("label").alias("part"), "blocks")
+    small_ = parts.filter("blocks = 1").select("whole", "label").join(pooled, "whole").select("whole", "label", "part", "blocks")
+    placed = members.join(large.unionByName(small_), ["whole", "label"]).withColumn("own", number(F.col("part"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))).drop("part", "blocks")
+    sent = placed.join(partners, ["whole", "own"])
     cells = sent.select("whole", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "full", "runs")
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
