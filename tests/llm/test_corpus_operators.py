@@ -255,6 +255,10 @@ def test_top_k_moves_few_blocks(spark):
     held = moved[0].filter("block is not null").count()
     # 40 queries and 80 blocks: the full grid of 20 slices and 5 chunks would move 800 queries and 400 blocks
     assert going <= 200 and held <= 200
+    # of pages of 8 blocks each query goes to those of its direction
+    moved = []
+    topk.top_k(df, df.filter("vec_id % 50 = 0"), block=25, slice_blocks=4, chunk=8, page_slices=2, moved=moved).collect()
+    assert moved[1].count() <= 40 * 3
 
 
 def test_block_pruning_skips_blocks():
@@ -569,3 +573,83 @@ def test_queries_cover_their_tables(spark, name):
         assert out.count() == spark.read.parquet(f"{sf}/{table}.parquet").count()
     else:
         assert out.count() == 5 * spark.read.parquet(f"{sf}/embeddings.parquet").filter("vec_id % 50 = 0").count()
+
+
+def test_token_counts_without_white_space(spark, tokenizer):
+    """Long texts without white space are cut where letters, digits and other characters meet, and nowhere else."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer)
+    rng = np.random.default_rng(31)
+    alphabet = list("abZéß漢字語，。١٢3'’.-_<|>😀́") + ["'s", "'ll", "''", "<|endoftext|>"]
+    made = ["".join(rng.choice(alphabet, size=n)) for n in (1500, 3000, 3000, 6000)]
+    # with a special string inside, and none
+    texts = [*made, *(x.replace("<|endoftext|>", "") for x in made), "漢字，" * 3000, "x" * 5000 + "'s" * 2000, "a1" * 4000]
+    got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(docs(spark, texts), tokenizer).collect()}
+    assert got == {i: len(t.encode(x, add_special_tokens=False)) for i, x in enumerate(texts)}
+    assert max(map(len, tokens.pieces("漢字，" * 3000))) < 10
+    assert tokens.pieces("don't" * 1000)[:3] == ["don", "'tdon", "'tdon"]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_token_counts_of_other_kinds_of_files(spark, name):
+    """Files that rewrite white space have their texts encoded whole."""
+    P = pytest.importorskip("public_tokenizers")
+    path = str(P.path(name))
+    texts = ["It's  A\tTest,\n\n  isn't it?   ", "Ünïcödé  漢字 é", *ODD[:9]]
+    if name.endswith(".model"):
+        from sentencepiece import SentencePieceProcessor
+
+        library = SentencePieceProcessor(model_file=path)
+        want = [len(library.encode(x or "")) for x in texts]
+    else:
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        want = [len(library.encode(x or "", add_special_tokens=False)) for x in texts]
+    got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(docs(spark, texts), path).collect()}
+    assert got == dict(enumerate(want))
+
+
+def test_top_k_leaves_vectors_out_that_overflow(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(120)] + [(200, [1e307, 0.0]), (201, [1.0, -1e18]), (202, [float("inf"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.filter("vec_id % 50 = 0"), k=3).collect()
+    assert {r.query_id for r in got} == {0, 50, 100} and {r.vec_id for r in got} <= set(range(120))
+
+
+def test_licenses_lower_templates_as_texts(spark):
+    templates = licenses.template_table(spark, phrases=(), notices=(("é", "Écrit Par Élise Sous Licence Ouverte Étendue"),))
+    out = licenses.scan_licenses(docs(spark, ["x écrit par élise sous licence ouverte étendue", "ÉCRIT PAR ÉLISE SOUS LICENCE OUVERTE ÉTENDUE", "par élise"]), templates).collect()
+    assert [r.labels for r in sorted(out, key=lambda r: r.doc_id)] == [["é"], ["é"], []]
+
+
+def test_rows_are_numbered_where_their_order_is_fixed(spark, tmp_path):
+    from ledgerflow.llm.common import stable
+
+    path = str(tmp_path / "t")
+    spark.range(1000).write.parquet(path)
+    scan = spark.read.parquet(path).filter("id > 3")
+    assert stable(scan) is scan
+    dealt = stable(scan.repartition(7))
+    assert "Exchange" not in dealt._jdf.queryExecution().executedPlan().toString()
+    number = lambda df: {r.id: r.n for r in df.select("id", F.monotonically_increasing_id().alias("n")).collect()}
+    assert number(dealt) == number(dealt) and len(number(dealt)) == 996
+
+
+def test_languages_are_bounded(spark):
+    rows = [(i, "kalomi tulomi kami " * 5, f"l{i % 30}" if i % 3 else "main") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(language.train(df, held=-1)[0]) == 31 - 10 and language.train(df, held=-1, max_langs=1)[0] == ["main"]
+
+
+def test_mixing_of_long_tied_and_clashing_rows(spark):
+    rows = [(i, "same words here", "s", 1) for i in range(40)] + [(99, LONG, "s", 1), (100, None, None, 1), (101, "", None, 1), (102, "one", None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int").withColumn("size", F.lit("mine")).withColumn("target", F.lit(-1))
+    out = mixing.mix(df)
+    assert len(out.columns) == len(set(out.columns)) and out.count() == len(rows)
+    got = out.collect()
+    for source in ("s", None):
+        mine = [r for r in got if r.source == source]
+        assert {r["size"] for r in mine} <= {3, 60_000, 0, 1} and abs(sum(r.taken for r in mine) - mine[0].target) <= max(r["size"] for r in mine)

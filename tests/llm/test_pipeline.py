@@ -81,6 +81,37 @@ def test_all_stages(spark, corpus):
         assert abs(sum(r["size"] for r in mine) - mine[0].target) <= 200
 
 
+def test_mixing_stage(spark, corpus):
+    """One row for each copy; null, empty, tied and very long texts, clashing columns, an empty table."""
+    sf, _, _ = corpus
+    rng = np.random.default_rng(3)
+    long = " ".join(f"w{int(x)}" for x in rng.integers(0, 900, size=30_000))
+    rows = [(i, " ".join(text(rng, "xx", 40)), "xx", f"s{i % 3}", 1) for i in range(90)] + [(200 + i, "tied words", "xx", "s0", 1) for i in range(30)]
+    rows += [(300, long, "xx", "s1", 1), (301, None, None, None, 1), (302, "", None, "s2", 1), (303, "a b c d e f", None, None, 1)]
+    docs = spark.createDataFrame(rows, COLUMNS).withColumn("copy", F.lit("old")).withColumn("size", F.lit("old"))
+    out = C.mix_sources(spark, docs, sf).collect()
+    size = {r[0]: len((r[1] or "").split()) for r in rows}
+    for r in out:
+        assert r["size"] == size[r.doc_id] > 0 and 1 <= r.copy <= r.copies <= 2
+    for source in ("s0", "s1", "s2", None):
+        mine = [r for r in out if r.source == source]
+        assert abs(sum(r["size"] for r in mine) - mine[0].target) <= max(r["size"] for r in mine)
+    assert C.mix_sources(spark, docs.filter("false"), sf).count() == 0
+
+
+@pytest.mark.parametrize("stage", [0, 1, 2, 3])
+def test_stages_take_very_long_and_tied_texts(spark, corpus, stage):
+    sf, _, _ = corpus
+    rng = np.random.default_rng(19)
+    long = " ".join(str(x) for x in rng.choice([a + b for a in ("ka", "lo") for b in ("mi", "tu")], size=60_000))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    more = spark.createDataFrame([(5000, long, "xx", "s0", 1), (5001, long, "xx", "s1", 1), (5002, "y" * 400_000, None, None, 1)], COLUMNS)
+    tied = docs.filter("doc_id IN (3, 5)")
+    kept = ids(C.STAGES[stage][1](spark, docs.unionByName(more).unionByName(tied), sf))
+    assert 5000 in kept and {3, 5} <= kept
+    assert (5001 in kept) == (stage != 2)
+
+
 def test_repeated_ids_keep_one_row(spark, corpus):
     sf, _, _ = corpus
     docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id in (1, 3)")
