@@ -12,15 +12,20 @@ each row nearly all are, and the filter saves nothing.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.sources.stored import Scratch
 
+# functions travel to the workers by value, which so need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BITS = 1 << 25
 _CHUNK = 1 << 15
 _WORDS = _CHUNK // 64

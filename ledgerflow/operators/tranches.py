@@ -16,12 +16,17 @@ are never valid.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# functions travel to the workers by value, which so need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Intervals that share a bucket, on average.
 PER_BUCKET = 8
 _EPOCH = "1970-01-01"
