@@ -4,8 +4,8 @@ Features of a text are the distinct hashed words, word pairs and pairs with one
 of the whole text lowered A-Z, and word beginnings of a few bytes, so that inflected forms of
 a learned word count where a language has many. The model is fitted on a bounded sample of labelled rows
 (``max_train`` rows, the first by a hash of the id, of at most 256 MB of features) with one learning rate for each coordinate
-and L1 regularisation, which leaves few weights: they are broadcast as two short arrays and
-every text is scored in Arrow batches.
+and L1 regularisation. It is fitted in a task: the driver gets its few weights, never the features. They are broadcast as
+two short arrays and every text is scored in Arrow batches.
 
 Null and empty texts have no features and get the score of the bias. Labels other than 0 and 1
 are not learned from; an id with several labels counts with each. Without usable labels, or
@@ -15,6 +15,8 @@ Columns named score or predicted are replaced; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -101,20 +103,25 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     return rows.join(F.broadcast(chosen), "__id").select(F.xxhash64("__id", "label", F.xxhash64("text")).alias("__key"), F.col("__id").cast("string").alias("__id"), "label", "text")
 
 
-def bounded(described: DataFrame, column: str, most: int, most_bytes: int = MAX_BYTES) -> list[tuple[str, int, bytes]]:
-    """(id, label, bytes of ``column``), in a fixed order, of at most ``most`` distinct rows and ``most_bytes`` bytes.
+def first_rows(described: DataFrame, column: str, most: int, most_bytes: int, scratch: Scratch) -> DataFrame:
+    """(__id, label, ``column``), stored, of at most ``most`` distinct rows and ``most_bytes`` bytes of ``column``.
 
-    Rows that repeat id, text and label count once, so that an id that many rows share does not fill the driver.
+    Rows that repeat id, text and label count once, so that an id that many rows share does not fill the sample.
     """
-    scratch = Scratch()
     rows = scratch.written(described.dropDuplicates(["__key"]))
     sizes = rows.select("__key", F.length(column).alias("size")).orderBy("__key").limit(most).collect()
     held = np.cumsum([r["size"] for r in sizes])
     inside = [r["__key"] for r, h in zip(sizes, held, strict=True) if h <= most_bytes]
-    got = rows.filter(F.col("__key") <= inside[-1]).select("__id", "label", column).collect() if inside else []
+    return rows.filter(F.col("__key") <= inside[-1] if inside else F.lit(False)).select(F.coalesce("__id", F.lit("")).alias("__id"), "label", column)
+
+
+def bounded(described: DataFrame, column: str, most: int, most_bytes: int = MAX_BYTES) -> list[tuple[str, int, bytes]]:
+    """(id, label, bytes of ``column``) of the first rows, in a fixed order."""
+    scratch = Scratch()
+    got = first_rows(described, column, most, most_bytes, scratch).collect()
     scratch.drop()
     # a fixed order makes the fit repeatable
-    return sorted(((r["__id"] or "", r["label"], bytes(r[column])) for r in got), key=lambda r: r)
+    return sorted(((r["__id"], r["label"], bytes(r[column])) for r in got), key=lambda r: r)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", parts: int = 3, held: int = 1, max_train: int = MAX_TRAIN):
@@ -131,8 +138,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return work
 
     chosen = training_rows(docs, labels, id_col, text_col, label_col, parts, held, max_train)
-    got = bounded(map_texts(chosen, "text", [("ids", T.BinaryType())], make, ["__key", "__id", "label"]), "ids", max_train)
-    return fit([(np.frombuffer(ids, "<i4"), y) for _, y, ids in got])
+    scratch = Scratch()
+    sample = first_rows(map_texts(chosen, "text", [("ids", T.BinaryType())], make, ["__key", "__id", "label"]), "ids", max_train, MAX_BYTES, scratch)
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(np.frombuffer(ids, "<i4"), y) for b in batches for ids, y in zip(b.column(2).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        used, weight, bias = fit(rows)
+        yield pa.RecordBatch.from_arrays([pa.array([used.astype("<i8").tobytes()], pa.binary()), pa.array([weight.astype("<f8").tobytes()], pa.binary()), pa.array([bias])], names=["used", "weight", "bias"])
+
+    # one task sees the bounded sample, in a fixed order, which makes the fit repeatable
+    learned = sample.coalesce(1).sortWithinPartitions("__id", "label", "ids").mapInArrow(fitted, "used binary, weight binary, bias double").collect()
+    scratch.drop()
+    if not learned:
+        return fit([])
+    return np.frombuffer(bytes(learned[0]["used"]), "<i8"), np.frombuffer(bytes(learned[0]["weight"]), "<f8"), learned[0]["bias"]
 
 
 def score(docs: DataFrame, model, text_col: str = "text", threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:

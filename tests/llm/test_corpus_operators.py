@@ -655,3 +655,32 @@ def test_mixing_of_long_tied_and_clashing_rows(spark):
     for source in ("s", None):
         mine = [r for r in got if r.source == source]
         assert {r["size"] for r in mine} <= {3, 60_000, 0, 1} and abs(sum(r.taken for r in mine) - mine[0].target) <= max(r["size"] for r in mine)
+
+
+def test_toxicity_features_stay_off_the_driver(spark, monkeypatch):
+    """The driver gets keys, sizes and the few weights; the features of the training rows are many times as large."""
+    import pyarrow as pa
+
+    d, labels = labelled(spark)
+    frame, met = type(d), []
+    plain = frame.collect
+
+    def watched(self):
+        got = plain(self)
+        met.extend(len(v) for row in got for v in row if isinstance(v, (bytes, bytearray)))
+        return got
+
+    monkeypatch.setattr(frame, "collect", watched)
+    used, weight, bias = toxicity.train(d, labels)
+    assert 0 < len(used) == len(weight)
+    monkeypatch.undo()
+    # what the fit sees: distinct features of four bytes of each labelled text outside the fold
+    chosen = toxicity.training_rows(d, labels, "doc_id", "text", "toxic", 3, 1, toxicity.MAX_TRAIN).collect()
+    chosen.sort(key=lambda r: (str(r["__id"]), r.label))
+    rows = []
+    for r in chosen:
+        _, ids, _ = toxicity.features(pa.array([r.text]))
+        rows.append((np.unique(ids).astype("<i4"), r.label))
+    assert sum(met) < sum(ids.nbytes for ids, _ in rows) / 10
+    want = toxicity.fit(rows)
+    assert np.array_equal(used, want[0]) and np.array_equal(weight, want[1]) and bias == want[2]
