@@ -64,7 +64,8 @@ ORACLE_SQL = {
     "d18_savings_total": f"""WITH {FOUND} SELECT {usd("savings_usd")} AS savings_usd, {usd("CASE WHEN confidence = 'alta' THEN savings_usd END")} AS high_confidence_usd, count(*) AS findings, count(DISTINCT entity_key) AS entities FROM found""",
     "d20_recommendations": f"WITH {FOUND} SELECT entity_key, workspace_id, rule_id, savings_usd, severity FROM found ORDER BY savings_usd DESC, entity_key, workspace_id, rule_id LIMIT 200",
     "d21_shares": f"WITH {KPI} SELECT usage_date, {rnd('(serverless_ratio * 100)', 2)} AS serverless_pct, {rnd('(all_purpose_ratio * 100)', 2)} AS all_purpose_pct, {rnd('(allocated_ratio * 100)', 2)} AS coverage_pct, cost_per_dbu FROM kpi WHERE {since(90)}",
-    "d22_untagged_by_resource": f"WITH {FACT} SELECT entity_name, entity_type, workspace_id, {COST} AS cost FROM fact WHERE {since(30)} AND is_untagged GROUP BY 1, 2, 3 ORDER BY cost DESC, entity_name NULLS FIRST, entity_type, workspace_id LIMIT 50",
+    "d22_untagged_by_resource": f"WITH {FACT} SELECT entity_name, entity_type, workspace_id, {COST} AS cost FROM fact WHERE is_untagged GROUP BY 1, 2, 3 ORDER BY cost DESC, entity_name NULLS FIRST, entity_type, workspace_id LIMIT 50",
+    "d22_untagged_30_days": f"WITH {FACT} SELECT entity_name, entity_type, workspace_id, {COST} AS cost FROM fact WHERE {since(30)} AND is_untagged GROUP BY 1, 2, 3 ORDER BY cost DESC, entity_name NULLS FIRST, entity_type, workspace_id LIMIT 50",
     "d23_unstable_jobs": f"WITH {_JOBS} SELECT job, team, count(*) AS runs, count(*) FILTER (is_failed) AS failures, {rnd('(count(*) FILTER (is_failed) / count(*) * 100)', 1)} AS failure_pct, {rnd(usd('CASE WHEN is_failed THEN cost ELSE 0 END'), 2)} AS failed_cost FROM jr GROUP BY 1, 2 HAVING count(*) FILTER (is_failed) > 0 ORDER BY failed_cost DESC, job, team LIMIT 30",
     "d24_cluster_config": f"""WITH {FACT}, c AS (SELECT entity_id AS cluster_id, {COST} AS cost FROM fact WHERE entity_type = 'CLUSTER' GROUP BY 1),
       g AS (SELECT CAST(user_id AS VARCHAR) AS cluster_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)

@@ -153,9 +153,18 @@ def d21_shares(s: SparkSession, d: str) -> DataFrame:
     return _kpis(s, d, 90).select("usage_date", rounded(F.col("serverless_ratio") * 100, 2).alias("serverless_pct"), rounded(F.col("all_purpose_ratio") * 100, 2).alias("all_purpose_pct"), rounded(F.col("allocated_ratio") * 100, 2).alias("coverage_pct"), "cost_per_dbu")
 
 
+def _untagged_by_resource(fact: DataFrame) -> DataFrame:
+    cost = fact.filter("is_untagged").groupBy("entity_name", "entity_type", "workspace_id").agg(usd().alias("cost"))
+    return top(cost, 50, "cost", "entity_name", "entity_type", "workspace_id")
+
+
 def d22_untagged_by_resource(s: SparkSession, d: str) -> DataFrame:
-    f = model.recent(s, d, 30).filter("is_untagged")
-    return top(f.groupBy("entity_name", "entity_type", "workspace_id").agg(usd().alias("cost")), 50, "cost", "entity_name", "entity_type", "workspace_id")
+    """Over all days; the report's 30 days are ``d22_untagged_30_days``."""
+    return _untagged_by_resource(model.fact(s, d))
+
+
+def d22_untagged_30_days(s: SparkSession, d: str) -> DataFrame:
+    return _untagged_by_resource(model.recent(s, d, 30))
 
 
 def d23_unstable_jobs(s: SparkSession, d: str) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import decimal
+from collections import defaultdict
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from ledgerflow.plans import registry
+from ledgerflow.plans import model, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -53,3 +54,17 @@ def test_matches_sql(spark, duck, name):
     assert sorted(rel.columns) == cols
     want = sorted(tuple(map(plain, r)) for r in duck.sql(f"SELECT {', '.join(chr(34) + c + chr(34) for c in cols)} FROM ({registry.ORACLE_SQL[name]})").fetchall())
     assert got == want
+
+
+def test_untagged_by_resource_is_over_all_days(spark, duck):
+    cost, days = defaultdict(float), set()
+    for r in model.fact(spark, SF).filter("is_untagged").select("usage_date", "entity_name", "entity_type", "workspace_id", "total_cost_usd").collect():
+        cost[r.entity_name, r.entity_type, r.workspace_id] += r.total_cost_usd
+        days.add(str(r.usage_date))
+    assert min(days) < model.last_days(30)[0] and max(days) > model.last_days(30)[1]
+    first = sorted(cost.items(), key=lambda x: (-round(x[1], 6), x[0][0] or "", x[0][1:]))[:50]
+    got = registry.QUERIES["d22_untagged_by_resource"](spark, SF).collect()
+    assert [tuple(r)[:3] for r in got] == [k for k, _ in first]
+    assert [r.cost for r in got] == pytest.approx([v for _, v in first])
+    for name in ("d22_untagged_by_resource", "d22_untagged_30_days"):
+        test_matches_sql(spark, duck, name)
