@@ -36,8 +36,14 @@ _TAGS = f"""{PRICED}, tags AS (
 _INVENTORY = f"{_TAGS}, inv AS (SELECT key, dimension, string_agg(DISTINCT tag_key, ',' ORDER BY tag_key) AS spellings, count(DISTINCT tag_value) AS distinct_values, {COST} AS cost FROM tags GROUP BY 1, 2)"
 # only a record's own tags resolve a dimension here: cost centre, team and environment, if the record is not bare
 _OWN = {"cost_center": "NOT bare AND o_custkey % 11 <> 0", "team": "NOT bare AND s_nationkey % 6 <> 0", "environment": "NOT bare", "project": "false", "application": "false", "owner": "false"}
-_UNTAGGED = f"""{PRICED}, un AS (SELECT entity_type, entity_id, workspace_id, sku_name, billing_origin_product, count(*) AS records, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {rnd(usd("list_cost_usd"), 2)} AS list_cost_usd, CAST(max(CASE WHEN bare THEN 0 ELSE 4 END) AS BIGINT) AS tag_count
-  FROM tagged WHERE {since(90)} AND {" AND ".join(f"NOT ({x})" for x in _OWN.values())} GROUP BY 1, 2, 3, 4, 5)"""
+
+
+def untagged(where: str = "true") -> str:
+    return f"""{PRICED}, un AS (SELECT entity_type, entity_id, workspace_id, sku_name, billing_origin_product, count(*) AS records, min(usage_date) AS first_seen, max(usage_date) AS last_seen, {rnd(usd("list_cost_usd"), 2)} AS list_cost_usd, CAST(max(CASE WHEN bare THEN 0 ELSE 4 END) AS BIGINT) AS tag_count
+  FROM tagged WHERE {where} AND {" AND ".join(f"NOT ({x})" for x in _OWN.values())} GROUP BY 1, 2, 3, 4, 5)"""
+
+
+_UNTAGGED = untagged(since(90))
 _BLOCKS = " UNION ALL ".join(
     f"SELECT usage_date, workspace_id, '{d}' AS dimension, {rnd(usd('list_cost_usd'), 2)} AS total_cost_usd, {rnd(usd(f'CASE WHEN {x} THEN list_cost_usd ELSE 0 END'), 2)} AS attributed_cost_usd, count(DISTINCT CASE WHEN {x} THEN entity_id END) AS attributed_entities, count(DISTINCT entity_id) AS total_entities FROM tagged WHERE {since(90)} GROUP BY 1, 2"
     for d, x in _OWN.items()
@@ -80,7 +86,8 @@ ORACLE_SQL = {
     "v4_untagged_live": f"WITH {_UNTAGGED} SELECT * FROM un",
     "d31_tag_inventory_top": f"WITH {_INVENTORY} SELECT key, coalesce(dimension, 'NO RECONOCIDA') AS dimension, cost FROM inv ORDER BY cost DESC, key LIMIT 50",
     "d32_unresolved": f"WITH {_UNTAGGED} SELECT entity_type, entity_id, sku_name, billing_origin_product, records, first_seen, last_seen, list_cost_usd FROM un ORDER BY list_cost_usd DESC, entity_type, entity_id NULLS FIRST, workspace_id, sku_name, billing_origin_product NULLS FIRST LIMIT 100",
-    "d33_untagged_by_type": f"WITH {_UNTAGGED} SELECT entity_type, {rnd(usd('list_cost_usd'), 2)} AS cost FROM un GROUP BY 1",
+    "d33_untagged_by_type": f"WITH {untagged()} SELECT entity_type, {rnd(usd('list_cost_usd'), 2)} AS cost, CAST(sum(records) AS BIGINT) AS records FROM un GROUP BY 1",
+    "d33_untagged_90_days": f"WITH {_UNTAGGED} SELECT entity_type, {rnd(usd('list_cost_usd'), 2)} AS cost FROM un GROUP BY 1",
     "e1_daily": f"WITH {FACT} SELECT usage_date, {COST} AS cost FROM fact WHERE {since(30)} GROUP BY 1",
     "e2_teams": f"WITH {FACT} SELECT team, cost_center, environment, {COST} AS cost, count(DISTINCT entity_key) AS entities FROM fact WHERE {since(30)} GROUP BY 1, 2, 3 ORDER BY cost DESC, team, cost_center, environment LIMIT 20",
     "e3_one_day": f"WITH {FACT} SELECT sku_group, entity_key, team, {COST} AS cost FROM fact WHERE usage_date = DATE '2001-07-15' GROUP BY 1, 2, 3 ORDER BY cost DESC, sku_group, entity_key, team LIMIT 50",

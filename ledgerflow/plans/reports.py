@@ -271,8 +271,17 @@ def d32_unresolved(s: SparkSession, d: str) -> DataFrame:
     return u.select("entity_type", "entity_id", "sku_name", "billing_origin_product", "records", "first_seen", "last_seen", "list_cost_usd")
 
 
+def _untagged_by_type(untagged: DataFrame) -> DataFrame:
+    return untagged.groupBy("entity_type").agg(rounded(usd("list_cost_usd"), 2).alias("cost"), F.sum("records").alias("records")).orderBy(F.desc("cost"))
+
+
 def d33_untagged_by_type(s: SparkSession, d: str) -> DataFrame:
-    return v4_untagged_live(s, d).groupBy("entity_type").agg(rounded(usd("list_cost_usd"), 2).alias("cost")).orderBy(F.desc("cost"))
+    """Over all days; the report on the view's 90 days is ``d33_untagged_90_days``."""
+    return _untagged_by_type(facts.live_untagged(model.priced(s, d)))
+
+
+def d33_untagged_90_days(s: SparkSession, d: str) -> DataFrame:
+    return _untagged_by_type(v4_untagged_live(s, d)).drop("records")
 
 
 def e1_daily(s: SparkSession, d: str) -> DataFrame:

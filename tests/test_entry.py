@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerflow.operators import facts
 from ledgerflow.plans import model, registry
 
 SF = "/root/testdata/sf0.001"
@@ -68,3 +69,20 @@ def test_untagged_by_resource_is_over_all_days(spark, duck):
     assert [r.cost for r in got] == pytest.approx([v for _, v in first])
     for name in ("d22_untagged_by_resource", "d22_untagged_30_days"):
         test_matches_sql(spark, duck, name)
+
+
+def test_untagged_by_type_is_over_all_days(spark, duck):
+    cost, records, days = defaultdict(lambda: defaultdict(float)), defaultdict(int), set()
+    sources = [f"{d}_source" for d in facts.DIMS]
+    for r in model.priced(spark, SF).select("usage_date", "entity_type", "entity_id", "workspace_id", "sku_name", "billing_origin_product", "list_cost_usd", *sources).collect():
+        if all(r[x] != "usage" for x in sources):
+            cost[r.entity_type][r.entity_id, r.workspace_id, r.sku_name, r.billing_origin_product] += r.list_cost_usd
+            records[r.entity_type] += 1
+            days.add(str(r.usage_date))
+    assert min(days) < model.last_days(90)[0] and max(days) > model.last_days(90)[1]
+    got = registry.QUERIES["d33_untagged_by_type"](spark, SF).collect()
+    assert {r.entity_type: r.records for r in got} == records
+    # the view rounds each resource to cents
+    assert {r.entity_type: r.cost for r in got} == pytest.approx({t: sum(round(v, 2) for v in c.values()) for t, c in cost.items()}, abs=0.02)
+    for name in ("d33_untagged_by_type", "d33_untagged_90_days"):
+        test_matches_sql(spark, duck, name)
