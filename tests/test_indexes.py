@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import exprs, pricing
 from ledgerflow.operators import budgets, duplicates, facts, predicates, quality, rollups, series, tranches
-from ledgerflow.sources import sinks
+from ledgerflow.sources import sinks, stored
 
 RULES = [
     {"sku": "PREMIUM_*", "cloud": ["aws", "gcp"]},
@@ -57,6 +57,27 @@ def test_plan_of_an_index_does_not_grow_with_the_rules(spark):
     assert sizes[2] == sizes[2000]
 
 
+def test_rules_meet_classes_of_values_and_not_values(spark):
+    n = 3000
+    df = spark.range(n).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("entity"), F.when(F.col("id") % 7 != 0, (F.col("id") % 5).cast("string")).alias("ws"))
+    rules = [{"ws": str(i % 5), "entity": [f"e{i % 9}*", f"?{i % 10}"]} for i in range(300)]
+    keys = predicates.keys_of(rules)
+    combos, fits = predicates._by_class(df, rules, keys, stored.Scratch())
+    assert combos.count() == n
+    # entities fall into classes by their first digit and by having one digit only
+    assert combos.select("r1", "r2").distinct().count() <= 20 * 6
+    want = {}
+    for r in df.collect():
+        alone = len(r.entity) == 2
+        want[r.entity] = [i for i, rule in enumerate(rules) if rule["ws"] == r.ws and (r.entity.startswith(rule["entity"][0][:-1]) or alone and r.entity[1] == rule["entity"][1][1])]
+    got = {e: [] for e in want}
+    for r in df.withColumns(predicates.combination(keys)).join(predicates.matching(df, rules), ["c1", "c2"]).select("entity", "rule").collect():
+        got[r.entity].append(r.rule)
+    assert {e: sorted(x) for e, x in got.items()} == want
+    first = {r.entity: r.rule for r in df.withColumns(predicates.combination(keys)).join(predicates.first_match(df, rules), ["c1", "c2"]).select("entity", "rule").collect()}
+    assert first == {e: x[0] for e, x in want.items() if x}
+
+
 def test_many_discounts_as_few(spark):
     df = usage(spark).withColumn("record_id", F.col("id"))
     rules = [{"name": f"r{i}", "match": m, "discount_pct": 0.01 * i} for i, m in enumerate(RULES[:3] + RULES[4:])]
