@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import exprs, pricing
 from ledgerflow.operators import budgets, duplicates, facts, predicates, quality, rollups, series, tranches
-from ledgerflow.plans import queries_facts
+from ledgerflow.plans import model, queries_facts
 from ledgerflow.sources import sinks, stored
 
+SF = "/root/testdata/sf0.001"
 RULES = [
     {"sku": "PREMIUM_*", "cloud": ["aws", "gcp"]},
     {"sku": "*sql*"},
@@ -237,6 +238,33 @@ def test_repeated_keys(spark, bits):
     assert duplicates.repeated_keys(df.filter("false"), ["a", "b"]).count() == 0
 
 
+def test_rows_whose_key_no_other_has_stay_where_they_lie(spark):
+    rng = np.random.default_rng(17)
+    rows = [(i, None if rng.random() < 0.01 else int(rng.integers(20_000)), "xy"[int(rng.integers(2))]) for i in range(8000)]
+    times = Counter((a, b) for _, a, b in rows)
+    alone, others = duplicates.apart(spark.createDataFrame(rows, "id long, a long, b string"), ["a", "b"])
+    apart = {r.id for r in alone.collect()}
+    assert {i for i, a, b in rows if times[a, b] > 1} <= {i for i, *_ in rows} - apart
+    assert sorted([*apart, *(r.id for r in others.collect())]) == list(range(8000))
+    assert len(apart) >= 0.85 * sum(n for n in times.values() if n == 1)
+    assert "Exchange hashpartitioning" not in alone._jdf.queryExecution().executedPlan().toString()
+    nobody, none = duplicates.apart(spark.createDataFrame(rows[:0], "id long, a long, b string"), ["a", "b"])
+    assert nobody.count() == none.count() == 0
+
+
+def test_facts_of_large_tables_as_of_small(spark):
+    priced = stored.written(model.priced(spark, SF).unionByName(model.priced(spark, SF, ("1998-01-01", "1998-12-31"))))
+    behind = stored.Scratch()
+    behind.written(spark.range(3))
+    daily = facts.cost_daily(priced, behind, large=0)
+    assert behind.size() == 0
+    # groups of one record are not shuffled
+    plan = daily._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Union" in plan
+    plain = facts.cost_daily(priced)
+    assert sorted(map(str, daily.collect())) == sorted(map(str, plain.collect())) and daily.dtypes == plain.dtypes
+
+
 def test_checks_find_repeats_either_way(spark, monkeypatch):
     rows = [(i % 900, None if i % 900 == 5 else "s", date(2026, 1, 1), 1.0, False, "A", "B") for i in range(1000)]
     df = spark.createDataFrame(rows, "record_id long, sku_name string, usage_date date, total_cost_usd double, price_missing boolean, cost_center string, team string")
