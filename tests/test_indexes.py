@@ -263,7 +263,8 @@ def test_facts_of_large_tables_as_of_small(spark):
     assert plan.count("Aggregate") == 1 and "Union" in plan
     plain = facts.cost_daily(priced)
     assert sorted(map(str, daily.collect())) == sorted(map(str, plain.collect())) and daily.dtypes == plain.dtypes
-    kpis = facts.kpi_base(daily, large=0)
+    months, kpis = facts.cost_monthly(daily, large=0), facts.kpi_base(daily, large=0)
+    assert sorted(map(str, months.collect())) == sorted(map(str, facts.cost_monthly(plain).collect())) and months.dtypes == facts.cost_monthly(plain).dtypes
     assert sorted(map(str, kpis.collect())) == sorted(map(str, facts.kpi_base(plain).collect())) and kpis.dtypes == facts.kpi_base(plain).dtypes
 
 
