@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import exprs, pricing
 from ledgerflow.operators import budgets, duplicates, facts, predicates, quality, rollups, series, tranches
-from ledgerflow.plans import model, queries_facts
+from ledgerflow.plans import model, queries_analytics, queries_facts
 from ledgerflow.sources import sinks, stored
 
 SF = "/root/testdata/sf0.001"
@@ -268,6 +268,13 @@ def test_facts_of_large_tables_as_of_small(spark):
     assert sorted(map(str, kpis.collect())) == sorted(map(str, facts.kpi_base(plain).collect())) and kpis.dtypes == facts.kpi_base(plain).dtypes
 
 
+def test_reconciliation_computes_the_fact_once(spark, monkeypatch):
+    calls = []
+    fact = model.fact
+    monkeypatch.setattr(model, "fact", lambda *a: calls.append(a) or fact(*a))
+    assert all(r.reconciles for r in queries_analytics.c4_reconciliation(spark, SF).collect()) and len(calls) == 1
+
+
 def test_checks_find_repeats_either_way(spark, monkeypatch):
     rows = [(i % 900, None if i % 900 == 5 else "s", date(2026, 1, 1), 1.0, False, "A", "B") for i in range(1000)]
     df = spark.createDataFrame(rows, "record_id long, sku_name string, usage_date date, total_cost_usd double, price_missing boolean, cost_center string, team string")
